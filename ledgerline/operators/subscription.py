@@ -15,7 +15,7 @@ from ..functions import text
 from ..functions.numbers import ratio
 from ..functions.periods import month_end, month_number
 
-MONEY = "decimal(38,7)"
+MONEY = "decimal(30,7)"
 
 
 def double(c: str | Column) -> Column:
@@ -128,6 +128,10 @@ def adoption_scorecard(lines: DataFrame) -> DataFrame:
     )
 
 
+def yearly(mrr: Column) -> Column:
+    return double(mrr.cast(MONEY) * F.lit(12).cast("decimal(2,0)"))
+
+
 def _monthly(lines: DataFrame) -> DataFrame:
     return lines.groupBy("month", "family").agg(
         F.sum("usd_total").cast(MONEY).alias("mrr"), F.countDistinct("customer").alias("active")
@@ -140,7 +144,7 @@ def subscription_monthly(lines: DataFrame) -> DataFrame:
         F.col("month").alias("snapshot_month"),
         F.col("family").alias("service_family"),
         double("mrr").alias("mrr_usd"),
-        double(F.col("mrr") * 12).alias("arr_usd"),
+        yearly(F.col("mrr")).alias("arr_usd"),
         F.col("active").alias("active_subscriptions"),
     )
 
@@ -153,7 +157,7 @@ def subscription_totals(lines: DataFrame) -> DataFrame:
     return totals.select(
         F.col("month").alias("snapshot_month"),
         double("mrr").alias("mrr_total"),
-        double(F.col("mrr") * 12).alias("arr_total"),
+        yearly(F.col("mrr")).alias("arr_total"),
         "active_subs_total",
     )
 

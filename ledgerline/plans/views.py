@@ -89,7 +89,9 @@ def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("P"), F.col("l_partkey").cast("string")).alias("item_code"),
         F.col("l_quantity").cast("decimal(12,2)").alias("quantity"),
         money.alias("total"),
-        (F.col("l_extendedprice") / F.col("l_quantity")).cast("decimal(12,2)").alias("price"),
+        (F.floor(F.col("l_extendedprice") / F.col("l_quantity") * 100) / 100)
+        .cast("decimal(12,2)")
+        .alias("price"),
         F.col("l_shipdate").cast("date").alias("ship_date"),
     )
 
@@ -138,7 +140,7 @@ sales AS (
          l.l_suppkey AS supplier_id, 'P' || l.l_partkey AS item_code,
          CAST(l.l_quantity AS DECIMAL(12,2)) AS quantity,
          CAST(l.l_extendedprice AS DECIMAL(12,2)) AS total,
-         CAST(l.l_extendedprice / l.l_quantity AS DECIMAL(12,2)) AS price,
+         CAST(floor(l.l_extendedprice / l.l_quantity * 100) / 100 AS DECIMAL(12,2)) AS price,
          CAST(l.l_shipdate AS DATE) AS ship_date, CAST(o.o_orderdate AS DATE) AS inv_date,
          CAST(year(o.o_orderdate) AS VARCHAR) AS source_sheet, c.c_name AS customer,
          c.c_mktsegment AS segment, n.n_name AS country, r.r_name AS region,
