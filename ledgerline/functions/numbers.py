@@ -13,8 +13,7 @@ from . import fixed_values as fixed
 
 def to_number(c: Column) -> Column:
     """Text to double; whatever does not parse becomes null."""
-    number = c.try_cast("double")
-    return F.when(F.isnan(number), None).otherwise(number)
+    return F.nanvl(c.try_cast("double"), F.lit(None).cast("double"))
 
 
 def number_or_zero(c: Column) -> Column:

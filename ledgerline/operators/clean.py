@@ -12,7 +12,7 @@ from functools import reduce
 from operator import and_
 from typing import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -31,12 +31,15 @@ def trim_headers(df: DataFrame) -> DataFrame:
 
 
 def normalise_missing(
-    df: DataFrame, trim: Sequence[str] = fixed.TRIM_COLUMNS, strict: bool = False
+    df: DataFrame,
+    trim: Sequence[str] = fixed.TRIM_COLUMNS,
+    strict: bool = False,
+    skip: Sequence[str] = (),
 ) -> DataFrame:
     """Null tokens to null in every text column, then trim the named ones."""
     changed = {}
     for field in df.schema.fields:
-        if isinstance(field.dataType, T.StringType):
+        if isinstance(field.dataType, T.StringType) and field.name not in skip:
             cell = text.null_tokens_to_null(F.col(field.name), strict)
             changed[field.name] = text.strip(cell) if field.name in trim else cell
     return df.withColumns(changed) if changed else df
@@ -48,12 +51,13 @@ def coerce_numbers(df: DataFrame, columns: Sequence[str] = fixed.NUMERIC_COLUMNS
 
 def drop_negative(df: DataFrame, columns: Sequence[str] = ("Quantity", "Total")) -> DataFrame:
     """Drop rows with a negative value; missing values stay."""
-    tests = [(F.col(c) >= 0) | F.col(c).isNull() for c in present(df, columns)]
+    tests = [F.coalesce(F.col(c), F.lit(0.0)) >= 0 for c in present(df, columns)]
     return df.filter(reduce(and_, tests)) if tests else df
 
 
 def require_values(df: DataFrame, columns: Sequence[str] = fixed.CRITICAL_COLUMNS) -> DataFrame:
-    return df.na.drop(subset=present(df, columns))
+    tests = [F.col(c).isNotNull() for c in present(df, columns)]
+    return df.filter(reduce(and_, tests)) if tests else df
 
 
 def fill_quantity(df: DataFrame, column: str = "Quantity") -> DataFrame:
@@ -66,27 +70,39 @@ def drop_low_value(df: DataFrame, columns: Sequence[str] = fixed.LOW_VALUE_COLUM
     return df.drop(*columns)
 
 
-def _most_frequent(counts: DataFrame, column: str):
+def value_counts(df: DataFrame, *columns: str) -> DataFrame:
+    """Rows per combination of values, as ``n``."""
+    return df.groupBy(*columns).agg(F.count("*").alias("n"))
+
+
+def _most_frequent(column: str) -> Column:
     """Value with the highest ``n``; the smallest value wins a tie."""
     return F.min_by(F.col(column), F.struct(-F.col("n"), F.col(column)))
 
 
-def fill_mode(df: DataFrame, column: str) -> DataFrame:
-    """Fill nulls with the most frequent value of the column."""
+def fill_mode(df: DataFrame, column: str, counts: DataFrame | None = None) -> DataFrame:
+    """Fill nulls with the most frequent value of the column.
+
+    ``counts`` may be any value counts that include the column, so several fills
+    can share one pass over the lines.
+    """
     if column not in df.columns:
         return df
-    counts = df.filter(F.col(column).isNotNull()).groupBy(column).agg(F.count("*").alias("n"))
-    mode = counts.agg(_most_frequent(counts, column).alias(column))
+    known = (value_counts(df, column) if counts is None else counts).filter(F.col(column).isNotNull())
+    mode = known.groupBy(column).agg(F.sum("n").alias("n")).agg(_most_frequent(column).alias(column))
     return df.withColumn(column, F.coalesce(F.col(column), mode.scalar()))
 
 
-def fill_group_mode(df: DataFrame, group: str, column: str) -> DataFrame:
+def fill_group_mode(
+    df: DataFrame, group: str, column: str, counts: DataFrame | None = None
+) -> DataFrame:
     """Fill nulls with the most frequent value within ``group``."""
     if group not in df.columns or column not in df.columns:
         return df
-    known = df.filter(F.col(column).isNotNull() & F.col(group).isNotNull())
-    counts = known.groupBy(group, column).agg(F.count("*").alias("n"))
-    modes = counts.groupBy(group).agg(_most_frequent(counts, column).alias("_mode"))
+    counts = value_counts(df, group, column) if counts is None else counts
+    known = counts.filter(F.col(column).isNotNull() & F.col(group).isNotNull())
+    totals = known.groupBy(group, column).agg(F.sum("n").alias("n"))
+    modes = totals.groupBy(group).agg(_most_frequent(column).alias("_mode"))
     filled = df.join(modes, group, "left")
     return filled.withColumn(column, F.coalesce(column, "_mode")).select(*df.columns)
 
@@ -142,16 +158,24 @@ def clean_sales(
     device_bays: DataFrame | None = None,
     strict_nulls: bool = False,
 ) -> DataFrame:
-    """The complete cleaning sequence, from raw text columns to typed sales lines."""
-    df = normalise_missing(trim_headers(raw), strict=strict_nulls)
+    """The complete cleaning sequence, from raw text columns to typed sales lines.
+
+    The lines are read twice: once to count currency, country and region, which
+    feeds all three mode fills, and once to clean them.
+    """
+    df = normalise_missing(trim_headers(raw), strict=strict_nulls, skip=fixed.NUMERIC_COLUMNS)
     df = fill_quantity(require_values(drop_negative(coerce_numbers(df))))
-    df = fill_mode(df, "Currency")
+    places = present(df, ("Currency", "Country", "Region"))
+    counts = value_counts(df, *places)
+    df = fill_mode(df, "Currency", counts)
     df = df.withColumn("Product", text.drop_leading_parenthesis(F.col("Product")))
     df = enrich.convert_currency(classify(df), rates=rates)
     df = drop_low_value(fill_defaults(parse_dates(df)))
     df = df.withColumn("Year", F.year("InvDate"))
     if country_regions is not None:
         df = enrich.map_region(df, country_regions)
-    df = fill_mode(fill_group_mode(df, "Country", "Region"), "Region")
+        counts = enrich.map_region(counts, country_regions)
+    df = fill_group_mode(df, "Country", "Region", counts)
+    df = fill_mode(df, "Region", fill_group_mode(counts, "Country", "Region", counts))
     df = enrich.attach_capacity(df)
     return enrich.attach_bays(df, device_bays) if device_bays is not None else df

@@ -201,7 +201,8 @@ def month_transitions(paid: DataFrame) -> DataFrame:
     # Calendar-sized from here on: the windows without a partition key are over it.
     number = month_number(F.col("month"))
     earlier = Window.orderBy("n").rangeBetween(Window.unboundedPreceding, -1)
-    later = Window.orderBy("n").rangeBetween(1, Window.unboundedFollowing)
+    # Descending, because a frame that grows is read once and one that shrinks is not.
+    later = Window.orderBy(F.col("n").desc()).rangeBetween(Window.unboundedPreceding, -1)
     placed = folded.withColumn("n", number).withColumns(
         {"previous": F.max("month").over(earlier), "following": F.min("month").over(later)}
     )

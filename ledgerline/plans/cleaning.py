@@ -40,8 +40,8 @@ def raw_product() -> Column:
 def raw_sales(spark: SparkSession, sf: str) -> DataFrame:
     """Sales lines as untyped text, with the dirt a hand-kept workbook has."""
     needed = ("inv_date", "ship_date", "quantity", "total", "price", "customer", "country",
-              "region", "currency", "item_code", "source_sheet", "size")
-    lines = sales(spark, sf, *KEYS, *needed)
+              "region", "currency", "item_code", "source_sheet")
+    lines = sales(spark, sf, *KEYS, *needed).join(products(spark, sf), "part_id")
     order, part = F.col("order_id"), F.col("part_id")
 
     def words(c: str) -> Column:
@@ -53,7 +53,7 @@ def raw_sales(spark: SparkSession, sf: str) -> DataFrame:
         F.when(order % 97 == 0, "NULL").when(order % 89 == 0, "  ")
         .when(order % 83 == 0, F.concat(F.lit("  "), "customer", F.lit(" "))).otherwise(F.col("customer")).alias("Customer"),
         F.when(part % 13 == 0, None).when(part % 17 == 0, "null").otherwise(F.col("item_code")).alias("ItemCode"),
-        raw_product().alias("Product"),
+        F.col("product").alias("Product"),
         F.when((order % 11 == 0) & (F.col("line_no") == 7), "-3").when(order % 53 == 0, "n/a")
         .otherwise(words("quantity")).alias("Quantity"),
         words("price").alias("Price"),
@@ -146,8 +146,10 @@ def fx_convert(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def drive_capacity(spark: SparkSession, sf: str) -> DataFrame:
-    lines = sales(spark, sf, *KEYS, "size", "quantity").withColumn("Product", raw_product())
-    typed = lines.withColumn("Type", rules.category(F.col("Product")))
+    typed = products(spark, sf).select(
+        "part_id", F.col("product").alias("Product"), rules.category(F.col("product")).alias("Type")
+    )
+    typed = sales(spark, sf, *KEYS, "quantity").join(typed, "part_id")
     sized = enrich.attach_capacity(typed, quantity="quantity")
     return sized.select(*KEYS, "Product", "Capacity", "Unit", F.col("total_cap").cast("double").alias("total_cap"))
 
@@ -220,7 +222,7 @@ QUERIES = {
         sales(s, d, *KEYS, "country").withColumnRenamed("country", "Country"), country_lookup(s, d)
     ),
     "device_bays": lambda s, d: enrich.attach_bays(
-        sales(s, d, *KEYS, "size", "quantity").select(*KEYS, raw_product().alias("Product"), "quantity"),
+        sales(s, d, *KEYS, "quantity").join(products(s, d).withColumnRenamed("product", "Product"), "part_id"),
         bays_lookup(s, d), quantity="quantity",
     ).withColumns(money("quantity", "total_bays")),
     "fill_mode": fill_mode,

@@ -112,7 +112,8 @@ def sales(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
         if not wanted.isdisjoint({*CUSTOMER, *NATION, *REGION}):
             buyer = customers(spark, sf_dir, wanted)
             orders = orders.join(buyer, orders.o_custkey == buyer.c_custkey)
-        df = df.join(orders, "order_id")
+        # Lines and orders both grow with the data: never broadcast either of them.
+        df = df.hint("merge").join(orders, "order_id")
     if not wanted.isdisjoint(PART):
         df = df.join(parts(spark, sf_dir), "part_id")
     if not wanted.isdisjoint(USD):
