@@ -7,7 +7,7 @@ from importlib import import_module
 
 from pyspark.sql import DataFrame, SparkSession
 
-MODULES = ("subscription", "cleaning")
+MODULES = ("subscription", "cleaning", "periods")
 
 
 def _merged(name: str) -> dict:

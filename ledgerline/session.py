@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
+from functools import lru_cache
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cores: int | str = 8, app: str = "ledgerline", **conf: str) -> SparkSession:
@@ -39,4 +41,21 @@ def work_dir(spark: SparkSession) -> str:
         return shared.rstrip("/")
     if not spark.conf.get("spark.master", "").startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
+    return _local_folder()
+
+
+@lru_cache(maxsize=1)
+def _local_folder() -> str:
     return tempfile.mkdtemp(prefix="ledgerline-")
+
+
+def settle(df: DataFrame) -> DataFrame:
+    """Write an aggregate once and read it back.
+
+    For a small aggregate that several branches of a plan need: the tables below
+    it are scanned once instead of once per branch, and what follows survives the
+    loss of executors.
+    """
+    path = f"{work_dir(df.sparkSession)}/settled-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
