@@ -1,0 +1,246 @@
+"""Seasonal ARIMA per series, one Spark group per series.
+
+A group holds one row per month, so it is bounded by the calendar however many
+sales lines a series has. The model is fitted by conditional sum of squares: a
+regression on lags and long-autoregression residuals gives the start, a few
+Gauss-Newton steps refine it.
+"""
+
+from __future__ import annotations
+
+from functools import partial
+from itertools import product
+from typing import Sequence
+
+import numpy as np
+import pandas as pd
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from ..functions import fixed_values as fixed
+
+
+def polynomial(short: np.ndarray, seasonal: np.ndarray, season: int) -> np.ndarray:
+    """Coefficients of ``(1 + short)(1 + seasonal)`` by power of the lag."""
+    wide = np.zeros(season * len(seasonal) + 1)
+    wide[0] = 1.0
+    wide[season::season] = seasonal
+    return np.convolve(np.concatenate([[1.0], short]), wide)
+
+
+def invert(x: np.ndarray, ma: np.ndarray) -> np.ndarray:
+    """Residuals ``e`` with ``ma(B) e = x`` and zeros before the start."""
+    lags = [(k, c) for k, c in enumerate(ma) if k and c]
+    e: list[float] = []
+    for t, v in enumerate(x.tolist()):
+        e.append(v - sum(c * e[t - k] for k, c in lags if k <= t))
+    return np.array(e)
+
+
+def residuals(theta: np.ndarray, w: np.ndarray, order: tuple, season: int) -> np.ndarray:
+    p, q, sp, sq = order
+    a, m, sa, sm = np.split(theta, np.cumsum([p, q, sp]))
+    ar = polynomial(-a, -sa, season)
+    x = np.convolve(w, ar)[: len(w)]
+    return invert(x, polynomial(m, sm, season))[len(ar) - 1 :]
+
+
+def start_values(w: np.ndarray, order: tuple, season: int) -> np.ndarray:
+    """Least squares on lags of the series and of long-autoregression residuals."""
+    p, q, sp, sq = order
+
+    def lagged(x: np.ndarray, lags: Sequence[int]) -> np.ndarray:
+        shifted = [np.concatenate([np.zeros(k), x[: len(x) - k]]) for k in lags]
+        return np.column_stack(shifted) if shifted else np.zeros((len(x), 0))
+
+    long = lagged(w, range(1, min(season + 1, len(w) // 3) + 1))
+    e = w - long @ np.linalg.lstsq(long, w, rcond=None)[0]
+    steps = [range(1, p + 1), range(1, q + 1), range(season, season * sp + 1, season), range(season, season * sq + 1, season)]
+    sources = (w, e, w, e)
+    design = np.column_stack([lagged(x, s) for x, s in zip(sources, steps)])
+    if not design.shape[1]:
+        return np.zeros(0)
+    return np.clip(np.linalg.lstsq(design, w, rcond=None)[0], -0.9, 0.9)
+
+
+def fit(y: np.ndarray, order: tuple, d: int, sd: int, season: int, steps: int = 8) -> dict | None:
+    """Parameters, residual variance and information criteria, or None."""
+    w = y.astype(float)
+    for _ in range(d):
+        w = np.diff(w)
+    for _ in range(sd):
+        w = w[season:] - w[:-season]
+    k = sum(order)
+    lost = order[0] + order[2] * season
+    if len(w) - lost < k + 3:
+        return None
+    theta = start_values(w, order, season)
+
+    def cost(v: np.ndarray) -> tuple[float, np.ndarray]:
+        with np.errstate(all="ignore"):
+            r = residuals(v, w, order, season)
+            total = float(r @ r)
+        return (total if np.isfinite(total) else np.inf), r
+
+    best, r = cost(theta)
+    if not np.isfinite(best):
+        theta = np.zeros(k)
+        best, r = cost(theta)
+    for _ in range(steps if k else 0):
+        base = r
+        slopes = np.column_stack([(cost(theta + 1e-5 * unit)[1] - base) / 1e-5 for unit in np.eye(k)])
+        if not np.isfinite(slopes).all():
+            break
+        move = np.linalg.lstsq(slopes, -base, rcond=None)[0]
+        for scale in (1.0, 0.3, 0.1):
+            trial = np.clip(theta + scale * move, -0.99, 0.99)
+            total, new = cost(trial)
+            if total < best * (1 - 1e-6):
+                theta, best, r = trial, total, new
+                break
+        else:
+            break
+    n = len(r)
+    variance = max(best / n, 1e-12)
+    likelihood = -0.5 * n * (np.log(2 * np.pi * variance) + 1)
+    return {
+        "theta": theta, "variance": variance, "order": order, "d": d, "sd": sd,
+        "aic": 2 * (k + 1) - 2 * likelihood, "bic": np.log(n) * (k + 1) - 2 * likelihood,
+        "residuals": r, "w": w,
+    }
+
+
+def predict(y: np.ndarray, model: dict, season: int, horizon: int) -> tuple[np.ndarray, np.ndarray]:
+    """Mean and standard error of the next values."""
+    p, q, sp, sq = model["order"]
+    a, m, sa, sm = np.split(model["theta"], np.cumsum([p, q, sp]))
+    ar, ma = polynomial(-a, -sa, season), polynomial(m, sm, season)
+    full = ar
+    for lag, times in ((1, model["d"]), (season, model["sd"])):
+        step = np.zeros(lag + 1)
+        step[0], step[lag] = 1.0, -1.0
+        for _ in range(times):
+            full = np.convolve(full, step)
+    path, e = y.astype(float).tolist(), model["residuals"].tolist()
+    known = len(e)
+    for _ in range(horizon):
+        value = -sum(c * path[-k] for k, c in enumerate(full) if k and k <= len(path))
+        value += sum(c * e[-k] for k, c in enumerate(ma) if k and k <= len(e))
+        path.append(value)
+        e.append(0.0)
+    assert len(e) == known + horizon
+    psi = np.zeros(horizon)
+    for t in range(horizon):
+        psi[t] = (ma[t] if t < len(ma) else 0.0) - sum(
+            full[k] * psi[t - k] for k in range(1, min(t, len(full) - 1) + 1)
+        )
+    error = np.sqrt(model["variance"] * np.cumsum(psi**2))
+    return np.array(path[len(y) :]), error
+
+
+def future(last: pd.Timestamp, horizon: int) -> list:
+    return [d.date() for d in pd.date_range(last, periods=horizon + 1, freq="ME")[1:]]
+
+
+def finite_series(values: pd.Series) -> np.ndarray:
+    return values.astype(float).replace([np.inf, -np.inf], np.nan).fillna(0.0).to_numpy()
+
+
+def is_seasonal(y: np.ndarray) -> bool:
+    return len(y) >= fixed.MIN_SEASONAL_MONTHS
+
+
+def forecast_group(pdf: pd.DataFrame, keys: Sequence[str], horizon: int, season: int) -> pd.DataFrame:
+    """Fixed-order forecast of one series; the tail mean stands in where no fit exists."""
+    pdf = pdf.sort_values("sale_month")
+    out = {"forecast_date": future(pd.Timestamp(pdf["sale_month"].iloc[-1]), horizon)}
+    method = {}
+    for measure in ("quantity", "revenue"):
+        y = finite_series(pdf[measure])
+        seasonal = is_seasonal(y)
+        model = fit(y, (1, 1, int(seasonal), int(seasonal)), 1, int(seasonal), season)
+        mean, error = predict(y, model, season, horizon) if model else (None, None)
+        if mean is None or not (np.isfinite(mean).all() and np.isfinite(error).all()):
+            mean, error = np.full(horizon, y[-3:].mean()), np.full(horizon, np.nan)
+            method[measure] = "tail_mean"
+        out[f"forecast_{measure}"] = mean
+        out[f"{measure}_error"] = error
+    margin = fixed.CONFIDENCE_Z * out.pop("revenue_error")
+    out.pop("quantity_error")
+    out["forecast_revenue_lower"] = out["forecast_revenue"] - margin
+    out["forecast_revenue_upper"] = out["forecast_revenue"] + margin
+    frame = pd.DataFrame(out)
+    frame["method"] = method.get("revenue", "arima")
+    for position, k in enumerate(keys):
+        frame.insert(position, k, pdf[k].iloc[0])
+    return frame
+
+
+def arima_forecast(
+    train: DataFrame, keys: Sequence[str], horizon: int = fixed.HORIZON_MONTHS, season: int = fixed.SEASON
+) -> DataFrame:
+    """Forecast with interval for every series of a contiguous monthly table."""
+    schema = ", ".join(f"{k} {train.schema[k].dataType.simpleString()}" for k in keys) + (
+        ", forecast_date date, forecast_quantity double, forecast_revenue double,"
+        " forecast_revenue_lower double, forecast_revenue_upper double, method string"
+    )
+    narrow = train.select(
+        *keys, "sale_month", *[F.col(c).cast("double").alias(c) for c in ("quantity", "revenue")]
+    )
+    work = partial(forecast_group, keys=tuple(keys), horizon=horizon, season=season)
+    return narrow.groupBy(*keys).applyInPandas(work, schema)
+
+
+def search_group(pdf: pd.DataFrame, keys: Sequence[str], blocks: int, horizon: int, season: int) -> pd.DataFrame:
+    """Best order of one block of the grid for one series, fitted on logs."""
+    pdf = pdf.sort_values("sale_month")
+    y = np.log(np.maximum(finite_series(pdf["quantity"]), 1.0))
+    seasonal = is_seasonal(y)
+    grid = list(product(range(4), range(4), range(3), range(3))) if seasonal else [
+        (p, q, 0, 0) for p, q in product(range(4), range(4))
+    ]
+    fits = [fit(y, o, 1, int(seasonal), season, steps=3) for o in grid[int(pdf["block"].iloc[0]) :: blocks]]
+    fits = [m for m in fits if m]
+    if not fits:
+        return pd.DataFrame()
+    best = min(fits, key=lambda m: m["aic"])
+    mean, error = predict(y, best, season, horizon)
+    p, q, sp, sq = best["order"]
+    with np.errstate(over="ignore"):
+        low, mid, high = (np.exp(mean + z * fixed.CONFIDENCE_Z * error) for z in (-1, 0, 1))
+    row = {
+        **{k: pdf[k].iloc[0] for k in keys},
+        "order": f"({p}, 1, {q})", "seasonal_order": f"({sp}, {best['sd']}, {sq}, {season if seasonal else 0})",
+        "aic": best["aic"], "bic": best["bic"],
+        "forecast_date": future(pd.Timestamp(pdf["sale_month"].iloc[-1]), horizon),
+        "forecast_volume": mid, "forecast_lower": low, "forecast_upper": high,
+    }
+    return pd.DataFrame([row])
+
+
+def order_search(
+    train: DataFrame, keys: Sequence[str], horizon: int = fixed.HORIZON_MONTHS,
+    season: int = fixed.SEASON, blocks: int = 4,
+) -> DataFrame:
+    """Order with the lowest information criterion per series, with its forecast.
+
+    The order grid is dealt out over ``blocks`` groups per series, so few series
+    still use many tasks.
+    """
+    typed = [f"{k} {train.schema[k].dataType.simpleString()}" for k in keys]
+    schema = ", ".join(typed) + (
+        ", order string, seasonal_order string, aic double, bic double, forecast_date array<date>,"
+        " forecast_volume array<double>, forecast_lower array<double>, forecast_upper array<double>"
+    )
+    dealt = train.select(
+        *keys, "sale_month", F.col("quantity").cast("double").alias("quantity"),
+        F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"),
+    )
+    work = partial(search_group, keys=tuple(keys), blocks=blocks, horizon=horizon, season=season)
+    found = dealt.groupBy(*keys, "block").applyInPandas(work, schema)
+    rest = [c for c in found.columns if c not in keys]
+    best = found.groupBy(*keys).agg(F.min_by(F.struct(*rest), F.struct("aic", "order", "seasonal_order")).alias("b"))
+    arrays = ("forecast_date", "forecast_volume", "forecast_lower", "forecast_upper")
+    rows = best.select(*keys, "b.order", "b.seasonal_order", "b.aic", "b.bic",
+                       F.explode(F.arrays_zip(*[F.col(f"b.{a}").alias(a) for a in arrays])).alias("f"))
+    return rows.select(*keys, "order", "seasonal_order", "aic", "bic", "f.*")

@@ -7,7 +7,7 @@ from importlib import import_module
 
 from pyspark.sql import DataFrame, SparkSession
 
-MODULES = ("subscription", "cleaning", "periods")
+MODULES = ("subscription", "cleaning", "periods", "series", "forecasting")
 
 
 def _merged(name: str) -> dict:

@@ -46,7 +46,7 @@ def split_latest_quarter(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def densify_quarters(spark: SparkSession, sf: str) -> DataFrame:
-    """Quarters of rush orders per region, with a year left out."""
+    """Quarterly quantity per region, with a year left out so that gaps appear."""
     lines = sales(spark, sf, "inv_date", "region", "quantity").filter(F.year("inv_date") != 1997)
     return periodic.quarterly_totals(lines, "quantity", ("region",), "inv_date").select(
         "region", "sale_quarter", "quarter_total"
