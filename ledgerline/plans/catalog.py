@@ -7,7 +7,9 @@ from importlib import import_module
 
 from pyspark.sql import DataFrame, SparkSession
 
-MODULES = ("subscription", "cleaning", "periods", "series", "forecasting")
+MODULES = (
+    "subscription", "cleaning", "periods", "series", "forecasting", "quality", "loading", "incremental",
+)
 
 
 def _merged(name: str) -> dict:

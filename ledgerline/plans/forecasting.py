@@ -194,7 +194,7 @@ QUERIES = {
     "series_eligibility": lambda s, d: forecast.eligibility(monthly(s, d, "product"), ("product",), CUTOFF),
     "naive_baselines": lambda s, d: forecast.naive_baselines(
         quarters(s, d), ("region",), "sale_quarter", "quarter_total"
-    ).withColumn("rolling_mean", F.round("rolling_mean", 4)),
+    ).withColumn("rolling_mean", F.round("rolling_mean", 2)),
     "quarter_features": lambda s, d: rounded(
         forecast.quarter_features(quarters(s, d), ("region",), "sale_quarter", "quarter_total", CUTOFF),
         "mean_4", "stddev_4", digits=4,
@@ -304,7 +304,7 @@ ORACLES = {
     ),
     "naive_baselines": _sales(
         f""", {_QUARTERS} SELECT *, lag(quarter_total) {_BY_QUARTER} AS naive, lag(quarter_total, 4) {_BY_QUARTER} AS seasonal_naive,
-        round(avg(quarter_total) OVER {_BEFORE}, 4) AS rolling_mean FROM quarters"""
+        round(avg(quarter_total) OVER {_BEFORE}, 2) AS rolling_mean FROM quarters"""
     ),
     "quarter_features": _sales(
         f""", {_QUARTERS}, features AS (SELECT *, """
