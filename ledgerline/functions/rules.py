@@ -1,8 +1,9 @@
 """Product classification: ordered rule tables compiled to one ``when`` chain.
 
-Classification depends on the product name alone. Apply it to the product
-dimension before joining it to the sales lines, and each name is classified once
-instead of once per line.
+The rules test a normalised name some forty times. Put :func:`normalised` into a
+column of its own before applying them (``operators.clean.classify`` does), or it
+is evaluated once per test. Better still, classify the product dimension before
+joining it to the lines: then each name is classified once, not once per line.
 """
 
 from __future__ import annotations
@@ -17,26 +18,30 @@ from . import fixed_values as fixed
 from .text import holds, null_if_blank
 
 
+def normalised(product: Column) -> Column:
+    """Upper-case trimmed name, null when blank."""
+    return F.upper(null_if_blank(product))
+
+
 def matches(name: Column, rule: fixed.Rule) -> Column:
-    starts = [name.startswith(s) for s in rule.starts]
-    contains = [holds(name, c) for c in rule.contains]
+    """Rule test on a normalised name."""
+    starts = [name.startswith(s.upper()) for s in rule.starts]
+    contains = [holds(name, c.upper()) for c in rule.contains]
     if rule.both:
         return reduce(or_, starts) & reduce(or_, contains)
     return reduce(or_, starts + contains)
 
 
-def category(product: Column) -> Column:
-    """Top-level product category."""
-    name = F.upper(null_if_blank(product))
+def category(name: Column) -> Column:
+    """Top-level product category of a normalised name."""
     chain = F.when(name.isNull(), fixed.DEFAULT_CATEGORY)
     for rule in fixed.CATEGORY_RULES:
         chain = chain.when(matches(name, rule), rule.label)
     return chain.otherwise(fixed.DEFAULT_CATEGORY)
 
 
-def service_code(product: Column) -> Column:
-    """``mark-type-capacity-plan`` from the first tokens found in the name."""
-    name = F.upper(null_if_blank(product))
+def service_code(name: Column) -> Column:
+    """``mark-type-capacity-plan`` from the first tokens found in a normalised name."""
 
     def first(tokens: list[tuple[str, str]]) -> Column:
         chain = F
@@ -53,19 +58,19 @@ def service_code(product: Column) -> Column:
     )
 
 
-def subcategory(product: Column, category_column: Column) -> Column:
-    """Sub-category within a category; empty where no rule applies."""
-    name = F.lower(null_if_blank(product))
-    chain = F.when(name.isNull(), "").when(name.isin(*fixed.OTHER_NAMES), "Other")
+def subcategory(name: Column, category_column: Column) -> Column:
+    """Sub-category of a normalised name within a category; empty where no rule applies."""
+    others = [n.upper() for n in fixed.OTHER_NAMES]
+    chain = F.when(name.isNull(), "").when(name.isin(*others), "Other")
     for rule in fixed.SUBCATEGORY_RULES:
         found = matches(name, rule)
         if rule.category:
             found = (category_column == rule.category) & found
         chain = chain.when(found, rule.label)
     service = category_column.isin(*fixed.SERVICE_CATEGORIES) & F.contains(
-        F.upper(name), F.lit(fixed.SERVICE_MARK)
+        name, F.lit(fixed.SERVICE_MARK)
     )
-    return chain.when(service, service_code(product)).otherwise("")
+    return chain.when(service, service_code(name)).otherwise("")
 
 
 def drive_capacity(product: Column, category_column: Column) -> Column:

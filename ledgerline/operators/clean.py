@@ -19,6 +19,7 @@ from pyspark.sql import types as T
 from ..functions import fixed_values as fixed
 from ..functions import rules, text
 from ..functions.numbers import to_number
+from ..session import settle
 from . import enrich
 
 
@@ -96,10 +97,14 @@ def fill_mode(df: DataFrame, column: str, counts: DataFrame | None = None) -> Da
 def fill_group_mode(
     df: DataFrame, group: str, column: str, counts: DataFrame | None = None
 ) -> DataFrame:
-    """Fill nulls with the most frequent value within ``group``."""
+    """Fill nulls with the most frequent value within ``group``.
+
+    ``counts`` should be settled: with its true size known, Spark broadcasts the
+    modes when they are small and the lines are not shuffled by ``group``.
+    """
     if group not in df.columns or column not in df.columns:
         return df
-    counts = value_counts(df, group, column) if counts is None else counts
+    counts = settle(value_counts(df, group, column)) if counts is None else counts
     known = counts.filter(F.col(column).isNotNull() & F.col(group).isNotNull())
     totals = known.groupBy(group, column).agg(F.sum("n").alias("n"))
     modes = totals.groupBy(group).agg(_most_frequent(column).alias("_mode"))
@@ -132,8 +137,10 @@ def fill_defaults(df: DataFrame) -> DataFrame:
 def classify(
     df: DataFrame, product: str = "Product", type_column: str = "Type", sub: str = "sub_cat"
 ) -> DataFrame:
-    typed = df.withColumn(type_column, rules.category(F.col(product)))
-    return typed.withColumn(sub, rules.subcategory(F.col(product), F.col(type_column)))
+    """Category and sub-category. Each step is a projection of its own on purpose."""
+    named = df.withColumn("_name", rules.normalised(F.col(product)))
+    typed = named.withColumn(type_column, rules.category(F.col("_name")))
+    return typed.withColumn(sub, rules.subcategory(F.col("_name"), F.col(type_column))).drop("_name")
 
 
 def synthetic_order_key(df: DataFrame, keys: Sequence[str], order: str = "PI") -> DataFrame:
@@ -166,7 +173,7 @@ def clean_sales(
     df = normalise_missing(trim_headers(raw), strict=strict_nulls, skip=fixed.NUMERIC_COLUMNS)
     df = fill_quantity(require_values(drop_negative(coerce_numbers(df))))
     places = present(df, ("Currency", "Country", "Region"))
-    counts = value_counts(df, *places)
+    counts = settle(value_counts(df, *places))
     df = fill_mode(df, "Currency", counts)
     df = df.withColumn("Product", text.drop_leading_parenthesis(F.col("Product")))
     df = enrich.convert_currency(classify(df), rates=rates)

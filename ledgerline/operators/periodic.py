@@ -135,6 +135,12 @@ def require_split(train: DataFrame, test: DataFrame) -> None:
         raise ValueError("not enough quarters for a train and a test part")
 
 
+def label_holdout(df: DataFrame, date: str, start: str) -> DataFrame:
+    """Both parts in one table, told apart by ``part``."""
+    past = F.col(date) < F.lit(start).cast("date")
+    return df.withColumn("part", F.when(past, "history").otherwise("holdout"))
+
+
 def holdout_split(df: DataFrame, date: str, start: str) -> tuple[DataFrame, DataFrame]:
     """Rows before ``start`` and rows from it on."""
     cut = F.lit(start).cast("date")

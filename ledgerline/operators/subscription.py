@@ -14,6 +14,7 @@ from ..functions import fixed_values as fixed
 from ..functions import text
 from ..functions.numbers import ratio
 from ..functions.periods import month_end, month_number
+from ..session import settle
 
 MONEY = "decimal(30,7)"
 
@@ -22,18 +23,15 @@ def double(c: str | Column) -> Column:
     return (F.col(c) if isinstance(c, str) else c).cast("double")
 
 
-def subscription_lines(lines: DataFrame, prefix: str = fixed.SUBSCRIPTION_PREFIX) -> DataFrame:
-    """Lines of the subscription cohort with month, family and code parts."""
-    kept = lines.filter(F.col("inv_date").isNotNull()).filter(
-        text.is_subscription(F.col("product"), F.col("code"), prefix)
-    )
-    filled = {
-        c: F.coalesce(F.col(c), F.lit("")) for c in ("customer", "region", "country") if c in lines.columns
-    }
+def subscription_products(df: DataFrame, prefix: str = fixed.SUBSCRIPTION_PREFIX) -> DataFrame:
+    """Rows of the subscription cohort with family and code parts.
+
+    Needs ``product`` and ``code`` only: applied to the product dimension, it
+    classifies each product once and the join with the lines does the filtering.
+    """
+    kept = df.filter(text.is_subscription(F.col("product"), F.col("code"), prefix))
     return kept.withColumns(
         {
-            **filled,
-            "month": month_end(F.col("inv_date")),
             "family": text.service_family(F.col("product")),
             "service_family": text.code_part(F.col("code"), 2),
             "capacity_band": text.code_part(F.col("code"), 3),
@@ -42,6 +40,17 @@ def subscription_lines(lines: DataFrame, prefix: str = fixed.SUBSCRIPTION_PREFIX
     )
 
 
+def subscription_lines(lines: DataFrame, prefix: str = fixed.SUBSCRIPTION_PREFIX) -> DataFrame:
+    """Dated lines of the subscription cohort by month, classified unless they already are."""
+    kept = lines.filter(F.col("inv_date").isNotNull())
+    if "family" not in lines.columns:
+        kept = subscription_products(kept, prefix)
+    filled = {
+        c: F.coalesce(F.col(c), F.lit("")) for c in ("customer", "region", "country") if c in lines.columns
+    }
+    return kept.withColumns({**filled, "month": month_end(F.col("inv_date"))})
+
+
 # --- customer tiers -------------------------------------------------------------
 
 
@@ -96,10 +105,13 @@ def with_tier(lines: DataFrame) -> DataFrame:
     """Lines with their customer's tier.
 
     Everyone outside the top ranks is in the long tail, so the lookup holds the
-    few leading customers only. Spark broadcasts it after measuring it.
+    few leading customers only. It is settled: Spark knows its size and
+    broadcasts it, unless equal revenues make it large. Either way the lines,
+    skewed towards just these customers, are not grouped by customer.
     """
     leaders = customer_tiers(lines).filter(F.col("customer_tier") != fixed.TIER_3)
-    joined = lines.join(leaders.select("customer", "customer_tier"), "customer", "left")
+    lookup = settle(leaders.select("customer", "customer_tier"))
+    joined = lines.join(lookup, "customer", "left")
     return joined.withColumn("customer_tier", F.coalesce("customer_tier", F.lit(fixed.TIER_3)))
 
 
@@ -268,7 +280,7 @@ def revenue_churn(paid: DataFrame) -> DataFrame:
         double("expansion").alias("expansion_revenue"),
         double("lost").alias("contraction_revenue"),
         double("lost").alias("churned_revenue"),
-        double(F.col("now") - F.col("was")).alias("net_change"),
+        double(F.col("now").cast(MONEY) - F.col("was").cast(MONEY)).alias("net_change"),
     )
 
 

@@ -146,9 +146,7 @@ def fx_convert(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def drive_capacity(spark: SparkSession, sf: str) -> DataFrame:
-    typed = products(spark, sf).select(
-        "part_id", F.col("product").alias("Product"), rules.category(F.col("product")).alias("Type")
-    )
+    typed = clean.classify(products(spark, sf).withColumnRenamed("product", "Product")).drop("sub_cat")
     typed = sales(spark, sf, *KEYS, "quantity").join(typed, "part_id")
     sized = enrich.attach_capacity(typed, quantity="quantity")
     return sized.select(*KEYS, "Product", "Capacity", "Unit", F.col("total_cap").cast("double").alias("total_cap"))
@@ -209,9 +207,12 @@ QUERIES = {
     "strip_prefix": lambda s, d: products(s, d).withColumn(
         "product", text.drop_leading_parenthesis(F.col("product"))
     ),
-    "classify_category": lambda s, d: products(s, d).withColumn("category", rules.category(F.col("product"))),
+    "classify_category": lambda s, d: clean.classify(products(s, d), "product", "category", "_sub").drop("_sub"),
     "classify_subcategory": classify_subcategory,
-    "service_code": lambda s, d: products(s, d).withColumn("code", rules.service_code(F.col("product"))),
+    "service_code": lambda s, d: products(s, d)
+    .withColumn("_name", rules.normalised(F.col("product")))
+    .withColumn("code", rules.service_code(F.col("_name")))
+    .drop("_name"),
     "drive_capacity": drive_capacity,
     "service_family": lambda s, d: products(s, d).withColumn("family", text.service_family(F.col("product"))),
     "parse_code": lambda s, d: sales(s, d, *KEYS, "code").select(

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import fixed_values as fixed
 from ..operators import arima, forecast, periodic, subscription
 from ..operators.subscription import double
+from ..session import settle
 from ..sources import writers
 from .periods import CUTOFF, _sales, history, money, monthly_actuals
 from .series import rounded
@@ -26,6 +27,11 @@ def monthly(spark: SparkSession, sf: str, *keys: str) -> DataFrame:
     return periodic.monthly_history(rows, keys)
 
 
+def months(spark: SparkSession, sf: str, *keys: str) -> DataFrame:
+    """The same, written once: for keys of few values and queries that use it twice."""
+    return settle(monthly(spark, sf, *keys))
+
+
 def baseline(spark: SparkSession, sf: str, *keys: str) -> DataFrame:
     return forecast.baseline_forecast(monthly(spark, sf, *keys), keys, CUTOFF, HORIZON)
 
@@ -38,26 +44,32 @@ def baseline_forecast(spark: SparkSession, sf: str) -> DataFrame:
 
 def pairs(spark: SparkSession, sf: str, *keys: str) -> DataFrame:
     """Forecast and actual revenue of the holdout months."""
-    predicted = baseline(spark, sf, *keys).withColumnRenamed("forecast_date", "sale_month")
-    actual = money(monthly(spark, sf, *keys), "revenue", "quantity")
+    known = months(spark, sf, *keys)
+    predicted = forecast.baseline_forecast(known, keys, CUTOFF, HORIZON).withColumnRenamed("forecast_date", "sale_month")
+    actual = money(known, "revenue", "quantity")
     return predicted.join(actual, [*keys, "sale_month"]).select(
         *keys, "sale_month", F.col("revenue").alias("actual"), F.col("forecast_revenue").alias("predicted"),
         F.col("quantity").alias("actual_quantity"), F.col("forecast_quantity").alias("predicted_quantity"),
     )
 
 
-def forecast_vs_actual(spark: SparkSession, sf: str) -> DataFrame:
-    predicted = baseline(spark, sf, "product").withColumnRenamed("product", "sku")
-    lines = sales(spark, sf, "inv_date", "product", "type", "quantity", "usd_total").withColumnRenamed("product", "sku")
-    actuals = money(
-        periodic.monthly_actuals(lines, {"product_type": "type"}), "actual_quantity", "actual_revenue"
-    )
+def with_actuals(spark: SparkSession, sf: str, attributes: dict[str, str]) -> DataFrame:
+    """Baseline per product next to the actuals it was made from: one pass over the lines."""
+    lines = sales(spark, sf, "inv_date", "product", "type", "quantity", "usd_total")
+    known = settle(periodic.monthly_actuals(lines.withColumn("sku", F.col("product")), attributes))
+    renamed = known.withColumnsRenamed({"actual_quantity": "quantity", "actual_revenue": "revenue"})
+    predicted = forecast.baseline_forecast(renamed, ("sku",), CUTOFF, HORIZON)
+    actuals = money(known, "actual_quantity", "actual_revenue")
     return forecast.add_actuals(predicted, actuals, {"forecast_date": "sale_month", "sku": "sku"})
 
 
+def forecast_vs_actual(spark: SparkSession, sf: str) -> DataFrame:
+    return with_actuals(spark, sf, {"product_type": "type"})
+
+
 def actual_forecast_combined(spark: SparkSession, sf: str) -> DataFrame:
     """Actuals up to the cutoff month, forecasts after it, on one axis."""
-    known = monthly(spark, sf, "type")
+    known = months(spark, sf, "type")
     actual = money(known, "quantity", "revenue").withColumnsRenamed(
         {"quantity": "actual_quantity", "revenue": "actual_revenue"}
     )
@@ -66,12 +78,18 @@ def actual_forecast_combined(spark: SparkSession, sf: str) -> DataFrame:
 
 def forecast_revenue(spark: SparkSession, sf: str) -> DataFrame:
     """Forecast volume times mean price, with the actual revenue of the month."""
-    volume = baseline(spark, sf, "product").select("product", "forecast_date", "forecast_quantity")
-    rows = sales(spark, sf, "product", "usd_price")
-    price = rows.groupBy("product").agg(
-        (F.sum("usd_price").cast("double") / F.count("usd_price")).alias("avg_price")
+    rows = sales(spark, sf, "inv_date", "product", "quantity", "usd_total", "usd_price")
+    known = settle(
+        rows.groupBy("product", F.last_day("inv_date").alias("sale_month")).agg(
+            F.sum("quantity").alias("quantity"), F.sum("usd_total").alias("revenue"),
+            F.sum("usd_price").alias("prices"), F.count("usd_price").alias("priced"),
+        )
     )
-    actual = monthly(spark, sf, "product").select(
+    volume = forecast.baseline_forecast(known, ("product",), CUTOFF, HORIZON).drop("forecast_revenue")
+    price = known.groupBy("product").agg(
+        (F.sum("prices").cast("double") / F.sum("priced")).alias("avg_price")
+    )
+    actual = known.select(
         "product", F.col("sale_month").alias("forecast_date"), double("revenue").alias("actual_revenue")
     )
     joined = volume.join(price, "product", "left").join(actual, ["product", "forecast_date"], "left")
@@ -116,7 +134,7 @@ def rolling_rmse(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def backtest(spark: SparkSession, sf: str) -> DataFrame:
-    out = forecast.backtest(monthly(spark, sf, "type"), ("type",), CUTOFFS, HORIZON, 3)
+    out = forecast.backtest(months(spark, sf, "type"), ("type",), CUTOFFS, HORIZON, 3)
     return money(out, "revenue")
 
 
@@ -158,14 +176,8 @@ def train_series(spark: SparkSession, sf: str, *keys: str) -> DataFrame:
 
 def mart_rows(spark: SparkSession, sf: str) -> DataFrame:
     """The latest baseline run in the shape of the forecast mart."""
-    predicted = baseline(spark, sf, "product").withColumnRenamed("product", "sku")
     attributes = {"product_name": "product", "product_type": "type", "product_subcategory": "type"}
-    lines = sales(spark, sf, "inv_date", "product", "type", "quantity", "usd_total")
-    actuals = money(
-        periodic.monthly_actuals(lines.withColumn("sku", F.col("product")), attributes),
-        "actual_quantity", "actual_revenue",
-    )
-    joined = forecast.add_actuals(predicted, actuals, {"forecast_date": "sale_month", "sku": "sku"})
+    joined = with_actuals(spark, sf, attributes)
     return writers.conform(
         joined.withColumn("sale_month", F.col("forecast_date")),
         fixed.FORECAST_MART,

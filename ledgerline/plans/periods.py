@@ -69,9 +69,8 @@ def monthly_series(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def holdout_split(spark: SparkSession, sf: str) -> DataFrame:
-    before, after = periodic.holdout_split(periodic.monthly_history(history(spark, sf), ("channel",)), "sale_month", CUTOFF)
-    both = before.withColumn("part", F.lit("history")).unionByName(after.withColumn("part", F.lit("holdout")))
-    return money(both, "quantity", "revenue")
+    monthly = periodic.monthly_history(history(spark, sf), ("channel",))
+    return money(periodic.label_holdout(monthly, "sale_month", CUTOFF), "quantity", "revenue")
 
 
 def sales_history(spark: SparkSession, sf: str) -> DataFrame:

@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 from ..functions import fixed_values as fixed
 from ..functions import text
 from ..operators import dashboards as dash
+from ..operators import series
 from ..operators import subscription as sub
-from .views import FOCUS, PREFIX, SALES_SQL, sales, subscription_columns
+from .views import FOCUS, PREFIX, SALES_SQL, parts, sales
 
 FIRST, LAST, MONTH = "1997-01-01", "1998-12-31", "1998-10-31"
 REGION, FAMILY = "ASIA", "PROMO"
@@ -17,7 +18,12 @@ FAMILIES = [label for label, _ in fixed.FAMILY_RULES] + [fixed.DEFAULT_FAMILY]
 
 
 def subs(spark: SparkSession, sf: str, *extra: str) -> DataFrame:
-    return sub.subscription_lines(subscription_columns(spark, sf, *extra), PREFIX)
+    """Subscription lines, classified on the product dimension."""
+    products = sub.subscription_products(parts(spark, sf), PREFIX)
+    derived = ("family", "service_family", "plan_variant")
+    return sub.subscription_lines(
+        sales(spark, sf, "inv_date", "usd_total", *derived, *extra, products=products)
+    )
 
 
 def card(spark: SparkSession, sf: str) -> DataFrame:
@@ -48,11 +54,8 @@ def cumulative_revenue(spark: SparkSession, sf: str) -> DataFrame:
     monthly = (
         subs(spark, sf).groupBy("family", "month").agg(F.sum("usd_total").alias("revenue"))
     )
-    order = Window.partitionBy("family").orderBy("month")
-    running = F.sum("revenue").over(order.rowsBetween(Window.unboundedPreceding, 0))
-    return monthly.select(
-        "family", "month", sub.double("revenue").alias("revenue"), sub.double(running).alias("cumulative_revenue")
-    )
+    total = series.running_total(monthly, ("family",), "month", "revenue", "cumulative_revenue")
+    return total.withColumns({c: sub.double(c) for c in ("revenue", "cumulative_revenue")})
 
 
 def growth_matrix(spark: SparkSession, sf: str) -> DataFrame:

@@ -28,7 +28,7 @@ CUSTOMER = ("customer", "segment")
 NATION = ("country",)
 REGION = ("region", "currency")
 USD = ("usd_total", "usd_price")
-PART = ("product", "type", "code", "size")
+PART = ("product", "type", "code", "size", "family", "service_family", "capacity_band", "plan_variant")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -96,8 +96,13 @@ def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def sales(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
-    """Sales lines with exactly ``columns``, joining only the tables they need."""
+def sales(
+    spark: SparkSession, sf_dir: str, *columns: str, products: DataFrame | None = None
+) -> DataFrame:
+    """Sales lines with exactly ``columns``, joining only the tables they need.
+
+    ``products`` replaces the product dimension, for example by a filtered one.
+    """
     wanted = set(columns)
     if not wanted.isdisjoint(USD):
         wanted |= {"currency", "total", "price"}
@@ -115,18 +120,13 @@ def sales(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
         # Lines and orders both grow with the data: never broadcast either of them.
         df = df.hint("merge").join(orders, "order_id")
     if not wanted.isdisjoint(PART):
-        df = df.join(parts(spark, sf_dir), "part_id")
+        df = df.join(parts(spark, sf_dir) if products is None else products, "part_id")
     if not wanted.isdisjoint(USD):
         rate = exchange_rate(F.col("currency"))
         df = df.withColumns({"usd_total": F.col("total") * rate, "usd_price": F.col("price") * rate})
     return df.select(*columns)
 
 
-def subscription_columns(spark: SparkSession, sf_dir: str, *extra: str) -> DataFrame:
-    """Lines as the subscription operators expect them, narrowed to what is used."""
-    return sales(spark, sf_dir, "inv_date", "product", "code", "usd_total", *extra)
-
-
 def dates_between(df: DataFrame, column: str, first: str, last: str) -> DataFrame:
     return df.filter(F.col(column).between(F.lit(first).cast("date"), F.lit(last).cast("date")))
 

@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 
 from ..functions import fixed_values as fixed
 from ..functions.numbers import clip_negative
+from ..session import settle
 
 FORMATS = ("csv", "parquet")
 
@@ -127,8 +128,10 @@ def replace_keys(existing: DataFrame, incoming: DataFrame, keys: Sequence[str])
     """Existing rows without the incoming key groups, then the incoming rows.
 
     The key groups are run metadata: a handful of values, whatever the row count.
+    They are settled, so that Spark broadcasts them and the existing rows are not
+    shuffled by a key that has few values.
     """
-    arriving = incoming.select(*keys).distinct()
+    arriving = settle(incoming.select(*keys).distinct())
     return existing.join(arriving, list(keys), "left_anti").unionByName(
         incoming, allowMissingColumns=True
     )
