@@ -8,7 +8,6 @@ Gauss-Newton steps refine it.
 
 from __future__ import annotations
 
-from functools import partial
 from itertools import product
 from typing import Sequence
 
@@ -122,13 +121,11 @@ def predict(y: np.ndarray, model: dict, season: int, horizon: int) -> tuple[np.n
         for _ in range(times):
             full = np.convolve(full, step)
     path, e = y.astype(float).tolist(), model["residuals"].tolist()
-    known = len(e)
     for _ in range(horizon):
         value = -sum(c * path[-k] for k, c in enumerate(full) if k and k <= len(path))
         value += sum(c * e[-k] for k, c in enumerate(ma) if k and k <= len(e))
         path.append(value)
         e.append(0.0)
-    assert len(e) == known + horizon
     psi = np.zeros(horizon)
     for t in range(horizon):
         psi[t] = (ma[t] if t < len(ma) else 0.0) - sum(
@@ -187,7 +184,10 @@ def arima_forecast(
     narrow = train.select(
         *keys, "sale_month", *[F.col(c).cast("double").alias(c) for c in ("quantity", "revenue")]
     )
-    work = partial(forecast_group, keys=tuple(keys), horizon=horizon, season=season)
+
+    def work(pdf: pd.DataFrame) -> pd.DataFrame:
+        return forecast_group(pdf, keys, horizon, season)
+
     return narrow.groupBy(*keys).applyInPandas(work, schema)
 
 
@@ -236,7 +236,10 @@ def order_search(
         *keys, "sale_month", F.col("quantity").cast("double").alias("quantity"),
         F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"),
     )
-    work = partial(search_group, keys=tuple(keys), blocks=blocks, horizon=horizon, season=season)
+
+    def work(pdf: pd.DataFrame) -> pd.DataFrame:
+        return search_group(pdf, keys, blocks, horizon, season)
+
     found = dealt.groupBy(*keys, "block").applyInPandas(work, schema)
     rest = [c for c in found.columns if c not in keys]
     best = found.groupBy(*keys).agg(F.min_by(F.struct(*rest), F.struct("aic", "order", "seasonal_order")).alias("b"))
