@@ -1,6 +1,6 @@
-"""Product classification: ordered rule tables compiled to one ``when`` chain.
+"""Product classification: ordered rule tables compiled to one ``CASE`` expression.
 
-The rules test a normalised name some forty times. Put :func:`normalised` into a
+The rules test a normalised name many times. Put :func:`normalised` into a
 column of its own before applying them (``operators.clean.classify`` does), or it
 is evaluated once per test. Better still, classify the product dimension before
 joining it to the lines: then each name is classified once, not once per line.
@@ -8,14 +8,13 @@ joining it to the lines: then each name is classified once, not once per line.
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import or_
+import re
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from . import fixed_values as fixed
-from .text import holds, null_if_blank
+from .text import null_if_blank
 
 
 def normalised(product: Column) -> Column:
@@ -23,54 +22,69 @@ def normalised(product: Column) -> Column:
     return F.upper(null_if_blank(product))
 
 
-def matches(name: Column, rule: fixed.Rule) -> Column:
-    """Rule test on a normalised name."""
-    starts = [name.startswith(s.upper()) for s in rule.starts]
-    contains = [holds(name, c.upper()) for c in rule.contains]
+def _any(words: tuple[str, ...]) -> str:
+    return "|".join(re.escape(w.upper()) for w in words)
+
+
+def matches(name: str, rule: fixed.Rule) -> str:
+    """SQL test of a rule on the column ``name``: one pattern for all its words.
+
+    Patterns keep the generated code small. A test per word would make one Java
+    method of thousands of branches, which the virtual machine does not compile.
+    """
+    starts = f"^(?:{_any(rule.starts)})" if rule.starts else None
+    joint = [c for c in rule.contains if "&" in c]
+    loose = _any(tuple(c for c in rule.contains if "&" not in c))
+    patterns = [p for p in (starts, loose) if p]
     if rule.both:
-        return reduce(or_, starts) & reduce(or_, contains)
-    return reduce(or_, starts + contains)
+        return " AND ".join(f"{name} RLIKE r'{p}'" for p in patterns)
+    tests = [f"{name} RLIKE r'{'|'.join(patterns)}'"] if patterns else []
+    for words in joint:
+        tests.append(" AND ".join(f"contains({name}, '{w.upper()}')" for w in words.split("&")))
+    return "(" + " OR ".join(tests) + ")"
+
+
+def _case(branches: list[tuple[str, str]], default: str) -> str:
+    return "CASE " + " ".join(f"WHEN {t} THEN {v}" for t, v in branches) + f" ELSE {default} END"
 
 
-def category(name: Column) -> Column:
-    """Top-level product category of a normalised name."""
-    chain = F.when(name.isNull(), fixed.DEFAULT_CATEGORY)
-    for rule in fixed.CATEGORY_RULES:
-        chain = chain.when(matches(name, rule), rule.label)
-    return chain.otherwise(fixed.DEFAULT_CATEGORY)
+def category(name: str) -> Column:
+    """Top-level category of the normalised names in column ``name``."""
+    rules = [(matches(name, r), f"'{r.label}'") for r in fixed.CATEGORY_RULES]
+    return F.expr(_case([(f"{name} IS NULL", f"'{fixed.DEFAULT_CATEGORY}'"), *rules], f"'{fixed.DEFAULT_CATEGORY}'"))
 
 
-def service_code(name: Column) -> Column:
+def _service_code(name: str) -> str:
+    def first(tokens: list[tuple[str, str]]) -> str:
+        return _case([(f"contains({name}, '{t}')", f"'{v}'") for t, v in tokens], f"'{fixed.UNKNOWN_PART}'")
+
+    kinds, sizes = ([(t, t) for t in w] for w in (fixed.SERVICE_TYPES, fixed.SERVICE_CAPACITIES))
+    parts = [f"'{fixed.SERVICE_MARK}'", first(kinds), first(sizes), first(list(fixed.SERVICE_PLANS))]
+    return f"concat_ws('-', {', '.join(parts)})"
+
+
+def service_code(name: str) -> Column:
     """``mark-type-capacity-plan`` from the first tokens found in a normalised name."""
+    return F.expr(_service_code(name))
 
-    def first(tokens: list[tuple[str, str]]) -> Column:
-        chain = F
-        for token, label in tokens:
-            chain = chain.when(F.contains(name, F.lit(token)), label)
-        return chain.otherwise(fixed.UNKNOWN_PART)
-
-    return F.concat_ws(
-        "-",
-        F.lit(fixed.SERVICE_MARK),
-        first([(t, t) for t in fixed.SERVICE_TYPES]),
-        first([(t, t) for t in fixed.SERVICE_CAPACITIES]),
-        first(list(fixed.SERVICE_PLANS)),
-    )
-
-
-def subcategory(name: Column, category_column: Column) -> Column:
-    """Sub-category of a normalised name within a category; empty where no rule applies."""
-    others = [n.upper() for n in fixed.OTHER_NAMES]
-    chain = F.when(name.isNull(), "").when(name.isin(*others), "Other")
+
+def subcategory(name: str, category_column: str) -> Column:
+    """Sub-category of a normalised name within a category; empty where no rule applies.
+
+    The rules of a category form a chain of their own, so a row meets only those.
+    """
+    others = ", ".join(f"'{n.upper()}'" for n in fixed.OTHER_NAMES)
+    anywhere = [(matches(name, r), f"'{r.label}'") for r in fixed.SUBCATEGORY_RULES if r.category is None]
+    services = ", ".join(f"'{c}'" for c in fixed.SERVICE_CATEGORIES)
+    marked = f"{category_column} IN ({services}) AND contains({name}, '{fixed.SERVICE_MARK}')"
+    rest = _case([*anywhere, (marked, _service_code(name))], "''")
+    chains = {}
     for rule in fixed.SUBCATEGORY_RULES:
-        found = matches(name, rule)
         if rule.category:
-            found = (category_column == rule.category) & found
-        chain = chain.when(found, rule.label)
-    service = category_column.isin(*fixed.SERVICE_CATEGORIES) & F.contains(
-        name, F.lit(fixed.SERVICE_MARK)
-    )
-    return chain.when(service, service_code(name)).otherwise("")
+            chains.setdefault(rule.category, []).append((matches(name, rule), f"'{rule.label}'"))
+    branches = [(f"{name} IS NULL", "''"), (f"{name} IN ({others})", "'Other'")]
+    branches += [(f"{category_column} = '{c}'", _case(chain, "NULL")) for c, chain in chains.items()]
+    return F.expr(f"coalesce({_case(branches, 'NULL')}, {rest})")
 
 
 def drive_capacity(product: Column, category_column: Column) -> Column:

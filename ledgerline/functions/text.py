@@ -28,10 +28,9 @@ def null_tokens_to_null(c: Column, strict: bool = False) -> Column:
     By default a cell that merely *contains* a token is nulled too; ``strict``
     nulls only cells that are nothing but the token.
     """
-    if strict:
-        return F.when(strip(c).isin("", *fixed.NULL_TOKENS), None).otherwise(c)
-    tokens = reduce(or_, [F.contains(c, F.lit(t)) for t in fixed.NULL_TOKENS])
-    return F.when((strip(c) == "") | tokens, None).otherwise(c)
+    tokens = "|".join(fixed.NULL_TOKENS)
+    pattern = rf"^\s*({tokens})?\s*$" if strict else rf"^\s*$|{tokens}"
+    return F.when(c.rlike(pattern), None).otherwise(c)
 
 
 def sheet_token(c: Column) -> Column:

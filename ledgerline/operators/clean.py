@@ -23,6 +23,9 @@ from ..session import settle
 from . import enrich
 
 
+NAME_LIMIT = 200_000
+
+
 def present(df: DataFrame, columns: Sequence[str]) -> list[str]:
     return [c for c in columns if c in df.columns]
 
@@ -139,8 +142,23 @@ def classify(
 ) -> DataFrame:
     """Category and sub-category. Each step is a projection of its own on purpose."""
     named = df.withColumn("_name", rules.normalised(F.col(product)))
-    typed = named.withColumn(type_column, rules.category(F.col("_name")))
-    return typed.withColumn(sub, rules.subcategory(F.col("_name"), F.col(type_column))).drop("_name")
+    typed = named.withColumn(type_column, rules.category("_name"))
+    return typed.withColumn(sub, rules.subcategory("_name", f"`{type_column}`")).drop("_name")
+
+
+def classify_lines(df: DataFrame, names: DataFrame, product: str = "Product") -> DataFrame:
+    """Category, sub-category and capacity of every line, worked out once per name.
+
+    ``names`` holds at least the product names of ``df``. Up to ``NAME_LIMIT`` of
+    them are classified, settled and joined, which Spark does by broadcast below
+    its size threshold. Beyond that each line is classified where it is, because a
+    join would shuffle all lines by product.
+    """
+    classified = enrich.drive_capacity(classify(names.select(product).distinct(), product), product)
+    lookup = settle(classified)
+    if lookup.count() > NAME_LIMIT:
+        return enrich.drive_capacity(classify(df, product), product)
+    return df.join(lookup, product, "left")
 
 
 def synthetic_order_key(df: DataFrame, keys: Sequence[str], order: str = "PI") -> DataFrame:
@@ -167,16 +185,18 @@ def clean_sales(
 ) -> DataFrame:
     """The complete cleaning sequence, from raw text columns to typed sales lines.
 
-    The lines are read twice: once to count currency, country and region, which
-    feeds all three mode fills, and once to clean them.
+    The lines are read twice. The first pass counts the combinations of product,
+    currency, country and region; the three mode fills and the classification of
+    products work on those counts. The second pass cleans the lines.
     """
     df = normalise_missing(trim_headers(raw), strict=strict_nulls, skip=fixed.NUMERIC_COLUMNS)
     df = fill_quantity(require_values(drop_negative(coerce_numbers(df))))
+    df = df.withColumn("Product", text.drop_leading_parenthesis(F.col("Product")))
     places = present(df, ("Currency", "Country", "Region"))
-    counts = settle(value_counts(df, *places))
+    profile = settle(value_counts(df, "Product", *places))
+    counts = settle(profile.groupBy(*places).agg(F.sum("n").alias("n")))
     df = fill_mode(df, "Currency", counts)
-    df = df.withColumn("Product", text.drop_leading_parenthesis(F.col("Product")))
-    df = enrich.convert_currency(classify(df), rates=rates)
+    df = enrich.convert_currency(classify_lines(df, profile), rates=rates)
     df = drop_low_value(fill_defaults(parse_dates(df)))
     df = df.withColumn("Year", F.year("InvDate"))
     if country_regions is not None:
@@ -184,5 +204,5 @@ def clean_sales(
         counts = enrich.map_region(counts, country_regions)
     df = fill_group_mode(df, "Country", "Region", counts)
     df = fill_mode(df, "Region", fill_group_mode(counts, "Country", "Region", counts))
-    df = enrich.attach_capacity(df)
+    df = enrich.total_capacity(df)
     return enrich.attach_bays(df, device_bays) if device_bays is not None else df

@@ -59,13 +59,15 @@ def attach_bays(
     return df.join(pairs, product, "left").withColumn("total_bays", F.col("Bays") * F.col(quantity))
 
 
-def attach_capacity(
-    df: DataFrame, product: str = "Product", category: str = "Type", quantity: str = "Quantity"
-) -> DataFrame:
-    """Capacity, unit and total capacity. A pure function of the name: no join."""
-    sized = df.withColumn("Capacity", rules.drive_capacity(F.col(product), F.col(category)))
+def drive_capacity(df: DataFrame, product: str = "Product", category: str = "Type") -> DataFrame:
+    """Capacity of the drives among the products."""
+    return df.withColumn("Capacity", rules.drive_capacity(F.col(product), F.col(category)))
+
+
+def total_capacity(df: DataFrame, category: str = "Type", quantity: str = "Quantity") -> DataFrame:
+    """Unit and total capacity of lines whose capacity is known."""
     units = F.when(F.col(category) == fixed.CAPACITY_CATEGORY, F.coalesce(quantity, F.lit(0)))
-    return sized.withColumns(
+    return df.withColumns(
         {
             "Unit": F.when(F.col("Capacity").isNotNull(), fixed.CAPACITY_UNIT),
             "total_cap": F.coalesce(units, F.lit(0)) * F.coalesce("Capacity", F.lit(0)),

@@ -147,8 +147,8 @@ def fx_convert(spark: SparkSession, sf: str) -> DataFrame:
 
 def drive_capacity(spark: SparkSession, sf: str) -> DataFrame:
     typed = clean.classify(products(spark, sf).withColumnRenamed("product", "Product")).drop("sub_cat")
-    typed = sales(spark, sf, *KEYS, "quantity").join(typed, "part_id")
-    sized = enrich.attach_capacity(typed, quantity="quantity")
+    lines = sales(spark, sf, *KEYS, "quantity").join(enrich.drive_capacity(typed), "part_id")
+    sized = enrich.total_capacity(lines, quantity="quantity")
     return sized.select(*KEYS, "Product", "Capacity", "Unit", F.col("total_cap").cast("double").alias("total_cap"))
 
 
@@ -211,7 +211,7 @@ QUERIES = {
     "classify_subcategory": classify_subcategory,
     "service_code": lambda s, d: products(s, d)
     .withColumn("_name", rules.normalised(F.col("product")))
-    .withColumn("code", rules.service_code(F.col("_name")))
+    .withColumn("code", rules.service_code("_name"))
     .drop("_name"),
     "drive_capacity": drive_capacity,
     "service_family": lambda s, d: products(s, d).withColumn("family", text.service_family(F.col("product"))),
