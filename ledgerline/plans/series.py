@@ -28,7 +28,8 @@ def rolling_mean(spark: SparkSession, sf: str) -> DataFrame:
 def qty_ma3(spark: SparkSession, sf: str) -> DataFrame:
     """Row-level moving average per channel: few and very long series."""
     rows = sales(spark, sf, *KEYS, "inv_date", "region", "quantity")
-    averaged = series.moving_average(rows, ("region",), "inv_date", KEYS, "quantity", 3, "qty_ma3")
+    order = (*KEYS, "quantity")  # the measure last: full ties then give the same means
+    averaged = series.moving_average(rows, ("region",), "inv_date", order, "quantity", 3, "qty_ma3")
     return money(averaged, "quantity")
 
 
@@ -97,7 +98,7 @@ ORACLES = {
     "qty_ma3": _sales(
         f"""SELECT {_ORDER}, inv_date, region, CAST(quantity AS DOUBLE) AS quantity,
         CAST(sum(quantity) OVER w AS DOUBLE) / count(*) OVER w AS qty_ma3 FROM sales
-        WINDOW w AS (PARTITION BY region ORDER BY inv_date, {_ORDER} ROWS BETWEEN 2 PRECEDING AND CURRENT ROW)"""
+        WINDOW w AS (PARTITION BY region ORDER BY inv_date, {_ORDER}, quantity ROWS BETWEEN 2 PRECEDING AND CURRENT ROW)"""
     ),
     "tail_mean": _sales(
         """SELECT channel, type, max(sale_month) AS last_period, CAST(sum(quantity) AS DOUBLE) / count(*) AS quantity_mean,
