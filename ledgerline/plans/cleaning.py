@@ -13,19 +13,34 @@ from .views import SALES_SQL, geography, sales, table
 
 KEYS = ("order_id", "part_id", "line_no", "supplier_id")
 
+def _rule_names() -> list[tuple[str, str]]:
+    """A start and an end of a name for every classification rule."""
+    rules_in_order = (*fixed.CATEGORY_RULES, *fixed.SUBCATEGORY_RULES)
+    pairs = [("".join(r.starts[:1]), "".join(r.contains[:1]).replace("&", " ")) for r in rules_in_order]
+    return [p for p in pairs if any(p)]
+
+
+def _service_names() -> list[tuple[str, str]]:
+    plans = [token for token, _ in fixed.SERVICE_PLANS]
+    sizes = [*fixed.SERVICE_CAPACITIES, ""]
+    return [
+        (f"{fixed.SERVICE_MARK} {kind} {size} {plan} ", "")
+        for kind, size, plan in zip(fixed.SERVICE_TYPES, sizes, plans)
+    ]
+
+
 # Name patterns for the raw product column; the size goes between the halves.
 RAW_NAMES = (
-    ("HAT53", "-8T"), ("HAT", "-4T"), ("HAS", "-16T (bulk)"), ("SNV3", "-800G"), ("SAT5", "-480G"),
-    ("DS9", "+"), ("DS", "xs"), ("DS", ""), ("DS9 ", " bundle"), ("(promo) DS", "+"), ("DX12", ""),
-    ("DX5", ""), ("DX", ""), ("SA6400-", ""), ("SA", ""), ("HD6500-", ""), ("UC", ""), ("RS", "xs+"),
-    ("RS", "rpxs"), ("RS", ""), ("RX60", ""), ("RXD", ""), ("RX4", "sas"), ("RX12", "rp"), ("RX", ""),
-    ("FS6400-", ""), ("FS3", "6"), ("FS2", ""), ("FX", ""), ("NVR", ""), ("DVA", ""), ("VS", ""),
-    ("BC5", ""), ("Device License x", ""), ("Surveillance Basic ", ""), ("surveillance_pro_", ""),
-    ("RT66", ""), ("MR2200-", ""), ("BDS", ""), ("MailPlus ", ""), ("VMM ", ""), ("D4ES-", "G"),
-    ("E10G", "-T1"), ("Adapter ", "W_1"), ("EW2", ""), ("Extended Warranty ", ""), ("rks-0", ""),
-    ("C2 Backup Business 1T ", ""), ("C2 Object Basic 500G ", ""), ("C2 Storage Adv 2T ", ""),
-    ("c2 identity enterprise ", ""), ("C2 Transfer Professional 100G ", ""), ("Active Insight ", ""),
-    ("Panel ", ""), ("NULLABLE ", ""), ("   ", "   "),
+    *_rule_names(),
+    *_service_names(),
+    (fixed.DRIVE[0], "-8T"),
+    (fixed.DRIVE[1], "-16T (bulk)"),
+    (fixed.DRIVE[2], "-800G"),
+    (f"(promo) {fixed.SERVER[0]}", "+"),
+    (fixed.OTHER_NAMES[2][:-1], ""),
+    ("Panel ", ""),
+    ("NULLABLE ", ""),
+    ("   ", "   "),
 )
 
 
@@ -81,7 +96,7 @@ def bays_lookup(spark: SparkSession, sf: str) -> DataFrame:
     names = table(spark, sf, "part").select(
         F.col("p_partkey").alias("part_id"), F.col("p_size").alias("size")
     )
-    named = names.select(raw_product().alias("Product"), "size").filter(F.col("Product").startswith("RS"))
+    named = names.select(raw_product().alias("Product"), "size").filter(F.upper("Product").startswith("RS"))
     return named.groupBy("Product").agg((F.max("size") % 12 + 1).alias("Bays"))
 
 
@@ -355,7 +370,7 @@ _COUNTRIES = """lookup AS (SELECT n_name AS "Country", r_name AS "Region" FROM n
   WHERE n_nationkey % 6 <> 0)"""
 _BAYS = f"""bays AS (SELECT "Product", max(size) % 12 + 1 AS "Bays" FROM (
   SELECT {RAW_PRODUCT_SQL} AS "Product", size FROM (SELECT p_partkey AS part_id, p_size AS size FROM part))
-  WHERE starts_with("Product", 'RS') GROUP BY 1)"""
+  WHERE starts_with(upper("Product"), 'RS') GROUP BY 1)"""
 _RATE = """CAST(CASE "Currency" WHEN 'AUD' THEN 0.63 WHEN 'EUR' THEN 1.05 WHEN 'JPY' THEN 0.0067
   WHEN 'TWD' THEN 0.031 WHEN 'USD' THEN 1.00 ELSE 0.54354 END AS DECIMAL(8,5))"""
 

@@ -10,16 +10,19 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import text
+from ..functions import fixed_values as fixed
 from ..functions.numbers import exchange_rate
 
 PREFIX = "SUB-"
 FOCUS = "RACK-"
 
-# Names the product column cycles through; the size is appended.
+# Names the product column cycles through; the size is appended. One for every
+# keyword of the family rules, and some of no family.
 PRODUCT_NAMES = (
-    "C2 Backup ", "C2 Storage ", "C2 Password ", "C2 Transfer ", "Object C2 ", "C2 Sign ",
-    "Active Insight ", "ActiveProtect ", "Shelf ", "Cable ", "Panel ", "Fan ",
+    *[f"{words.replace('&', ' ')} " for _, options in fixed.FAMILY_RULES for words in options],
+    "shelf ",
+    "cable ",
+    "fan ",
 )
 
 LINE = ("order_id", "part_id", "line_no", "supplier_id", "item_code", "quantity", "total", "price", "ship_date")
