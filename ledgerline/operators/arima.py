@@ -99,8 +99,9 @@ def fit(y: np.ndarray, order: tuple, d: int, sd: int, season: int, steps: int =
                 break
         else:
             break
-    n = len(r)
-    variance = max(best / n, 1e-12)
+    variance = max(best / len(r), 1e-12)
+    # The same number of points for every order, or the criteria would not compare.
+    n = len(w)
     likelihood = -0.5 * n * (np.log(2 * np.pi * variance) + 1)
     return {
         "theta": theta, "variance": variance, "order": order, "d": d, "sd": sd,
@@ -147,36 +148,44 @@ def is_seasonal(y: np.ndarray) -> bool:
     return len(y) >= fixed.MIN_SEASONAL_MONTHS
 
 
-def forecast_group(pdf: pd.DataFrame, keys: Sequence[str], horizon: int, season: int) -> pd.DataFrame:
+def forecast_group(
+    pdf: pd.DataFrame, keys: Sequence[str], horizon: int, season: int, logs: bool
+) -> pd.DataFrame:
     """Fixed-order forecast of one series; the tail mean stands in where no fit exists."""
     pdf = pdf.sort_values("sale_month")
     out = {"forecast_date": future(pd.Timestamp(pdf["sale_month"].iloc[-1]), horizon)}
-    method = {}
+    scale = np.exp if logs else np.asarray
+    method = "arima"
     for measure in ("quantity", "revenue"):
         y = finite_series(pdf[measure])
+        tail = y[-3:].mean()
+        if logs:
+            y = np.log(np.maximum(y, 1.0))
         seasonal = is_seasonal(y)
         model = fit(y, (1, 1, int(seasonal), int(seasonal)), 1, int(seasonal), season)
         mean, error = predict(y, model, season, horizon) if model else (None, None)
-        if mean is None or not (np.isfinite(mean).all() and np.isfinite(error).all()):
-            mean, error = np.full(horizon, y[-3:].mean()), np.full(horizon, np.nan)
-            method[measure] = "tail_mean"
-        out[f"forecast_{measure}"] = mean
-        out[f"{measure}_error"] = error
-    margin = fixed.CONFIDENCE_Z * out.pop("revenue_error")
-    out.pop("quantity_error")
-    out["forecast_revenue_lower"] = out["forecast_revenue"] - margin
-    out["forecast_revenue_upper"] = out["forecast_revenue"] + margin
+        if mean is not None and np.isfinite(mean).all() and np.isfinite(error).all():
+            low, mid, high = (scale(mean + z * fixed.CONFIDENCE_Z * error) for z in (-1, 0, 1))
+        else:
+            low, high, mid = np.full(horizon, np.nan), np.full(horizon, np.nan), np.full(horizon, tail)
+            method = "tail_mean"
+        out[f"forecast_{measure}"] = mid
+    out |= {"forecast_revenue_lower": low, "forecast_revenue_upper": high, "method": method}
     frame = pd.DataFrame(out)
-    frame["method"] = method.get("revenue", "arima")
     for position, k in enumerate(keys):
         frame.insert(position, k, pdf[k].iloc[0])
     return frame
 
 
 def arima_forecast(
-    train: DataFrame, keys: Sequence[str], horizon: int = fixed.HORIZON_MONTHS, season: int = fixed.SEASON
+    train: DataFrame, keys: Sequence[str], horizon: int = fixed.HORIZON_MONTHS,
+    season: int = fixed.SEASON, logs: bool = False,
 ) -> DataFrame:
-    """Forecast with interval for every series of a contiguous monthly table."""
+    """Forecast with interval for every series of a contiguous monthly table.
+
+    ``logs`` fits the logarithm of the values, floored at 1. The interval is that
+    of revenue; ``method`` tells where the tail mean had to stand in.
+    """
     schema = ", ".join(f"{k} {train.schema[k].dataType.simpleString()}" for k in keys) + (
         ", forecast_date date, forecast_quantity double, forecast_revenue double,"
         " forecast_revenue_lower double, forecast_revenue_upper double, method string"
@@ -186,7 +195,7 @@ def arima_forecast(
     )
 
     def work(pdf: pd.DataFrame) -> pd.DataFrame:
-        return forecast_group(pdf, keys, horizon, season)
+        return forecast_group(pdf, keys, horizon, season, logs)
 
     return narrow.groupBy(*keys).applyInPandas(work, schema)
 

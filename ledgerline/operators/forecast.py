@@ -151,6 +151,11 @@ def eligibility(
     return counts.withColumns({"can_fit": fit, "can_search": search})
 
 
+def only_eligible(series: DataFrame, flags: DataFrame, keys: Sequence[str], flag: str = "can_fit") -> DataFrame:
+    """Rows of the series an :func:`eligibility` table admits."""
+    return series.join(flags.filter(flag).select(*keys), list(keys), "left_semi")
+
+
 # --- other baselines and features ---------------------------------------------------------
 
 

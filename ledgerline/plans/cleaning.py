@@ -37,6 +37,7 @@ RAW_NAMES = (
     (fixed.DRIVE[1], "-16T (bulk)"),
     (fixed.DRIVE[2], "-800G"),
     (f"(promo) {fixed.SERVER[0]}", "+"),
+    (f"{fixed.SERVER[3]}60", ""),
     (fixed.OTHER_NAMES[2][:-1], ""),
     ("Panel ", ""),
     ("NULLABLE ", ""),

@@ -174,6 +174,15 @@ def train_series(spark: SparkSession, sf: str, *keys: str) -> DataFrame:
     return periodic.fill_month_gaps(past, ("quantity", "revenue"), keys)
 
 
+def search_series(spark: SparkSession, sf: str, *keys: str) -> DataFrame:
+    """The same, for series with enough months for an order search."""
+    known = months(spark, sf, *keys)
+    flags = forecast.eligibility(known, keys, CUTOFF)
+    past, _ = periodic.holdout_split(known, "sale_month", CUTOFF)
+    kept = forecast.only_eligible(past, flags, keys, "can_search")
+    return periodic.fill_month_gaps(kept, ("quantity", "revenue"), keys)
+
+
 def mart_rows(spark: SparkSession, sf: str) -> DataFrame:
     """The latest baseline run in the shape of the forecast mart."""
     attributes = {"product_name": "product", "product_type": "type", "product_subcategory": "type"}
@@ -217,7 +226,10 @@ QUERIES = {
     "activation_variance": activation_variance,
     "forecast_mart": lambda s, d: mart_rows(s, d).drop("created_at"),
     "arima_forecast": lambda s, d: arima.arima_forecast(train_series(s, d, "region", "type"), ("region", "type")),
-    "order_search": lambda s, d: arima.order_search(train_series(s, d, "type"), ("type",)),
+    "arima_log_forecast": lambda s, d: arima.arima_forecast(
+        train_series(s, d, "region"), ("region",), logs=True
+    ),
+    "order_search": lambda s, d: arima.order_search(search_series(s, d, "type"), ("type",)),
 }
 
 

@@ -103,6 +103,21 @@ def test_forecast_per_series_and_fallback(spark):
     assert long[0].forecast_date == dt.date(2024, 1, 31)
 
 
+def test_logs_keep_forecasts_positive(spark):
+    t = np.arange(40)
+    growth = np.exp(1 + 0.1 * t + np.random.default_rng(0).normal(scale=0.05, size=40))
+    rows = arima.arima_forecast(monthly(spark, growth), ["k"], 2, logs=True).orderBy("forecast_date").collect()
+    truth = np.exp(1 + 0.1 * np.arange(40, 42))
+    assert [r.forecast_quantity for r in rows] == pytest.approx(truth, rel=0.3)
+    assert all(0 < r.forecast_revenue_lower < r.forecast_revenue < r.forecast_revenue_upper for r in rows)
+
+
+def test_only_eligible_series_stay(spark):
+    df = monthly(spark, range(16), "b").unionByName(monthly(spark, range(5), "c"))
+    flags = forecast.eligibility(df, ["k"], "2023-02-01")
+    assert {r.k for r in forecast.only_eligible(df, flags, ["k"]).collect()} == {"b"}
+
+
 def test_order_search_gives_one_order_per_series(spark):
     rng = np.random.default_rng(2)
     df = monthly(spark, 50 + rng.normal(size=20).cumsum(), "a").unionByName(monthly(spark, 40 + rng.normal(size=20), "b"))
