@@ -340,7 +340,7 @@ ORACLES = {
     "trend_regression": _sales(
         f""", {_monthly('region, type')}, points AS (SELECT region, type, year(sale_month) * 12 + month(sale_month) AS t, CAST(revenue AS DECIMAL(18,2)) AS y FROM monthly),
         sums AS (SELECT region, type, CAST(count(*) AS DOUBLE) AS n, CAST(max(t) AS DOUBLE) AS last, CAST(sum(t) AS DOUBLE) AS st, CAST(sum(y) AS DOUBLE) AS sy,
-          CAST(sum(t * t) AS DOUBLE) AS stt, CAST(sum(CAST(CAST(t AS DECIMAL(9,0)) * y AS DECIMAL(28,2))) AS DOUBLE) AS sty, CAST(sum(CAST(y * y AS DECIMAL(36,4))) AS DOUBLE) AS syy
+          CAST(sum(t * t) AS DOUBLE) AS stt, CAST(sum(CAST(CAST(t AS DECIMAL(9,0)) * y AS DECIMAL(28,2))) AS DOUBLE) AS sty, CAST(sum(CAST(CAST(y AS DECIMAL(19,2)) * CAST(y AS DECIMAL(19,2)) AS DECIMAL(36,4))) AS DOUBLE) AS syy
           FROM points GROUP BY ALL),
         moments AS (SELECT *, stt - st * st / n AS sxx, sty - st * sy / n AS sxy, syy - sy * sy / n AS vyy FROM sums WHERE n > 2),
         fitted AS (SELECT *, sxy / sxx AS slope, sy / n + sxy / sxx * (last + 1 - st / n) AS ahead,
