@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import bpe, token_count, token_files
+from ledgerline.llm import bpe, near_dup, token_count, token_files
 from ledgerline.session import work_dir
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -40,6 +40,10 @@ def op2_bpe_automaton(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op4_near_duplicates(spark: SparkSession, sf: str) -> DataFrame:
+    return near_dup.near_duplicates(documents(spark, sf), size=2, percent=80)
+
+
 def op6_token_counts(spark: SparkSession, sf: str) -> DataFrame:
     return token_count.count_tokens(documents(spark, sf), WORD_BPE)
 
@@ -47,6 +51,7 @@ def op6_token_counts(spark: SparkSession, sf: str) -> DataFrame:
 QUERIES = {
     "op1_token_files": op1_token_files,
     "op2_bpe_automaton": op2_bpe_automaton,
+    "op4_near_duplicates": op4_near_duplicates,
     "op6_token_counts": op6_token_counts,
 }
 ORACLES: dict[str, str] = {}
