@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import bpe, near_dup, token_count, token_files
+from ledgerline.llm import bpe, near_dup, pii, token_count, token_files
+from ledgerline.llm.oracles import ORACLES  # noqa: F401
 from ledgerline.session import work_dir
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -48,10 +49,14 @@ def op6_token_counts(spark: SparkSession, sf: str) -> DataFrame:
     return token_count.count_tokens(documents(spark, sf), WORD_BPE)
 
 
+def op10_personal_data(spark: SparkSession, sf: str) -> DataFrame:
+    return pii.summary(documents(spark, sf))
+
+
 QUERIES = {
     "op1_token_files": op1_token_files,
     "op2_bpe_automaton": op2_bpe_automaton,
     "op4_near_duplicates": op4_near_duplicates,
     "op6_token_counts": op6_token_counts,
+    "op10_personal_data": op10_personal_data,
 }
-ORACLES: dict[str, str] = {}
