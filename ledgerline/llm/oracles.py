@@ -56,4 +56,28 @@ def _pii() -> str:
         FROM texts t LEFT JOIN sums USING (doc_id)"""
 
 
-ORACLES = {"op10_personal_data": _pii()}
+def _decontamination() -> str:
+    """Windows of items are compared with windows of documents of the same length."""
+    cut = f"regexp_extract_all(translate(text, '{_UP}', '{_LOW}'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+    return f"""
+        WITH docs AS (SELECT row_number() OVER () AS k, doc_id, coalesce({cut}, []) AS w FROM documents),
+        items AS (SELECT item_id, {cut} AS w FROM benchmark WHERE text IS NOT NULL),
+        windows AS (
+          SELECT DISTINCT item_id, least(len(w), 13) AS n, array_to_string(w[i:i + least(len(w), 13) - 1], ' ') AS t
+          FROM (SELECT *, unnest(range(1, len(w) - least(len(w), 13) + 2)) AS i FROM items WHERE len(w) > 0)),
+        sizes AS (SELECT DISTINCT n FROM windows),
+        places AS (
+          SELECT k, n, i, array_to_string(w[i:i + n - 1], ' ') AS t
+          FROM (SELECT k, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM docs, sizes WHERE len(w) >= n)),
+        hits AS (SELECT k, i, n, item_id FROM places JOIN windows USING (n, t)),
+        words AS (SELECT k, count(DISTINCT p) AS n_hit FROM (SELECT k, unnest(range(i, i + n)) AS p FROM hits) GROUP BY k),
+        found AS (
+          SELECT k, count(*) AS n_items, string_agg(item_id::VARCHAR, ',' ORDER BY item_id::VARCHAR) AS items
+          FROM (SELECT DISTINCT k, item_id FROM hits) GROUP BY k)
+        SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+          sha256(coalesce(items, '')) AS items_sha256,
+          coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+        FROM docs LEFT JOIN words USING (k) LEFT JOIN found USING (k)"""
+
+
+ORACLES = {"op7_decontamination": _decontamination(), "op10_personal_data": _pii()}

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import bpe, near_dup, pii, token_count, token_files
+from ledgerline.llm import bpe, decontaminate, near_dup, pii, token_count, token_files
 from ledgerline.llm.oracles import ORACLES  # noqa: F401
 from ledgerline.session import work_dir
 
@@ -49,6 +49,18 @@ def op6_token_counts(spark: SparkSession, sf: str) -> DataFrame:
     return token_count.count_tokens(documents(spark, sf), WORD_BPE)
 
 
+def op7_decontamination(spark: SparkSession, sf: str) -> DataFrame:
+    found = decontaminate.contamination(documents(spark, sf), spark.read.parquet(f"{sf}/benchmark.parquet"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        decontaminate.is_contaminated().alias("contaminated"),
+    )
+
+
 def op10_personal_data(spark: SparkSession, sf: str) -> DataFrame:
     return pii.summary(documents(spark, sf))
 
@@ -58,5 +70,6 @@ QUERIES = {
     "op2_bpe_automaton": op2_bpe_automaton,
     "op4_near_duplicates": op4_near_duplicates,
     "op6_token_counts": op6_token_counts,
+    "op7_decontamination": op7_decontamination,
     "op10_personal_data": op10_personal_data,
 }

@@ -1,6 +1,6 @@
 """Words of whole batches as arrays of 64-bit hashes, without a Python object per word.
 
-A word is a maximal run of bytes of a given class; letters A-Z are lower-cased.
+Letters A-Z are lower-cased; a word is then a maximal run of bytes of a given class.
 Hashes depend on the word alone, so they agree between tasks and machines.
 """
 
@@ -83,6 +83,7 @@ def hashed_words(texts: pa.Array, inside: np.ndarray) -> tuple[np.ndarray, np.nd
     raw, bounds = text_bytes(texts)
     if not len(raw):
         return np.zeros(0, dtype=np.uint64), np.zeros(len(bounds), dtype=np.int64)
+    raw = LOWER[raw]
     member = inside[raw]
     first = member.copy()
     first[1:] &= ~member[:-1]
@@ -93,7 +94,7 @@ def hashed_words(texts: pa.Array, inside: np.ndarray) -> tuple[np.ndarray, np.nd
     first[edges] = member[edges]
     last[edges - 1] = member[edges - 1]
     starts, ends = np.flatnonzero(first), np.flatnonzero(last) + 1
-    words = span_hashes(prefix_hashes(BYTE_CODES[LOWER[raw]]), starts, ends)
+    words = span_hashes(prefix_hashes(BYTE_CODES[raw]), starts, ends)
     return words, np.searchsorted(starts, bounds)
 
 
