@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import bpe, decontaminate, near_dup, pii, repeats, token_count, token_files
+from ledgerline.llm import ann, bpe, decontaminate, near_dup, pii, repeats, token_count, token_files
 from ledgerline.llm.oracles import ORACLES  # noqa: F401
 from ledgerline.session import work_dir
 
@@ -61,6 +61,11 @@ def op7_decontamination(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op8_nearest_neighbours(spark: SparkSession, sf: str) -> DataFrame:
+    vectors = spark.read.parquet(f"{sf}/embeddings.parquet")
+    return ann.nearest(vectors, vectors.where("vec_id % 50 = 0"), top=5)
+
+
 def op9_repeated_passages(spark: SparkSession, sf: str) -> DataFrame:
     found = repeats.remove_repeats(documents(spark, sf), length=200)
     return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
@@ -76,6 +81,7 @@ QUERIES = {
     "op4_near_duplicates": op4_near_duplicates,
     "op6_token_counts": op6_token_counts,
     "op7_decontamination": op7_decontamination,
+    "op8_nearest_neighbours": op8_nearest_neighbours,
     "op9_repeated_passages": op9_repeated_passages,
     "op10_personal_data": op10_personal_data,
 }
