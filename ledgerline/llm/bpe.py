@@ -23,13 +23,13 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.llm.chunks import ChunkMemory
+from ledgerline.llm.chunks import ChunkMemory, by_parts
 from ledgerline.llm.tables import slices
 
 #: The byte-level pre-tokeniser's split. A fixed value that decides results.
 SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 #: Transitions a worker keeps.
-TRANSITIONS = 2_000_000
+TRANSITIONS = 400_000
 
 
 def byte_of_char() -> dict[str, int]:
@@ -65,8 +65,17 @@ class MergeAutomaton:
             label = labels[token]
             if len(label) == 1 or (self.birth[token] >= 0 and self._whole(token)):
                 self.arcs[label] = token
-        self.longest = max(map(len, self.arcs), default=1)
-        self.steps: dict[tuple[int, int], bool] = {}
+        self.next: dict[int, int] = {}  # 256 * node + byte -> node, of the tree of arc labels
+        self.ends = [-1]  # node -> token
+        for label, token in self.arcs.items():
+            node = 0
+            for byte in label:
+                if (key := node << 8 | byte) not in self.next:
+                    self.next[key] = len(self.ends)
+                    self.ends.append(-1)
+                node = self.next[key]
+            self.ends[node] = token
+        self.steps: dict[int, bool] = {}
 
     def _open(self, a: int, b: int, until: int) -> bool:
         """Whether no gadget before ``until`` bars the arc ``b`` behind ``a``: their inner merges are undone, last first."""
@@ -89,11 +98,12 @@ class MergeAutomaton:
 
     def step(self, state: int, token: int) -> bool:
         """Whether the automaton has an arc ``token`` behind the state ``state``."""
-        known = self.steps.get((state, token))
+        arc = state << 32 | token
+        known = self.steps.get(arc)
         if known is None:
             if len(self.steps) > TRANSITIONS:
                 self.steps.clear()
-            known = self.steps[state, token] = self._open(state, token, len(self.rank))
+            known = self.steps[arc] = self._open(state, token, len(self.rank))
         return known
 
     def encode_word(self, word: bytes) -> list[int]:
@@ -101,14 +111,17 @@ class MergeAutomaton:
         whole = self.arcs.get(word)
         if whole is not None:
             return [whole]
-        arcs, longest, step = self.arcs, self.longest, self.step
-        last: list[int] = [-1] * (len(word) + 1)
-        for end in range(1, len(word) + 1):
-            for start in range(max(0, end - longest), end):
-                token = arcs.get(word[start:end])
-                if token is not None and (start == 0 or step(last[start], token)):
-                    last[end] = token
+        follow, ends, step, size = self.next.get, self.ends, self.step, len(word)
+        last: list[int] = [-1] * (size + 1)
+        for start in range(size):  # the state behind every prefix is known when its turn comes
+            state, node = last[start], 0
+            for end in range(start, size):
+                node = follow(node << 8 | word[end])
+                if node is None:
                     break
+                token = ends[node]
+                if token >= 0 and last[end + 1] < 0 and (start == 0 or step(state, token)):
+                    last[end + 1] = token
         path, end = [], len(word)
         while end:
             path.append(last[end])
@@ -116,8 +129,8 @@ class MergeAutomaton:
         return path[::-1]
 
 
-class Codec:
-    """A byte-level BPE vocabulary file: pre-tokeniser, automaton and added tokens."""
+class Labels:
+    """A byte-level BPE vocabulary file: the byte labels of its tokens."""
 
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as file:
@@ -127,20 +140,39 @@ class Codec:
         odd = ("unk_token", "continuing_subword_prefix", "end_of_word_suffix", "dropout", "ignore_merges", "byte_fallback")
         if model["type"] != "BPE" or not plain or spec["normalizer"] or any(model.get(key) for key in odd):
             raise ValueError("not a plain byte-level BPE vocabulary")
-        of_char = byte_of_char()
-        vocabulary = model["vocab"]
-        added = {token["content"]: token["id"] for token in spec["added_tokens"]}
         if any(token["lstrip"] or token["rstrip"] or token["single_word"] for token in spec["added_tokens"]):
             raise ValueError("added tokens that take up their surroundings are not covered")
-        labels = {i: bytes(of_char[c] for c in text) for text, i in vocabulary.items() if text not in added}
-        pairs = [pair.split(" ") if isinstance(pair, str) else pair for pair in model["merges"]]
-        self.automaton = MergeAutomaton(labels, [(vocabulary[u], vocabulary[v], vocabulary[u + v]) for u, v in pairs])
-        self.added = added
-        self.labels = labels | {i: text.encode() for text, i in added.items()}
+        of_char = byte_of_char()
+        self.model = model
+        self.added = {token["content"]: token["id"] for token in spec["added_tokens"]}
+        self.tokens = {
+            i: bytes(of_char[c] for c in text) for text, i in model["vocab"].items() if text not in self.added
+        }
+        self.all = self.tokens | {i: text.encode() for text, i in self.added.items()}
+
+    def decode(self, ids: list[int]) -> str:
+        """The bytes of the arcs; what is no UTF-8 becomes the replacement character. Unknown ids have no label."""
+        try:
+            return b"".join([*map(self.all.__getitem__, ids)]).decode("utf-8", "replace")
+        except KeyError:
+            return b"".join([self.all.get(i, b"") for i in ids]).decode("utf-8", "replace")
+
+
+class Codec:
+    """Pre-tokeniser, automaton and added tokens of a vocabulary file."""
+
+    def __init__(self, path: str):
+        labels = Labels(path)
+        vocabulary = labels.model["vocab"]
+        pairs = [pair.split(" ") if isinstance(pair, str) else pair for pair in labels.model["merges"]]
+        self.automaton = MergeAutomaton(
+            labels.tokens, [(vocabulary[u], vocabulary[v], vocabulary[u + v]) for u, v in pairs]
+        )
+        self.added = labels.added
         self.split = regex.compile(SPLIT)
-        marks = sorted(added, key=len, reverse=True)
+        marks = sorted(self.added, key=len, reverse=True)
         self.marks = regex.compile("(" + "|".join(map(regex.escape, marks)) + ")") if marks else None
-        self.words = ChunkMemory(self._chunks)
+        self.words = ChunkMemory(by_parts(self._chunks))
 
     def _plain(self, text: str) -> list[int]:
         encode = self.automaton.encode_word
@@ -160,10 +192,6 @@ class Codec:
     def encode_texts(self, texts: list[str]) -> list[np.ndarray]:
         return [np.frombuffer(b"".join(values), dtype="<i4") for values in self.words.values(texts)]
 
-    def decode(self, ids: list[int]) -> str:
-        """The bytes of the arcs; what is no UTF-8 becomes the replacement character. Unknown ids have no label."""
-        return b"".join([self.labels.get(i, b"") for i in ids]).decode("utf-8", "replace")
-
 
 @lru_cache(maxsize=2)
 def codec(path: str) -> Codec:
@@ -171,6 +199,11 @@ def codec(path: str) -> Codec:
     return Codec(path)
 
 
+@lru_cache(maxsize=2)
+def labels_of(path: str) -> Labels:
+    return Labels(path)
+
+
 def _with(df: DataFrame, column: str, kind: str):
     """The schema of ``df`` with one more column, which replaces one of the same name."""
     rest = df.drop(column) if column in df.columns else df
@@ -199,7 +232,7 @@ def decode(df: DataFrame, path: str, ids_col: str = "ids", text_col: str = "deco
     rest, schema = _with(df, text_col, "string")
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = codec(path)
+        words = labels_of(path)
         for batch in batches:
             for start in range(0, batch.num_rows, 256):
                 part = batch.slice(start, 256)

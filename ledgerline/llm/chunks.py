@@ -13,8 +13,10 @@ from collections.abc import Callable, Sequence
 
 #: A run of blanks with what follows it, or a start without blanks.
 SPACED = re.compile(" +[^ ]*|[^ ]+")
-#: Distinct chunks a task remembers.
-MEMORY = 400_000
+#: In front of a line break that follows something else than white space, where no piece goes on.
+BREAK = re.compile(r"(?<=\S)(?=\n)")
+#: Distinct chunks of a generation; a worker remembers two.
+MEMORY = 300_000
 
 
 class ChunkMemory:
@@ -23,17 +25,26 @@ class ChunkMemory:
     def __init__(self, compute: Callable[[list[str]], Sequence], limit: int = MEMORY):
         self.compute = compute
         self.limit = limit
-        self.plain: dict = {}  # chunks as they stand
-        self.after: dict = {}  # chunks behind one blank, stored without it
+        # chunks as they stand, and chunks behind one blank, stored without it; then the generation before
+        self.plain: dict = {}
+        self.after: dict = {}
+        self.old_plain: dict = {}
+        self.old_after: dict = {}
 
-    def _fill(self, known: dict, wanted: set, blank: str) -> None:
-        missing = list(wanted.difference(known))
+    def _fill(self, known: dict, old: dict, wanted: set, blank: str) -> None:
+        missing = wanted.difference(known)
+        if old and missing:
+            again = missing.intersection(old)
+            known.update((chunk, old[chunk]) for chunk in again)
+            missing -= again
         if missing:
-            known.update(zip(missing, self.compute([blank + chunk for chunk in missing])))
+            chunks = list(missing)
+            known.update(zip(chunks, self.compute([blank + chunk for chunk in chunks])))
 
     def values(self, texts: list[str]) -> list[list]:
         """For each text the values of its chunks, in order."""
         if len(self.plain) + len(self.after) > self.limit:
+            self.old_plain, self.old_after = self.plain, self.after
             self.plain, self.after = {}, {}
         cut = [text.split(" ") for text in texts]
         odd = {row for row, pieces in enumerate(cut) if "" in pieces}  # several blanks in a row, or at an end
@@ -45,8 +56,8 @@ class ChunkMemory:
             else:
                 plain.add(pieces[0])
                 after.update(pieces[1:])
-        self._fill(self.plain, plain, "")
-        self._fill(self.after, after, " ")
+        self._fill(self.plain, self.old_plain, plain, "")
+        self._fill(self.after, self.old_after, after, " ")
         first, rest = self.plain, self.after
         return [
             [first[piece] for piece in pieces]
@@ -54,3 +65,29 @@ class ChunkMemory:
             else [first[pieces[0]], *map(rest.__getitem__, pieces[1:])]
             for row, pieces in enumerate(cut)
         ]
+
+
+def parts_of(chunk: str) -> list[str]:
+    """Parts of a chunk that are tokenised by themselves: lines, and a word apart from its comma or full stop."""
+    parts: list[str] = []
+    for part in BREAK.split(chunk) if "\n" in chunk else (chunk,):
+        if part[-1:] in (",", ".") and part[part[:1] == " " : -1].isalpha():
+            parts += [part[:-1], part[-1]]
+        else:
+            parts.append(part)
+    return parts
+
+
+def by_parts(encode: Callable[[list[str]], list[bytes]], limit: int = MEMORY) -> Callable[[list[str]], list[bytes]]:
+    """For byte-level vocabularies: the ids of chunks from those of their parts, each distinct part encoded once."""
+    known: dict[str, bytes] = {}
+
+    def compute(chunks: list[str]) -> list[bytes]:
+        if len(known) > limit:
+            known.clear()
+        cut = [parts_of(chunk) for chunk in chunks]
+        missing = list({part for parts in cut for part in parts}.difference(known))
+        known.update(zip(missing, encode(missing)))
+        return [known[parts[0]] if len(parts) == 1 else b"".join([known[part] for part in parts]) for parts in cut]
+
+    return compute
