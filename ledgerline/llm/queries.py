@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import ann, bpe, decontaminate, near_dup, pii, repeats, token_count, token_files
+from ledgerline.llm import ann, bpe, decontaminate, near_dup, pii, repeats, token_count, token_files, toxicity
 from ledgerline.llm.oracles import ORACLES  # noqa: F401
 from ledgerline.session import work_dir
 
@@ -45,6 +45,10 @@ def op4_near_duplicates(spark: SparkSession, sf: str) -> DataFrame:
     return near_dup.near_duplicates(documents(spark, sf), size=2, percent=80)
 
 
+def op5_toxicity(spark: SparkSession, sf: str) -> DataFrame:
+    return toxicity.score(documents(spark, sf), spark.read.parquet(f"{sf}/labels.parquet"))
+
+
 def op6_token_counts(spark: SparkSession, sf: str) -> DataFrame:
     return token_count.count_tokens(documents(spark, sf), WORD_BPE)
 
@@ -79,6 +83,7 @@ QUERIES = {
     "op1_token_files": op1_token_files,
     "op2_bpe_automaton": op2_bpe_automaton,
     "op4_near_duplicates": op4_near_duplicates,
+    "op5_toxicity": op5_toxicity,
     "op6_token_counts": op6_token_counts,
     "op7_decontamination": op7_decontamination,
     "op8_nearest_neighbours": op8_nearest_neighbours,
