@@ -80,4 +80,42 @@ def _decontamination() -> str:
         FROM docs LEFT JOIN words USING (k) LEFT JOIN found USING (k)"""
 
 
-ORACLES = {"op7_decontamination": _decontamination(), "op10_personal_data": _pii()}
+def _urls() -> str:
+    """The template tree level by level, over whole rows instead of counted ones."""
+    rules = (("www.example.com", "/en/", 0), ("example.com", "/en/", 1), ("net", "/es/", 1), ("net", "/fr/", 1), ("com", "/", 0))
+    fits = "[" + ", ".join(
+        f"CASE WHEN ('.' || host) LIKE '%.{host}' AND starts_with(path, '{path}') THEN {{'r': '{host}{path}', 'bad': {bad}}} END"
+        for host, path, bad in rules
+    ) + "]"
+    steps = []
+    for level in range(1, 5):
+        steps.append(f"""
+        s{level} AS (SELECT *, CASE WHEN regexp_matches(seg, '[0-9]') THEN '*' ELSE seg END AS segment
+          FROM (SELECT *, coalesce(rest[{level}], '') AS seg FROM t{level - 1})),
+        v{level} AS (SELECT *, CASE WHEN fan >= 10 AND 2 * fan >= urls AND segment <> '' THEN '*' ELSE segment END AS name
+          FROM (SELECT *, count(DISTINCT segment) OVER (PARTITION BY host, tpl) AS fan, count(*) OVER (PARTITION BY host, tpl) AS urls FROM s{level})),
+        m{level} AS (SELECT *, count(bad) OVER w AS l, coalesce(sum(bad) OVER w, 0) AS b,
+            count(bad) OVER p AS al, coalesce(sum(bad) OVER p, 0) AS ab
+          FROM v{level} WINDOW w AS (PARTITION BY host, tpl, name), p AS (PARTITION BY host, tpl)),
+        t{level} AS (SELECT k, page_id, host, path, rule, bad, rest,
+            CASE WHEN name = '' THEN tpl
+                 WHEN l > 0 AND (b * al - l * ab)::DOUBLE * (b * al - l * ab) <= 4.0 * l * ab * (al - ab) THEN tpl || '/~'
+                 ELSE tpl || '/' || name END AS tpl
+          FROM m{level})""")
+    return f"""
+        WITH cut AS (SELECT row_number() OVER () AS k, page_id, coalesce(url, '') AS u, strpos(coalesce(url, ''), '://') AS p0 FROM pages),
+        tail AS (SELECT k, page_id, CASE WHEN p0 > 0 THEN substr(u, p0 + 3) ELSE '' END AS t FROM cut),
+        split AS (SELECT k, page_id, translate(regexp_extract(t, '^[^/?#]*'), '{_UP}', '{_LOW}') AS host,
+            regexp_extract(t, '^[^/?#]*([^?#]*)', 1) AS path FROM tail),
+        ruled AS (SELECT *, list_filter({fits}, lambda x: x IS NOT NULL)[1] AS hit FROM split),
+        t0 AS (SELECT k, page_id, host, path, hit.r AS rule, hit.bad AS bad, '' AS tpl,
+            list_filter(string_split(path, '/'), lambda x: x <> '') AS rest FROM ruled),
+        {", ".join(steps)}
+        SELECT page_id, host, path, rule,
+          CASE WHEN CASE WHEN rule IS NOT NULL THEN bad = 1
+                         ELSE (coalesce(sum(bad) OVER (PARTITION BY host, tpl), 0) + 1) / (count(bad) OVER (PARTITION BY host, tpl) + 2) >= 0.6 END
+            THEN 'block' ELSE 'allow' END AS verdict
+        FROM t4"""
+
+
+ORACLES = {"op3_url_filter": _urls(), "op7_decontamination": _decontamination(), "op10_personal_data": _pii()}

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import ann, bpe, decontaminate, near_dup, pii, repeats, token_count, token_files, toxicity
+from ledgerline.llm import ann, bpe, decontaminate, near_dup, pii, repeats, token_count, token_files, toxicity, url_filter
 from ledgerline.llm.oracles import ORACLES  # noqa: F401
 from ledgerline.session import work_dir
 
@@ -41,6 +41,21 @@ def op2_bpe_automaton(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+#: The contract's rules.
+URL_RULES = (
+    url_filter.Rule("com", "/", "allow"),
+    url_filter.Rule("example.com", "/en/", "block"),
+    url_filter.Rule("www.example.com", "/en/", "allow"),
+    url_filter.Rule("net", "/es/", "block"),
+    url_filter.Rule("net", "/fr/", "block"),
+)
+
+
+def op3_url_filter(spark: SparkSession, sf: str) -> DataFrame:
+    judged = url_filter.judge(spark.read.parquet(f"{sf}/pages.parquet"), URL_RULES)
+    return judged.select("page_id", "host", "path", "rule", "verdict")
+
+
 def op4_near_duplicates(spark: SparkSession, sf: str) -> DataFrame:
     return near_dup.near_duplicates(documents(spark, sf), size=2, percent=80)
 
@@ -82,6 +97,7 @@ def op10_personal_data(spark: SparkSession, sf: str) -> DataFrame:
 QUERIES = {
     "op1_token_files": op1_token_files,
     "op2_bpe_automaton": op2_bpe_automaton,
+    "op3_url_filter": op3_url_filter,
     "op4_near_duplicates": op4_near_duplicates,
     "op5_toxicity": op5_toxicity,
     "op6_token_counts": op6_token_counts,
