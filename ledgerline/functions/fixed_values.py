@@ -196,6 +196,9 @@ HISTORY_CHANNELS = (("im_", "IM"),)
 HISTORY_DEFAULT_CHANNEL = "TDBS"
 
 ISO_DATE = r"^\d{4}-\d{2}-\d{2}$"
+ISO_START = r"^\d{4}-\d{1,2}-\d{1,2}([ T].*)?$"
+# Other dates of hand-kept files, in the order in which they are tried; months before days.
+DATE_FORMATS = ("yyyy/MM/dd", "MM/dd/yyyy", "dd-MMM-yyyy", "yyyyMMdd")
 PLAIN_NUMBER = r"^-?\d+(?:\.\d+)?$"
 
 FORECAST_MART = (
@@ -207,5 +210,5 @@ FORECAST_MART = (
 )
 STAGING = (
     "sale_date date, item_code string, product_name string, sku string, channel string, "
-    "quantity decimal(18,2), revenue decimal(18,2)"
+    "quantity decimal(28,8), revenue decimal(28,8)"
 )

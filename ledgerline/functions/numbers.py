@@ -41,7 +41,7 @@ def finite(c: Column) -> Column:
     return F.when(c.isNull() | F.isnan(c) | infinite, 0.0).otherwise(c)
 
 
-def plain_decimal(c: Column, kind: str = "decimal(18,2)") -> Column:
+def plain_decimal(c: Column, kind: str = "decimal(28,8)") -> Column:
     """Text to decimal when it looks like a plain number, not below 0, else null."""
     text = F.btrim(c)
     return F.when(text.rlike(fixed.PLAIN_NUMBER), F.greatest(text.try_cast(kind), F.lit(0).cast(kind)))
@@ -54,8 +54,9 @@ def exchange_rate(currency: Column, rates: Mapping[str, str] = fixed.EXCHANGE_RA
     """
     values = {k: Decimal(str(v)) for k, v in rates.items()}
     default = sum(values.values()) / len(values)
-    table = F.create_map(
-        *[x for k, v in values.items() for x in (F.lit(k), F.lit(v).cast("decimal(8,5)"))]
-    )
+    # two digits more than the finest rate has, for the mean; six before the point
+    scale = min(16, 2 + max(0, *(-v.normalize().as_tuple().exponent for v in values.values())))
+    kind = f"decimal({scale + 6},{scale})"
+    table = F.create_map(*[x for k, v in values.items() for x in (F.lit(k), F.lit(str(v)).cast(kind))])
     known = F.try_element_at(table, F.coalesce(currency, F.lit("")))
-    return F.coalesce(known, F.lit(default).cast("decimal(8,5)"))
+    return F.coalesce(known, F.lit(f"{default:f}").cast(kind))

@@ -33,12 +33,6 @@ def fiscal_year(c: Column, first_month: int = 4) -> Column:
     return F.year(F.add_months(c, (13 - first_month) % 12))
 
 
-def month_ends(first: Column, last: Column) -> Column:
-    """Array of every month end from ``first`` to ``last``."""
-    starts = F.sequence(month_start(first), month_start(last), F.expr("interval 1 month"))
-    return F.transform(starts, F.last_day)
-
-
 def quarter_starts(first: Column, last: Column) -> Column:
     return F.sequence(quarter_start(first), quarter_start(last), F.expr("interval 3 months"))
 
@@ -49,6 +43,13 @@ def future_month_ends(start: Column, horizon: int) -> Column:
     return F.transform(steps, lambda i: F.last_day(F.add_months(start, i)))
 
 
+def any_date(c: Column) -> Column:
+    """Date of a date or time column, or of text in the first of ``DATE_FORMATS`` that fits."""
+    text = F.btrim(c.cast("string"))
+    iso = F.when(text.rlike(fixed.ISO_START), text.try_cast("date"))
+    return F.coalesce(iso, *[F.try_to_timestamp(text, F.lit(f)).cast("date") for f in fixed.DATE_FORMATS])
+
+
 def iso_date(c: Column) -> Column:
     """Date of ``yyyy-MM-dd`` text, null for any other shape or an impossible date."""
     text = F.btrim(c)

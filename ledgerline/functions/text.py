@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 
 from . import fixed_values as fixed
 
-WHITESPACE = " \t\n\r\x0b\x0c"
+# Every character that counts as white space in Unicode text, the non-breaking blank among them.
+WHITESPACE = " \t\n\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2028\u2029\u202f\u205f\u3000" + "".join(map(chr, range(0x2000, 0x200B)))
+BLANK = "[" + "".join(f"\\x{{{ord(c):x}}}" for c in WHITESPACE) + "]"
 
 
 def strip(c: Column) -> Column:
@@ -29,7 +31,7 @@ def null_tokens_to_null(c: Column, strict: bool = False) -> Column:
     nulls only cells that are nothing but the token.
     """
     tokens = "|".join(fixed.NULL_TOKENS)
-    pattern = rf"^\s*({tokens})?\s*$" if strict else rf"^\s*$|{tokens}"
+    pattern = rf"^{BLANK}*({tokens})?{BLANK}*$" if strict else rf"^{BLANK}*$|{tokens}"
     return F.when(c.rlike(pattern), None).otherwise(c)
 
 

@@ -1,9 +1,9 @@
 """Cleaning of raw sales lines.
 
 Steps are DataFrame to DataFrame and skip columns a frame does not have. The
-whole chain is one lazy plan; only the two mode fills need an aggregate, and
-those aggregate counts per value first, so a value that fills a third of the
-table costs one row per map task.
+whole chain is one lazy plan, the same at every size; only the mode fills need an
+aggregate, and those aggregate counts per value first, so a value that fills a
+third of the table costs one row per map task.
 """
 
 from __future__ import annotations
@@ -19,13 +19,11 @@ from pyspark.sql import types as T
 from ..functions import fixed_values as fixed
 from ..functions import rules, text
 from ..functions.numbers import to_number
+from ..functions.periods import any_date
 from ..session import settle
 from . import enrich
 
 
-NAME_LIMIT = 200_000
-
-
 def present(df: DataFrame, columns: Sequence[str]) -> list[str]:
     return [c for c in columns if c in df.columns]
 
@@ -115,14 +113,14 @@ def fill_group_mode(
     return filled.withColumn(column, F.coalesce(column, "_mode")).select(*df.columns)
 
 
-def fill_mean(df: DataFrame, column: str, digits: int = 6) -> DataFrame:
-    """Fill nulls with the column mean, rounded to ``digits``."""
-    mean = df.agg(F.round(F.avg(column), digits).alias(column))
-    return df.withColumn(column, F.coalesce(F.col(column), mean.scalar()))
+def fill_mean(df: DataFrame, column: str) -> DataFrame:
+    """Fill nulls with the column mean, in double."""
+    mean = df.agg(F.avg(column).cast("double").alias(column))
+    return df.withColumn(column, F.coalesce(F.col(column).cast("double"), mean.scalar()))
 
 
 def parse_dates(df: DataFrame, columns: Sequence[str] = ("InvDate", "ShipDate")) -> DataFrame:
-    return df.withColumns({c: F.col(c).try_cast("date") for c in present(df, columns)})
+    return df.withColumns({c: any_date(F.col(c)) for c in present(df, columns)})
 
 
 def fill_defaults(df: DataFrame) -> DataFrame:
@@ -146,21 +144,6 @@ def classify(
     return typed.withColumn(sub, rules.subcategory("_name", f"`{type_column}`")).drop("_name")
 
 
-def classify_lines(df: DataFrame, names: DataFrame, product: str = "Product") -> DataFrame:
-    """Category, sub-category and capacity of every line, worked out once per name.
-
-    ``names`` holds at least the product names of ``df``. Up to ``NAME_LIMIT`` of
-    them are classified, settled and joined, which Spark does by broadcast below
-    its size threshold. Beyond that each line is classified where it is, because a
-    join would shuffle all lines by product.
-    """
-    classified = enrich.drive_capacity(classify(names.select(product).distinct(), product), product)
-    lookup = settle(classified)
-    if lookup.count() > NAME_LIMIT:
-        return enrich.drive_capacity(classify(df, product), product)
-    return df.join(lookup, product, "left")
-
-
 def synthetic_order_key(df: DataFrame, keys: Sequence[str], order: str = "PI") -> DataFrame:
     """An order key built from existing key columns where the frame has none.
 
@@ -185,18 +168,18 @@ def clean_sales(
 ) -> DataFrame:
     """The complete cleaning sequence, from raw text columns to typed sales lines.
 
-    The lines are read twice. The first pass counts the combinations of product,
-    currency, country and region; the three mode fills and the classification of
-    products work on those counts. The second pass cleans the lines.
+    The lines are read twice. The first pass counts the combinations of currency,
+    country and region, which the dimensions bound; the three mode fills work on
+    those counts. The second pass cleans the lines. Category, sub-category and
+    capacity are functions of the product name and are worked out on the line.
     """
     df = normalise_missing(trim_headers(raw), strict=strict_nulls, skip=fixed.NUMERIC_COLUMNS)
     df = fill_quantity(require_values(drop_negative(coerce_numbers(df))))
     df = df.withColumn("Product", text.drop_leading_parenthesis(F.col("Product")))
     places = present(df, ("Currency", "Country", "Region"))
-    profile = settle(value_counts(df, "Product", *places))
-    counts = settle(profile.groupBy(*places).agg(F.sum("n").alias("n")))
+    counts = settle(value_counts(df, *places))
     df = fill_mode(df, "Currency", counts)
-    df = enrich.convert_currency(classify_lines(df, profile), rates=rates)
+    df = enrich.convert_currency(enrich.drive_capacity(classify(df)), rates=rates)
     df = drop_low_value(fill_defaults(parse_dates(df)))
     df = df.withColumn("Year", F.year("InvDate"))
     if country_regions is not None:

@@ -29,8 +29,8 @@ def convert_currency(
     rate = F.col("exchange_rate_to_usd")
     return priced.withColumns(
         {
-            "usd_adjusted_price": F.col(price).cast("decimal(18,4)") * rate,
-            "usd_adjusted_total": F.col(total).cast("decimal(18,4)") * rate,
+            "usd_adjusted_price": F.col(price).cast("decimal(20,6)") * rate,
+            "usd_adjusted_total": F.col(total).cast("decimal(20,6)") * rate,
         }
     )
 

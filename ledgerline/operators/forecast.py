@@ -187,7 +187,7 @@ def quarter_features(
 
 
 def trend(monthly: DataFrame, keys: Sequence[str], month: str, value: str, z: float = fixed.CONFIDENCE_Z) -> DataFrame:
-    """Straight line per series, its next month and a 95 % interval.
+    """Straight line per series, its next month and a 95 % interval, unrounded.
 
     Everything comes from six sums per series, so map tasks combine before the
     shuffle. The sums are exact decimals.
@@ -215,8 +215,51 @@ def trend(monthly: DataFrame, keys: Sequence[str], month: str, value: str, z: fl
     return lines.select(
         *keys,
         n.cast("bigint").alias("months"),
-        F.round("slope", 4).alias("slope"),
-        F.round(value_ahead, 2).alias("next_value"),
-        F.round(value_ahead - margin, 2).alias("next_lower"),
-        F.round(value_ahead + margin, 2).alias("next_upper"),
+        "slope",
+        value_ahead.alias("next_value"),
+        (value_ahead - margin).alias("next_lower"),
+        (value_ahead + margin).alias("next_upper"),
+    )
+
+
+def seasonal_forecast(
+    monthly: DataFrame, keys: Sequence[str], horizon: int = fixed.HORIZON_MONTHS, season: int = 12,
+    z: float = fixed.CONFIDENCE_Z,
+) -> DataFrame:
+    """The month a season ago plus the mean seasonal difference, with a 95 % interval of the revenue.
+
+    Input is contiguous (:func:`periodic.fill_month_gaps`). The windows run over one series, which
+    the calendar bounds; everything else is one aggregate per series. Differences come from exact
+    sums. Without a whole season behind it a series repeats the mean of its months; an interval
+    needs two differences. ``horizon`` is at most ``season``.
+    """
+    if not 0 < horizon <= season:
+        raise ValueError("horizon must be between 1 and the season")
+    series = Window.partitionBy(*keys).orderBy("sale_month")
+    whole = Window.partitionBy(*keys)
+    known = monthly.select(*keys, "sale_month", *[F.col(m).cast("decimal(24,4)").alias(m) for m in MEASURES])
+    known = known.withColumns({f"_{m}": F.col(m) - F.lag(m, season).over(series) for m in MEASURES})
+    known = known.withColumn("_last", F.max("sale_month").over(whole))
+    sums = [f(F.col(m)).cast("double").alias(f"_{name}_{m}") for m in MEASURES for name, f in (("sum", F.sum),)]
+    steps = [F.sum(f"_{m}").cast("double").alias(f"_step_{m}") for m in MEASURES]
+    square = F.sum((F.col("_revenue") * F.col("_revenue")).cast("decimal(38,4)")).cast("double").alias("_squares")
+    n = [F.count("*").cast("double").alias("_months"), F.count("_revenue").cast("double").alias("_pairs")]
+    fitted = known.groupBy(*keys).agg(F.max("sale_month").alias("_last"), *n, *sums, *steps, square)
+    ahead = future_month_ends(F.col("_last"), horizon)
+    future = fitted.withColumn("forecast_date", F.explode(ahead))
+    base = known.filter(F.col("sale_month") > F.add_months("_last", -season)).select(
+        *keys, F.last_day(F.add_months("sale_month", season)).alias("forecast_date"), *MEASURES
+    )
+    joined = future.join(base, [*keys, "forecast_date"], "left")
+    spread = F.col("_squares") - F.col("_step_revenue") * F.col("_step_revenue") / F.col("_pairs")
+    margin = F.when(F.col("_pairs") > 1, z * F.sqrt(F.greatest(spread, F.lit(0.0)) / (F.col("_pairs") - 1)))
+
+    def value(m: str) -> Column:
+        stepped = F.col(m).cast("double") + F.col(f"_step_{m}") / F.col("_pairs")
+        return F.greatest(F.coalesce(F.when(F.col("_pairs") > 0, stepped), F.col(f"_sum_{m}") / F.col("_months")), F.lit(0.0))
+
+    return joined.select(
+        *keys, "forecast_date", value("quantity").alias("forecast_quantity"), value("revenue").alias("forecast_revenue"),
+        F.greatest(value("revenue") - margin, F.when(margin.isNotNull(), 0.0)).alias("forecast_revenue_lower"),
+        (value("revenue") + margin).alias("forecast_revenue_upper"),
     )

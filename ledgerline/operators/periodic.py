@@ -2,22 +2,21 @@
 
 from __future__ import annotations
 
-from functools import reduce
-from typing import Sequence
+from typing import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import fixed_values as fixed
-from ..functions.periods import month_end, quarter_end, quarter_start, quarter_starts
+from ..functions.periods import any_date, month_end, quarter_end, quarter_start, quarter_starts
 from ..session import settle
 
 
 def resolve_date(df: DataFrame, candidates: Sequence[str] = fixed.DATE_CANDIDATES) -> str:
     """First candidate column that holds any date. Stops at the first hit per column."""
     for name in candidates:
-        if name in df.columns and not df.filter(F.col(name).try_cast("date").isNotNull()).isEmpty():
+        if name in df.columns and not df.filter(any_date(F.col(name)).isNotNull()).isEmpty():
             return name
     raise ValueError(
         f"no supported date column; expected one of {', '.join(candidates)}, found {', '.join(df.columns)}"
@@ -29,31 +28,27 @@ def _need(df: DataFrame, column: str, what: str) -> None:
         raise ValueError(f"{what} column '{column}' is not in the table")
 
 
-def pair_levels(left: DataFrame, right: DataFrame, shards: int = 32) -> DataFrame:
-    """Every level of ``left`` with every level of ``right``.
-
-    The full grid is what the operator returns. ``right`` is dealt out over
-    shards and each shard meets a copy of ``left``, so the work spreads evenly.
-    """
-    copies = left.withColumn("_shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
-    dealt = right.withColumn("_shard", F.pmod(F.hash(*right.columns), F.lit(shards)))
-    return copies.join(dealt, "_shard").drop("_shard")
-
-
-def fill_quarter_gaps(totals: DataFrame, segments: Sequence[str], value: str = "quarter_total") -> DataFrame:
-    """Zero rows for every missing quarter of every combination of segment levels.
+def fill_quarter_gaps(
+    totals: DataFrame, segments: Sequence[str], value: str = "quarter_total",
+    levels: Mapping[str, Sequence] | None = None,
+) -> DataFrame:
+    """Zero rows for every missing quarter of every observed combination of segments.
 
-    The range of quarters is that of the whole table, and combinations that were
-    never observed count. Zero rows are appended and summed with the observed
-    ones, which needs one shuffle and treats null keys like any other.
+    The range of quarters is that of the whole table. ``levels`` lists the levels of
+    each segment where all their combinations are wanted, observed or not. Zero rows are
+    appended and summed with the observed ones, which treats null keys like any other.
     """
     bounds = totals.agg(
         F.struct(F.min("sale_quarter").alias("lo"), F.max("sale_quarter").alias("hi")).alias("b")
     )
-    if segments:
-        levels = [totals.select(c).distinct() for c in segments]
-        grid = reduce(pair_levels, levels)
-        span = bounds.scalar()
+    if levels is not None:
+        grid = bounds
+        for c in segments:
+            kind = totals.schema[c].dataType
+            grid = grid.withColumn(c, F.explode(F.array(*[F.lit(x).cast(kind) for x in levels[c]])))
+        quarters = quarter_starts(F.col("b.lo"), F.col("b.hi"))
+    elif segments:
+        grid, span = totals.select(*segments).distinct(), bounds.scalar()
         quarters = quarter_starts(span["lo"], span["hi"])
     else:
         grid, quarters = bounds, quarter_starts(F.col("b.lo"), F.col("b.hi"))
@@ -71,12 +66,13 @@ def quarterly_totals(
     segments: Sequence[str] = (),
     date: str | None = None,
     fill_gaps: bool = True,
+    levels: Mapping[str, Sequence] | None = None,
 ) -> DataFrame:
-    """Total per segment and quarter, contiguous over quarters."""
+    """Total per observed segment and quarter, contiguous over quarters; ``levels`` asks for a full grid."""
     _need(df, value, "value")
     for c in segments:
         _need(df, c, "segment")
-    day = F.col(date or resolve_date(df)).try_cast("date")
+    day = any_date(F.col(date or resolve_date(df)))
 
     def level(c: str) -> Column:
         text = isinstance(df.schema[c].dataType, T.StringType)
@@ -88,7 +84,7 @@ def quarterly_totals(
     )
     totals = rows.groupBy(*segments, "sale_quarter").agg(F.sum("v").alias("quarter_total"))
     if fill_gaps:
-        totals = fill_quarter_gaps(settle(totals), segments)
+        totals = fill_quarter_gaps(settle(totals), segments, levels=levels)
     return totals.select(
         *segments,
         "sale_quarter",

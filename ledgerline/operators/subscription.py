@@ -125,7 +125,8 @@ def adoption_scorecard(lines: DataFrame) -> DataFrame:
     tiered = with_tier(lines).withColumnRenamed("month", "snapshot_month")
     grouped = tiered.groupBy(*SCORECARD_KEYS).agg(
         F.countDistinct("customer").alias("active_subscriptions"),
-        F.countDistinct("order_id").alias("new_subscriptions"),
+        # lines without an order number are one order
+        (F.countDistinct("order_id") + F.max(F.col("order_id").isNull().cast("int"))).alias("new_subscriptions"),
         double(F.sum("usd_total")).alias("mrr_usd"),
         double(F.sum("quantity")).alias("total_quantity"),
     )
@@ -188,7 +189,8 @@ def month_transitions(paid: DataFrame) -> DataFrame:
     A customer and family pair has at most one row per month, so the window below
     is bounded by the calendar however large a customer is. Its rows are folded
     at once into one row per (month, previous month, next month); all that
-    follows works on that calendar-sized table. Revenue must not be negative.
+    follows works on that calendar-sized table. A pair that is absent in a month
+    had no revenue in it; credits below zero count like any other revenue.
     """
     pair = Window.partitionBy("customer", "family").orderBy("month")
     zero = F.lit(0).cast("int")
@@ -209,6 +211,8 @@ def month_transitions(paid: DataFrame) -> DataFrame:
         F.sum(F.greatest(rev - F.col("rev_before"), zero)).alias("gain"),
         F.count_if((rev > 0) & (F.col("rev_after") <= 0)).alias("gone"),
         F.sum(F.greatest(rev - F.col("rev_after"), zero)).alias("loss"),
+        F.sum(F.greatest(rev, zero)).alias("above"),
+        F.sum(F.least(rev, zero)).alias("below"),
     )
     # Calendar-sized from here on: the windows without a partition key are over it.
     number = month_number(F.col("month"))
@@ -241,15 +245,18 @@ def month_transitions(paid: DataFrame) -> DataFrame:
             F.col("month"),
             False,
             new_logos=F.when(joined, F.col("new")).otherwise(F.col("active")),
-            kept=F.when(joined, F.col("kept")).otherwise(none),
-            expansion=F.when(joined, F.col("gain")).otherwise(F.col("revenue")),
+            kept=F.when(joined, F.col("kept")).otherwise(F.col("below")),
+            expansion=F.when(joined, F.col("gain")).otherwise(F.col("above")),
+            lost=F.when(joined, none).otherwise(-F.col("below")),
             now=F.col("revenue"),
         ),
         side(
             F.col("following"),
             True,
             churned_logos=F.when(stays, F.col("gone")).otherwise(F.col("active")),
-            lost=F.when(stays, F.col("loss")).otherwise(F.col("revenue")),
+            kept=F.when(stays, none).otherwise(F.col("below")),
+            expansion=F.when(stays, none).otherwise(-F.col("below")),
+            lost=F.when(stays, F.col("loss")).otherwise(F.col("above")),
             was=F.col("revenue"),
         ),
     )

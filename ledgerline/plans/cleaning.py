@@ -67,15 +67,20 @@ def raw_sales(spark: SparkSession, sf: str) -> DataFrame:
         *KEYS,
         F.concat(F.lit("PI"), words("order_id")).alias("PI"),
         F.when(order % 97 == 0, "NULL").when(order % 89 == 0, "  ")
-        .when(order % 83 == 0, F.concat(F.lit("  "), "customer", F.lit(" "))).otherwise(F.col("customer")).alias("Customer"),
-        F.when(part % 13 == 0, None).when(part % 17 == 0, "null").otherwise(F.col("item_code")).alias("ItemCode"),
+        .when(order % 83 == 0, F.concat(F.lit("  "), "customer", F.lit(" ")))
+        .when(order % 79 == 0, F.concat(F.lit("\u2003"), "customer", F.lit("\xa0"))).otherwise(F.col("customer")).alias("Customer"),
+        F.when(part % 13 == 0, None).when(part % 17 == 0, "null").when(part % 19 == 0, "\xa0")
+        .otherwise(F.col("item_code")).alias("ItemCode"),
         F.col("product").alias("Product"),
         F.when((order % 11 == 0) & (F.col("line_no") == 7), "-3").when(order % 53 == 0, "n/a")
         .otherwise(words("quantity")).alias("Quantity"),
         words("price").alias("Price"),
-        F.when(order % 101 == 0, "-1.50").when(order % 103 == 0, "oops").otherwise(words("total")).alias("Total"),
+        F.when(order % 101 == 0, "-1.50").when(order % 103 == 0, "oops").when(order % 113 == 0, "12.345675")
+        .otherwise(words("total")).alias("Total"),
         F.col("currency").alias("Currency"),
-        F.when(order % 107 == 0, "2024-13-45").when(order % 109 == 0, "soon").otherwise(words("inv_date")).alias("InvDate"),
+        F.when(order % 107 == 0, "2024-13-45").when(order % 109 == 0, "soon")
+        .when(order % 59 == 0, F.date_format("inv_date", "yyyy/MM/dd")).when(order % 61 == 0, F.date_format("inv_date", "MM/dd/yyyy"))
+        .when(order % 67 == 0, F.date_format("inv_date", "dd-MMM-yyyy")).otherwise(words("inv_date")).alias("InvDate"),
         words("ship_date").alias("ShipDate"),
         F.when(order % 3 == 0, None).otherwise(F.col("country")).alias("ShipTo"),
         F.col("country").alias("Country"),
@@ -87,9 +92,9 @@ def raw_sales(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def country_lookup(spark: SparkSession, sf: str) -> DataFrame:
-    """Country to region, with some countries absent."""
-    places = geography(spark, sf, {"region"}).filter(F.col("n_nationkey") % 6 != 0)
-    return places.select(F.col("country").alias("Country"), F.col("region").alias("Region"))
+    """Country to region; the region of some countries is unknown."""
+    region = F.when(F.col("n_nationkey") % 6 != 0, F.col("region"))
+    return geography(spark, sf, {"region"}).select(F.col("country").alias("Country"), region.alias("Region"))
 
 
 def bays_lookup(spark: SparkSession, sf: str) -> DataFrame:
@@ -97,7 +102,7 @@ def bays_lookup(spark: SparkSession, sf: str) -> DataFrame:
     names = table(spark, sf, "part").select(
         F.col("p_partkey").alias("part_id"), F.col("p_size").alias("size")
     )
-    named = names.select(raw_product().alias("Product"), "size").filter(F.upper("Product").startswith("RS"))
+    named = names.select(raw_product().alias("Product"), "size")
     return named.groupBy("Product").agg((F.max("size") % 12 + 1).alias("Bays"))
 
 
@@ -189,7 +194,7 @@ def fill_group_mode(spark: SparkSession, sf: str) -> DataFrame:
 def fill_mean(spark: SparkSession, sf: str) -> DataFrame:
     gaps = F.when(F.col("order_id") % 10 != 0, F.col("price"))
     lines = sales(spark, sf, *KEYS, "price").withColumn("price", gaps)
-    return clean.fill_mean(lines, "price").withColumns(money("price"))
+    return clean.fill_mean(lines, "price").withColumn("price", F.round("price", 6))
 
 
 def coerce_numeric(spark: SparkSession, sf: str) -> DataFrame:
@@ -269,7 +274,12 @@ def _list(values) -> str:
 _INDEX = f"part_id % {len(RAW_NAMES)} + 1"
 _HEAD, _TAIL = (f"{_list(r[i] for r in RAW_NAMES)}[{_INDEX}]" for i in (0, 1))
 RAW_PRODUCT_SQL = f"{_HEAD} || CASE WHEN {_HEAD} = '   ' THEN '' ELSE CAST(size AS VARCHAR) END || {_TAIL}"
-_WS = "' ' || chr(9) || chr(10) || chr(13) || chr(11) || chr(12)"
+_WS = "' ' || chr(9) || chr(10) || chr(13) || chr(11) || chr(12) || chr(160) || chr(8195)"
+
+
+def date_sql(c: str) -> str:
+    iso = f"CASE WHEN regexp_full_match({c}, '\\d{{4}}-\\d{{2}}-\\d{{2}}') THEN TRY_CAST({c} AS DATE) END"
+    return f"coalesce({iso}, CAST(try_strptime({c}, ['%Y/%m/%d', '%m/%d/%Y', '%d-%b-%Y']) AS DATE))"
 
 
 def _strip(c: str) -> str:
@@ -282,17 +292,20 @@ RAW_SQL = f"""{SALES_SQL},
 raw AS (
   SELECT {_K}, 'PI' || order_id AS "PI",
          CASE WHEN order_id % 97 = 0 THEN 'NULL' WHEN order_id % 89 = 0 THEN '  '
-              WHEN order_id % 83 = 0 THEN '  ' || customer || ' ' ELSE customer END AS "Customer",
-         CASE WHEN part_id % 13 = 0 THEN NULL WHEN part_id % 17 = 0 THEN 'null' ELSE item_code END AS "ItemCode",
+              WHEN order_id % 83 = 0 THEN '  ' || customer || ' '
+              WHEN order_id % 79 = 0 THEN chr(8195) || customer || chr(160) ELSE customer END AS "Customer",
+         CASE WHEN part_id % 13 = 0 THEN NULL WHEN part_id % 17 = 0 THEN 'null' WHEN part_id % 19 = 0 THEN chr(160)
+              ELSE item_code END AS "ItemCode",
          {RAW_PRODUCT_SQL} AS "Product",
          CASE WHEN order_id % 11 = 0 AND line_no = 7 THEN '-3' WHEN order_id % 53 = 0 THEN 'n/a'
               ELSE CAST(quantity AS VARCHAR) END AS "Quantity",
          CAST(price AS VARCHAR) AS "Price",
          CASE WHEN order_id % 101 = 0 THEN '-1.50' WHEN order_id % 103 = 0 THEN 'oops'
-              ELSE CAST(total AS VARCHAR) END AS "Total",
+              WHEN order_id % 113 = 0 THEN '12.345675' ELSE CAST(total AS VARCHAR) END AS "Total",
          currency AS "Currency",
          CASE WHEN order_id % 107 = 0 THEN '2024-13-45' WHEN order_id % 109 = 0 THEN 'soon'
-              ELSE CAST(inv_date AS VARCHAR) END AS "InvDate",
+              WHEN order_id % 59 = 0 THEN strftime(inv_date, '%Y/%m/%d') WHEN order_id % 61 = 0 THEN strftime(inv_date, '%m/%d/%Y')
+              WHEN order_id % 67 = 0 THEN strftime(inv_date, '%d-%b-%Y') ELSE CAST(inv_date AS VARCHAR) END AS "InvDate",
          CAST(ship_date AS VARCHAR) AS "ShipDate", CASE WHEN order_id % 3 = 0 THEN NULL ELSE country END AS "ShipTo",
          country AS "Country", CASE WHEN order_id % 5 = 0 THEN NULL ELSE region END AS "Region", source_sheet
   FROM sales
@@ -367,13 +380,12 @@ _SHEET_NAMES = """WITH names AS (SELECT p_type || CASE p_size % 3 WHEN 0 THEN '
   || CASE WHEN p_size < 10 THEN ' ' ELSE '' END AS raw, min(p_partkey) AS position FROM part GROUP BY 1),
 tokens AS (SELECT raw, position, coalesce(nullif(lower(trim(regexp_replace(raw, '[^0-9a-zA-Z]+', '_', 'g'), '_')), ''), 'worksheet') AS token FROM names)"""
 
-_COUNTRIES = """lookup AS (SELECT n_name AS "Country", r_name AS "Region" FROM nation JOIN region ON n_regionkey = r_regionkey
-  WHERE n_nationkey % 6 <> 0)"""
+_COUNTRIES = """lookup AS (SELECT n_name AS "Country", CASE WHEN n_nationkey % 6 <> 0 THEN r_name END AS "Region"
+  FROM nation JOIN region ON n_regionkey = r_regionkey)"""
 _BAYS = f"""bays AS (SELECT "Product", max(size) % 12 + 1 AS "Bays" FROM (
-  SELECT {RAW_PRODUCT_SQL} AS "Product", size FROM (SELECT p_partkey AS part_id, p_size AS size FROM part))
-  WHERE starts_with(upper("Product"), 'RS') GROUP BY 1)"""
+  SELECT {RAW_PRODUCT_SQL} AS "Product", size FROM (SELECT p_partkey AS part_id, p_size AS size FROM part)) GROUP BY 1)"""
 _RATE = """CAST(CASE "Currency" WHEN 'AUD' THEN 0.63 WHEN 'EUR' THEN 1.05 WHEN 'JPY' THEN 0.0067
-  WHEN 'TWD' THEN 0.031 WHEN 'USD' THEN 1.00 ELSE 0.54354 END AS DECIMAL(8,5))"""
+  WHEN 'TWD' THEN 0.031 WHEN 'USD' THEN 1.00 ELSE 0.54354 END AS DECIMAL(12,6))"""
 
 _CLEAN = f"""WITH {RAW_SQL}, {_COUNTRIES}, {_BAYS},
 typed AS (
@@ -388,8 +400,8 @@ kept AS (
 ),
 moded AS (
   SELECT * REPLACE (coalesce("Currency", (SELECT "Currency" FROM kept WHERE "Currency" IS NOT NULL
-    GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 1)) AS "Currency", TRY_CAST("InvDate" AS DATE) AS "InvDate",
-    TRY_CAST("ShipDate" AS DATE) AS "ShipDate", coalesce("ShipTo", 'UNKNOWN') AS "ShipTo",
+    GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 1)) AS "Currency", {date_sql('"InvDate"')} AS "InvDate",
+    {date_sql('"ShipDate"')} AS "ShipDate", coalesce("ShipTo", 'UNKNOWN') AS "ShipTo",
     coalesce("ItemCode", "Product", 'UNSPECIFIED') AS "ItemCode"),
     {category_sql('"Product"')} AS "Type" FROM kept
 ),
@@ -403,8 +415,8 @@ group_mode AS (
 ),
 filled AS (SELECT p.* REPLACE (coalesce(p."Region", g.mode) AS "Region") FROM placed p LEFT JOIN group_mode g USING ("Country"))
 SELECT {_K}, "PI", "Customer", "ItemCode", f."Product", source_sheet, "Quantity",
-  CAST(CAST("Price" AS DECIMAL(18,4)) * {_RATE} AS DOUBLE) AS usd_adjusted_price,
-  CAST(CAST("Total" AS DECIMAL(18,4)) * {_RATE} AS DOUBLE) AS usd_adjusted_total,
+  CAST(CAST("Price" AS DECIMAL(20,6)) * {_RATE} AS DOUBLE) AS usd_adjusted_price,
+  CAST(CAST("Total" AS DECIMAL(20,6)) * {_RATE} AS DOUBLE) AS usd_adjusted_total,
   "InvDate", "Country", "Type", {subcategory_sql('f."Product"', '"Type"')} AS sub_cat,
   CAST(year("InvDate") AS INTEGER) AS "Year",
   coalesce("Region", (SELECT "Region" FROM filled WHERE "Region" IS NOT NULL GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 1)) AS "Region",
@@ -416,7 +428,7 @@ FROM filled f LEFT JOIN bays b ON f."Product" = b."Product" """
 
 def _staging(suite: str | None) -> str:
     chosen = "" if suite is None else f"AND channel IN ({', '.join(repr(x) for x in SUITES[suite])})"
-    number = "CASE WHEN regexp_full_match(trim({0}), '-?\\d+(\\.\\d+)?') THEN CAST(greatest(CAST({0} AS DECIMAL(18,2)), 0) AS DOUBLE) END"
+    number = "CASE WHEN regexp_full_match(trim({0}), '-?\\d+(\\.\\d+)?') THEN CAST(greatest(CAST({0} AS DECIMAL(28,8)), 0) AS DOUBLE) END"
     return f"""WITH {RAW_SQL}, staged AS (SELECT
       CASE WHEN regexp_full_match(trim("InvDate"), '\\d{{4}}-\\d{{2}}-\\d{{2}}') THEN TRY_CAST("InvDate" AS DATE) END AS sale_date,
       nullif({_strip('"ItemCode"')}, '') AS item_code, nullif({_strip('"Product"')}, '') AS product_name,

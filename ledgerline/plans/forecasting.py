@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import fixed_values as fixed
-from ..operators import arima, forecast, periodic, subscription
+from ..operators import forecast, periodic, subscription
 from ..operators.subscription import double
 from ..session import settle
 from ..sources import writers
@@ -17,6 +17,7 @@ from .views import sales
 HORIZON = 3
 CUTOFFS = ("1999-10-01", "2000-04-01", "2000-10-01")
 LIMIT = 40.0
+ACT = 10.0
 
 
 def monthly(spark: SparkSession, sf: str, *keys: str) -> DataFrame:
@@ -139,33 +140,60 @@ def backtest(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def forecast_by_customer(spark: SparkSession, sf: str) -> DataFrame:
-    """Forecast for the five customers with the most revenue.
+    """Forecast for every customer, with the tier and what the holdout months say about it.
 
-    Their names are a five-row table; a semi-join keeps their lines before
-    anything is grouped by customer.
+    The lines are aggregated once, to customer and month; tiers, forecasts and errors
+    come from that table.
     """
-    lines = sales(spark, sf, "inv_date", "customer", "quantity", "usd_total")
-    best = subscription.top_by(subscription.customer_revenue(lines), "revenue", "customer", 5)
-    kept = lines.join(best, "customer", "left_semi").withColumnsRenamed(
-        {"inv_date": "sale_date", "usd_total": "revenue"}
-    )
-    return forecast.baseline_forecast(
-        periodic.monthly_history(kept, ("customer",)), ("customer",), CUTOFF, HORIZON
-    )
+    known = months(spark, sf, "customer")
+    predicted = forecast.baseline_forecast(known, ("customer",), CUTOFF, HORIZON)
+    actual = known.select("customer", F.col("sale_month").alias("forecast_date"), double("revenue").alias("actual"))
+    error = forecast.ape(F.col("actual"), F.col("forecast_revenue"))
+    measured = forecast.mape(predicted.join(actual, ["customer", "forecast_date"]), ("customer",), error)
+    measured = rounded(measured, "mape")
+    tiers = subscription.customer_tiers(known.withColumnRenamed("revenue", "usd_total")).drop("revenue")
+    out = predicted.join(tiers, "customer").join(measured, "customer", "left")
+    return out.withColumn("confidence", forecast.confidence(F.col("mape")))
 
 
 def activation_variance(spark: SparkSession, sf: str) -> DataFrame:
     """Actual against forecast per month, region and segment.
 
-    Cover, market index and score have no source and stay empty.
+    Cover, market index and score have no source and stay empty. The action and the
+    note follow from the variance alone.
     """
-    gap = F.try_divide(F.col("actual") - F.col("predicted"), F.col("predicted")) * 100
+    gap = F.round(F.try_divide(F.col("actual") - F.col("predicted"), F.col("predicted")) * 100, 6)
     none = F.lit(None).cast("double")
-    return pairs(spark, sf, "region", "segment").select(
-        F.col("sale_month").alias("month"), "region", "segment", "actual", F.col("predicted").alias("forecast"),
-        F.round(gap, 6).alias("variance_pct"), none.alias("inventory_cover"), none.alias("market_index"),
-        none.alias("activation_score"),
+    story = pairs(spark, sf, "region", "segment").select(
+        F.col("sale_month").alias("snapshot_month"), "region", "segment", F.col("actual").alias("actual_revenue"),
+        F.col("predicted").alias("forecast_revenue"), gap.alias("variance_pct"), none.alias("inventory_weeks_cover"),
+        none.alias("market_index_score"), none.alias("activation_score"),
     )
+    below, above = F.col("variance_pct") < -ACT, F.col("variance_pct") > ACT
+    action = F.when(below, "activate").when(above, "secure supply").otherwise("hold")
+    return story.withColumns(
+        {"recommended_action": action, "confidence_note": forecast.confidence(F.abs("variance_pct"))}
+    )
+
+
+def run_metrics(spark: SparkSession, sf: str) -> DataFrame:
+    """Error measures of the run by data slice, stamped with the end of its holdout."""
+    known = pairs(spark, sf, "region", "type")
+    stamp = known.agg(F.max("sale_month").cast("timestamp_ntz").alias("t")).scalar()
+    measured = forecast.metrics(known, ("region",), band=0.5).withColumn("data_slice", F.concat(F.lit("region="), "region"))
+    return rounded(measured, "mape", "rmse", "coverage", digits=4).select(
+        F.lit("20001001T000000Z").alias("forecast_run_id"), stamp.alias("measured_until"), "data_slice", "points", "mape", "rmse", "coverage"
+    )
+
+
+def seasonal_forecast(spark: SparkSession, sf: str) -> DataFrame:
+    made = forecast.seasonal_forecast(train_series(spark, sf, "region", "type"), ("region", "type"), HORIZON)
+    return rounded(made, *[c for c in made.columns if c.startswith("forecast_") and c != "forecast_date"], digits=4)
+
+
+def trend_regression(spark: SparkSession, sf: str) -> DataFrame:
+    lines = forecast.trend(monthly(spark, sf, "region", "type"), ("region", "type"), "sale_month", "revenue")
+    return rounded(rounded(lines, "slope", digits=4), "next_value", "next_lower", "next_upper", digits=2)
 
 
 def train_series(spark: SparkSession, sf: str, *keys: str) -> DataFrame:
@@ -174,15 +202,6 @@ def train_series(spark: SparkSession, sf: str, *keys: str) -> DataFrame:
     return periodic.fill_month_gaps(past, ("quantity", "revenue"), keys)
 
 
-def search_series(spark: SparkSession, sf: str, *keys: str) -> DataFrame:
-    """The same, for series with enough months for an order search."""
-    known = months(spark, sf, *keys)
-    flags = forecast.eligibility(known, keys, CUTOFF)
-    past, _ = periodic.holdout_split(known, "sale_month", CUTOFF)
-    kept = forecast.only_eligible(past, flags, keys, "can_search")
-    return periodic.fill_month_gaps(kept, ("quantity", "revenue"), keys)
-
-
 def mart_rows(spark: SparkSession, sf: str) -> DataFrame:
     """The latest baseline run in the shape of the forecast mart."""
     attributes = {"product_name": "product", "product_type": "type", "product_subcategory": "type"}
@@ -221,15 +240,12 @@ QUERIES = {
         "mean_4", "stddev_4", digits=4,
     ),
     "backtest": backtest,
-    "trend_regression": lambda s, d: forecast.trend(monthly(s, d, "region", "type"), ("region", "type"), "sale_month", "revenue"),
+    "trend_regression": trend_regression,
+    "seasonal_forecast": seasonal_forecast,
+    "run_metrics": run_metrics,
     "forecast_by_customer": forecast_by_customer,
     "activation_variance": activation_variance,
     "forecast_mart": lambda s, d: mart_rows(s, d).drop("created_at"),
-    "arima_forecast": lambda s, d: arima.arima_forecast(train_series(s, d, "region", "type"), ("region", "type")),
-    "arima_log_forecast": lambda s, d: arima.arima_forecast(
-        train_series(s, d, "region"), ("region",), logs=True
-    ),
-    "order_search": lambda s, d: arima.order_search(search_series(s, d, "type"), ("type",)),
 }
 
 
@@ -349,14 +365,42 @@ ORACLES = {
         round(ahead - margin, 2) AS next_lower, round(ahead + margin, 2) AS next_upper FROM fitted"""
     ),
     "forecast_by_customer": _sales(
-        f""", best AS (SELECT customer FROM usd GROUP BY 1 ORDER BY sum(usd_total) DESC, customer LIMIT 5),
-        monthly AS (SELECT customer, last_day(inv_date) AS sale_month, sum(quantity) AS quantity, sum(usd_total) AS revenue
-        FROM usd WHERE customer IN (SELECT customer FROM best) GROUP BY ALL), {_baseline('customer')} SELECT * FROM baseline"""
+        f""", {_pairs('customer')}, errors AS (SELECT customer, round(avg(abs(actual - predicted) / nullif(abs(actual), 0)) * 100, 6) AS mape FROM pairs GROUP BY 1),
+        places AS (SELECT customer, dense_rank() OVER (ORDER BY sum(usd_total) DESC) AS place FROM usd GROUP BY customer)
+        SELECT b.*, CASE WHEN place <= 5 THEN 'Tier 1 - Top 5' WHEN place <= 20 THEN 'Tier 2 - Top 20' ELSE 'Tier 3 - Long Tail' END AS customer_tier,
+        mape, CASE WHEN mape < 20 THEN 'High Confidence' WHEN mape < 50 THEN 'Moderate Confidence' ELSE 'Low Confidence' END AS confidence
+        FROM baseline b JOIN places USING (customer) LEFT JOIN errors USING (customer)"""
     ),
     "activation_variance": _sales(
-        f""", {_pairs('region, segment')} SELECT sale_month AS month, region, segment, actual, predicted AS forecast,
-        round((actual - predicted) / nullif(predicted, 0) * 100, 6) AS variance_pct, CAST(NULL AS DOUBLE) AS inventory_cover,
-        CAST(NULL AS DOUBLE) AS market_index, CAST(NULL AS DOUBLE) AS activation_score FROM pairs"""
+        f""", {_pairs('region, segment')} SELECT sale_month AS snapshot_month, region, segment, actual AS actual_revenue, predicted AS forecast_revenue,
+        variance_pct, CAST(NULL AS DOUBLE) AS inventory_weeks_cover, CAST(NULL AS DOUBLE) AS market_index_score,
+        CAST(NULL AS DOUBLE) AS activation_score,
+        CASE WHEN variance_pct < -10 THEN 'activate' WHEN variance_pct > 10 THEN 'secure supply' ELSE 'hold' END AS recommended_action,
+        CASE WHEN abs(variance_pct) < 20 THEN 'High Confidence' WHEN abs(variance_pct) < 50 THEN 'Moderate Confidence'
+             ELSE 'Low Confidence' END AS confidence_note
+        FROM (SELECT *, round((actual - predicted) / nullif(predicted, 0) * 100, 6) AS variance_pct FROM pairs)"""
+    ),
+    "run_metrics": _sales(
+        f""", {_pairs('region, type')} SELECT '20001001T000000Z' AS forecast_run_id,
+        CAST((SELECT max(sale_month) FROM pairs) AS TIMESTAMP) AS measured_until, 'region=' || region AS data_slice, count(*) AS points,
+        round(avg(abs(actual - predicted) / nullif(abs(actual), 0)) * 100, 4) AS mape, round(sqrt(avg((actual - predicted) ** 2)), 4) AS rmse,
+        round(avg(CASE WHEN actual BETWEEN predicted * 0.5 AND predicted * 1.5 THEN 1.0 ELSE 0.0 END), 4) AS coverage FROM pairs GROUP BY region"""
+    ),
+    "seasonal_forecast": _sales(
+        f""", {_monthly('region, type')}, past AS (SELECT * FROM monthly WHERE sale_month < DATE '{CUTOFF}'),
+        spine AS (SELECT region, type, last_day(CAST(unnest(generate_series(CAST(date_trunc('month', min(sale_month)) AS DATE), max(sale_month), INTERVAL 1 MONTH)) AS DATE)) AS sale_month
+          FROM past GROUP BY region, type),
+        full_ AS (SELECT region, type, sale_month, coalesce(CAST(quantity AS DOUBLE), 0) AS quantity,
+          coalesce(CAST(CAST(revenue AS DECIMAL(24,4)) AS DOUBLE), 0) AS revenue FROM spine LEFT JOIN past USING (region, type, sale_month)),
+        steps AS (SELECT *, quantity - lag(quantity, 12) OVER w AS dq, revenue - lag(revenue, 12) OVER w AS dr FROM full_
+          WINDOW w AS (PARTITION BY region, type ORDER BY sale_month)),
+        fits AS (SELECT region, type, max(sale_month) AS last, avg(dq) AS dq, avg(dr) AS dr, avg(quantity) AS mq, avg(revenue) AS mr,
+          {fixed.CONFIDENCE_Z} * stddev_samp(dr) AS margin FROM steps GROUP BY ALL),
+        ahead AS (SELECT *, last_day(last + INTERVAL 1 MONTH * unnest([1, 2, 3])) AS forecast_date FROM fits),
+        made AS (SELECT a.region, a.type, forecast_date, greatest(coalesce(f.quantity + a.dq, mq), 0) AS q, greatest(coalesce(f.revenue + a.dr, mr), 0) AS r, margin
+          FROM ahead a LEFT JOIN full_ f ON f.region = a.region AND f.type = a.type AND last_day(f.sale_month + INTERVAL 12 MONTH) = forecast_date)
+        SELECT region, type, forecast_date, round(q, 4) AS forecast_quantity, round(r, 4) AS forecast_revenue,
+          round(CASE WHEN margin IS NOT NULL THEN greatest(r - margin, 0) END, 4) AS forecast_revenue_lower, round(r + margin, 4) AS forecast_revenue_upper FROM made"""
     ),
     "forecast_mart": _sales(
         f""", {_monthly('product')}, {_baseline('product')}, kinds AS (SELECT product, last_day(inv_date) AS sale_month, min(type) AS kind FROM usd GROUP BY ALL)

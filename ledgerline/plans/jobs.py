@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions import fixed_values as fixed
 from ..functions import text
-from ..operators import arima, clean, forecast, periodic, staging, subscription
+from ..operators import clean, forecast, periodic, staging, subscription
 from ..session import settle
 from ..sources import readers, writers
 
@@ -142,7 +142,7 @@ def train_cohort(
     cleaned: DataFrame, output: str, run_id: str, cohort: str, sheets: Sequence[str] | None = None,
     prefix: str = fixed.FOCUS_PREFIX, holdout: str = fixed.HOLDOUT_START, horizon: int = fixed.HORIZON_MONTHS,
 ) -> CohortForecast:
-    """Seasonal ARIMA over the monthly series of a cohort, with actuals and holdout error."""
+    """Seasonal forecast of the monthly series of a cohort, with actuals and holdout error."""
     needed = ("InvDate", "Quantity", "usd_adjusted_total", "sub_cat", "source_sheet")
     lines = periodic.require_columns(cleaned, needed).filter(text.has_prefix(F.col("sub_cat"), prefix))
     if sheets:
@@ -158,7 +158,7 @@ def train_cohort(
     if train.isEmpty():
         raise ValueError(f"no months before {holdout}")
     keys = ("sku", "channel")
-    made = settle(arima.arima_forecast(train, keys, horizon))
+    made = settle(forecast.seasonal_forecast(train, keys, horizon))
     actuals = series.select(
         *keys, "sale_month", F.col("quantity").cast("double").alias("actual_quantity"),
         F.col("revenue").cast("double").alias("actual_revenue"),
@@ -169,7 +169,7 @@ def train_cohort(
     )
     error = forecast.ape(F.col("actual"), F.col("forecast_revenue"))
     metrics = forecast.mape(pairs, ("channel",), error)
-    writers.write_forecast(made, output, run_id, cohort, "seasonal_arima", holdout_start=holdout)
+    writers.write_forecast(made, output, run_id, cohort, "seasonal_difference", holdout_start=holdout)
     writers.writer(combined, "csv").save(f"{output}/{cohort}_combined_{run_id}")
     metrics.write.mode("overwrite").json(f"{output}/{cohort}_metrics_{run_id}")
     return CohortForecast(made, combined, metrics)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..operators import periodic
 from ..operators.subscription import double
 from ..sources import readers
-from .cleaning import RAW_SQL, raw_sales
+from .cleaning import RAW_SQL, _strip, date_sql, raw_sales
 from .views import FOCUS, SALES_SQL, dates_between, sales, table
 
 CUTOFF = "2000-10-01"
@@ -28,10 +28,9 @@ def money(df: DataFrame, *columns: str) -> DataFrame:
 
 
 def quarterly(spark: SparkSession, sf: str) -> DataFrame:
-    """Region and type totals; two types are cut short so that there are gaps."""
-    lines = sales(spark, sf, "inv_date", "region", "type", "usd_total")
-    gaps = (F.col("type") == "SMALL") & (F.year("inv_date") == 1996)
-    return periodic.quarterly_totals(lines.filter(~gaps), "usd_total", ("region", "type"), "inv_date")
+    """Totals by customer and type, which do not buy in every quarter."""
+    lines = sales(spark, sf, "inv_date", "customer", "type", "usd_total")
+    return periodic.quarterly_totals(lines, "usd_total", ("customer", "type"), "inv_date")
 
 
 def views(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
@@ -42,21 +41,21 @@ def views(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
 def split_latest_quarter(spark: SparkSession, sf: str) -> DataFrame:
     train, test, latest = periodic.split_latest(quarterly(spark, sf))
     parts = train.withColumn("part", F.lit("train")).unionByName(test.withColumn("part", F.lit("test")))
-    return parts.select("region", "type", "sale_quarter", "quarter_total", "part", latest.alias("latest"))
+    return parts.select("customer", "type", "sale_quarter", "quarter_total", "part", latest.alias("latest"))
 
 
 def densify_quarters(spark: SparkSession, sf: str) -> DataFrame:
-    """Quarterly quantity per region, with a year left out so that gaps appear."""
-    lines = sales(spark, sf, "inv_date", "region", "quantity").filter(F.year("inv_date") != 1997)
-    return periodic.quarterly_totals(lines, "quantity", ("region",), "inv_date").select(
-        "region", "sale_quarter", "quarter_total"
+    """Quarterly quantity per customer, who does not buy in every quarter."""
+    lines = sales(spark, sf, "inv_date", "customer", "quantity")
+    return periodic.quarterly_totals(lines, "quantity", ("customer",), "inv_date").select(
+        "customer", "sale_quarter", "quarter_total"
     )
 
 
 def densify_months(spark: SparkSession, sf: str) -> DataFrame:
-    rows = sales(spark, sf, "inv_date", "type", "quantity").filter(F.month("inv_date") % 3 != 0)
-    monthly = rows.groupBy("type", F.last_day("inv_date").alias("sale_month")).agg(F.sum("quantity").alias("quantity"))
-    return money(periodic.fill_month_gaps(monthly, ("quantity",), ("type",)), "quantity")
+    rows = sales(spark, sf, "inv_date", "customer", "quantity")
+    monthly = rows.groupBy("customer", F.last_day("inv_date").alias("sale_month")).agg(F.sum("quantity").alias("quantity"))
+    return money(periodic.fill_month_gaps(monthly, ("quantity",), ("customer",)), "quantity")
 
 
 def monthly_series(spark: SparkSession, sf: str) -> DataFrame:
@@ -169,9 +168,9 @@ _MEASURES = "CAST(sum(quantity) AS DOUBLE) AS quantity, CAST(sum(usd_total) AS D
 
 
 def _quarters(source: str, value: str, segments: list[str]) -> str:
-    """Full grid of levels and quarters, left joined with the totals."""
+    """Observed combinations and all quarters, left joined with the totals."""
     keys = ", ".join(segments)
-    levels = " CROSS JOIN ".join(f"(SELECT DISTINCT {c} FROM totals)" for c in segments)
+    levels = f"(SELECT DISTINCT {keys} FROM totals)"
     return f"""totals AS (SELECT {keys}, CAST(date_trunc('quarter', inv_date) AS DATE) AS sale_quarter, sum({value}) AS v
       FROM {source} GROUP BY ALL),
     grid AS (SELECT * FROM {levels} CROSS JOIN (
@@ -181,13 +180,12 @@ def _quarters(source: str, value: str, segments: list[str]) -> str:
       FROM grid LEFT JOIN totals USING ({keys}, sale_quarter))"""
 
 
-_GAPS = "kept AS (SELECT * FROM usd WHERE NOT (type = 'SMALL' AND year(inv_date) = 1996))"
 _TAGGED = "tagged AS (SELECT *, type IN ('PROMO', 'ECONOMY') AS is_focus_product FROM usd)"
-_DATED = "TRY_CAST(\"InvDate\" AS DATE)"
+_DATED = date_sql('"InvDate"')
 
 ORACLES = {
     "sales_history": f"""WITH {RAW_SQL} SELECT {_DATED} AS sale_date,
-        coalesce(trim("ItemCode"), trim("Product", ' ' || chr(9)), 'UNSPECIFIED') AS sku, trim(source_sheet) AS channel,
+        coalesce({_strip('"ItemCode"')}, {_strip('"Product"')}, 'UNSPECIFIED') AS sku, trim(source_sheet) AS channel,
         coalesce(TRY_CAST("Quantity" AS DOUBLE), 0) AS quantity, coalesce(TRY_CAST("Total" AS DOUBLE), 0) AS revenue
         FROM raw WHERE {_DATED} IS NOT NULL""",
     "history_alias_union": """SELECT CAST(date_trunc('month', l_shipdate) AS DATE) AS sale_date, CAST(l_partkey AS VARCHAR) AS sku,
@@ -206,24 +204,23 @@ ORACLES = {
         CAST(sum(usd_total) AS DOUBLE) AS actual_revenue, min(product) AS product_name, min(type) AS product_type,
         min(code) AS product_subcategory FROM usd GROUP BY 1, 2"""
     ),
-    "quarterly_dataset": _sales(f", {_GAPS}, {_quarters('kept', 'usd_total', ['region', 'type'])} SELECT * FROM filled"),
+    "quarterly_dataset": _sales(f", {_quarters('usd', 'usd_total', ['customer', 'type'])} SELECT * FROM filled"),
     "quarterly_global": _sales(f", {_TAGGED}, {_quarters('tagged', 'usd_total', ['type', 'is_focus_product'])} SELECT * FROM filled"),
     "quarterly_focus": _sales(
         f""", {_TAGGED}, focus AS (SELECT * FROM tagged WHERE is_focus_product),
         {_quarters('focus', 'usd_total', ['type', 'is_focus_product'])} SELECT * FROM filled"""
     ),
     "densify_quarters": _sales(
-        f""", kept AS (SELECT * FROM sales WHERE year(inv_date) <> 1997), {_quarters('kept', 'quantity', ['region'])}
-        SELECT region, sale_quarter, quarter_total FROM filled"""
+        f""", {_quarters('sales', 'quantity', ['customer'])} SELECT customer, sale_quarter, quarter_total FROM filled"""
     ),
     "densify_months": _sales(
-        """, kept AS (SELECT type, last_day(inv_date) AS sale_month, CAST(sum(quantity) AS DOUBLE) AS quantity FROM sales
-        WHERE month(inv_date) % 3 <> 0 GROUP BY ALL),
-        spine AS (SELECT type, last_day(CAST(unnest(generate_series(CAST(date_trunc('month', min(sale_month)) AS DATE), max(sale_month), INTERVAL 1 MONTH)) AS DATE)) AS sale_month
-        FROM kept GROUP BY type) SELECT type, sale_month, coalesce(quantity, 0) AS quantity FROM spine LEFT JOIN kept USING (type, sale_month)"""
+        """, kept AS (SELECT customer, last_day(inv_date) AS sale_month, CAST(sum(quantity) AS DOUBLE) AS quantity FROM sales
+        GROUP BY ALL), spine AS (SELECT customer, last_day(CAST(unnest(generate_series(CAST(date_trunc('month', min(sale_month)) AS DATE), max(sale_month), INTERVAL 1 MONTH)) AS DATE)) AS sale_month
+        FROM kept GROUP BY customer) SELECT customer, sale_month, coalesce(quantity, 0) AS quantity
+        FROM spine LEFT JOIN kept USING (customer, sale_month)"""
     ),
     "split_latest_quarter": _sales(
-        f""", {_GAPS}, {_quarters('kept', 'usd_total', ['region', 'type'])} SELECT region, type, sale_quarter, quarter_total,
+        f""", {_quarters('usd', 'usd_total', ['customer', 'type'])} SELECT customer, type, sale_quarter, quarter_total,
         CASE WHEN sale_quarter = (SELECT max(sale_quarter) FROM filled) THEN 'test' ELSE 'train' END AS part,
         (SELECT max(sale_quarter) FROM filled) AS latest FROM filled"""
     ),

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import periodic, quality
-from .cleaning import RAW_SQL, _nulls, raw_sales, staged
+from .cleaning import KEYS, RAW_SQL, _nulls, raw_sales, staged
 from .cleaning import _staging as staging_sql
 from .periods import CUTOFF, _sales, money
 from .views import sales, table
@@ -68,7 +68,7 @@ QUERIES = {
     "dq_unique": lambda s, d: quality.repeated_keys(table(s, d, "lineitem"), ("l_orderkey", "l_linenumber")),
     "dq_accepted": lambda s, d: quality.unaccepted(table(s, d, "customer"), "c_mktsegment", REASONS),
     "dq_fk": lambda s, d: quality.orphans(
-        table(s, d, "lineitem"), "l_partkey", table(s, d, "part").filter(F.col("p_partkey") % 50 != 0), "p_partkey"
+        table(s, d, "events"), "user_id", table(s, d, "supplier"), "s_suppkey"
     ),
     "dq_reconcile": dq_reconcile,
     "dq_duplicates": lambda s, d: quality.duplicates(table(s, d, "lineitem"), ("l_orderkey", "l_linenumber")),
@@ -97,6 +97,18 @@ _MONTHS = """, monthly AS (SELECT region, last_day(inv_date) AS sale_month, CAST
   CAST(sum(usd_total) AS DOUBLE) AS revenue, 1.0 AS constant FROM usd GROUP BY ALL),
   features AS (SELECT *, CASE WHEN month(sale_month) % 4 <> 0 THEN quantity END AS gaps FROM monthly)"""
 
+
+
+def _manifest() -> str:
+    """Every cell with its length, a missing one as a dash; the md5 of the row as a number, summed."""
+    columns = [*KEYS, *(f'"{c}"' for c in ("PI", "Customer", "ItemCode", "Product", "Quantity", "Price", "Total", "Currency",
+               "InvDate", "ShipDate", "ShipTo", "Country", "Region")), "'note'", "'pcs'", "source_sheet"]
+    cells = [f"coalesce(length(CAST({c} AS VARCHAR)) || ':' || CAST({c} AS VARCHAR), '-')" for c in columns]
+    row = " || '|' || ".join(cells)
+    return f"""WITH {RAW_SQL} SELECT source_sheet, count(*) AS rows,
+        CAST(sum(CAST('0x' || md5({row})[1:15] AS BIGINT)) AS VARCHAR) AS content_hash FROM raw GROUP BY source_sheet"""
+
+
 ORACLES = {
     "dq_not_null": f"WITH s AS ({staging_sql(None)}) "
     + " UNION ALL ".join(
@@ -105,7 +117,8 @@ ORACLES = {
     "dq_unique": "SELECT l_orderkey, l_linenumber, count(*) AS copies FROM lineitem GROUP BY ALL HAVING count(*) > 1",
     "dq_accepted": f"""SELECT c_mktsegment AS value, count(*) AS rows FROM customer
         WHERE c_mktsegment IS NULL OR c_mktsegment NOT IN {REASONS} GROUP BY 1""",
-    "dq_fk": "SELECT DISTINCT l_partkey FROM lineitem WHERE l_partkey NOT IN (SELECT p_partkey FROM part WHERE p_partkey % 50 <> 0)",
+    "dq_fk": "SELECT DISTINCT user_id FROM events WHERE user_id NOT IN (SELECT s_suppkey FROM supplier)",
+    "ingest_manifest": _manifest(),
     "dq_reconcile": _sales(
         """SELECT count(*) AS slices, CAST(sum(v) AS DOUBLE) AS slice_sum, (SELECT CAST(sum(usd_total) AS DOUBLE) FROM usd) AS total,
         CAST(sum(n) AS BIGINT) AS slice_rows, (SELECT count(*) FROM usd) AS total_rows, true AS matches

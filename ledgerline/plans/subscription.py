@@ -27,13 +27,23 @@ def subs(spark: SparkSession, sf: str, *extra: str) -> DataFrame:
 
 
 def card(spark: SparkSession, sf: str) -> DataFrame:
-    return sub.adoption_scorecard(subs(spark, sf, "customer", "order_id", "region", "quantity"))
+    """Some lines have no order number."""
+    lines = subs(spark, sf, "customer", "order_id", "region", "quantity")
+    order = F.when(F.col("order_id") % 31 != 0, F.col("order_id"))
+    return sub.adoption_scorecard(lines.withColumn("order_id", order))
 
 
 def paid(spark: SparkSession, sf: str) -> DataFrame:
     return sub.paid_grain(subs(spark, sf, "customer"))
 
 
+def credited(spark: SparkSession, sf: str) -> DataFrame:
+    """The paid grain where some orders are credits, below zero."""
+    lines = subs(spark, sf, "customer", "order_id")
+    credit = F.when(F.col("order_id") % 3 == 0, -F.col("usd_total")).otherwise(F.col("usd_total"))
+    return sub.paid_grain(lines.withColumn("usd_total", credit))
+
+
 def latest_12_months(spark: SparkSession, sf: str) -> DataFrame:
     totals = sub.subscription_totals(subs(spark, sf, "customer"))
     return totals.orderBy(F.col("snapshot_month").desc()).limit(12)
@@ -92,8 +102,8 @@ QUERIES = {
     "subscription_totals": lambda s, d: sub.subscription_totals(subs(s, d, "customer")),
     "latest_12_months": latest_12_months,
     "paid_grain": lambda s, d: paid(s, d).withColumn("revenue", sub.double("revenue")),
-    "logo_churn": lambda s, d: sub.logo_churn(paid(s, d)),
-    "revenue_churn": lambda s, d: sub.revenue_churn(paid(s, d)),
+    "logo_churn": lambda s, d: sub.logo_churn(credited(s, d)),
+    "revenue_churn": lambda s, d: sub.revenue_churn(credited(s, d)),
     "retention": lambda s, d: sub.retention(paid(s, d)),
     "retention_matrix": retention_matrix,
     "family_pivot": family_pivot,
@@ -158,19 +168,22 @@ card AS (
   SELECT month AS snapshot_month, service_family, plan_variant, region,
          CASE WHEN place <= 5 THEN 'Tier 1 - Top 5' WHEN place <= 20 THEN 'Tier 2 - Top 20'
               ELSE 'Tier 3 - Long Tail' END AS customer_tier, 'ALL' AS sku,
-         count(DISTINCT customer) AS active_subscriptions, count(DISTINCT order_id) AS new_subscriptions,
+         count(DISTINCT customer) AS active_subscriptions, count(DISTINCT CASE WHEN order_id % 31 <> 0 THEN order_id END)
+           + max(CASE WHEN order_id % 31 = 0 THEN 1 ELSE 0 END) AS new_subscriptions,
          CAST(sum(usd_total) AS DOUBLE) AS mrr_usd, CAST(sum(quantity) AS DOUBLE) AS total_quantity,
          CAST(sum(quantity) AS DOUBLE) / count(DISTINCT customer) AS avg_seats
   FROM subs JOIN tiers USING (customer) GROUP BY ALL
 ),
 paid AS (SELECT month, customer, family, sum(usd_total) AS revenue FROM subs GROUP BY ALL),
-months AS (SELECT month, lag(month) OVER (ORDER BY month) AS previous FROM (SELECT DISTINCT month FROM paid)),
-pairs AS (SELECT DISTINCT customer, family FROM paid),
+credited AS (SELECT month, customer, family, sum(CASE WHEN order_id % 3 = 0 THEN -usd_total ELSE usd_total END) AS revenue
+  FROM subs GROUP BY ALL),
+months AS (SELECT month, lag(month) OVER (ORDER BY month) AS previous FROM (SELECT DISTINCT month FROM credited)),
+pairs AS (SELECT DISTINCT customer, family FROM credited),
 steps AS (
   SELECT m.month, coalesce(now.revenue, 0::DECIMAL(38,7)) AS cur, coalesce(was.revenue, 0::DECIMAL(38,7)) AS prev
   FROM months m CROSS JOIN pairs p
-  LEFT JOIN paid now ON now.month = m.month AND now.customer = p.customer AND now.family = p.family
-  LEFT JOIN paid was ON was.month = m.previous AND was.customer = p.customer AND was.family = p.family
+  LEFT JOIN credited now ON now.month = m.month AND now.customer = p.customer AND now.family = p.family
+  LEFT JOIN credited was ON was.month = m.previous AND was.customer = p.customer AND was.family = p.family
   WHERE m.previous IS NOT NULL
 ),
 monthly AS (

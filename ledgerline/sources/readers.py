@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions import fixed_values as fixed
 from ..functions import text
+from ..functions.periods import any_date
 from ..functions.numbers import clip_negative, number_or_zero
 
 # --- sheets ------------------------------------------------------------------------
@@ -71,7 +72,7 @@ def history_from_clean(df: DataFrame, default_channel: str = "sales") -> DataFra
     quantity, revenue = _first(df, ("Quantity",)), _first(df, ("usd_adjusted_total", "Total"))
     zero = F.lit(0.0)
     history = df.select(
-        date.try_cast("date").alias("sale_date"),
+        any_date(date).alias("sale_date"),
         F.coalesce(*skus, F.lit(fixed.UNSPECIFIED_SKU)).alias("sku"),
         F.coalesce(
             text.strip(channel) if channel is not None else F.lit(None), F.lit(default_channel)
@@ -101,7 +102,7 @@ def history_from_sheet(df: DataFrame, name: str) -> DataFrame | None:
     if date is None or sku is None or quantity is None:
         return None
     day = F.coalesce(
-        date.try_cast("date"), F.try_to_date(F.concat(date.cast("string"), F.lit("/01")), "yyyy/MM/dd")
+        any_date(date), F.try_to_date(F.concat(date.cast("string"), F.lit("/01")), "yyyy/MM/dd")
     )
     return df.select(
         day.alias("sale_date"),

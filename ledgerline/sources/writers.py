@@ -2,15 +2,14 @@
 
 from __future__ import annotations
 
-import re
-from functools import reduce
 from typing import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import fixed_values as fixed
+from ..functions import text
 from ..functions.numbers import clip_negative
 from ..session import settle
 
@@ -20,17 +19,13 @@ FORMATS = ("csv", "parquet")
 # --- sheets ----------------------------------------------------------------------------
 
 
-def sheet_token(name: str) -> str:
-    """Sheet name as a lower-case token, for names known to the driver."""
-    return re.sub("[^0-9a-zA-Z]+", "_", name).strip("_").lower() or fixed.EMPTY_SHEET_NAME
-
-
-def unique_tokens(names: Sequence[str]) -> dict[str, str]:
+def unique_tokens(spark: SparkSession, names: Sequence[str]) -> dict[str, str]:
     """A distinct token per sheet, numbered in arrival order until it is free."""
+    listed = spark.createDataFrame(list(enumerate(names)), "place int, name string")
+    bases = listed.select("name", text.sheet_token(F.col("name")).alias("base")).orderBy("place").collect()
     tokens: dict[str, str] = {}
-    for name in names:
-        base, nth = sheet_token(name), 1
-        token = base
+    for name, base in bases:
+        token, nth = base, 1
         while token in tokens.values():
             nth += 1
             token = f"{base}_{nth}"
@@ -53,7 +48,10 @@ def write_sheets(
 
     ``row_number`` names an extra column with a row id, increasing but not dense.
     """
-    paths = {name: f"{folder}/{token}" for name, token in unique_tokens(list(sheets)).items()}
+    if not sheets:
+        return {}
+    spark = next(iter(sheets.values())).sparkSession
+    paths = {name: f"{folder}/{token}" for name, token in unique_tokens(spark, list(sheets)).items()}
     for name, df in sheets.items():
         if row_number:
             df = df.select(F.monotonically_increasing_id().alias(row_number), "*")
@@ -77,7 +75,7 @@ def write_projected(df: DataFrame, path: str, columns: Sequence[str] = fixed.EXP
 
 
 def conform(df: DataFrame, schema: str | T.StructType, **literals: str) -> DataFrame:
-    """Exactly the columns of ``schema``: missing ones null, run metadata as literals."""
+    """Exactly the columns of ``schema``: missing ones null, run metadata as literals, bad cells null."""
     target = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
 
     def column(field: T.StructField) -> Column:
@@ -87,7 +85,7 @@ def conform(df: DataFrame, schema: str | T.StructType, **literals: str) -> DataF
             value = F.col(field.name)
         else:
             value = F.lit(None)
-        return value.cast(field.dataType).alias(field.name)
+        return value.try_cast(field.dataType).alias(field.name)
 
     return df.select(*[column(f) for f in target.fields])
 
@@ -103,12 +101,12 @@ def prepare_forecast(
     date = existing("forecast_date", F.col("sale_month") if "sale_month" in df.columns else F.lit(None))
     measures = [c for c in ("forecast_quantity", "forecast_revenue") if c in df.columns]
     filled = df.withColumns(
-        {"sku": existing("sku", sku), "channel": existing("channel", channel), "forecast_date": date.cast("date")}
+        {"sku": existing("sku", sku), "channel": existing("channel", channel), "forecast_date": date.try_cast("date")}
     )
     dated = filled.filter(F.col("forecast_date").isNotNull()).withColumns(
         {
             "sale_month": F.last_day(
-                F.coalesce(F.col("sale_month").cast("date"), F.col("forecast_date"))
+                F.coalesce(F.col("sale_month").try_cast("date"), F.col("forecast_date"))
                 if "sale_month" in df.columns else F.col("forecast_date")
             ),
             "created_at": F.current_timestamp(),
@@ -186,7 +184,3 @@ def materialise(df: DataFrame, table: str, views: Mapping[str, Sequence[str]], c
     stored = df.sparkSession.table(table)
     for view, members in views.items():
         stored.filter(F.col(channel).isin(*members)).createOrReplaceTempView(view)
-
-
-def union_all(frames: Sequence[DataFrame]) -> DataFrame:
-    return reduce(DataFrame.unionByName, frames)

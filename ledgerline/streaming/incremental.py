@@ -17,7 +17,10 @@ from pyspark.sql import types as T
 def snapshot_stream(
     spark: SparkSession, path: str, schema: T.StructType, kind: str = "parquet", files_per_batch: int = 1000
 ) -> DataFrame:
-    """Files of a folder as a stream. Column order and types come from ``schema``."""
+    """Files of a folder as a stream. Column order and types come from ``schema``.
+
+    ``files_per_batch`` only cuts the work into batches; all files are taken.
+    """
     reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch)
     return (reader.option("header", True).csv if kind == "csv" else reader.parquet)(path)
 
@@ -78,10 +81,13 @@ def rebuild_months(
         lines.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
             month, "batch"
         ).parquet(store)
-        stored = spark.read.parquet(store)
-        # Months are few: a partition list, read from folder names only.
+        stored = spark.read.schema(lines.schema).parquet(store)  # also where no line has been kept yet
+        # Months are few: a partition list, read from folder names only. Lines without a month are one of them.
         touched = [r[0] for r in stored.filter(F.col("batch") == number).select(month).distinct().collect()]
-        renewed = summarise(stored.filter(F.col(month).isin(touched)))
+        if not touched:
+            return
+        now = F.col(month).isin([m for m in touched if m is not None])
+        renewed = summarise(stored.filter(now | F.col(month).isNull() if None in touched else now))
         renewed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
             month
         ).parquet(mart)

@@ -5,7 +5,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerline.operators import arima, forecast
+from ledgerline.operators import forecast
 
 
 def monthly(spark, values, key="a", start="2022-01-31"):
@@ -57,70 +57,21 @@ def test_confidence(spark):
     assert [r[0].split()[0] for r in df.select(forecast.confidence(F.col("m"))).collect()] == ["High", "Moderate", "Low"]
 
 
-def test_fit_recovers_an_autoregression():
-    rng = np.random.default_rng(3)
-    w = np.zeros(400)
-    for t in range(1, 400):
-        w[t] = 0.6 * w[t - 1] + rng.normal()
-    model = arima.fit(np.cumsum(w), (1, 0, 0, 0), 1, 0, 12)
-    assert model["theta"][0] == pytest.approx(0.6, abs=0.1)
-    assert model["variance"] == pytest.approx(1.0, abs=0.2)
-
-
-def test_fit_recovers_a_moving_average():
-    e = np.random.default_rng(4).normal(size=500)
-    model = arima.fit(e + 0.5 * np.concatenate([[0], e[:-1]]), (0, 1, 0, 0), 0, 0, 12)
-    assert model["theta"][0] == pytest.approx(0.5, abs=0.1)
-
-
-def test_interval_of_a_random_walk_widens_with_the_root_of_time():
-    y = np.cumsum(np.random.default_rng(1).normal(size=200))
-    model = arima.fit(y, (0, 0, 0, 0), 1, 0, 12)
-    mean, error = arima.predict(y, model, 12, 4)
-    assert mean == pytest.approx([y[-1]] * 4)
-    assert error / error[0] == pytest.approx(np.sqrt([1, 2, 3, 4]))
-
-
-def test_seasonal_difference_repeats_the_season():
-    y = np.tile(np.arange(12.0), 5)
-    mean, _ = arima.predict(y, arima.fit(y, (0, 0, 0, 0), 0, 1, 12), 12, 12)
-    assert mean == pytest.approx(np.arange(12.0))
-
-
-def test_forecast_per_series_and_fallback(spark):
-    t = np.arange(60)
-    wave = 100 + t + 20 * np.sin(2 * np.pi * t / 12) + np.random.default_rng(0).normal(size=60)
-    df = monthly(spark, wave, "long", "2019-01-31").unionByName(monthly(spark, [3, 6, 9], "short"))
-    got = {}
-    for r in arima.arima_forecast(df, ["k"], 3).collect():
-        got.setdefault(r.k, []).append(r)
-    assert {r.method for r in got["short"]} == {"tail_mean"} and got["short"][0].forecast_quantity == 6.0
-    long = sorted(got["long"], key=lambda r: r.forecast_date)
-    ahead = np.arange(60, 63)
-    truth = 100 + ahead + 20 * np.sin(2 * np.pi * ahead / 12)
-    assert [r.forecast_quantity for r in long] == pytest.approx(truth, abs=6)
-    assert all(r.forecast_revenue_lower < r.forecast_revenue < r.forecast_revenue_upper for r in long)
-    assert long[0].forecast_date == dt.date(2024, 1, 31)
-
-
-def test_logs_keep_forecasts_positive(spark):
-    t = np.arange(40)
-    growth = np.exp(1 + 0.1 * t + np.random.default_rng(0).normal(scale=0.05, size=40))
-    rows = arima.arima_forecast(monthly(spark, growth), ["k"], 2, logs=True).orderBy("forecast_date").collect()
-    truth = np.exp(1 + 0.1 * np.arange(40, 42))
-    assert [r.forecast_quantity for r in rows] == pytest.approx(truth, rel=0.3)
-    assert all(0 < r.forecast_revenue_lower < r.forecast_revenue < r.forecast_revenue_upper for r in rows)
-
-
 def test_only_eligible_series_stay(spark):
     df = monthly(spark, range(16), "b").unionByName(monthly(spark, range(5), "c"))
     flags = forecast.eligibility(df, ["k"], "2023-02-01")
     assert {r.k for r in forecast.only_eligible(df, flags, ["k"]).collect()} == {"b"}
 
 
-def test_order_search_gives_one_order_per_series(spark):
-    rng = np.random.default_rng(2)
-    df = monthly(spark, 50 + rng.normal(size=20).cumsum(), "a").unionByName(monthly(spark, 40 + rng.normal(size=20), "b"))
-    rows = arima.order_search(df, ["k"], 2).collect()
-    assert len(rows) == 4 and len({(r.k, r.order) for r in rows}) == 2
-    assert all(r.forecast_lower <= r.forecast_volume <= r.forecast_upper for r in rows)
+def test_seasonal_forecast_repeats_season_and_growth(spark):
+    wave = [100 + 10 * (t % 12) + t for t in range(36)]
+    df = monthly(spark, wave, "long", "2019-01-31").unionByName(monthly(spark, [3, 6, 9], "short"))
+    got = {}
+    for r in forecast.seasonal_forecast(df, ["k"], 3).orderBy("forecast_date").collect():
+        got.setdefault(r.k, []).append(r)
+    assert [r.forecast_quantity for r in got["long"]] == pytest.approx([100 + 10 * (t % 12) + t for t in (36, 37, 38)])
+    assert got["long"][0].forecast_date == dt.date(2022, 1, 31)
+    assert all(r.forecast_revenue_lower == pytest.approx(r.forecast_revenue_upper) for r in got["long"])
+    assert [r.forecast_quantity for r in got["short"]] == [6.0] * 3 and got["short"][0].forecast_revenue_upper is None
+    with pytest.raises(ValueError, match="season"):
+        forecast.seasonal_forecast(df, ["k"], 13)

@@ -14,8 +14,8 @@ def test_split_and_reread_with_name_collision(spark, tmp_path):
         writers.write_sheets({"a": one}, str(tmp_path), kind="xlsx")
 
 
-def test_tokens_stay_unique_when_a_number_is_taken():
-    assert list(writers.unique_tokens(["a", "a_2", "a!", "!!"]).values()) == ["a", "a_2", "a_3", "worksheet"]
+def test_tokens_stay_unique_when_a_number_is_taken(spark):
+    assert list(writers.unique_tokens(spark, ["a", "a_2", "a!", "!!"]).values()) == ["a", "a_2", "a_3", "worksheet"]
 
 
 def test_read_sheets_with_different_headers(spark, tmp_path):
