@@ -277,7 +277,14 @@ def _best(visits: DataFrame, index: DataFrame, sizes: np.ndarray, asked: np.ndar
     return left.cogroup(right).applyInArrow(rows, BEST)
 
 
+def _scaled(matrix: np.ndarray) -> np.ndarray:
+    """Rows times a power of two, which is exact and keeps squares from vanishing or overflowing."""
+    _, exponent = np.frexp(np.abs(matrix).max(axis=-1, keepdims=True))
+    return np.ldexp(matrix, -exponent)
+
+
 def exact(vector: np.ndarray, others: np.ndarray) -> np.ndarray:
     """Cosines of one vector with each row, added up the same way whatever else is in the rows."""
+    vector, others = _scaled(vector), _scaled(others)
     dots = np.einsum("j,ij->i", vector, others)
     return dots / (np.sqrt(np.einsum("j,j->", vector, vector)) * np.sqrt(np.einsum("ij,ij->i", others, others)))

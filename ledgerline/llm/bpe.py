@@ -52,7 +52,8 @@ class MergeAutomaton:
         for rank, (u, v, w) in enumerate(merges):
             if w in made or self.birth[w] >= 0 or (u, v) in self.rank:
                 raise ValueError("two merges give the same token")
-            if self.birth[u] > rank or self.birth[v] > rank or labels[u] + labels[v] != labels[w]:
+            known = all(part in made or len(labels[part]) == 1 for part in (u, v))
+            if not known or labels[u] + labels[v] != labels[w]:
                 raise ValueError("a merge uses a token that is made later")
             self.rank[u, v] = rank
             self.birth[w], self.left[w], self.right[w] = rank, u, v
