@@ -1,16 +1,17 @@
 """Near duplicates by bottom-k sketches.
 
 A document's set holds its distinct word shingles, as hashes of one function. Its
-sketch holds the k smallest of them. Inverted lists over retained values bring
-documents together, the sketch of the union estimates their similarity, and the
-full sets decide.
+sketch holds the k smallest of them. Inverted lists over runs of retained values
+bring documents together, the sketch of the union estimates their similarity, and
+the full sets decide.
 
 How it stays small where many documents agree:
 
 * Equal sets are one class; only the class's smallest document goes on.
-* Similar documents share at least ``c`` retained values (``shared_values``), so it is
-  enough to list each document under all but its ``c - 1`` most frequent values.
-  Common word pairs and common passages are thereby never listed.
+* A list belongs to ``RUN`` retained values in a row. Documents that share a common
+  word pair or a passage of half their length rarely have the same values in a row;
+  similar documents have dozens of such runs in common (``spare_runs``), so that the
+  most frequent runs of a document need no list.
 * A list is not paired with itself. It is compared with a few leaders; what is
   linked becomes one component, and further rounds only compare members of a list
   that are still in different components. So the pairs of a large group of near
@@ -35,12 +36,19 @@ from ledgerline.session import settle
 WORD_BYTES = byte_class((0x20, 0x20), (0x09, 0x0D))
 #: Retained values.
 SKETCH = 64
-#: Standard deviations allowed for chance in the sketches: about one link in ten million at the limit itself.
+#: Retained values in a row that make a list.
+RUN = 3
+#: Most frequent runs of a document without a list. Sketches of 64 values of sets at the limit of 0.8 have fewer than
+#: this many runs and one more in common in fewer than one of 100,000 cases.
+SPARE = 6
+#: Standard deviations that the estimate may be off.
 SIGMAS = 5.3
 #: Buckets in which the frequency of values is counted; the table of counts has this size at any scale.
 BUCKETS = 1 << 20
 #: Leaders of a list in a round, and rounds before all remaining pairs of components are compared.
 LEADERS, ROUNDS = 8, 2
+#: Lists fewer than the most that a leader may be in.
+NEARLY = 6
 
 
 def shingle_sets(texts: pa.Array, size: int) -> Iterator[np.ndarray]:
@@ -94,40 +102,64 @@ def _full_sets(texts: DataFrame, size: int) -> DataFrame:
     return texts.mapInArrow(rows, "id long, whole array<long>")
 
 
-def shared_values(n: int, threshold: float, k: int) -> int:
-    """Retained values that a document of ``n`` values shares with every similar one.
+def spare_runs(n: int, threshold: float, k: int, run: int = RUN) -> int:
+    """Runs of a document of ``n`` values that need no list, since similar documents share more than these.
 
-    Small sets, whose partners are retained whole, by counting; others up to
-    ``SIGMAS`` standard deviations below the expected number.
+    Of a union of ``u`` values up to ``d`` are in one set only and cut the others into ``d + 1``
+    rows, which lose ``run - 1`` runs each. Sets whose partners are retained whole are settled
+    by this count, the others, whose sketches are samples of a fixed size, by chance.
     """
-    if n <= threshold * k:
-        return int(np.ceil(threshold * n - 1e-9))
-    return max(1, int(threshold * k - SIGMAS * np.sqrt(k * threshold * (1 - threshold))))
+    if n > threshold * k:
+        return SPARE
+    shared = []
+    for u in range(n, int(n / threshold + 1e-9) + 1):
+        d = int(u * (1 - threshold) + 1e-9)
+        shared.append(u - d - (run - 1) * (d + 1))
+    return max(0, min(SPARE, min(shared) - 1))
+
+
+def _runs(batch: pa.RecordBatch, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+    """(row, run) of all sketches: ``RUN`` values in a row, and two of sets so small that one difference breaks all rows."""
+    lists = batch.column("sketch")
+    ends = lists.offsets.to_numpy() - lists.offsets.to_numpy()[0]
+    flat = lists.flatten().to_numpy(zero_copy_only=False).view(np.uint64)
+    sizes = np.diff(ends)
+    row = np.repeat(np.arange(len(sizes)), sizes)
+    left = ends[1:][row] - np.arange(len(flat))
+    small = sizes <= int(1 / (1 - threshold) + 1e-9)
+    whole = (left >= RUN)[: max(0, len(flat) - RUN + 1)]
+    pairs = ((left >= 2) & small[row])[: max(0, len(flat) - 1)]
+    of = np.concatenate([row[: len(whole)][whole], row[: len(pairs)][pairs]])
+    return of, np.concatenate([grams(flat, RUN)[whole], grams(flat, 2)[pairs]]).view(np.int64)
 
 
 def _index(reps: DataFrame, threshold: float, k: int) -> DataFrame:
-    """value, id: each document under its rarest retained values."""
-    bucket = F.pmod(F.col("value"), F.lit(BUCKETS))
-    counted = reps.select(F.explode("sketch").alias("value")).groupBy(bucket.alias("bucket")).agg(F.count("*").alias("n"))
+    """value, id: each document under the runs of its sketch, without its most frequent ones."""
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            buckets, n = np.unique(_runs(batch, threshold)[1] % BUCKETS, return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(buckets), pa.array(n)], names=["bucket", "n"])
+
+    found = reps.select("sketch").mapInArrow(counted, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n"))
+    found = found.toArrow()  # one number per bucket
     table = np.zeros(BUCKETS, dtype=np.int64)
-    found = counted.toPandas()  # one number per bucket
-    table[found["bucket"].to_numpy()] = found["n"].to_numpy()
+    table[found.column("bucket").to_numpy()] = found.column("n").to_numpy()
     counts = reps.sparkSession.sparkContext.broadcast(table)
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         often = counts.value
         for batch in batches:
-            ids, values = [], []
-            sets = batch.column("sketch")
-            for doc, n, values_of in zip(batch.column("id").to_pylist(), batch.column("n").to_pylist(), sets):
-                sketch = values_of.values.to_numpy()
-                order = np.lexsort((sketch, often[sketch % BUCKETS]))
-                listed = sketch[order[: len(sketch) - shared_values(n, threshold, k) + 1]]
-                ids.append(np.full(len(listed), doc))
-                values.append(listed)
-            if ids:
-                flat = [pa.array(np.concatenate(x).astype(np.int64)) for x in (values, ids)]
-                yield pa.RecordBatch.from_arrays(flat, names=["value", "id"])
+            row, run = _runs(batch, threshold)
+            order = np.lexsort((run, -often[run % BUCKETS], row))
+            row, run = row[order], run[order]
+            first = np.searchsorted(row, np.arange(batch.num_rows))
+            spare = np.array([spare_runs(n, threshold, k) for n in batch.column("n").to_pylist()], dtype=np.int64)
+            # small sets keep all: their runs of two come in addition
+            spare[np.diff(np.append(first, len(row))) <= spare + RUN] = 0
+            listed = np.arange(len(row)) - first[row] >= spare[row]
+            ids = batch.column("id").to_numpy()[row[listed]]
+            yield pa.RecordBatch.from_arrays([pa.array(run[listed]), pa.array(ids)], names=["value", "id"])
 
     return reps.select("id", "n", "sketch").mapInArrow(rows, "value long, id long")
 
@@ -209,9 +241,15 @@ def near_duplicates(
 
 
 def _leader_pairs(lists: DataFrame, turn: int) -> DataFrame:
-    """Every member of a list with one leader of it; lists of one group share a few leaders."""
-    draw = F.xxhash64("id", F.pmod("value", F.lit(LEADERS)), F.lit(turn))
-    leaders = lists.groupBy("value").agg(F.min(F.struct(draw.alias("draw"), "id", "component")).alias("leader"))
+    """Every member of a list with one leader of it; lists of one group share a few leaders.
+
+    Leaders are drawn among the documents that are in about the most lists: those in the
+    middle of a group, which most of its members are similar to.
+    """
+    of = lists.groupBy("id").agg(F.count("*").alias("in_lists"))
+    chance = F.pmod(F.xxhash64("id", F.pmod("value", F.lit(LEADERS)), F.lit(turn)), F.lit(1000)) / 1000
+    drawn = lists.join(of, "id").withColumn("draw", F.col("in_lists") + NEARLY * chance)
+    leaders = drawn.groupBy("value").agg(F.max(F.struct("draw", "id", "component")).alias("leader"))
     met = lists.join(leaders, "value").where("component <> leader.component")
     a, b = F.least("id", "leader.id"), F.greatest("id", "leader.id")
     return met.select(a.alias("a"), b.alias("b")).distinct()
