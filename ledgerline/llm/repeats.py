@@ -8,9 +8,9 @@ A byte goes if a string of ``length`` bytes that covers it also starts elsewhere
    windows repeats. This settles the inside of all copies, of any number.
 2. What is left are spans at the borders of copies. Their bytes, and those of one
    copy of each repeated span with the same anchor, meet by anchor. Each task builds
-   the suffix array of its spans, the nearest smaller and greater positions in suffix
-   order and the common prefixes with them: the longest previous and the longest next
-   factor of every window. A window repeats if either reaches ``length``.
+   the suffix array of its spans, the nearest smaller positions in suffix order and the
+   common prefixes with them: the longest previous factor of every window. A window
+   whose factor reaches ``length`` repeats, and so does the place of the factor.
 3. Anchors with very many different borders (``HOT``) would make one task large.
    Their windows are counted by hash instead, which any number of tasks share.
 
@@ -157,46 +157,36 @@ def _contexts(docs: DataFrame, length: int) -> DataFrame:
     return docs.mapInArrow(rows, CONTEXTS)
 
 
-def suffix_ranks(data: np.ndarray, gaps: np.ndarray, depth: int) -> list[np.ndarray]:
-    """Ranks of all suffixes by their first 1, 2, 4, ... bytes, up to ``depth`` at least; ``gaps`` marks separators."""
-    ranks = [np.where(gaps, 0, data.astype(np.int64) + 1)]
-    size = 1
-    while size < depth:
-        now = ranks[-1]
-        ahead = np.zeros(len(now), dtype=np.int64)
-        ahead[:-size or None] = now[size:]
-        ahead[now == 0] = 0
-        pairs = now * (int(now.max(initial=0)) + 1) + ahead
-        order = np.argsort(pairs)
-        steps = np.zeros(len(now), dtype=np.int64)
-        steps[order[1:]] = pairs[order[1:]] != pairs[order[:-1]]
-        rank = np.empty(len(now), dtype=np.int64)
-        rank[order] = np.cumsum(steps[order])
-        ranks.append(rank + 1 if not (now == 0).any() else rank)
+def suffix_ranks(data: np.ndarray, depth: int) -> list[np.ndarray]:
+    """Ranks of all suffixes by their first 8, 16, 32, ... bytes, up to ``depth`` at most; a suffix goes on behind a gap."""
+    padded = np.concatenate([data, np.zeros(8, dtype=np.uint8)]).astype(np.uint64)
+    word = np.zeros(len(data), dtype=np.uint64)
+    for i in range(8):
+        word = (word << np.uint64(8)) | padded[i : i + len(data)]
+    ranks, size = [_dense(word)], 8
+    while 2 * size <= depth:
+        ranks.append(_dense(_joined(ranks[-1], ranks[-1], size)))
         size *= 2
     return ranks
 
 
-def _ended(data_size: int, gaps: np.ndarray) -> np.ndarray:
-    """Bytes from each place to the next separator."""
-    at = np.flatnonzero(gaps)
-    return np.append(at, data_size)[np.searchsorted(at, np.arange(data_size))] - np.arange(data_size)
+def _dense(values: np.ndarray) -> np.ndarray:
+    """Ranks from 1 on; equal values have one rank."""
+    order = np.argsort(values)
+    steps = np.ones(len(values), dtype=np.int64)
+    if len(values):
+        held = values[order]
+        steps[1:] = held[1:] != held[:-1]
+    rank = np.empty(len(values), dtype=np.int64)
+    rank[order] = np.cumsum(steps)
+    return rank
 
 
-def common_prefixes(ranks: list[np.ndarray], left: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Bytes that the suffixes at ``a`` and ``b`` share, up to twice the deepest rank's bytes."""
-    total = np.zeros(len(a), dtype=np.int64)
-    a, b = a.copy(), b.copy()
-    last = len(left) - 1
-    for level in range(len(ranks) - 1, -1, -1):
-        size = 1 << level
-        inside = (a <= last) & (b <= last)
-        ia, ib = np.minimum(a, last), np.minimum(b, last)
-        same = inside & (ranks[level][ia] == ranks[level][ib]) & (left[ia] >= size) & (left[ib] >= size)
-        total += same * size
-        a += same * size
-        b += same * size
-    return total
+def _joined(first: np.ndarray, second: np.ndarray, offset: int) -> np.ndarray:
+    """Pairs of a rank and the rank ``offset`` bytes on, as one number; 0 behind the end."""
+    ahead = np.zeros(len(first), dtype=np.int64)
+    ahead[: len(first) - offset] = second[offset:]
+    return first * (int(second.max(initial=0)) + 1) + ahead
 
 
 def nearest_smaller(values: np.ndarray) -> np.ndarray:
@@ -209,28 +199,46 @@ def nearest_smaller(values: np.ndarray) -> np.ndarray:
     return near
 
 
-def factors(data: np.ndarray, gaps: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
-    """Longest previous and longest next factor of every place, counted up to ``depth`` bytes or more.
+def previous_factors(data: np.ndarray, starts: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """Longest previous factors of the suffixes at ``starts`` (ascending), counted up to ``length`` bytes, which all
+    of them have, and where they start.
 
-    In suffix order the best earlier match of a place is one of the two nearest places with
-    a smaller position, and the best later match one of the two with a greater position.
+    In suffix order the best earlier match of a place is one of the two nearest places with a
+    smaller position. Ranks of growing powers of two give the suffix order to the depth of
+    ``length`` and the common prefixes.
     """
-    ranks = suffix_ranks(data, gaps, depth)
-    left = _ended(len(data), gaps)
-    order = np.argsort(ranks[-1], kind="stable")
-    out = []
-    for position in (order, -order):
-        best = np.zeros(len(order), dtype=np.int64)
-        for turned in (False, True):
-            near = nearest_smaller(position[::-1] if turned else position)
-            if turned:
-                near = np.where(near[::-1] >= 0, len(order) - 1 - near[::-1], -1)
-            has = near >= 0
-            best[has] = np.maximum(best[has], common_prefixes(ranks, left, order[has], order[near[has]]))
-        result = np.zeros(len(order), dtype=np.int64)
-        result[order] = best
-        out.append(result)
-    return out[0], out[1]
+    ranks = suffix_ranks(data, length)
+    last = 8 << (len(ranks) - 1)
+    deep = _joined(ranks[-1], ranks[-1], length - last)[starts]
+    order = np.argsort(deep, kind="stable")
+    position = starts[order]
+    best, source = np.zeros(len(order), dtype=np.int64), np.full(len(order), -1)
+    for turned in (False, True):
+        near = nearest_smaller(position[::-1] if turned else position)
+        if turned:
+            near = np.where(near[::-1] >= 0, len(order) - 1 - near[::-1], -1)
+        has = np.flatnonzero(near >= 0)
+        common = common_prefixes(data, ranks, position[has], position[near[has]], length)
+        more = common > best[has]
+        best[has[more]], source[has[more]] = common[more], position[near[has[more]]]
+    back = np.empty(len(order), dtype=np.int64)
+    back[order] = np.arange(len(order))
+    return best[back], source[back]
+
+
+def common_prefixes(data: np.ndarray, ranks: list[np.ndarray], a: np.ndarray, b: np.ndarray, length: int) -> np.ndarray:
+    """Bytes that the suffixes at ``a`` and ``b`` share, up to ``length``, which both have."""
+    total = np.zeros(len(a), dtype=np.int64)
+    last = len(data) - 1
+    for level in range(len(ranks) - 1, -1, -1):
+        size = 8 << level
+        for _ in range(2 if level + 1 == len(ranks) else 1):
+            at, to = np.minimum(a + total, last), np.minimum(b + total, last)
+            total += size * ((ranks[level][at] == ranks[level][to]) & (total + size <= length))
+    for _ in range(7):
+        at, to = np.minimum(a + total, last), np.minimum(b + total, last)
+        total += (data[at] == data[to]) & (total < length)
+    return total
 
 
 def _runs(flags: np.ndarray, start: int) -> list[dict]:
@@ -249,10 +257,13 @@ def _sorted_matches(contexts: DataFrame, length: int) -> DataFrame:
         data = np.frombuffer(b"\0".join(row["body"] for row in group), dtype=np.uint8)
         sizes = np.array([len(row["body"]) for row in group])
         ends = np.cumsum(sizes + 1) - 1
-        gaps = np.zeros(len(data), dtype=bool)
-        gaps[ends[:-1]] = True
-        before, behind = factors(data, gaps, length)
-        repeats = np.maximum(before, behind) >= length
+        windows = sizes - length + 1
+        starts = np.repeat(ends - sizes, windows) + np.arange(windows.sum()) - np.repeat(np.cumsum(windows) - windows, windows)
+        before, source = previous_factors(data, starts, length)
+        later = before >= length
+        repeats = np.zeros(len(data), dtype=bool)
+        repeats[starts[later]] = True
+        repeats[source[later]] = True  # the first copies: the second ones match nothing else before them
         found = [_runs(repeats[end - size : end - length + 1], row["low"]) for row, size, end in zip(group, sizes, ends)]
         rows = [{"key": r["key"], "mark": r["mark"], "found": f} for r, f in zip(group, found) if f]
         return pa.RecordBatch.from_pylist(rows, schema=schema)
@@ -353,7 +364,7 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     rows that share an id are judged by themselves, and null ids are kept. Other columns
     are not read.
     """
-    if length <= GRAM:
+    if length <= GRAM:  # an anchor is shorter than its window, and suffix ranks start at eight bytes
         raise ValueError(f"length must be over {GRAM}")
     texts = id_and_text(df, id_col, text_col)
     # id and a hash of the text: what belongs to a row

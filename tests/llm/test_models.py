@@ -212,21 +212,19 @@ def test_repeats_of_a_long_text_and_of_rows(spark):
 
 def test_factors_against_all_pairs():
     random_ = random.Random(11)
-    for _ in range(20):
-        rows = ["".join(random_.choice("ab") for _ in range(random_.randrange(1, 25))).encode() for _ in range(4)]
-        data = b"\0".join(rows)
-        gaps = np.frombuffer(data, dtype=np.uint8) == 0
-        before, behind = repeats.factors(np.frombuffer(data, dtype=np.uint8), gaps, 32)
-
-        def common(i, j):
-            n = 0
-            while max(i, j) + n < len(data) and data[i + n] == data[j + n] and not gaps[i + n]:
-                n += 1
-            return n
-
-        for i in np.flatnonzero(~gaps):
-            assert before[i] == max((common(i, j) for j in range(i)), default=0)
-            assert behind[i] == max((common(i, j) for j in range(i + 1, len(data))), default=0)
+    for length in (8, 13, 16, 37):
+        for _ in range(12):
+            data = "".join(random_.choice("ab") * random_.randrange(1, 9) for _ in range(40)).encode()
+            raw = np.frombuffer(data, dtype=np.uint8)
+            starts = np.array(sorted(random_.sample(range(len(data) - length + 1), 30)))
+            best, source = repeats.previous_factors(raw, starts, length)
+
+            def common(i, j):
+                return next((n for n in range(length) if data[i + n] != data[j + n]), length)
+
+            for at, n, from_ in zip(starts, best, source):
+                assert n == max((common(at, j) for j in starts if j < at), default=0)
+                assert n == 0 or (from_ < at and common(at, from_) == n)
 
 
 def test_op9(spark):
