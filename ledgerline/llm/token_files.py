@@ -31,7 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ledgerline.llm.chunks import ChunkMemory
+from ledgerline.llm.chunks import ChunkMemory, by_parts
 from ledgerline.llm.tables import id_and_text, slices
 
 #: Ids that close a block; documents are whole, so a block may be longer.
@@ -81,24 +81,54 @@ def unpack(words: bytes, bits: int, start: int, count: int) -> np.ndarray:
     return ids.T.reshape(-1)[start - low * 64 :][:count]
 
 
-@lru_cache(maxsize=2)
-def _encoder(path: str) -> ChunkMemory:
-    """The library's ids of a chunk as little-endian 32-bit integers, one per worker process."""
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    from tokenizers import Tokenizer
+#: Characters that one call of the library encodes.
+CALL_CHARS = 50_000
+
+
+class LibraryEncoder:
+    """The library's ids of chunks, as little-endian 32-bit integers.
+
+    Many pieces are encoded in one call, with an added token of the vocabulary between
+    them, which keeps them apart.
+    """
+
+    def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
+
+        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer.no_padding()
+        self.tokenizer.no_truncation()
+        added = [(i, t.content) for i, t in self.tokenizer.get_added_tokens_decoder().items() if not (t.lstrip or t.rstrip or t.single_word)]
+        self.apart, self.mark = added[0] if added else (None, "")
+        self.memory = ChunkMemory(by_parts(self.encoded))
 
-    tokenizer = Tokenizer.from_file(path)
-    tokenizer.no_padding()
-    tokenizer.no_truncation()
+    def encoded(self, texts: list[str]) -> list[bytes]:
+        found: list[bytes] = []
+        part: list[str] = []
+        filled = 0
+        for text in texts:
+            part.append(text)
+            filled += len(text)
+            if filled >= CALL_CHARS:  # an encoding takes many times the memory of its text
+                found += self._call(part)
+                part, filled = [], 0
+        return found + self._call(part) if part else found
+
+    def _call(self, texts: list[str]) -> list[bytes]:
+        if self.apart is None or any(self.mark in text for text in texts):
+            batch = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+            return [np.array(e.ids, dtype="<u4").tobytes() for e in batch]
+        joined = self.tokenizer.encode_batch_fast([self.mark.join(texts)], add_special_tokens=False)[0]
+        ids = np.array(joined.ids, dtype="<u4")
+        data, cuts = ids.tobytes(), (np.flatnonzero(ids == self.apart) * 4).tolist()
+        return [data[a:b] for a, b in zip([0, *(cut + 4 for cut in cuts)], [*cuts, len(data)])]
 
-    def compute(chunks: list[str]) -> list[bytes]:
-        found = []
-        for start in range(0, len(chunks), 4096):
-            batch = tokenizer.encode_batch_fast(chunks[start : start + 4096], add_special_tokens=False)
-            found.extend(np.array(e.ids, dtype="<u4").tobytes() for e in batch)
-        return found
 
-    return ChunkMemory(compute)
+@lru_cache(maxsize=2)
+def _encoder(path: str) -> ChunkMemory:
+    """One per worker process."""
+    return LibraryEncoder(path).memory
 
 
 def vocabulary_size(path: str) -> int:
@@ -171,7 +201,7 @@ def write_ids(
 def read_ids(spark: SparkSession, path: str) -> DataFrame:
     """One row per document: doc, start (ids of all documents before it), ids (little-endian 32-bit integers)."""
     table = spark.read.schema(BLOCKS).parquet(path)
-    # one row per shard, that is per partition of the write
+    # one row per shard, that is per partition of the write: small enough for a broadcast at any size
     before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     shards = table.groupBy("shard").agg(F.sum("n_ids").alias("n_ids"))
     starts = shards.select("shard", F.coalesce(F.sum("n_ids").over(before), F.lit(0)).alias("shard_start"))
@@ -192,7 +222,7 @@ def read_ids(spark: SparkSession, path: str) -> DataFrame:
                 )
 
     docs = table.mapInArrow(documents, "doc long, shard int, start long, ids binary")
-    return docs.join(starts, "shard").select("doc", (F.col("shard_start") + F.col("start")).alias("start"), "ids")
+    return docs.join(F.broadcast(starts), "shard").select("doc", (F.col("shard_start") + F.col("start")).alias("start"), "ids")
 
 
 def read_range(spark: SparkSession, path: str, start: int, count: int) -> np.ndarray:
