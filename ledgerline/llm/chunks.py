@@ -1,7 +1,8 @@
 """Texts as sequences of chunks whose tokens do not depend on their neighbours.
 
-Every pre-tokeniser used here ends a piece before a blank that follows a
-non-blank. A text can therefore be cut in front of its blanks, and equal chunks
+Every pre-tokeniser used here ends a piece before a blank that follows something
+else than white space; inside a run of mixed white space a piece may go on. A text
+can therefore be cut in front of the blanks that start such a run, and equal chunks
 give equal tokens wherever they stand. A task tokenises each distinct chunk once
 and looks the others up, in a memory of bounded size.
 """
@@ -11,8 +12,10 @@ from __future__ import annotations
 import re
 from collections.abc import Callable, Sequence
 
-#: A run of blanks with what follows it, or a start without blanks.
-SPACED = re.compile(" +[^ ]*|[^ ]+")
+#: In front of a blank that follows something else than white space: a run of white space stays whole.
+SPACED = re.compile(r"(?<=\S)(?= )")
+#: A blank behind other white space.
+MIXED = re.compile(r" (?<=[^\S ] )")
 #: In front of a line break that follows something else than white space, where no piece goes on.
 BREAK = re.compile(r"(?<=\S)(?=\n)")
 #: Distinct chunks of a generation; a worker remembers two.
@@ -47,11 +50,12 @@ class ChunkMemory:
             self.old_plain, self.old_after = self.plain, self.after
             self.plain, self.after = {}, {}
         cut = [text.split(" ") for text in texts]
-        odd = {row for row, pieces in enumerate(cut) if "" in pieces}  # several blanks in a row, or at an end
+        # several blanks in a row, or at an end, or behind other white space
+        odd = {row for row, pieces in enumerate(cut) if "" in pieces or MIXED.search(texts[row])}
         plain, after = set(), set()
         for row, pieces in enumerate(cut):
             if row in odd:
-                cut[row] = pieces = SPACED.findall(texts[row])
+                cut[row] = pieces = SPACED.split(texts[row])
                 plain.update(pieces)
             else:
                 plain.add(pieces[0])

@@ -86,6 +86,24 @@ def test_automaton_is_the_library_on_random_text():
         assert bpe.labels_of(BYTE_BPE).decode(ids) == BYTE.decode(ids, skip_special_tokens=False)
 
 
+SPACES = ["x \u00a0 \u00a0 y", "a \t b\t \tc", "a \n b \r\n \n  c", "end \u00a0 ", "\u00a0 \u00a0 start", "a \u00a0\n\u00a0 b", "\n \u3000 z."]
+
+
+def test_runs_of_mixed_white_space_stay_whole():
+    random_ = random.Random(11)
+    texts = [*ODD, *SPACES]
+    for _ in range(1500):
+        texts.append("".join(random_.choice("    \u00a0\u00a0\t\n\r\u2003\u0085ab.,1'") for _ in range(random_.randrange(25))))
+    texts = [text or "" for text in texts]
+    expected = [ids_of(BYTE, text) for text in texts]
+    library = token_files.LibraryEncoder(BYTE_BPE).memory.values(texts)
+    assert [np.frombuffer(b"".join(values), dtype="<u4").tolist() for values in library] == expected
+    assert [ids.tolist() for ids in bpe.codec(BYTE_BPE).encode_texts(texts)] == expected
+    words, single = token_count.word_vocabulary(WORD_BPE), token_count.proven_words(WORD_BPE)
+    memory = token_count.ChunkMemory(lambda chunks: [words.count(chunk, single) for chunk in chunks])
+    assert [sum(values) for values in memory.values(texts)] == [len(ids_of(WORD, text)) for text in texts]
+
+
 def test_decoding_of_broken_and_unknown_ids():
     ids = [random.Random(3).randrange(50257) for _ in range(300)]
     assert bpe.labels_of(BYTE_BPE).decode(ids) == BYTE.decode(ids, skip_special_tokens=False)
