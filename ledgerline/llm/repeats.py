@@ -11,7 +11,7 @@ A byte goes if a string of ``length`` bytes that covers it also starts elsewhere
    the suffix array of its spans, the nearest smaller positions in suffix order and the
    common prefixes with them: the longest previous factor of every window. A window
    whose factor reaches ``length`` repeats, and so does the place of the factor.
-3. Anchors with very many different borders (``HOT``) would make one task large.
+3. Anchors with very many different borders (``HOT``, ``HOT_BYTES``) would make one task large.
    Their windows are counted by hash instead, which any number of tasks share.
 
 Texts are cut again in each pass instead of being kept in pieces, and travel packed.
@@ -24,7 +24,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.llm.anchors import find_anchors
@@ -34,6 +34,8 @@ from ledgerline.session import settle
 
 #: Different border spans of an anchor that one task compares by suffix order.
 HOT = 20_000
+#: Bytes of them; a span has less than twice the bytes of a window.
+HOT_BYTES = 8 << 20
 #: Bytes whose suffixes are sorted together.
 SORTED_BYTES = 1 << 20
 #: Bytes of an anchor's gram.
@@ -71,14 +73,13 @@ def _counted(texts: DataFrame, length: int) -> DataFrame:
 def _repeated(texts: DataFrame, length: int) -> DataFrame:
     """The spans whose anchor occurs twice: gram, span, whole (the span itself repeats), mixed (other spans of the
     anchor do not), hot (the anchor has very many spans)."""
-    # one exchange serves both levels
-    spans = _counted(texts, length).repartition("gram").groupBy("gram", "span").agg(F.sum("n").alias("n"))
-    of_gram = Window.partitionBy("gram")
-    spans = spans.withColumns(
-        {"total": F.sum("n").over(of_gram), "least": F.min("n").over(of_gram), "spans": F.count("*").over(of_gram)}
-    )
-    return spans.where("total > 1").select(
-        "gram", "span", F.expr("n > 1").alias("whole"), F.expr("least = 1").alias("mixed"), (F.col("spans") > HOT).alias("hot")
+    spans = settle(_counted(texts, length).groupBy("gram", "span").agg(F.sum("n").alias("n")))
+    grams = spans.groupBy("gram").agg(F.sum("n").alias("total"), F.min("n").alias("least"), F.count("*").alias("spans"))
+    grams = settle(grams.where("total > 1"))
+    # each span of an anchor reaches its task once, by _contexts
+    hot = F.col("spans") > min(HOT, HOT_BYTES // (2 * length))
+    return spans.join(grams, "gram").select(
+        "gram", "span", F.expr("n > 1").alias("whole"), F.expr("least = 1").alias("mixed"), hot.alias("hot")
     )
 
 
@@ -123,15 +124,19 @@ def _members(values: np.ndarray, sorted_set: np.ndarray) -> np.ndarray:
     return sorted_set[at] == values
 
 
+#: Bytes of border spans that a task holds as Python objects.
+HELD_BYTES = 4 << 20
 CONTEXTS = "hot boolean, gram long, key long, mark int, low int, high int, body binary"
 
 
 def _contexts(docs: DataFrame, length: int) -> DataFrame:
-    """The bytes of the border spans of each text."""
+    """The bytes of the border spans of each text. A span that repeats in its text is wanted as one copy of many, so
+    its first place is enough; other border spans have one place."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out: dict[str, list] = {name: [] for name in ("hot", "gram", "key", "mark", "low", "high", "body")}
+            out: dict[str, list] = {name: [] for name in schema.names}
+            filled = 0
             lists = zip(batch.column("sorted").to_pylist(), batch.column("hot").to_pylist())
             keys, marks = batch.column("key").to_pylist(), batch.column("mark").to_pylist()
             for row, (data, (wanted, hot)) in enumerate(zip(_unpacked(batch.column("packed")), lists)):
@@ -141,11 +146,16 @@ def _contexts(docs: DataFrame, length: int) -> DataFrame:
                 for i, name in enumerate(span.view(np.int64).tolist()):
                     if name not in wanted:
                         continue
+                    wanted.remove(name)
                     low, high = int(found.low[i]), int(found.high[i])
                     gram = int(found.gram.view(np.int64)[i])
                     values = (name in hot, gram, keys[row], marks[row], low, high, data[low : high + length])
                     for column, value in zip(out.values(), values):
                         column.append(value)
+                    filled += high + length - low
+                    if filled >= HELD_BYTES:
+                        yield pa.RecordBatch.from_pydict(out, schema=schema)
+                        out, filled = {name: [] for name in schema.names}, 0
             yield pa.RecordBatch.from_pydict(out, schema=schema)
 
     schema = pa.schema(

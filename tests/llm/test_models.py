@@ -210,6 +210,28 @@ def test_repeats_of_a_long_text_and_of_rows(spark):
     assert repeats.remove_repeats(empty(spark)).count() == 0
 
 
+@pytest.mark.parametrize("hot", [repeats.HOT, 2])
+def test_a_text_that_repeats_a_phrase_compares_one_copy(spark, monkeypatch, hot):
+    seen = []
+
+    def kept(solve):
+        def matches(contexts, length):
+            seen.extend(contexts.select("gram", "body").collect())
+            return solve(contexts, length)
+
+        return matches
+
+    monkeypatch.setattr(repeats, "HOT", hot)
+    monkeypatch.setattr(repeats, "HELD_BYTES", 500)
+    for name in ("_sorted_matches", "_hashed_matches"):
+        monkeypatch.setattr(repeats, name, kept(getattr(repeats, name)))
+    phrase = "seven words of one phrase. "
+    texts = ["before " + phrase * 120 + "behind", "others " + phrase * 12 + "as well", PASSAGE]
+    got = {r["doc_id"]: (*r[1:4], bytes(r[4])) for r in repeats.remove_repeats(table(spark, texts, repeated=False)).collect()}
+    assert [got[i] for i in range(3)] == without(texts, 200)
+    assert seen and max(Counter(seen).values()) == 1
+
+
 def test_factors_against_all_pairs():
     random_ = random.Random(11)
     for length in (8, 13, 16, 37):
