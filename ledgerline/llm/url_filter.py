@@ -9,7 +9,8 @@ urls and a hot host is pre-aggregated. Level by level below a host:
   chance, are merged; branches without labels show nothing and stay apart;
 * what is left is the next level's template.
 
-A template is rejected if the smoothed share of bad labels is high enough.
+Levels go on until no place with several urls has a segment left; a url that is alone in
+its place keeps its other segments, as its levels would. A template is rejected if the smoothed share of bad labels is high enough.
 All steps are aggregates and joins of DataFrames.
 """
 
@@ -17,6 +18,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -24,8 +26,6 @@ from pyspark.sql import functions as F
 from ledgerline.session import settle
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
-#: Levels with templates of their own; deeper segments are part of the last one's wildcard.
-LEVELS = 4
 #: A place is variable if it has so many different segments and they are at least every second of its labelled urls.
 FAN = 10
 #: Squared standard errors within which branches are similar.
@@ -67,12 +67,14 @@ def rule_of(host: Column, path: Column, rules: Sequence[Rule]) -> Column:
 
 
 def _level(urls: DataFrame, level: int) -> DataFrame:
-    """``urls`` (host, path, at: template so far, rest: segments, n, labelled, bad) with one more segment in ``at``."""
+    """``urls`` (host, path, at: template so far, rest: segments, n, labelled, bad) with one more segment in ``at``,
+    and ``goes_on``: others are in the same place, and a segment is left there."""
     segment = F.coalesce(F.try_element_at("rest", F.lit(level)), F.lit(NONE))
     urls = urls.withColumn("segment", F.when(segment.rlike("[0-9]"), WILD).otherwise(segment))
     place = ["host", "at"]
+    sums = [F.sum(c).alias(c) for c in ("n", "labelled", "bad")]
     branches = settle(
-        urls.groupBy(*place, "segment").agg(*(F.sum(c).alias(c) for c in ("n", "labelled", "bad")))
+        urls.groupBy(*place, "segment").agg(*sums, F.count("*").alias("paths"), F.max(F.size("rest")).alias("deepest"))
     )
     places = branches.groupBy(*place).agg(F.count("*").alias("fan"), F.sum("n").alias("urls"))
     places = places.select(*place, (F.col("fan") >= FAN) & (2 * F.col("fan") >= F.col("urls")))
@@ -80,29 +82,47 @@ def _level(urls: DataFrame, level: int) -> DataFrame:
     name = F.when(F.col("variable") & (F.col("segment") != NONE), WILD).otherwise(F.col("segment"))
     named = branches.join(places, place).withColumn("name", name)
     # what a wildcard takes together is one branch
-    whole = named.groupBy(*place, "name").agg(F.sum("labelled").alias("labelled"), F.sum("bad").alias("bad"))
+    grown = F.sum("paths").alias("paths"), F.max("deepest").alias("deepest")
+    whole = named.groupBy(*place, "name").agg(F.sum("labelled").alias("labelled"), F.sum("bad").alias("bad"), *grown)
     of_place = whole.groupBy(*place).agg(F.sum("labelled").alias("all"), F.sum("bad").alias("all_bad"))
     share = F.col("all_bad") / F.col("all")
     # (bad - labelled * share)^2 <= SIMILAR * labelled * share * (1 - share), in whole numbers
     off = F.col("bad") * F.col("all") - F.col("labelled") * F.col("all_bad")
     spread = SIMILAR * F.col("labelled") * F.col("all_bad") * (F.col("all") - F.col("all_bad"))
     similar = (F.col("labelled") > 0) & (off.cast("double") * off <= spread.cast("double")) & share.isNotNull()
-    merged = whole.join(of_place, place).select(*place, "name", F.when(similar & (F.col("name") != NONE), MERGED).otherwise(F.col("name")).alias("to"))
-    to = named.join(merged, [*place, "name"]).select(*place, "segment", "to")
-    joined = urls.join(to, [*place, "segment"])
+    to = F.when(similar & (F.col("name") != NONE), MERGED).otherwise(F.col("name"))
+    merged = settle(whole.join(of_place, place).select(*place, "name", to.alias("to"), "paths", "deepest"))
+    next_places = merged.groupBy(*place, "to").agg(*grown)
+    next_places = next_places.select(*place, "to", ((F.col("paths") > 1) & (F.col("deepest") > level)).alias("goes_on"))
+    merged = merged.select(*place, "name", "to").join(next_places, [*place, "to"])
+    to = named.select(*place, "segment", "name").join(merged, [*place, "name"]).select(*place, "segment", "to", "goes_on")
+    joined = urls.drop("goes_on").join(to, [*place, "segment"])
     at = F.when(F.col("to") == NONE, F.col("at")).otherwise(F.concat("at", F.lit("/"), F.col("to")))
     return settle(joined.withColumn("at", at).drop("segment", "to"))
 
 
+def _alone(level: int) -> Column:
+    """``at`` with the segments behind ``level``, as further levels would add them for a url that is alone."""
+    left = F.slice("rest", F.lit(level + 1), F.greatest(F.size("rest") - level, F.lit(0)))
+    names = F.transform(left, lambda x: F.when(F.col("labelled") > 0, MERGED).when(x.rlike("[0-9]"), WILD).otherwise(x))
+    return F.concat_ws("/", "at", names)
+
+
 def templates(urls: DataFrame) -> DataFrame:
     """host, path, label (1 bad, 0 good, null) to host, path, template, labelled, bad of the template, rejected."""
     counted = urls.groupBy("host", "path").agg(
         F.count("*").alias("n"), F.count("label").alias("labelled"), F.coalesce(F.sum("label"), F.lit(0)).cast("long").alias("bad")
     )
     segments = F.filter(F.split("path", "/"), lambda x: x != "")
-    tree = settle(counted.withColumns({"rest": segments, "at": F.lit("")}))
-    for level in range(1, LEVELS + 1):
-        tree = _level(tree, level)
+    going = settle(counted.withColumns({"rest": segments, "at": F.lit("")}))
+    ready, level = [], 0
+    while level == 0 or not going.isEmpty():
+        level += 1
+        urls = _level(going, level)
+        # a place that ends here has one url, or none with segments left
+        ready.append(urls.where("not goes_on").select("host", "path", _alone(level).alias("at"), "labelled", "bad"))
+        going = urls.where("goes_on")
+    tree = reduce(DataFrame.unionByName, ready)
     sums = tree.groupBy("host", "at").agg(F.sum("labelled").alias("labelled"), F.sum("bad").alias("bad"))
     rejected = (F.col("bad") + 1) / (F.col("labelled") + 2) >= PURITY
     return tree.select("host", "path", "at").join(sums.withColumn("rejected", rejected), ["host", "at"]).withColumnRenamed("at", "template")

@@ -1,6 +1,7 @@
 """Personal data, contamination and urls against plain Python."""
 
 import hashlib
+import random
 import re
 from collections import Counter
 
@@ -163,3 +164,56 @@ def test_templates_generalise_and_reject(spark):
     assert got["/shop/item99/buy"]["rejected"] and got["/shop/item99/buy"]["labelled"] == 12
     assert got["/blog/unseen"]["template"] == got["/blog/a"]["template"] and not got["/blog/unseen"]["rejected"]
     assert not got["/new"]["rejected"] and not got[""]["rejected"]
+
+
+def tree_of(rows):
+    """host, path to template and rejection, over all segments: place by place, without counts taken ahead."""
+    out = {(host, path): "" for host, path, _ in rows}
+    segments = {key: [x for x in key[1].split("/") if x] for key in out}
+    for level in range(max(map(len, segments.values()))):
+        seg = {k: s[level] if level < len(s) else "" for k, s in segments.items()}
+        seg = {k: "*" if re.search("[0-9]", s) else s for k, s in seg.items()}
+        places = {}
+        for host, path, label in rows:
+            places.setdefault((host, out[host, path]), []).append((seg[host, path], (host, path), label))
+        for (_, at), inside in places.items():
+            fan = len({s for s, _, _ in inside})
+            wild = fan >= url_filter.FAN and 2 * fan >= len(inside)
+            names = {}
+            for s, key, label in inside:
+                names.setdefault("*" if wild and s else s, []).append((key, label))
+            labels = [label for _, _, label in inside if label is not None]
+            for name, members in names.items():
+                own = [label for _, label in members if label is not None]
+                off = sum(own) * len(labels) - len(own) * sum(labels)
+                if own and name and off * off <= 4 * len(own) * sum(labels) * (len(labels) - sum(labels)):
+                    name = "~"
+                for key, _ in members:
+                    out[key] = f"{at}/{name}" if name else at
+    sums = {}
+    for host, path, label in rows:
+        sums.setdefault((host, out[host, path]), []).append(label)
+    rejected = {}
+    for key, template in out.items():
+        own = [label for label in sums[key[0], template] if label is not None]
+        rejected[key] = (template, (sum(own) + 1) / (len(own) + 2) >= url_filter.PURITY)
+    return rejected
+
+
+def test_deep_paths_are_read_to_their_end(spark):
+    firsts = "aa bb cc dd ee ff gg hh ii jj".split()
+    urls = ["/es/p/q/r/x", "/fr/p/q/r/y", *(f"/{first}/p/q/r/z" for first in firsts)]
+    df = spark.createDataFrame([(i, "http://a.net" + url) for i, url in enumerate(urls)], "page_id long, url string")
+    got = {r["path"]: r["verdict"] for r in url_filter.judge(df, URL_RULES).collect()}
+    assert got == {url: "block" if i < 2 else "allow" for i, url in enumerate(urls)}
+
+
+def test_trees_of_any_depth_are_plain_python(spark):
+    random_ = random.Random(4)
+    rows = [("h", f"/s/t/u/v/w/{x}", 1) for x in "abcdefghijkl"] + [("h", "/s/t/u/v/w/new", None), ("h", "/s/t/u/v", 0), ("i", "", None)]
+    for i in range(600):
+        path = "".join("/" + random_.choice(["a", "a", "a", "b", "c1", f"w{chr(97 + i % 26)}"]) for _ in range(random_.randrange(9)))
+        rows.append((random_.choice("hij"), path, random_.choice([None, None, 0, int("b" in path)])))
+    rows += [("k", "/a" * 7 + "/x9/y", None), ("k", "/lone" * 6, 1)]
+    got = url_filter.templates(spark.createDataFrame(rows, "host string, path string, label int")).collect()
+    assert {(r["host"], r["path"]): (r["template"], r["rejected"]) for r in got} == tree_of(rows)
