@@ -118,4 +118,64 @@ def _urls() -> str:
         FROM t4"""
 
 
-ORACLES = {"op3_url_filter": _urls(), "op7_decontamination": _decontamination(), "op10_personal_data": _pii()}
+_CRC_TABLE = """
+        crc_table AS (
+          SELECT list_transform(range(256), lambda i: list_reduce(list_prepend(i, range(8)),
+            lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS tab)"""
+
+
+def _crc(text: str) -> str:
+    """The unsigned crc32 of a text's UTF-8 bytes; ``tab`` is the only column of ``crc_table``."""
+    octets = f"list_transform(range(strlen({text})), lambda i: ('0x' || substr(hex({text}), 2 * i + 1, 2))::BIGINT)"
+    rest = f"list_reduce(list_prepend(4294967295, {octets}), lambda c, b: xor(tab[(xor(c, b) & 255) + 1], c >> 8))"
+    return f"xor({rest}, 4294967295)"
+
+
+def _manifest() -> str:
+    """Both trees level by level from ranks of whole tables."""
+    framed = "coalesce(strlen({c}::VARCHAR) || ':' || {c}::VARCHAR, '-')"
+    fixed = " || ".join(framed.format(c=c) for c in ("doc_id", "source", "lang", "n_chars"))
+
+    def tree(name: str, key: str) -> str:
+        return f"""
+        {name} AS (
+          SELECT {key}, r, n, h, 0 AS level FROM {name}_leaves
+          UNION ALL
+          SELECT {key}, r // 3, (any_value(n) + 2) // 3, sha256(string_agg(h, '' ORDER BY r)), any_value(level) + 1
+          FROM {name} WHERE n > 1 GROUP BY {key}, r // 3),
+        {name}_siblings AS (
+          SELECT a.{key}, a.level, a.r, coalesce(string_agg(b.h, '' ORDER BY b.r) FILTER (b.r < a.r), '') AS l,
+            coalesce(string_agg(b.h, '' ORDER BY b.r) FILTER (b.r > a.r), '') AS g
+          FROM {name} a JOIN {name} b ON a.{key} = b.{key} AND a.level = b.level AND a.r // 3 = b.r // 3
+          WHERE a.n > 1 GROUP BY a.{key}, a.level, a.r)"""
+
+    return f"""
+        WITH RECURSIVE {_CRC_TABLE},
+        hashed AS (
+          SELECT *, sha256({fixed} || {framed.format(c="text")}) AS h, sha256({fixed} || {framed.format(c="cut")}) AS cut_h
+          FROM (SELECT *, coalesce('=' || source, '') AS k, CASE WHEN {_crc("doc_id::VARCHAR")} % 2 = 0 THEN replace(text, chr(10), '') ELSE text END AS cut
+                FROM documents, crc_table)),
+        tree_leaves AS (
+          SELECT doc_id, k, h, cut_h, row_number() OVER (PARTITION BY k ORDER BY doc_id, h) - 1 AS r, count(*) OVER (PARTITION BY k) AS n FROM hashed),
+        {tree("tree", "k")},
+        over_leaves AS (
+          SELECT 'all' AS k, k AS source, h, row_number() OVER (ORDER BY k) - 1 AS r, count(*) OVER () AS n
+          FROM tree WHERE n = 1),
+        {tree("over", "k")},
+        folds AS (
+          SELECT doc_id, k, r, 0 AS level, cut_h AS folded, '' AS siblings FROM tree_leaves
+          UNION ALL
+          SELECT f.doc_id, f.k, f.r // 3, f.level + 1, sha256(l || folded || g), siblings || l || g
+          FROM folds f JOIN tree_siblings s ON f.k = s.k AND f.level = s.level AND f.r = s.r),
+        halfway AS (SELECT * FROM folds QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY level DESC) = 1),
+        outer_folds AS (
+          SELECT doc_id, o.r, 0 AS level, folded, siblings, o.h AS subroot FROM halfway JOIN over_leaves o ON o.source = halfway.k
+          UNION ALL
+          SELECT f.doc_id, f.r // 3, f.level + 1, sha256(l || folded || g), siblings || l || g, subroot
+          FROM outer_folds f JOIN over_siblings s ON f.level = s.level AND f.r = s.r),
+        done AS (SELECT * FROM outer_folds QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY level DESC) = 1)
+        SELECT doc_id, t.h AS leaf, subroot, root, sha256(siblings) AS proof_sha256, folded AS folded_root, folded = root AS verified
+        FROM tree_leaves t JOIN done USING (doc_id), (SELECT h AS root FROM over WHERE n = 1)"""
+
+
+ORACLES = {"op3_url_filter": _urls(), "op7_decontamination": _decontamination(), "op10_personal_data": _pii(), "op11_merkle_manifest": _manifest()}

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import ann, bpe, decontaminate, near_dup, pii, repeats, token_count, token_files, toxicity, url_filter
+from ledgerline.llm import ann, bpe, decontaminate, merkle, near_dup, pii, repeats, token_count, token_files, toxicity, url_filter
 from ledgerline.llm.oracles import ORACLES  # noqa: F401
 from ledgerline.session import work_dir
 
@@ -94,6 +94,15 @@ def op10_personal_data(spark: SparkSession, sf: str) -> DataFrame:
     return pii.summary(documents(spark, sf))
 
 
+def op11_merkle_manifest(spark: SparkSession, sf: str) -> DataFrame:
+    drawn = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 0
+    tampered = F.when(drawn, F.replace("text", F.lit("\n"), F.lit(""))).otherwise(F.col("text"))
+    return merkle.manifest(documents(spark, sf), tampered).select(
+        "doc_id", "leaf", "subroot", "root", F.sha2(merkle.proof_text(F.col("siblings")), 256).alias("proof_sha256"),
+        "folded_root", "verified",
+    )
+
+
 QUERIES = {
     "op1_token_files": op1_token_files,
     "op2_bpe_automaton": op2_bpe_automaton,
@@ -105,4 +114,5 @@ QUERIES = {
     "op8_nearest_neighbours": op8_nearest_neighbours,
     "op9_repeated_passages": op9_repeated_passages,
     "op10_personal_data": op10_personal_data,
+    "op11_merkle_manifest": op11_merkle_manifest,
 }
