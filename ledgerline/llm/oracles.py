@@ -178,4 +178,35 @@ def _manifest() -> str:
         FROM tree_leaves t JOIN done USING (doc_id), (SELECT h AS root FROM over WHERE n = 1)"""
 
 
-ORACLES = {"op3_url_filter": _urls(), "op7_decontamination": _decontamination(), "op10_personal_data": _pii(), "op11_merkle_manifest": _manifest()}
+def _spelling() -> str:
+    """Near words meet through the word without its letter at a place; all steps of a chain of forms in one recursion."""
+    return f"""
+        WITH RECURSIVE {_CRC_TABLE},
+        runs AS (
+          SELECT doc_id, run, count(*) AS n
+          FROM (SELECT doc_id, unnest(regexp_extract_all(translate(text, '{_UP}', '{_LOW}'), '[A-Za-z\u00C0-\u00FF]+')) AS run FROM documents)
+          WHERE length(run) >= 7 GROUP BY doc_id, run),
+        read AS (
+          SELECT n, CASE WHEN h % 31 = 0 THEN substr(run, 1, (h % length(run))::INT) || substr(run, (h % length(run))::INT + 2) ELSE run END AS word
+          FROM (SELECT run, n, {_crc("(doc_id || ':' || run)")} AS h FROM runs, crc_table)),
+        words AS (SELECT word, sum(n)::BIGINT AS n FROM read WHERE length(word) >= 7 GROUP BY word HAVING sum(n) >= 2),
+        cuts AS (SELECT word, n, i, substr(word, 1, i - 1) || substr(word, i + 1) AS rest
+          FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM words)),
+        met AS (
+          SELECT a.word AS a, b.word AS b FROM cuts a JOIN cuts b ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word
+          UNION SELECT a.word, b.word FROM words a JOIN cuts b ON a.word = b.rest
+          UNION SELECT b.word, a.word FROM words a JOIN cuts b ON a.word = b.rest),
+        near AS (
+          SELECT a, count(*) AS n_near, first(b ORDER BY w.n DESC, encode(b)) AS b, max(w.n) AS n_b
+          FROM met JOIN words w ON met.b = w.word GROUP BY a),
+        known AS (
+          SELECT word, CASE WHEN n_b >= 10 * n THEN b END AS form, n, coalesce(n_near, 0) AS n_near, CASE WHEN n_b >= 10 * n THEN n_b END AS form_n
+          FROM words LEFT JOIN near ON word = a),
+        walk AS (
+          SELECT word, word AS at, 0 AS steps FROM known
+          UNION ALL SELECT walk.word, form, steps + 1 FROM walk JOIN known ON walk.at = known.word WHERE form IS NOT NULL)
+        SELECT k.word, form, root, n, n_near, form_n
+        FROM known k JOIN (SELECT word, first(at ORDER BY steps DESC) AS root FROM walk GROUP BY word) r USING (word)"""
+
+
+ORACLES = {"op3_url_filter": _urls(), "op7_decontamination": _decontamination(), "op10_personal_data": _pii(), "op11_merkle_manifest": _manifest(), "op12_spelling_groups": _spelling()}
