@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import ann, bpe, decontaminate, merkle, near_dup, pii, repeats, spelling, token_count, token_files, toxicity, url_filter
+from ledgerline.llm import ann, bpe, decontaminate, merkle, near_dup, pii, repeats, signature_join, spelling, token_count, token_files, toxicity, url_filter
 from ledgerline.llm.oracles import ORACLES  # noqa: F401
 from ledgerline.session import work_dir
 
@@ -107,6 +107,10 @@ def op12_spelling_groups(spark: SparkSession, sf: str) -> DataFrame:
     return spelling.spelling_groups(documents(spark, sf), noise=spelling.DROPPED)
 
 
+def op13_signature_join(spark: SparkSession, sf: str) -> DataFrame:
+    return signature_join.similar_sets(documents(spark, sf), size=5, percent=80)
+
+
 QUERIES = {
     "op1_token_files": op1_token_files,
     "op2_bpe_automaton": op2_bpe_automaton,
@@ -120,4 +124,5 @@ QUERIES = {
     "op10_personal_data": op10_personal_data,
     "op11_merkle_manifest": op11_merkle_manifest,
     "op12_spelling_groups": op12_spelling_groups,
+    "op13_signature_join": op13_signature_join,
 }
