@@ -14,10 +14,13 @@ from ..session import settle
 
 
 def resolve_date(df: DataFrame, candidates: Sequence[str] = fixed.DATE_CANDIDATES) -> str:
-    """First candidate column that holds any date. Stops at the first hit per column."""
-    for name in candidates:
-        if name in df.columns and not df.filter(any_date(F.col(name)).isNotNull()).isEmpty():
-            return name
+    """First candidate column that holds any date. One aggregate probes all candidates."""
+    present = [name for name in candidates if name in df.columns]
+    if present:
+        held = df.agg(*[F.bool_or(any_date(F.col(f"`{name}`")).isNotNull()).alias(f"_{i}") for i, name in enumerate(present)]).first()
+        for name, holds in zip(present, held):
+            if holds:
+                return name
     raise ValueError(
         f"no supported date column; expected one of {', '.join(candidates)}, found {', '.join(df.columns)}"
     )

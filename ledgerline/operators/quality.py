@@ -13,6 +13,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import settle
+from .quantiles import quantiles
+
 
 class QualityError(ValueError):
     """A data-quality rule failed."""
@@ -173,32 +176,52 @@ def inject_nulls(df: DataFrame, column: str, keys: Sequence[str], share: float,
 
 
 def numeric_profile(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Count, mean, spread, range and distinct values, one row per column."""
-    measures: list[Column] = []
-    for c in columns:
-        v = F.col(c).cast("decimal(18,4)")
-        measures += [
-            F.count(c).alias(f"{c}_n"), F.sum(v).cast("double").alias(f"{c}_sum"), F.stddev(F.col(c).cast("double")).alias(f"{c}_sd"),
-            F.min(c).cast("double").alias(f"{c}_min"), F.max(c).cast("double").alias(f"{c}_max"),
-        ]
-    distinct = [df.groupBy(c).agg(F.lit(1).alias("_d")).agg(F.count(c).alias("n")).scalar() for c in columns]
-    return _long(
-        df.agg(*measures),
-        "column_name",
-        {
-            c: {
-                "values": F.col(f"{c}_n"),
-                "mean": F.round(F.try_divide(F.col(f"{c}_sum"), F.col(f"{c}_n").cast("double")), 4),
-                "stddev": F.round(f"{c}_sd", 4),
-                "lowest": F.col(f"{c}_min"),
-                "highest": F.col(f"{c}_max"),
-                "distinct_values": d,
-            }
-            for c, d in zip(columns, distinct)
-        },
+    """Count, mean, spread, range and distinct values, one row per column, exact, in one scan.
+
+    Every row becomes one (column, value) pair per column, so that the distinct counts of all columns
+    are one aggregate by column and value, and equal values combine before the shuffle.
+    """
+    pairs = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("double").alias("v"), F.col(c).cast("string").alias("s")) for c in columns])
+    values = df.select(F.inline(pairs))
+    total = F.sum(F.col("v").cast("decimal(18,4)")).cast("double")
+    return values.groupBy("column_name").agg(
+        F.count("v").alias("values"),
+        F.round(F.try_divide(total, F.count("v").cast("double")), 4).alias("mean"),
+        F.round(F.stddev("v"), 4).alias("stddev"),
+        F.min("v").alias("lowest"),
+        F.max("v").alias("highest"),
+        F.count_distinct("s").alias("distinct_values"),
     )
 
 
+#: Buckets of a distinct-count sketch, as a power of two, and its relative standard error.
+SKETCH_BITS = 12
+SKETCH_ERROR = 1.04 / 2 ** (SKETCH_BITS / 2)
+
+
+def distinct_sketches(df: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
+    """keys, column_name, rows (known values), sketch: a distinct-count sketch of every column, all in one pass.
+
+    A sketch has a bounded size. Sketches of days, files or partitions can be stored and merged later,
+    without the rows they come from.
+    """
+    counts = [F.count(c).alias(f"_n{i}") for i, c in enumerate(columns)]
+    sketches = [F.hll_sketch_agg(F.col(c).cast("string"), SKETCH_BITS).alias(f"_s{i}") for i, c in enumerate(columns)]
+    parts = df.groupBy(*keys).agg(*counts, *sketches)
+    rows = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(f"_n{i}").alias("rows"), F.col(f"_s{i}").alias("sketch")) for i, c in enumerate(columns)])
+    return parts.select(*keys, F.inline(rows))
+
+
+def merge_sketches(stored: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """keys, column_name, rows, sketch: stored sketches merged to coarser keys; ``distinct_estimate`` reads them."""
+    return stored.groupBy(*keys, "column_name").agg(F.sum("rows").alias("rows"), F.hll_union_agg("sketch").alias("sketch"))
+
+
+def distinct_estimate(sketch: Column) -> Column:
+    """Distinct values of a sketch, in 997 of 1000 cases within three times ``SKETCH_ERROR``."""
+    return F.hll_sketch_estimate(sketch)
+
+
 def histogram(df: DataFrame, column: str, width: float, keys: Sequence[str] = ()) -> DataFrame:
     """Rows per bin of equal width."""
     low = F.floor(F.col(column) / width) * width
@@ -206,24 +229,15 @@ def histogram(df: DataFrame, column: str, width: float, keys: Sequence[str] = ()
 
 
 def box_stats(df: DataFrame, column: str, keys: Sequence[str]) -> DataFrame:
-    """Quartiles, whiskers and outliers per key, exact.
-
-    Values are counted first, so equal values cost one row per map task, and the
-    percentiles run over distinct values with their counts. Meant for measures
-    with a bounded set of values, such as quantities.
-    """
-    counts = df.filter(F.col(column).isNotNull()).groupBy(*keys, F.col(column).cast("double").alias("v")).agg(F.count("*").alias("n"))
-    quartiles = F.percentile("v", F.array(*[F.lit(p) for p in (0.25, 0.5, 0.75)]), F.col("n"))
-    boxes = counts.groupBy(*keys).agg(quartiles.alias("q"), F.min("v").alias("lowest"), F.max("v").alias("highest"))
-    named = boxes.select(
-        *keys, "lowest", F.col("q")[0].alias("q1"), F.col("q")[1].alias("median"), F.col("q")[2].alias("q3"), "highest"
-    )
+    """Quartiles, whiskers and outliers per key, exact for measures with any number of values."""
+    quartiles = [F.col("q")[i].alias(name) for i, name in enumerate(("q1", "median", "q3"))]
+    boxes = settle(quantiles(df, keys, column, (0.25, 0.5, 0.75)).select(*keys, "lowest", *quartiles, "highest"))
     reach = (F.col("q3") - F.col("q1")) * 1.5
-    inside = F.col("v").between(F.col("q1") - reach, F.col("q3") + reach)
-    outliers = counts.join(named, list(keys)).groupBy(*keys).agg(
-        F.sum(F.when(inside, 0).otherwise(F.col("n"))).alias("outliers")
-    )
-    return named.join(outliers, list(keys))
+    outside = ~F.col("_v").between(F.col("q1") - reach, F.col("q3") + reach)
+    values = df.filter(F.col(column).isNotNull()).select(*[F.col(k).alias(f"_of_{k}") for k in keys], F.col(column).cast("double").alias("_v"))
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_of_{k}")) for k in keys], F.lit(True))
+    names = [*keys, "lowest", "q1", "median", "q3", "highest"]
+    return values.join(boxes, same).groupBy(*names).agg(F.count_if(outside).alias("outliers"))
 
 
 def numeric_columns(df: DataFrame) -> list[str]:

@@ -1,10 +1,10 @@
 """Window operators on series.
 
 Two shapes occur. Monthly and quarterly series have one row per key and period,
-so a window per key is bounded by the calendar. Row-level series are not: a key
-may hold a third of all rows. Those run in blocks (a day by default): a window
-per key and block does the bulk, and a second, calendar-sized step passes state
-from block to block.
+so a window per key is bounded by the calendar. Row-level series are not: a key,
+or one day of it, may hold a third of all rows. Those run in blocks of the sorted
+rows: a window per key and block does the bulk, and a second step over one or a
+few rows per block passes state from block to block.
 """
 
 from __future__ import annotations
@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from ..functions.numbers import mean
+from ..session import settle
 
 
 def rolling_mean(
@@ -46,58 +47,63 @@ def tail_mean(
     )
 
 
+def blocks(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """``df`` with ``_place``, which ascends by ``keys`` and ``order`` over the whole table, and ``_block``.
+
+    A block is a range of the sorted rows, so one key, or one day of one key, has as many blocks as its
+    rows need. Rows that are equal in all columns of the order are dealt to several blocks as well. The
+    sorted rows are written, so that places stay the same when a task is repeated.
+    """
+    by = [*keys, *order, "_draw"]
+    ranged = df.withColumn("_draw", F.rand(11)).repartitionByRange(*by).sortWithinPartitions(*by).drop("_draw")
+    placed = settle(ranged.withColumn("_place", F.monotonically_increasing_id()))
+    return placed.withColumn("_block", F.shiftright("_place", 33))  # the number of the partition
+
+
 def moving_average(
-    df: DataFrame,
-    keys: Sequence[str],
-    block: str,
-    order: Sequence[str],
-    measure: str,
-    rows: int,
-    name: str,
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], measure: str, rows: int, name: str
 ) -> DataFrame:
     """Mean of a row and the ``rows - 1`` before it, over rows of any number.
 
-    Inside a block all but the first rows see their whole frame. The first and
-    last rows of the blocks, at most ``2 * (rows - 1)`` per key and block, go
-    through a second window that spans blocks.
+    Inside a block all but the first rows see their whole frame. The first and last rows of the
+    blocks, at most ``2 * (rows - 1)`` per key and block, go through a second window that hands
+    them over the boundaries.
     """
-    in_block = Window.partitionBy(*keys, block).orderBy(*order)
-    across = Window.partitionBy(*keys).orderBy(block, *order)
+    in_block = Window.partitionBy(*keys, "_block").orderBy("_place")
+    across = Window.partitionBy(*keys).orderBy("_place")
 
     def average(spec: WindowSpec) -> Column:
         frame = spec.rowsBetween(-(rows - 1), 0)
         return mean(F.sum(measure).over(frame), F.count(measure).over(frame))
 
-    placed = df.withColumns(
+    placed = blocks(df, keys, order).withColumns(
         {
-            "_place": F.row_number().over(in_block),
+            "_nth": F.row_number().over(in_block),
             "_ends": F.lead(F.lit(1), rows - 1).over(in_block).isNull(),
             name: average(in_block),
         }
     )
-    whole = placed.filter(F.col("_place") >= rows)
-    edges = placed.filter((F.col("_place") < rows) | F.col("_ends")).withColumn(name, average(across))
-    return whole.unionByName(edges.filter(F.col("_place") < rows)).drop("_place", "_ends")
+    whole = placed.filter(F.col("_nth") >= rows)
+    edges = placed.filter((F.col("_nth") < rows) | F.col("_ends")).withColumn(name, average(across))
+    return whole.unionByName(edges.filter(F.col("_nth") < rows)).select(*df.columns, name)
 
 
-def forward_fill(
-    df: DataFrame, keys: Sequence[str], block: str, order: Sequence[str], measure: str
-) -> DataFrame:
+def forward_fill(df: DataFrame, keys: Sequence[str], order: Sequence[str], measure: str) -> DataFrame:
     """Nulls take the last value before them in the order of a key.
 
-    Every block is filled on its own; what is still empty at its start takes the
-    last value of an earlier block.
+    A prefix scan in three steps: every block is filled on its own, the last values of the blocks
+    are scanned per key, one row per block, and carried to where a block starts empty.
     """
-    in_block = Window.partitionBy(*keys, block).orderBy(*order)
-    so_far = in_block.rowsBetween(Window.unboundedPreceding, 0)
-    filled = df.withColumn("_filled", F.last(measure, ignorenulls=True).over(so_far))
-    ends = df.groupBy(*keys, block).agg(
-        F.max_by(F.when(F.col(measure).isNotNull(), F.col(measure)),
-                 F.when(F.col(measure).isNotNull(), F.struct(*order))).alias("_end")
-    )
-    earlier = Window.partitionBy(*keys).orderBy(block).rowsBetween(Window.unboundedPreceding, -1)
-    carried = ends.withColumn("_carried", F.last("_end", ignorenulls=True).over(earlier)).drop("_end")
-    joined = filled.join(carried, [*keys, block], "left")
+    placed = blocks(df, keys, order)
+    so_far = Window.partitionBy(*keys, "_block").orderBy("_place").rowsBetween(Window.unboundedPreceding, 0)
+    filled = placed.withColumn("_filled", F.last(measure, ignorenulls=True).over(so_far))
+    known = F.col(measure).isNotNull()
+    ends = placed.groupBy(*keys, "_block").agg(F.max_by(F.when(known, F.col(measure)), F.when(known, F.col("_place"))).alias("_end"))
+    earlier = Window.partitionBy(*keys).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    carried = ends.withColumn("_carried", F.last("_end", ignorenulls=True).over(earlier)).filter(F.col("_carried").isNotNull())
+    carried = settle(carried.select(*[F.col(k).alias(f"_of_{k}") for k in keys], F.col("_block").alias("_at"), "_carried"))
+    same = [F.col(k).eqNullSafe(F.col(f"_of_{k}")) for k in keys]
+    joined = filled.join(carried, [F.col("_block") == F.col("_at"), *same], "left")
     return joined.withColumn(measure, F.coalesce("_filled", "_carried")).select(*df.columns)
 
 

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import fixed_values as fixed
 from ..functions import numbers, periods, rules, text
 from ..operators import clean, enrich, staging
+from ..session import work_dir
 from ..sources import readers
 from .views import SALES_SQL, geography, sales, table
 
@@ -215,7 +218,24 @@ def calendar_features(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def sheet_folder(spark: SparkSession, sf: str) -> str:
+    """A folder with a CSV sheet per market segment and one per supplier country, under two headers."""
+    folder = f"{work_dir(spark)}/sheets-{uuid.uuid4().hex}"
+    amount = "decimal(12,2)"
+    accounts = table(spark, sf, "customer").select(
+        F.col("c_custkey").alias("id"), F.col("c_name").alias("name"), F.col("c_acctbal").cast(amount).alias("balance"), F.col("c_mktsegment").alias("sheet")
+    )
+    vendors = table(spark, sf, "supplier").select(
+        F.col("s_suppkey").alias("id"), F.col("s_acctbal").cast(amount).alias("total"),
+        F.concat(F.lit("vendors+"), F.col("s_nationkey").cast("string")).alias("sheet"),
+    )
+    for sheet in (accounts, vendors):
+        sheet.write.mode("append").partitionBy("sheet").option("header", True).csv(folder)
+    return folder
+
+
 QUERIES = {
+    "scan_sheet_folder": lambda s, d: readers.read_sheets(s, sheet_folder(s, d)),
     "scan_union_by_name": lambda s, d: readers.union_sheets(sheets(s, d)),
     "scan_select_sheets": lambda s, d: readers.union_sheets(sheets(s, d), ["suppliers", "orders"]),
     "sanitize_names": lambda s, d: sheet_names(s, d).select("raw", text.sheet_token(F.col("raw")).alias("token")),
@@ -438,6 +458,9 @@ def _staging(suite: str | None) -> str:
 
 
 ORACLES = {
+    "scan_sheet_folder": """SELECT CAST(c_custkey AS VARCHAR) AS id, c_name AS name, CAST(CAST(c_acctbal AS DECIMAL(12,2)) AS VARCHAR) AS balance,
+        NULL AS total, c_mktsegment AS source_sheet FROM customer
+        UNION ALL SELECT CAST(s_suppkey AS VARCHAR), NULL, NULL, CAST(CAST(s_acctbal AS DECIMAL(12,2)) AS VARCHAR), 'vendors+' || s_nationkey FROM supplier""",
     "scan_union_by_name": " UNION ALL ".join(_SHEETS.values()),
     "scan_select_sheets": """SELECT s_suppkey AS id, s_acctbal AS total, s_name AS name, 'suppliers' AS source_sheet, NULL AS status FROM supplier
         UNION ALL SELECT o_orderkey, o_totalprice, NULL, 'orders', o_orderstatus FROM orders""",

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import fixed_values as fixed
-from ..operators import forecast, periodic, subscription
+from ..operators import forecast, periodic, regression, subscription
 from ..operators.subscription import double
 from ..session import settle
 from ..sources import writers
@@ -196,6 +196,20 @@ def trend_regression(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(rounded(lines, "slope", digits=4), "next_value", "next_lower", "next_upper", digits=2)
 
 
+REGRESSORS = ("lag_1", "lag_2", "lag_4", "quarter_no")
+
+
+def quarter_regression(spark: SparkSession, sf: str) -> DataFrame:
+    """Quarterly totals on lags and time, fitted before the first cutoff, with what the model says of every quarter."""
+    lagged = forecast.quarter_features(quarters(spark, sf), ("region",), "sale_quarter", "quarter_total", CUTOFF)
+    number = F.year("sale_quarter") * 4 + F.quarter("sale_quarter")
+    rows = settle(lagged.withColumn("quarter_no", number).select("region", "sale_quarter", "quarter_total", *REGRESSORS))
+    past = rows.filter(F.col("sale_quarter") < F.lit(CUTOFFS[0]).cast("date"))
+    model = regression.fit(past, ("region",), REGRESSORS, "quarter_total")
+    out = regression.predict(rows, model, ("region",), REGRESSORS)
+    return rounded(out.select("region", "sale_quarter", "quarter_total", "fitted", "lower", "upper"), "fitted", "lower", "upper", digits=1)
+
+
 def train_series(spark: SparkSession, sf: str, *keys: str) -> DataFrame:
     """Contiguous months before the cutoff, per series."""
     past, _ = periodic.holdout_split(monthly(spark, sf, *keys), "sale_month", CUTOFF)
@@ -241,6 +255,7 @@ QUERIES = {
     ),
     "backtest": backtest,
     "trend_regression": trend_regression,
+    "quarter_regression": quarter_regression,
     "seasonal_forecast": seasonal_forecast,
     "run_metrics": run_metrics,
     "forecast_by_customer": forecast_by_customer,
@@ -293,6 +308,27 @@ def _backtest() -> str:
       SELECT type, cutoff, sale_month, forecast_revenue, CAST(revenue AS DOUBLE) AS revenue FROM runs LEFT JOIN monthly USING (type, sale_month)"""
 
 
+def _regression() -> str:
+    """Each regressor without what the ones before it explain, one after the other; the target on these independent parts."""
+    names = ("lag_1", "lag_2", "lag_4", "quarter_no")
+    steps = [f"""features AS (SELECT *, sale_quarter < DATE '{CUTOFFS[0]}' AND lag_4 IS NOT NULL AS past FROM (SELECT region, sale_quarter, quarter_total,
+        {", ".join(f"CAST(lag(quarter_total, {k}) {_BY_QUARTER} AS DOUBLE) AS lag_{k}" for k in (1, 2, 4))},
+        CAST(year(sale_quarter) * 4 + quarter(sale_quarter) AS DOUBLE) AS quarter_no FROM quarters) WHERE sale_quarter < DATE '{CUTOFF}')"""]
+    last = "features"
+    whole = "FILTER (past) OVER (PARTITION BY region)"
+    for i, name in enumerate(names):
+        explained = "".join(f" - z{k} * sum({name} * z{k}) {whole} / sum(z{k} * z{k}) {whole}" for k in range(i))
+        steps.append(f"f{i} AS (SELECT *, {name} - avg({name}) {whole}{explained} AS z{i} FROM {last})")
+        last = f"f{i}"
+    y = "CAST(quarter_total AS DOUBLE)"
+    told = " + ".join(f"z{k} * sum({y} * z{k}) {whole} / sum(z{k} * z{k}) {whole}" for k in range(len(names)))
+    reach = " + ".join(f"z{k} * z{k} / sum(z{k} * z{k}) {whole}" for k in range(len(names)))
+    return f""", {_QUARTERS}, {", ".join(steps)},
+        told AS (SELECT *, avg({y}) {whole} + {told} AS fitted, 1.0 / count(*) {whole} + {reach} AS leverage FROM {last}),
+        spread AS (SELECT *, {fixed.CONFIDENCE_Z} * sqrt(sum(({y} - fitted) ** 2) {whole} / (count(*) {whole} - {len(names) + 1})) * sqrt(1 + leverage) AS margin FROM told)
+        SELECT region, sale_quarter, quarter_total, round(fitted, 1) AS fitted, round(fitted - margin, 1) AS lower, round(fitted + margin, 1) AS upper FROM spread"""
+
+
 ORACLES = {
     "baseline_forecast": _sales(
         f""", base AS (SELECT *, item_code AS sku, region AS channel FROM usd),
@@ -353,6 +389,7 @@ ORACLES = {
         SELECT * FROM features WHERE sale_quarter < DATE '{CUTOFF}'"""
     ),
     "backtest": _sales(_backtest()),
+    "quarter_regression": _sales(_regression()),
     "trend_regression": _sales(
         f""", {_monthly('region, type')}, points AS (SELECT region, type, year(sale_month) * 12 + month(sale_month) AS t, CAST(revenue AS DECIMAL(18,2)) AS y FROM monthly),
         sums AS (SELECT region, type, CAST(count(*) AS DOUBLE) AS n, CAST(max(t) AS DOUBLE) AS last, CAST(sum(t) AS DOUBLE) AS st, CAST(sum(y) AS DOUBLE) AS sy,

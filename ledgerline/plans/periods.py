@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import periodic
 from ..operators.subscription import double
+from ..session import work_dir
 from ..sources import readers
 from .cleaning import RAW_SQL, _strip, date_sql, raw_sales
 from .views import FOCUS, SALES_SQL, dates_between, sales, table
@@ -94,6 +97,24 @@ def alias_sheets(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
     }
 
 
+def history_folder(spark: SparkSession, sf: str) -> DataFrame:
+    """The history of a folder of CSV files: one per ship month under one header, one per order year under another, one unusable."""
+    folder = f"{work_dir(spark)}/history-{uuid.uuid4().hex}"
+    lines = table(spark, sf, "lineitem").select(
+        F.date_format("l_shipdate", "yyyy/MM").alias("Month"), F.col("l_partkey").alias("Sku"), (F.col("l_quantity") - 5).alias("Received Qty"),
+        F.date_format("l_shipdate", "'im_'yyyyMM").alias("sheet"),
+    )
+    orders = table(spark, sf, "orders").select(
+        F.col("o_orderdate").cast("date").cast("string").alias("Date"), F.col("o_orderpriority").alias("Product"),
+        F.col("o_totalprice").cast("decimal(12,2)").alias("Total"), F.when(F.col("o_orderkey") % 10 == 0, "n/a").otherwise("1").alias("Qty"),
+        F.date_format("o_orderdate", "'orders_'yyyy").alias("sheet"),
+    )
+    undated = table(spark, sf, "supplier").select(F.col("s_name").alias("SKU"), F.col("s_acctbal").alias("Qty"), F.lit("undated").alias("sheet"))
+    for sheet in (lines, orders, undated):
+        sheet.write.mode("append").partitionBy("sheet").option("header", True).csv(folder)
+    return readers.load_history(spark, None, folder)
+
+
 def monthly_actuals(spark: SparkSession, sf: str) -> DataFrame:
     lines = sales(spark, sf, "inv_date", "item_code", "quantity", "usd_total", "product", "type", "code")
     named = {"product_name": "product", "product_type": "type", "product_subcategory": "code"}
@@ -137,6 +158,7 @@ def missing_keys(spark: SparkSession, sf: str) -> DataFrame:
 
 QUERIES = {
     "sales_history": sales_history,
+    "history_folder": history_folder,
     "history_alias_union": lambda s, d: readers.history_from_sheets(alias_sheets(s, d)),
     "monthly_history": lambda s, d: money(periodic.monthly_history(history(s, d)), "quantity", "revenue"),
     "monthly_series": monthly_series,
@@ -188,6 +210,10 @@ ORACLES = {
         coalesce({_strip('"ItemCode"')}, {_strip('"Product"')}, 'UNSPECIFIED') AS sku, trim(source_sheet) AS channel,
         coalesce(TRY_CAST("Quantity" AS DOUBLE), 0) AS quantity, coalesce(TRY_CAST("Total" AS DOUBLE), 0) AS revenue
         FROM raw WHERE {_DATED} IS NOT NULL""",
+    "history_folder": """SELECT CAST(date_trunc('month', l_shipdate) AS DATE) AS sale_date, CAST(l_partkey AS VARCHAR) AS sku,
+        'IM' AS channel, greatest(l_quantity - 5, 0) AS quantity, CAST(0 AS DOUBLE) AS revenue FROM lineitem
+        UNION ALL SELECT CAST(o_orderdate AS DATE), o_orderpriority, 'TDBS', CASE WHEN o_orderkey % 10 = 0 THEN 0 ELSE 1 END,
+        CAST(CAST(o_totalprice AS DECIMAL(12,2)) AS DOUBLE) FROM orders""",
     "history_alias_union": """SELECT CAST(date_trunc('month', l_shipdate) AS DATE) AS sale_date, CAST(l_partkey AS VARCHAR) AS sku,
         'IM' AS channel, greatest(l_quantity - 5, 0) AS quantity, CAST(0 AS DOUBLE) AS revenue FROM lineitem
         UNION ALL SELECT CAST(o_orderdate AS DATE), o_orderpriority, 'TDBS', CASE WHEN o_orderkey % 10 = 0 THEN 0 ELSE 1 END,

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import periodic, quality
+from ..session import settle
 from .cleaning import KEYS, RAW_SQL, _nulls, raw_sales, staged
 from .cleaning import _staging as staging_sql
 from .periods import CUTOFF, _sales, money
@@ -63,7 +64,31 @@ def inject_nulls(spark: SparkSession, sf: str) -> DataFrame:
     return quality.inject_nulls(rows, "price", ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"), 0.05)
 
 
+def price_boxes(spark: SparkSession, sf: str) -> DataFrame:
+    """Boxes of a continuous measure, per order year: hardly two prices are equal."""
+    orders = table(spark, sf, "orders").select(F.year("o_orderdate").alias("year"), F.col("o_totalprice").alias("price"))
+    boxes = quality.box_stats(orders, "price", ("year",))
+    return boxes.withColumns({c: F.round(c, 4) for c in ("lowest", "q1", "median", "q3", "highest")})
+
+
+def distinct_by_month(spark: SparkSession, sf: str) -> DataFrame:
+    """Distinct users and event types per month from stored daily sketches, next to the exact counts."""
+    events = table(spark, sf, "events").withColumn("day", F.col("ts").cast("date"))
+    columns = ("user_id", "event_type", "event_id")
+    stored = settle(quality.distinct_sketches(events, ("day",), columns))
+    merged = quality.merge_sketches(stored.withColumn("month", F.last_day("day")), ("month",))
+    pairs = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("s")) for c in columns])
+    exact = events.select(F.last_day("day").alias("month"), F.inline(pairs)).groupBy("month", "column_name")
+    exact = exact.agg(F.count_distinct("s").alias("distinct_values"))
+    estimate = quality.distinct_estimate(F.col("sketch"))
+    off = F.abs(estimate - F.col("distinct_values")) / F.col("distinct_values")
+    joined = merged.join(exact, ["month", "column_name"])
+    return joined.select("month", "column_name", "rows", "distinct_values", (off <= 3 * quality.SKETCH_ERROR).alias("within_error"))
+
+
 QUERIES = {
+    "price_boxes": price_boxes,
+    "distinct_by_month": distinct_by_month,
     "dq_not_null": lambda s, d: quality.not_null(staged(s, d), ("sale_date", "sku", "quantity")),
     "dq_unique": lambda s, d: quality.repeated_keys(table(s, d, "lineitem"), ("l_orderkey", "l_linenumber")),
     "dq_accepted": lambda s, d: quality.unaccepted(table(s, d, "customer"), "c_mktsegment", REASONS),
@@ -110,6 +135,17 @@ def _manifest() -> str:
 
 
 ORACLES = {
+    "price_boxes": """WITH prices AS (SELECT year(o_orderdate) AS year, o_totalprice AS price FROM orders),
+        boxes AS (SELECT year, min(price) AS lowest, quantile_cont(price, 0.25) AS q1, quantile_cont(price, 0.5) AS median,
+          quantile_cont(price, 0.75) AS q3, max(price) AS highest FROM prices GROUP BY 1)
+        SELECT year, round(lowest, 4) AS lowest, round(q1, 4) AS q1, round(median, 4) AS median, round(q3, 4) AS q3, round(highest, 4) AS highest,
+          count(*) FILTER (NOT price BETWEEN q1 - 1.5 * (q3 - q1) AND q3 + 1.5 * (q3 - q1)) AS outliers
+        FROM boxes JOIN prices USING (year) GROUP BY ALL""",
+    "distinct_by_month": " UNION ALL ".join(
+        f"""SELECT last_day(CAST(ts AS DATE)) AS month, '{c}' AS column_name, count({c}) AS rows, count(DISTINCT {c}) AS distinct_values,
+        true AS within_error FROM events GROUP BY 1"""
+        for c in ("user_id", "event_type", "event_id")
+    ),
     "dq_not_null": f"WITH s AS ({staging_sql(None)}) "
     + " UNION ALL ".join(
         f"SELECT 'not_null_{c}' AS rule, count(*) - count({c}) AS failures FROM s" for c in ("sale_date", "sku", "quantity")

@@ -28,8 +28,8 @@ def rolling_mean(spark: SparkSession, sf: str) -> DataFrame:
 def qty_ma3(spark: SparkSession, sf: str) -> DataFrame:
     """Row-level moving average per channel: few and very long series."""
     rows = sales(spark, sf, *KEYS, "inv_date", "region", "quantity")
-    order = (*KEYS, "quantity")  # the measure last: full ties then give the same means
-    averaged = series.moving_average(rows, ("region",), "inv_date", order, "quantity", 3, "qty_ma3")
+    order = ("inv_date", *KEYS, "quantity")  # the measure last: full ties then give the same means
+    averaged = series.moving_average(rows, ("region",), order, "quantity", 3, "qty_ma3")
     return money(averaged, "quantity")
 
 
@@ -44,7 +44,7 @@ def forward_fill(spark: SparkSession, sf: str) -> DataFrame:
         "user_id", "ts", "event_id", F.col("ts").cast("date").alias("day"),
         F.when(F.col("event_id") % 3 == 0, F.col("value")).alias("value"),
     )
-    return series.forward_fill(events, ("user_id",), "day", ("ts", "event_id"), "value")
+    return series.forward_fill(events, ("user_id",), ("ts", "event_id"), "value")
 
 
 def log_seasonal_diff(spark: SparkSession, sf: str) -> DataFrame:

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-import posixpath
+from collections.abc import Iterator
 from functools import reduce
 from typing import Mapping, Sequence
 
+import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -37,20 +38,91 @@ def union_sheets(sheets: Mapping[str, DataFrame], include: Sequence[str] | None
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), named)
 
 
-def sheet_files(spark: SparkSession, directory: str, glob: str = "*.csv") -> dict[str, str]:
-    """Sheet name to path. Lists the folder through Spark and reads no contents."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(directory)
-    paths = sorted(row.path for row in files.select("path").collect())
-    return {posixpath.splitext(posixpath.basename(p))[0]: p for p in paths}
+#: More bytes than any split holds: with this as size and as opening cost, every file is one task of its own.
+_ONE_FILE = 1 << 50
+
+
+def sheet_name(path: Column) -> Column:
+    """The sheet a file belongs to: its name without ending; of a part file, its folder's name or partition value."""
+    plain = F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
+    parts = F.split(plain, "/")
+    name = F.element_at(parts, -1)
+    folder = F.regexp_replace(F.element_at(parts, -2), "^[^=]*=", "")
+    return F.when(name.rlike("^part-[0-9]{5}-"), folder).otherwise(F.regexp_replace(name, r"\.[^.]*$", ""))
+
+
+def sheet_files(spark: SparkSession, directory: str, glob: str = "*.csv") -> DataFrame:
+    """path, its encoded form (key), sheet, bytes of every file below a folder. Lists through Spark and reads no contents."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", True).load(directory)
+    key = F.col("_metadata.file_path")
+    return files.select("path", key.alias("key"), sheet_name(key).alias("sheet"), F.col("length").alias("bytes"))
+
+
+def first_lines(spark: SparkSession, files: Mapping[str, str]) -> dict[str, str]:
+    """Key to first line, for files (key to path) with a line, in one job.
+
+    A task opens a file, takes a line and stops. Should a session deal several files to a task, the files
+    behind the first are read in a second job, line by line.
+    """
+
+    def heads(stop: bool):
+        def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            last = None
+            for batch in batches:
+                keys, starts = batch.column("key").to_pylist(), batch.column("start").to_pylist()
+                fresh = [i for i, key in enumerate(keys) if starts[i] == 0 and key != (keys[i - 1] if i else last)]
+                yield batch.take(pa.array(fresh, pa.int64()))
+                if stop and keys:
+                    return
+                last = keys[-1] if keys else last
+
+        return first
+
+    alone = spark.newSession()
+    for setting in ("maxPartitionBytes", "openCostInBytes"):
+        alone.conf.set(f"spark.sql.files.{setting}", str(_ONE_FILE))
+    found: dict[str, str] = {}
+    for stop in (True, False):
+        left = [path for key, path in files.items() if key not in found]
+        if left:
+            lines = alone.read.text(left).select(
+                F.col("_metadata.file_path").alias("key"), F.col("_metadata.file_block_start").alias("start"), "value"
+            )
+            rows = lines.mapInArrow(heads(stop), lines.schema).select("key", "value").collect()
+            found |= {r.key: r.value.removeprefix("\ufeff") for r in rows}
+    return found
+
+
+def layouts(spark: SparkSession, directory: str, include: Sequence[str] | None = None, glob: str = "*.csv") -> list[list[str]]:
+    """The files of a folder, grouped by their header; groups and files in the order of sheet names."""
+    files = sorted(sheet_files(spark, directory, glob).collect(), key=lambda r: (r.sheet, r.path))
+    wanted = set(pick_sheets(sorted({r.sheet for r in files}), include))
+    filled = {r.key: r.path for r in files if r.sheet in wanted and r.bytes > 0}
+    heads = first_lines(spark, filled) if filled else {}
+    groups: dict[str, list[str]] = {}
+    for key, path in filled.items():
+        if key in heads:
+            groups.setdefault(heads[key], []).append(path)
+    return list(groups.values())
+
+
+def read_layout(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    """Files of one layout as text columns, with the sheet each row came from: one scan."""
+    rows = spark.read.option("header", True).csv(list(paths))
+    return rows.select("*", sheet_name(F.col("_metadata.file_path")).alias("source_sheet"))
 
 
 def read_sheets(
     spark: SparkSession, directory: str, include: Sequence[str] | None = None
 ) -> DataFrame:
-    """Every CSV sheet of a folder as text columns; headers may differ by sheet."""
-    files = sheet_files(spark, directory)
-    names = pick_sheets(list(files), include)
-    return union_sheets({n: spark.read.option("header", True).csv(files[n]) for n in names})
+    """Every CSV sheet of a folder as text columns; headers may differ by sheet.
+
+    A sheet is a file, or a folder of part files. The plan has one scan per header, however many files.
+    """
+    scans = [read_layout(spark, paths) for paths in layouts(spark, directory, include)]
+    if not scans:
+        raise ValueError("no sheets to read")
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), scans)
 
 
 # --- sales history -------------------------------------------------------------------
@@ -91,8 +163,19 @@ def history_channel(name: str) -> str:
     )
 
 
+def sheet_channel(name: Column) -> Column:
+    """Channel by file name, as a column."""
+    marks = [F.when(F.contains(name, F.lit(mark)), channel) for mark, channel in fixed.HISTORY_CHANNELS]
+    return F.coalesce(*marks, F.lit(fixed.HISTORY_DEFAULT_CHANNEL))
+
+
 def history_from_sheet(df: DataFrame, name: str) -> DataFrame | None:
-    """History rows of one source file, or None when a needed column is missing.
+    """History rows of one source file, or None when a needed column is missing."""
+    return history_rows(df, F.lit(history_channel(name)))
+
+
+def history_rows(df: DataFrame, channel: Column) -> DataFrame | None:
+    """History rows of files with one header, or None when a needed column is missing.
 
     The first alias present is taken for each of date, sku, quantity and revenue.
     """
@@ -107,7 +190,7 @@ def history_from_sheet(df: DataFrame, name: str) -> DataFrame | None:
     return df.select(
         day.alias("sale_date"),
         sku.cast("string").alias("sku"),
-        F.lit(history_channel(name)).alias("channel"),
+        channel.alias("channel"),
         clip_negative(number_or_zero(quantity)).alias("quantity"),
         (number_or_zero(revenue) if revenue is not None else F.lit(0.0)).alias("revenue"),
     ).filter(F.col("sale_date").isNotNull())
@@ -115,12 +198,22 @@ def history_from_sheet(df: DataFrame, name: str) -> DataFrame | None:
 
 def history_from_sheets(sheets: Mapping[str, DataFrame]) -> DataFrame:
     """One history from files with different headers; incomplete ones are left out."""
-    usable = [h for h in (history_from_sheet(df, n) for n, df in sheets.items()) if h is not None]
+    return _usable([history_from_sheet(df, n) for n, df in sheets.items()])
+
+
+def _usable(parts: Sequence[DataFrame | None]) -> DataFrame:
+    usable = [h for h in parts if h is not None]
     if not usable:
         raise ValueError("no usable sales history files")
     return reduce(DataFrame.unionByName, usable)
 
 
+def history_from_folder(spark: SparkSession, folder: str) -> DataFrame:
+    """One history from the CSV files of a folder: one scan per header; files without a needed column are left out."""
+    scans = [read_layout(spark, paths) for paths in layouts(spark, folder)]
+    return _usable([history_rows(df, sheet_channel(F.col("source_sheet"))) for df in scans])
+
+
 def load_history(spark: SparkSession, parquet: str | None, csv_folder: str) -> DataFrame:
     """Cleaned Parquet when it exists, otherwise the CSV files of a folder."""
     if parquet is not None:
@@ -129,10 +222,7 @@ def load_history(spark: SparkSession, parquet: str | None, csv_folder: str) -> D
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
-    files = sheet_files(spark, csv_folder)
-    return history_from_sheets(
-        {n: spark.read.option("header", True).csv(p) for n, p in files.items()}
-    )
+    return history_from_folder(spark, csv_folder)
 
 
 # --- lookups and runs ------------------------------------------------------------------

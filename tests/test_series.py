@@ -29,21 +29,41 @@ def pdf(rows):
     return pd.DataFrame(rows, columns=["k", "day", "id", "v", "q"]).sort_values(["k", "day", "id"])
 
 
-@pytest.mark.parametrize("width", [1, 2, 3, 7])
-def test_moving_average_over_blocks(table, pdf, width):
-    out = series.moving_average(table, ["k"], "day", ["id"], "q", width, "ma").collect()
+@pytest.fixture
+def small_blocks(spark):
+    """As many blocks as there are shuffle partitions, although the table is small."""
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "13")
+    yield
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    spark.conf.set("spark.sql.shuffle.partitions", "4")
+
+
+@pytest.mark.parametrize("width", [1, 2, 7])
+def test_moving_average_over_blocks(small_blocks, table, pdf, width):
+    out = series.moving_average(table, ["k"], ["day", "id"], "q", width, "ma").collect()
     want = pdf.assign(ma=pdf.groupby("k")["q"].transform(lambda s: s.rolling(width, min_periods=1).mean()))
     assert {r.id: pytest.approx(r.ma) for r in out} == dict(zip(want["id"], want["ma"]))
     assert len(out) == len(pdf)
 
 
-def test_forward_fill_over_blocks(table, pdf):
-    out = series.forward_fill(table, ["k"], "day", ["id"], "v").collect()
+def test_forward_fill_over_blocks(small_blocks, table, pdf):
+    out = series.forward_fill(table, ["k"], ["day", "id"], "v").collect()
     want = pdf.groupby("k")["v"].ffill()
     expected = {i: None if pd.isna(v) else v for i, v in zip(pdf["id"], want)}
     assert {r.id: r.v for r in out} == expected
 
 
+def test_one_key_and_one_day_make_many_blocks(small_blocks, spark):
+    """Also rows that are equal in every column of the order, and a null key."""
+    df = spark.range(3000).selectExpr("CAST(NULL AS STRING) AS k", "1 AS day", "id DIV 1500 AS same", "CAST(id AS DOUBLE) AS q")
+    assert series.blocks(df, ["k"], ["day", "same"]).select("_block").distinct().count() > 8
+    assert series.moving_average(df, ["k"], ["day", "q"], "q", 2, "ma").filter("q > 0 and ma <> q - 0.5").count() == 0
+    gaps = df.selectExpr("k", "q", "CASE WHEN q IN (5, 700) THEN q END AS v")
+    got = series.forward_fill(gaps, ["k"], ["q"], "v").groupBy("v").count().collect()
+    assert {r["v"]: r["count"] for r in got} == {None: 5, 5.0: 695, 700.0: 2300}
+
+
 def test_rolling_and_tail(spark):
     df = spark.createDataFrame([("a", m, float(m * m)) for m in range(1, 6)], "k string, m int, q double")
     got = {r.m: r.q_mean for r in series.rolling_mean(df, ["k"], "m", ["q"], 3).collect()}

@@ -29,6 +29,41 @@ def test_read_sheets_with_different_headers(spark, tmp_path):
         readers.read_sheets(spark, str(tmp_path), ["2024", "2025"])
 
 
+def scans(df):
+    return df._jdf.queryExecution().optimizedPlan().toString().count("Relation [")
+
+
+def test_a_thousand_files_of_two_headers_are_two_scans(spark, tmp_path):
+    for i in range(1000):
+        header, row = (("a,b", f"{i},x") if i % 3 else ("b,c", f"y,{i}"))
+        (tmp_path / f"shop {i}%.csv").write_text(f"{header}\n{row}\n")
+    df = readers.read_sheets(spark, str(tmp_path))
+    assert scans(df) == 2
+    rows = {r.source_sheet: (r.a, r.b, r.c) for r in df.collect()}
+    assert rows == {f"shop {i}%": (str(i), "x", None) if i % 3 else (None, "y", str(i)) for i in range(1000)}
+
+
+def test_folders_of_part_files_and_files_without_rows(spark, tmp_path):
+    df = spark.createDataFrame([(i, f"s+{i % 2}") for i in range(40)], "n long, sheet string").repartition(3)
+    df.write.partitionBy("sheet").option("header", True).csv(str(tmp_path / "parts"))
+    (tmp_path / "empty.csv").write_text("")
+    (tmp_path / "bare.csv").write_text("n\n")
+    (tmp_path / "marked.csv").write_bytes(b"\xef\xbb\xbfn\r\n7\r\n")
+    rows = readers.read_sheets(spark, str(tmp_path)).collect()
+    assert sorted((int(r.n), r.source_sheet) for r in rows) == sorted([(i, f"s+{i % 2}") for i in range(40)] + [(7, "marked")])
+    with pytest.raises(ValueError, match="not found: empty"):  # a file without a line is no sheet
+        readers.read_sheets(spark, str(tmp_path), ["empty"])
+
+
+def test_first_lines_where_tasks_hold_several_files(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(readers, "_ONE_FILE", 1 << 20)
+    for i in range(30):
+        (tmp_path / f"{i}.csv").write_text(f"h{i}\n" + "line\n" * i)
+    spark.newSession()
+    found = readers.layouts(spark, str(tmp_path))
+    assert len(found) == 30 and all(len(paths) == 1 for paths in found)
+
+
 def test_history_falls_back_to_csv(spark, tmp_path):
     (tmp_path / "im_sales_history_1.csv").write_text("Month,SKU,Qty\n2024/01,x,-3\nbad,x,1\n")
     (tmp_path / "sales_history_2.csv").write_text("Date,Product,Quantity,Revenue\n2024-02-03,y,2,9.5\n")
