@@ -78,13 +78,13 @@ def reconcile(df: DataFrame, slice_column: str, measure: str) -> DataFrame:
     ).withColumn("matches", (F.col("slice_sum") == F.col("total")) & (F.col("slice_rows") == F.col("total_rows")))
 
 
-def manifest(df: DataFrame, sheet: str = "source_sheet") -> DataFrame:
-    """Rows per sheet and a hash that does not depend on their order.
+def manifest(df: DataFrame, sheet: str = "source_sheet", columns: Sequence[str] | None = None) -> DataFrame:
+    """Rows per sheet and a hash of ``columns`` (default: all) that does not depend on their order.
 
     The hash is a sum over rows, so that a repeated row changes it. A cell goes in with
     its length, a missing one as a mark of its own.
     """
-    cells = [F.col(c).cast("string") for c in df.columns]
+    cells = [F.col(c).cast("string") for c in columns or df.columns]
     marked = [F.coalesce(F.concat(F.length(c).cast("string"), F.lit(":"), c), F.lit("-")) for c in cells]
     number = F.conv(F.substring(F.md5(F.concat_ws("|", *marked)), 1, 15), 16, 10).cast("decimal(20,0)")
     return df.groupBy(sheet).agg(
