@@ -120,14 +120,34 @@ def with_tier(lines: DataFrame) -> DataFrame:
 SCORECARD_KEYS = ("snapshot_month", "service_family", "plan_variant", "region", "customer_tier")
 
 
+def order_grain(lines: DataFrame) -> DataFrame:
+    """Revenue and quantity by month, family, plan, region, customer and order, written once.
+
+    The one reduction of the lines that tiers, scorecard and dashboards start from.
+    """
+    keys = ("month", "service_family", "plan_variant", "region", "customer", "order_id")
+    return settle(lines.groupBy(*keys).agg(F.sum("usd_total").alias("usd_total"), F.sum("quantity").alias("quantity")))
+
+
 def adoption_scorecard(lines: DataFrame) -> DataFrame:
-    """Customers, orders, revenue and seats by month, family, plan, region and tier."""
-    tiered = with_tier(lines).withColumnRenamed("month", "snapshot_month")
-    grouped = tiered.groupBy(*SCORECARD_KEYS).agg(
-        F.countDistinct("customer").alias("active_subscriptions"),
-        # lines without an order number are one order
-        (F.countDistinct("order_id") + F.max(F.col("order_id").isNull().cast("int"))).alias("new_subscriptions"),
-        double(F.sum("usd_total")).alias("mrr_usd"),
+    """Customers, orders, revenue and seats by month, family, plan, region and tier.
+
+    Lines are reduced to the order grain in one scan. Distinct customers and orders are two
+    plain aggregates of the grain, put under each other and added up, so no row is expanded.
+    """
+    tiered = with_tier(order_grain(lines)).withColumnRenamed("month", "snapshot_month")
+    by_customer = tiered.groupBy(*SCORECARD_KEYS, "customer").agg(F.sum("usd_total").alias("usd"), F.sum("quantity").alias("quantity"))
+    by_order = tiered.select(*SCORECARD_KEYS, "order_id").distinct()
+    none = F.lit(0).cast("long")
+    customers = by_customer.groupBy(*SCORECARD_KEYS).agg(
+        F.count("customer").alias("customers"), none.alias("orders"), F.sum("usd").alias("usd"), F.sum("quantity").alias("quantity")
+    )
+    # lines without an order number are one order
+    orders = by_order.groupBy(*SCORECARD_KEYS).agg(none.alias("customers"), F.count("*").alias("orders"))
+    grouped = customers.unionByName(orders, allowMissingColumns=True).groupBy(*SCORECARD_KEYS).agg(
+        F.sum("customers").alias("active_subscriptions"),
+        F.sum("orders").alias("new_subscriptions"),
+        double(F.sum("usd")).alias("mrr_usd"),
         double(F.sum("quantity")).alias("total_quantity"),
     )
     return grouped.select(

@@ -7,6 +7,7 @@ import pytest
 
 from ledgerline.functions import fixed_values as fixed
 from ledgerline.operators import subscription as sub
+from tests.conftest import SF
 
 PAID = "month date, customer string, family string, revenue decimal(21,7)"
 
@@ -121,3 +122,23 @@ def test_cohort_filter_takes_prefix_or_word(spark):
     for product, code, kept in [("x", "c2-a", 1), ("my C2 plan", "z", 1), ("Active Insight", "", 1), ("C21", "z", 0), (None, None, 0)]:
         row = df.withColumns({"product": F.lit(product).cast("string"), "code": F.lit(code).cast("string")})
         assert sub.subscription_lines(row).count() == kept, product
+
+
+def test_scorecard_scans_the_lines_once(spark, tmp_path):
+    """The lines are gone once the grain is written; dashboards read the stored card."""
+    rows = lines(spark, [("a", 5), ("a", 7), ("b", 1), (None, 2)])
+    rows.write.parquet(str(tmp_path / "lines"))
+    subs = sub.subscription_lines(spark.read.parquet(str(tmp_path / "lines")))
+    card = sub.adoption_scorecard(subs)
+    text = card._jdf.queryExecution().optimizedPlan().toString()
+    assert "Expand" not in text and text.count("Relation [") <= 4
+    for part in (tmp_path / "lines").glob("part-*"):
+        part.unlink()
+    assert [r.active_subscriptions for r in card.collect()] == [3]
+
+
+def test_dashboards_share_one_card(spark):
+    from ledgerline.plans import subscription as plans
+
+    first, second = (plans.stored_card(spark, SF) for _ in range(2))
+    assert first is second and "lineitem" not in " ".join(first.inputFiles())
