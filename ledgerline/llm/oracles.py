@@ -203,10 +203,10 @@ def _spelling() -> str:
           SELECT word, CASE WHEN n_b >= 10 * n THEN b END AS form, n, coalesce(n_near, 0) AS n_near, CASE WHEN n_b >= 10 * n THEN n_b END AS form_n
           FROM words LEFT JOIN near ON word = a),
         walk AS (
-          SELECT word, word AS at, 0 AS steps FROM known
-          UNION ALL SELECT walk.word, form, steps + 1 FROM walk JOIN known ON walk.at = known.word WHERE form IS NOT NULL)
+          SELECT word, word AS spot, 0 AS steps FROM known
+          UNION ALL SELECT walk.word, form, steps + 1 FROM walk JOIN known ON walk.spot = known.word WHERE form IS NOT NULL)
         SELECT k.word, form, root, n, n_near, form_n
-        FROM known k JOIN (SELECT word, first(at ORDER BY steps DESC) AS root FROM walk GROUP BY word) r USING (word)"""
+        FROM known k JOIN (SELECT word, first(spot ORDER BY steps DESC) AS root FROM walk GROUP BY word) r USING (word)"""
 
 
 ORACLES = {"op3_url_filter": _urls(), "op7_decontamination": _decontamination(), "op10_personal_data": _pii(), "op11_merkle_manifest": _manifest(), "op12_spelling_groups": _spelling()}

@@ -270,7 +270,7 @@ def _folded(bits: bytes, width: int) -> bytes:
 
 
 def _links_in(cells: pa.Table, percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """Ids (a, b) that connect the rows (cell, id, n, component, bits or whole) of whole cells."""
+    """(a, b) for the rows (cell, id, n, component, bits or whole) of whole cells: the least id of a component, and each other one."""
     exact = "whole" in cells.column_names
     cell, ids, n, known = (cells.column(c).to_numpy() for c in ("cell", "id", "n", "component"))
     widths = width_class(n)
@@ -279,7 +279,7 @@ def _links_in(cells: pa.Table, percent: int) -> tuple[np.ndarray, np.ndarray]:
         bits = [bitmap(s, w).tobytes() for s, w in zip(whole, widths.tolist())]
     else:
         bits = cells.column("bits").to_pylist()
-    found = []
+    labels = Labels(known)
     for width in np.unique(widths):
         # sets of the next width meet these where they are small enough
         other = (widths == width + 1) & (percent * n <= 100 * (TOKENS << width))
@@ -291,14 +291,22 @@ def _links_in(cells: pa.Table, percent: int) -> tuple[np.ndarray, np.ndarray]:
             both = len(np.intersect1d(a, b, assume_unique=True))
             return 100 * both >= percent * (len(a) + len(b) - both)
 
-        trees = Trees(cell[rows], n[rows], np.frombuffer(wide, dtype=np.uint64).reshape(len(rows), -1), known[rows], percent, same if exact else None)
-        found.append([rows[x] for x in trees.links()])
-    a, b = (np.concatenate(x) for x in zip(*found))
-    return ids[a], ids[b]
+        signatures = np.frombuffer(wide, dtype=np.uint64).reshape(len(rows), -1)
+        trees = Trees(cell[rows], n[rows], signatures, labels.up[rows], percent, same if exact else None)
+        a, b = trees.links()
+        labels.link(rows[a], rows[b])
+    least = np.full(len(ids), np.iinfo(np.int64).max)
+    np.minimum.at(least, labels.up, np.minimum(ids, known))
+    least = least[labels.up]
+    apart = least < ids
+    return least[apart], ids[apart]
 
 
 def _compared(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """a, b: links among the members (cell, id, component) of each cell; ``sets`` has their id, n and bits or whole."""
+    """a, b: every member (cell, id, component) of a cell that is linked, with the least id of what it is linked with.
+
+    ``sets`` has their id, n and bits or whole.
+    """
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = None
@@ -317,28 +325,30 @@ def _compared(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
     def linked(cells: pa.Table) -> Iterator[pa.RecordBatch]:
         a, b = _links_in(cells.combine_chunks(), percent)
-        yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
+        yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
 
     dealt = members.join(sets, "id").repartition("cell").sortWithinPartitions("cell", "n", "id")
     kept = [c for c in ("cell", "id", "n", "component", "bits", "whole") if c in dealt.columns]
-    return dealt.select(*kept).mapInArrow(rows, "a long, b long").where("a < b").distinct()
-
-
-def joined(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """a, b: links that connect the members (list, id) of each list, whatever the size of a list."""
-    pivots = F.array(*(F.min_by("id", F.xxhash64("id", F.lit(i))) for i in range(PIVOTS)))
-    held = settle(members.groupBy("list").agg(F.count("*").alias("held"), F.array_distinct(pivots).alias("pivots")))
-    parts = F.when(F.col("held") > CELL, F.ceil(F.col("held") / (CELL // 2))).otherwise(1)
-    held = held.withColumn("parts", parts.cast("long"))
-    placed = members.join(held.select("list", "held", "parts"), "list").withColumn("part", F.pmod(F.xxhash64("id", "list"), F.col("parts")))
-    shared = held.where(F.col("held") > CELL).select("list", F.explode("pivots").alias("id"), "parts")
-    shared = shared.select("list", "id", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"))
-    first = placed.select("list", "id", "part").unionByName(shared).distinct()
-    links = settle(_compared(_celled(first, "list", "part").withColumn("component", F.col("id")), sets, percent))
-    large = settle(placed.where(F.col("held") > CELL))
-    if large.isEmpty():
-        return links
-    return links.unionByName(_second_round(large, links, sets, percent))
+    return dealt.select(*kept).mapInArrow(rows, "a long, b long")
+
+
+def joined(members: DataFrame, sets: DataFrame, percent: int) -> tuple[DataFrame, bool]:
+    """Links (a, b) that connect the members (list, id) of each list, whatever its size, and whether a list took several cells."""
+    held = settle(members.groupBy("list").agg(F.count("*").alias("held")).where(F.col("held") > CELL))
+    if held.isEmpty():
+        return settle(_compared(_celled(members.withColumn("component", F.col("id")), "list"), sets, percent)), False
+    placed = members.join(held, "list", "left")
+    parts = F.coalesce(F.ceil(F.col("held") / (CELL // 2)), F.lit(1)).cast("long")
+    placed = settle(placed.withColumn("parts", parts).withColumn("part", F.pmod(F.xxhash64("id", "list"), "parts")))
+    large = placed.where("parts > 1")
+    pivots = large.groupBy("list", "parts").agg(
+        F.array_distinct(F.array(*(F.min_by("id", F.xxhash64("id", F.lit(i))) for i in range(PIVOTS)))).alias("pivots")
+    )
+    every = F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part")
+    shared = pivots.select("list", "parts", F.explode("pivots").alias("id")).select("list", "id", every)
+    first = placed.select("list", "id", "part").unionByName(shared).distinct().withColumn("component", F.col("id"))
+    links = settle(_compared(_celled(first, "list", "part"), sets, percent))
+    return links.unionByName(_second_round(large, links, sets, percent)), True
 
 
 def _celled(rows: DataFrame, *keys: str) -> DataFrame:
@@ -354,11 +364,11 @@ def _second_round(large: DataFrame, links: DataFrame, sets: DataFrame, percent:
     main = sizes.groupBy("list").agg(F.max_by("component", F.struct("held", "component")).alias("main"))
     stray = settle(known.join(main, "list").where("component <> main").drop("main"))
     groups = stray.groupBy("list").agg(F.ceil(F.count("*") / (CELL // 2)).cast("long").alias("groups"))
-    every = lambda upto: F.explode(F.sequence(F.lit(0).cast("long"), F.col(upto) - 1))
+    of_parts, of_groups = (F.explode(F.sequence(F.lit(0).cast("long"), F.col(c) - 1)) for c in ("parts", "groups"))
     asked = stray.join(groups, "list").withColumn("group", F.pmod(F.xxhash64("id", "list"), F.col("groups")))
-    asked = asked.select("list", "id", "component", "group", every("parts").alias("part"))
-    met = known.join(groups, "list").select("list", "id", "component", "part", every("groups").alias("group"))
-    cells = _celled(asked.unionByName(met, allowMissingColumns=False).distinct(), "list", "group", "part")
+    asked = asked.select("list", "id", "component", "group", of_parts.alias("part"))
+    met = known.join(groups, "list").select("list", "id", "component", "part", of_groups.alias("group"))
+    cells = _celled(asked.unionByName(met).distinct(), "list", "group", "part")
     return _compared(cells, sets, percent)
 
 
@@ -383,12 +393,16 @@ def similar_sets(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     )
     clusters = _clusters(reps, percent)
     texts = texts.join(clusters.select("id"), "id", "left_semi")
-    sets = settle(_whole_sets(texts, size).withColumn("n", F.size("whole").cast("long")).where("n > 0").distinct())
-    links = joined(clusters, sets, percent)
+    sets = settle(_whole_sets(texts, size).withColumn("n", F.size("whole").cast("long")).where("n > 0"))
+    links, large = joined(clusters, sets, percent)
     # texts of one document belong together, whatever they say
-    several = named.groupBy("id").agg(F.count_distinct("n", "f1", "f2").alias("texts")).where("texts > 1")
-    own = named.join(several, "id", "left_semi").join(classes, ["n", "f1", "f2"]).select(F.col("id").alias("a"), F.col("rep").alias("b"))
-    of = components(links.unionByName(own))
+    mark = F.struct("n", "f1", "f2")
+    several = settle(named.groupBy("id").agg(F.min(mark).alias("one"), F.max(mark).alias("other")).where("one <> other").select("id"))
+    if large or not several.isEmpty():
+        own = named.join(several, "id", "left_semi").join(classes, ["n", "f1", "f2"]).select(F.col("id").alias("a"), F.col("rep").alias("b"))
+        of = components(links.unionByName(own))
+    else:  # clusters are disjoint, so links within them are final
+        of = links.select(F.col("b").alias("node"), F.col("a").alias("component")).distinct()
     found = classes.join(of.withColumnRenamed("node", "rep"), "rep", "left").select("n", "f1", "f2", F.coalesce("component", "rep").alias("component_id"))
     result = every.select("id", "n", "f1", "f2").join(found, ["n", "f1", "f2"], "left")
     component: Column = F.when(F.col("id").isNull(), None).otherwise(F.coalesce("component_id", "id"))
@@ -404,7 +418,7 @@ def _clusters(reps: DataFrame, percent: int) -> DataFrame:
     marks = [F.bit_xor(F.xxhash64("id", F.lit(i))).alias(f"mark{i}") for i in range(2)]
     lists = shared.groupBy("token").agg(F.count("*").alias("held"), F.min("id").alias("low"), F.max("id").alias("high"), *marks)
     lists = settle(lists.groupBy("held", "low", "high", "mark0", "mark1").agg(F.min("token").alias("token")).select("token"))
-    members = settle(shared.join(lists, "token", "left_semi").select(F.col("token").alias("list"), "id").distinct())
-    of = components(joined(members, reps.select("id", "n", "bits"), percent))
+    members = settle(shared.join(lists, "token", "left_semi").select(F.col("token").alias("list"), "id"))
+    of = components(joined(members, reps.select("id", "n", "bits"), percent)[0])
     heads = of.select(F.col("component").alias("list"), F.col("component").alias("id")).distinct()
-    return settle(of.select(F.col("component").alias("list"), F.col("node").alias("id")).unionByName(heads).distinct())
+    return settle(of.select(F.col("component").alias("list"), F.col("node").alias("id")).unionByName(heads))
