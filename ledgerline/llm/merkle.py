@@ -22,8 +22,8 @@ from ledgerline.session import settle
 
 #: Consecutive nodes that become one.
 FAN = 3
-#: Digits of a rank within a block: blocks have up to 729 leaves.
-DIGITS = 6
+#: Digits of a rank within a block: blocks have up to 81 leaves, and their nested structs four levels.
+DIGITS = 4
 #: The fields of a leaf, in the order in which they are hashed.
 FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
 #: Digits of the row number that ``monotonically_increasing_id`` counts within a partition.
