@@ -30,6 +30,10 @@ from ledgerline.llm.tables import slices
 SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 #: Transitions a worker keeps.
 TRANSITIONS = 400_000
+#: Distinct chunks and parts that a worker remembers.
+DISTINCT = 400_000
+#: Ids that are decoded at a time.
+DECODED = 1 << 20
 
 
 def byte_of_char() -> dict[str, int]:
@@ -76,6 +80,14 @@ class MergeAutomaton:
                     self.ends.append(-1)
                 node = self.next[key]
             self.ends[node] = token
+        self.sizes = [len(labels.get(token, b"")) for token in range(size)]
+        self.shorter = [-1] * size  # the longest arc label that the token's label goes on from
+        for label, token in self.arcs.items():
+            node = 0
+            for byte in label[:-1]:
+                node = self.next[node << 8 | byte]
+                if self.ends[node] >= 0:
+                    self.shorter[token] = self.ends[node]
         self.steps: dict[int, bool] = {}
 
     def _open(self, a: int, b: int, until: int) -> bool:
@@ -107,27 +119,43 @@ class MergeAutomaton:
             known = self.steps[arc] = self._open(state, token, len(self.rank))
         return known
 
+    def _longest(self, word: bytes, start: int) -> int:
+        """The longest arc label that the word goes on with; a single byte at least."""
+        follow, ends, node, found = self.next.get, self.ends, 0, -1
+        for byte in word[start:]:
+            node = follow(node << 8 | byte)
+            if node is None:
+                break
+            if ends[node] >= 0:
+                found = ends[node]
+        return found
+
     def encode_word(self, word: bytes) -> list[int]:
-        """The one path that spells the word."""
+        """The one path that spells the word.
+
+        Arcs are tried from the longest on. The path to any place is the only one, so a place that
+        has once come to nothing is never entered again.
+        """
         whole = self.arcs.get(word)
         if whole is not None:
             return [whole]
-        follow, ends, step, size = self.next.get, self.ends, self.step, len(word)
-        last: list[int] = [-1] * (size + 1)
-        for start in range(size):  # the state behind every prefix is known when its turn comes
-            state, node = last[start], 0
-            for end in range(start, size):
-                node = follow(node << 8 | word[end])
-                if node is None:
-                    break
-                token = ends[node]
-                if token >= 0 and last[end + 1] < 0 and (start == 0 or step(state, token)):
-                    last[end + 1] = token
-        path, end = [], len(word)
-        while end:
-            path.append(last[end])
-            end -= len(self.labels[last[end]])
-        return path[::-1]
+        step, sizes, shorter, size = self.step, self.sizes, self.shorter, len(word)
+        path: list[int] = []
+        dead: set[int] = set()
+        place, token = 0, self._longest(word, 0) if word else -1
+        while place < size:
+            while token >= 0 and (place + sizes[token] in dead or (path and not step(path[-1], token))):
+                token = shorter[token]
+            if token >= 0:
+                path.append(token)
+                place += sizes[token]
+                token = self._longest(word, place)
+            else:
+                dead.add(place)
+                last = path.pop()
+                place -= sizes[last]
+                token = shorter[last]
+        return path
 
 
 class Labels:
@@ -151,19 +179,40 @@ class Labels:
         }
         self.all = self.tokens | {i: text.encode() for text, i in self.added.items()}
 
+        size = max(self.all, default=-1) + 1
+        known = [self.all.get(i, b"") for i in range(size)]
+        self.flat = np.frombuffer(b"".join(known), dtype=np.uint8)
+        self.ends = np.cumsum([len(label) for label in known], dtype=np.int64)
+        self.sizes = np.diff(self.ends, prepend=0)
+
     def decode(self, ids: list[int]) -> str:
         """The bytes of the arcs; what is no UTF-8 becomes the replacement character. Unknown ids have no label."""
+        return b"".join([self.all.get(i, b"") for i in ids]).decode("utf-8", "replace")
+
+    def decode_lists(self, flat: np.ndarray, ends: np.ndarray) -> pa.Array:
+        """The texts of consecutive lists of ids; list ``i`` ends at ``ends[i]`` of all ids."""
+        flat = np.where((flat >= 0) & (flat < len(self.sizes)), flat, -1)
+        sizes = np.where(flat >= 0, self.sizes[flat], 0) if len(self.sizes) else np.zeros(len(flat), dtype=np.int64)
+        upto = np.concatenate([[0], np.cumsum(sizes)])
+        places = np.arange(upto[-1]) + np.repeat(self.ends[flat] - sizes - upto[:-1], sizes)
+        data = self.flat[places].tobytes()
+        offsets = np.concatenate([[0], upto[ends]]).astype(np.int64)
         try:
-            return b"".join([*map(self.all.__getitem__, ids)]).decode("utf-8", "replace")
-        except KeyError:
-            return b"".join([self.all.get(i, b"") for i in ids]).decode("utf-8", "replace")
+            data.decode("utf-8")
+            # whole texts are characters, if none starts inside of one
+            starts = offsets[:-1][offsets[:-1] < len(data)]
+            if not ((np.frombuffer(data, dtype=np.uint8)[starts] & 0xC0) == 0x80).any():
+                return pa.LargeStringArray.from_buffers(len(ends), pa.py_buffer(offsets), pa.py_buffer(data)).cast(pa.string())
+        except UnicodeDecodeError:
+            pass
+        return pa.array([data[a:b].decode("utf-8", "replace") for a, b in zip(offsets, offsets[1:])], pa.string())
 
 
 class Codec:
     """Pre-tokeniser, automaton and added tokens of a vocabulary file."""
 
     def __init__(self, path: str):
-        labels = Labels(path)
+        self.labels = labels = Labels(path)
         vocabulary = labels.model["vocab"]
         pairs = [pair.split(" ") if isinstance(pair, str) else pair for pair in labels.model["merges"]]
         self.automaton = MergeAutomaton(
@@ -173,7 +222,7 @@ class Codec:
         self.split = regex.compile(SPLIT)
         marks = sorted(self.added, key=len, reverse=True)
         self.marks = regex.compile("(" + "|".join(map(regex.escape, marks)) + ")") if marks else None
-        self.words = ChunkMemory(by_parts(self._chunks))
+        self.words = ChunkMemory(by_parts(self._chunks, DISTINCT), DISTINCT)
 
     def _plain(self, text: str) -> list[int]:
         encode = self.automaton.encode_word
@@ -193,6 +242,12 @@ class Codec:
     def encode_texts(self, texts: list[str]) -> list[np.ndarray]:
         return [np.frombuffer(b"".join(values), dtype="<i4") for values in self.words.values(texts)]
 
+    def encode_lists(self, texts: pa.Array) -> pa.Array:
+        """The ids of a column of texts; a null text has none."""
+        ids = [b"".join(values) for values in self.words.values([text or "" for text in texts.to_pylist()])]
+        ends = np.cumsum([0, *(len(x) // 4 for x in ids)], dtype=np.int32)
+        return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(ids), dtype="<i4"), pa.int32()))
+
 
 @lru_cache(maxsize=2)
 def codec(path: str) -> Codec:
@@ -219,15 +274,24 @@ def encode(df: DataFrame, path: str, text_col: str = "text", ids_col: str = "ids
         words = codec(path)
         for batch in batches:
             for part in slices(batch, text_col):
-                ids = words.encode_texts([text or "" for text in part.column(text_col).to_pylist()])
-                ends = np.cumsum([0, *map(len, ids)], dtype=np.int32)
-                flat = np.concatenate(ids) if ids else np.zeros(0, dtype=np.int32)
-                lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(flat, pa.int32()))
+                lists = words.encode_lists(part.column(text_col))
                 yield pa.RecordBatch.from_arrays([*part.columns, lists], names=[*part.schema.names, ids_col])
 
     return rest.mapInArrow(rows, schema)
 
 
+def _decoded(labels: Labels, lists: pa.Array) -> pa.Array:
+    """The texts of a column of id lists, a few megabytes of ids at a time; null lists are empty."""
+    sizes = np.array([0 if n is None else n for n in lists.value_lengths().to_pylist()], dtype=np.int64)
+    flat, ends = lists.flatten().to_numpy(zero_copy_only=False), np.cumsum(sizes)
+    found, start, low = [], 0, 0
+    while start < len(ends):
+        upto = max(start + 1, int(np.searchsorted(ends, low + DECODED, side="right")))
+        found.append(labels.decode_lists(flat[low : ends[upto - 1]], ends[start:upto] - low))
+        start, low = upto, int(ends[upto - 1])
+    return pa.concat_arrays(found) if found else pa.array([], pa.string())
+
+
 def decode(df: DataFrame, path: str, ids_col: str = "ids", text_col: str = "decoded") -> DataFrame:
     """``df`` with the text that its ids spell; null ids spell the empty text."""
     rest, schema = _with(df, text_col, "string")
@@ -237,7 +301,22 @@ def decode(df: DataFrame, path: str, ids_col: str = "ids", text_col: str = "deco
         for batch in batches:
             for start in range(0, batch.num_rows, 256):
                 part = batch.slice(start, 256)
-                texts = [words.decode(ids.values.to_numpy().tolist() if ids.is_valid else []) for ids in part.column(ids_col)]
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.string())], names=[*part.schema.names, text_col])
+                texts = _decoded(words, part.column(ids_col))
+                yield pa.RecordBatch.from_arrays([*part.columns, texts], names=[*part.schema.names, text_col])
 
     return rest.mapInArrow(rows, schema)
+
+
+def encode_and_decode(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """id, ids and the text that the ids spell, in one pass over the texts: one process per task holds the tables."""
+    texts = df.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text"))
+    schema = texts.select("id", F.lit(None).cast("array<int>").alias("ids"), F.lit(None).cast("string").alias("decoded")).schema
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = codec(path)
+        for batch in batches:
+            for part in slices(batch):
+                lists = words.encode_lists(part.column("text"))
+                yield pa.RecordBatch.from_arrays([part.column("id"), lists, _decoded(words.labels, lists)], names=["id", "ids", "decoded"])
+
+    return texts.mapInArrow(rows, schema).withColumnRenamed("id", id_col)

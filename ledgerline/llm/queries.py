@@ -32,8 +32,7 @@ def op1_token_files(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def op2_bpe_automaton(spark: SparkSession, sf: str) -> DataFrame:
-    encoded = bpe.encode(documents(spark, sf).select("doc_id", "text"), BYTE_BPE).drop("text")
-    return bpe.decode(encoded, BYTE_BPE).select(
+    return bpe.encode_and_decode(documents(spark, sf), BYTE_BPE).select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),

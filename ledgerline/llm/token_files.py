@@ -31,6 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ledgerline.llm.bpe import Labels
 from ledgerline.llm.chunks import ChunkMemory, by_parts
 from ledgerline.llm.tables import id_and_text, slices
 
@@ -41,6 +42,10 @@ BLOCKS = (
 )
 
 
+#: Widths at which an id is a little-endian number of whole bytes.
+WHOLE = {8: "<u1", 16: "<u2", 32: "<u4"}
+
+
 def width_of(vocabulary: int) -> int:
     """Bits that hold every id of a vocabulary."""
     if vocabulary < 1:
@@ -51,6 +56,10 @@ def width_of(vocabulary: int) -> int:
 def pack(ids: np.ndarray, bits: int) -> bytes:
     """64 ids to ``bits`` words; the last group is filled up with zeros."""
     groups = -(-len(ids) // 64)
+    if bits in WHOLE:  # the same words: every id is a number of its own
+        if len(ids) and int(ids.max()) >> bits:
+            raise ValueError(f"an id does not fit into {bits} bits")
+        return ids.astype(WHOLE[bits]).tobytes() + bytes((groups * 64 - len(ids)) * bits // 8)
     wide = np.zeros(groups * 64, dtype=np.uint64)
     wide[: len(ids)] = ids
     if bits < 64 and len(ids) and int(wide.max()) >> bits:
@@ -67,6 +76,8 @@ def pack(ids: np.ndarray, bits: int) -> bytes:
 
 def unpack(words: bytes, bits: int, start: int, count: int) -> np.ndarray:
     """``count`` ids from place ``start``, touching only the groups they are in."""
+    if bits in WHOLE:
+        return np.frombuffer(words, dtype=WHOLE[bits], offset=start * bits // 8, count=count).astype(np.uint32)
     low, high = start // 64, -(-(start + count) // 64)
     part = np.frombuffer(words, dtype="<u8", offset=low * bits * 8, count=(high - low) * bits)
     columns = np.ascontiguousarray(part.reshape(high - low, bits).T)
@@ -83,13 +94,16 @@ def unpack(words: bytes, bits: int, start: int, count: int) -> np.ndarray:
 
 #: Characters that one call of the library encodes.
 CALL_CHARS = 50_000
+#: Distinct chunks and parts that a worker remembers.
+DISTINCT = 500_000
 
 
 class LibraryEncoder:
     """The library's ids of chunks, as little-endian 32-bit integers.
 
-    Many pieces are encoded in one call, with an added token of the vocabulary between
-    them, which keeps them apart.
+    Of a byte-level vocabulary many chunks are encoded in one call: a chunk that starts with a blank goes
+    on in a piece of its own behind one that ends without white space, and the byte lengths of the tokens
+    tell where each chunk ends.
     """
 
     def __init__(self, path: str):
@@ -99,30 +113,46 @@ class LibraryEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_padding()
         self.tokenizer.no_truncation()
-        added = [(i, t.content) for i, t in self.tokenizer.get_added_tokens_decoder().items() if not (t.lstrip or t.rstrip or t.single_word)]
-        self.apart, self.mark = added[0] if added else (None, "")
-        self.memory = ChunkMemory(by_parts(self.encoded))
+        self.marks = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        labels = Labels(path).all
+        self.sizes = np.zeros(max(labels, default=-1) + 1, dtype=np.int64)
+        for token, label in labels.items():
+            self.sizes[token] = len(label)
+        self.memory = ChunkMemory(by_parts(self.encoded, DISTINCT), DISTINCT)
 
     def encoded(self, texts: list[str]) -> list[bytes]:
-        found: list[bytes] = []
-        part: list[str] = []
-        filled = 0
-        for text in texts:
-            part.append(text)
-            filled += len(text)
-            if filled >= CALL_CHARS:  # an encoding takes many times the memory of its text
-                found += self._call(part)
-                part, filled = [], 0
-        return found + self._call(part) if part else found
-
-    def _call(self, texts: list[str]) -> list[bytes]:
-        if self.apart is None or any(self.mark in text for text in texts):
-            batch = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-            return [np.array(e.ids, dtype="<u4").tobytes() for e in batch]
-        joined = self.tokenizer.encode_batch_fast([self.mark.join(texts)], add_special_tokens=False)[0]
-        ids = np.array(joined.ids, dtype="<u4")
-        data, cuts = ids.tobytes(), (np.flatnonzero(ids == self.apart) * 4).tolist()
-        return [data[a:b] for a, b in zip([0, *(cut + 4 for cut in cuts)], [*cuts, len(data)])]
+        joined = [t[:1] == " " and not t[1:2].isspace() and not t[-1:].isspace() and not any(m in t for m in self.marks) for t in texts]
+        ids: dict[int, bytes] = {}
+        for rows in _calls(texts, [i for i, j in enumerate(joined) if j]):
+            ids.update(zip(rows, self._together([texts[i] for i in rows])))
+        for rows in _calls(texts, [i for i, j in enumerate(joined) if not j]):
+            batch = self.tokenizer.encode_batch_fast([texts[i] for i in rows], add_special_tokens=False)
+            ids.update(zip(rows, (np.array(e.ids, dtype="<u4").tobytes() for e in batch)))
+        return [ids[i] for i in range(len(texts))]
+
+    def _together(self, texts: list[str]) -> list[bytes]:
+        found = np.array(self.tokenizer.encode_batch_fast(["".join(texts)], add_special_tokens=False)[0].ids, dtype="<u4")
+        upto = np.cumsum(self.sizes[found])
+        ends = np.cumsum([len(t.encode()) for t in texts])
+        cuts = np.searchsorted(upto, ends)
+        if len(upto) == 0 or (upto[np.minimum(cuts, len(upto) - 1)] != ends).any():
+            raise ValueError("a token goes on from one chunk to the next")
+        data, cuts = found.tobytes(), ((cuts + 1) * 4).tolist()
+        return [data[a:b] for a, b in zip([0, *cuts], cuts)]
+
+
+def _calls(texts: list[str], rows: list[int]) -> Iterator[list[int]]:
+    """Rows for one call each: an encoding takes many times the memory of its text."""
+    part: list[int] = []
+    filled = 0
+    for i in rows:
+        part.append(i)
+        filled += len(texts[i])
+        if filled >= CALL_CHARS:
+            yield part
+            part, filled = [], 0
+    if part:
+        yield part
 
 
 @lru_cache(maxsize=2)
