@@ -59,9 +59,8 @@ def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, n_tokens, ids and the text that the ids spell."""
-    encoded = bpe.encode(docs.select("doc_id", "text"), BYTE_BPE).drop("text")
-    return bpe.decode(encoded, BYTE_BPE, text_col="text").select(
-        "doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids", "text"
+    return bpe.encode_and_decode(docs, BYTE_BPE).select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids", F.col("decoded").alias("text")
     )
 
 
