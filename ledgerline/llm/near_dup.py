@@ -1,21 +1,21 @@
 """Near duplicates by bottom-k sketches.
 
 A document's set holds its distinct word shingles, as hashes of one function. Its
-sketch holds the k smallest of them. Inverted lists over runs of retained values
-bring documents together, the sketch of the union estimates their similarity, and
-the full sets decide.
+sketch holds the k smallest of them. Inverted lists of retained values bring documents
+together and give the overlaps of their sketches, the sketch of the union estimates
+their similarity, and the full sets decide.
 
 How it stays small where many documents agree:
 
 * Equal sets are one class; only the class's smallest document goes on.
-* A list belongs to ``RUN`` retained values in a row. Documents that share a common
-  word pair or a passage of half their length rarely have the same values in a row;
-  similar documents have dozens of such runs in common (``spare_runs``), so that the
-  most frequent runs of a document need no list.
-* A list is not paired with itself. It is compared with a few leaders; what is
-  linked becomes one component, and further rounds only compare members of a list
-  that are still in different components. So the pairs of a large group of near
-  copies are never made, and no link between different components is lost.
+* Similar sets share most of their retained values, so that only a document's rarest
+  ones need lists, in one order of all values (``listed``). Values that the same
+  documents hold are one list.
+* A list is one cell of a signature tree, or several with common pivots if it is long.
+  Documents that are connected already are not compared again: the pairs of a group of
+  copies are never made, and no link between different components is left out.
+* What the estimate leaves gives clusters. The full sets of a cluster are cells once
+  more; only they make a link.
 """
 
 from __future__ import annotations
@@ -27,46 +27,39 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.llm.components import components
+from ledgerline.llm.linking import clustered, joined, linked_classes
+from ledgerline.llm.shingles import fingerprints, lists, shingle_sets, whole_sets
 from ledgerline.llm.tables import id_and_text, slices
-from ledgerline.llm.words import byte_class, grams, hashed_words, mixed
 from ledgerline.session import settle
 
-#: Words are runs of anything but ASCII white space.
-WORD_BYTES = byte_class((0x20, 0x20), (0x09, 0x0D))
 #: Retained values.
 SKETCH = 64
-#: Retained values in a row that make a list.
-RUN = 3
-#: Most frequent runs of a document without a list. Sketches of 64 values of sets at the limit of 0.8 have fewer than
-#: this many runs and one more in common in fewer than one of 100,000 cases.
-SPARE = 6
-#: Standard deviations that the estimate may be off.
+#: Standard deviations that an estimate may be off; further off in fewer than one of ten million cases.
 SIGMAS = 5.3
-#: Buckets in which the frequency of values is counted; the table of counts has this size at any scale.
-BUCKETS = 1 << 20
-#: Leaders of a list in a round, and rounds before all remaining pairs of components are compared.
-LEADERS, ROUNDS = 8, 2
-#: Lists fewer than the most that a leader may be in.
-NEARLY = 6
+#: Counters that order the values by frequency; their number is fixed at any scale.
+COUNTERS = 1 << 20
 
 
-def shingle_sets(texts: pa.Array, size: int) -> Iterator[np.ndarray]:
-    """The set of each text, ascending: distinct shingles, with fewer words the whole sequence as one, without words none."""
-    words, bounds = hashed_words(texts, WORD_BYTES)
-    hashes = grams(words, size).view(np.int64)
-    for low, high in zip(bounds, bounds[1:]):
-        if high - low >= size:
-            yield np.unique(hashes[low : high - size + 1])
-        elif high > low:
-            yield grams(words[low:high], high - low).view(np.int64)
-        else:
-            yield np.zeros(0, dtype=np.int64)
+def slack(threshold: float, k: int) -> float:
+    """How far the share of common values in a sketch of the union may be below the similarity."""
+    return SIGMAS * float(np.sqrt(threshold * (1 - threshold) / k))
 
 
-def _lists(arrays: list[np.ndarray]) -> pa.Array:
-    ends = np.cumsum([0, *map(len, arrays)], dtype=np.int32)
-    return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(arrays) if arrays else [], pa.int64()))
+def least_common(threshold: float, k: int) -> int:
+    """Retained values that the full sketches of similar sets have in common, by the same bound."""
+    return max(1, int(np.ceil(k * (threshold - slack(threshold, k)))))
+
+
+def listed(n: int, threshold: float, k: int = SKETCH) -> int:
+    """How many of its rarest retained values put a set of ``n`` values into lists.
+
+    A set whose similar sets are all retained whole (``n <= threshold * k``) shares at least
+    ``threshold * n`` values with them, others at least ``least_common``; one value more than can be
+    missing is a common one.
+    """
+    if n <= threshold * k:
+        return n - int(np.ceil(threshold * n - 1e-9)) + 1
+    return min(n, k) - least_common(threshold, k) + 1
 
 
 def sketches(texts: DataFrame, size: int, k: int = SKETCH) -> DataFrame:
@@ -76,118 +69,51 @@ def sketches(texts: DataFrame, size: int, k: int = SKETCH) -> DataFrame:
         for batch in batches:
             for part in slices(batch):
                 sets = list(shingle_sets(part.column("text"), size))
-                with np.errstate(over="ignore"):
-                    marks = [
-                        np.array([mixed(s.view(np.uint64) ^ np.uint64(salt)).sum(dtype=np.uint64) for s in sets], dtype=np.uint64)
-                        for salt in (0x1B873593, 0x9E3779B1)
-                    ]
+                n = pa.array([len(s) for s in sets], pa.int64())
                 yield pa.RecordBatch.from_arrays(
-                    [
-                        part.column("id"), pa.array([len(s) for s in sets], pa.int64()),
-                        *(pa.array(mark.view(np.int64)) for mark in marks), _lists([s[:k] for s in sets]),
-                    ],
+                    [part.column("id"), n, *fingerprints(sets), lists([s[:k] for s in sets])],
                     names=["id", "n", "f1", "f2", "sketch"],
-                )
+                )
 
     return texts.mapInArrow(rows, "id long, n long, f1 long, f2 long, sketch array<long>")
 
 
-def _full_sets(texts: DataFrame, size: int) -> DataFrame:
+def _counted(reps: DataFrame) -> np.ndarray:
+    """How often the retained values of each counter occur."""
+
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros(COUNTERS, dtype=np.int64)
         for batch in batches:
-            for part in slices(batch):
-                sets = list(shingle_sets(part.column("text"), size))
-                yield pa.RecordBatch.from_arrays([part.column("id"), _lists(sets)], names=["id", "whole"])
-
-    return texts.mapInArrow(rows, "id long, whole array<long>")
-
-
-def spare_runs(n: int, threshold: float, k: int, run: int = RUN) -> int:
-    """Runs of a document of ``n`` values that need no list, since similar documents share more than these.
+            values = batch.column("sketch").flatten().to_numpy(zero_copy_only=False).view(np.uint64)
+            counts += np.bincount((values % np.uint64(COUNTERS)).astype(np.int64), minlength=COUNTERS)
+        used = np.flatnonzero(counts)
+        yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(counts[used])], names=["counter", "n"])
 
-    Of a union of ``u`` values up to ``d`` are in one set only and cut the others into ``d + 1``
-    rows, which lose ``run - 1`` runs each. Sets whose partners are retained whole are settled
-    by this count, the others, whose sketches are samples of a fixed size, by chance.
-    """
-    if n > threshold * k:
-        return SPARE
-    shared = []
-    for u in range(n, int(n / threshold + 1e-9) + 1):
-        d = int(u * (1 - threshold) + 1e-9)
-        shared.append(u - d - (run - 1) * (d + 1))
-    return max(0, min(SPARE, min(shared) - 1))
-
-
-def _runs(batch: pa.RecordBatch, threshold: float) -> tuple[np.ndarray, np.ndarray]:
-    """(row, run) of all sketches: ``RUN`` values in a row, and two of sets so small that one difference breaks all rows."""
-    lists = batch.column("sketch")
-    ends = lists.offsets.to_numpy() - lists.offsets.to_numpy()[0]
-    flat = lists.flatten().to_numpy(zero_copy_only=False).view(np.uint64)
-    sizes = np.diff(ends)
-    row = np.repeat(np.arange(len(sizes)), sizes)
-    left = ends[1:][row] - np.arange(len(flat))
-    small = sizes <= int(1 / (1 - threshold) + 1e-9)
-    whole = (left >= RUN)[: max(0, len(flat) - RUN + 1)]
-    pairs = ((left >= 2) & small[row])[: max(0, len(flat) - 1)]
-    of = np.concatenate([row[: len(whole)][whole], row[: len(pairs)][pairs]])
-    return of, np.concatenate([grams(flat, RUN)[whole], grams(flat, 2)[pairs]]).view(np.int64)
+    found = reps.select("sketch").mapInArrow(rows, "counter long, n long").groupBy("counter").agg(F.sum("n").alias("n")).toArrow()
+    table = np.zeros(COUNTERS, dtype=np.int64)
+    table[found.column("counter").to_numpy()] = found.column("n").to_numpy()
+    return table
 
 
 def _index(reps: DataFrame, threshold: float, k: int) -> DataFrame:
-    """value, id: each document under the runs of its sketch, without its most frequent ones."""
-
-    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            buckets, n = np.unique(_runs(batch, threshold)[1] % BUCKETS, return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(buckets), pa.array(n)], names=["bucket", "n"])
-
-    found = reps.select("sketch").mapInArrow(counted, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n"))
-    found = found.toArrow()  # one number per bucket
-    table = np.zeros(BUCKETS, dtype=np.int64)
-    table[found.column("bucket").to_numpy()] = found.column("n").to_numpy()
-    counts = reps.sparkSession.sparkContext.broadcast(table)
+    """token, id: each document under its rarest retained values."""
+    often = reps.sparkSession.sparkContext.broadcast(_counted(reps))
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        often = counts.value
+        counts = often.value
         for batch in batches:
-            row, run = _runs(batch, threshold)
-            order = np.lexsort((run, -often[run % BUCKETS], row))
-            row, run = row[order], run[order]
-            first = np.searchsorted(row, np.arange(batch.num_rows))
-            spare = np.array([spare_runs(n, threshold, k) for n in batch.column("n").to_pylist()], dtype=np.int64)
-            # small sets keep all: their runs of two come in addition
-            spare[np.diff(np.append(first, len(row))) <= spare + RUN] = 0
-            listed = np.arange(len(row)) - first[row] >= spare[row]
-            ids = batch.column("id").to_numpy()[row[listed]]
-            yield pa.RecordBatch.from_arrays([pa.array(run[listed]), pa.array(ids)], names=["value", "id"])
-
-    return reps.select("id", "n", "sketch").mapInArrow(rows, "value long, id long")
-
-
-def _verified(pairs: DataFrame, reps: DataFrame, texts: DataFrame, size: int, percent: int, k: int) -> DataFrame:
-    """The pairs (a, b) whose full sets are similar enough."""
-    sides = [
-        reps.select(*(F.col(c).alias(f"{c}_{side}") for c in ("id", "n", "sketch"))).withColumnRenamed(f"id_{side}", side)
-        for side in "ab"
-    ]
-    common = F.array_intersect("sketch_a", "sketch_b")
-    union = F.slice(F.array_sort(F.array_union("sketch_a", "sketch_b")), 1, k)
-    inside = F.size(F.filter("common", lambda x: x <= F.element_at("union", -1)))
-    slack = SIGMAS * np.sqrt(percent / 100 * (1 - percent / 100) / k)
-    near = (
-        pairs.join(sides[0], "a").join(sides[1], "b")
-        .where(f"100 * least(n_a, n_b) >= {percent} * greatest(n_a, n_b)")
-        .select("a", "b", "n_a", "n_b", common.alias("common"), union.alias("union"))
-        .where(inside >= (percent / 100 - slack) * F.size("union"))
-        .select("a", "b", "n_a", "n_b")
-    )
-    near = settle(near)
-    needed = near.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    sets = settle(_full_sets(texts.join(needed, "id", "left_semi"), size))
-    both = near.join(sets.select(F.col("id").alias("a"), F.col("whole").alias("whole_a")), "a")
-    both = both.join(sets.select(F.col("id").alias("b"), F.col("whole").alias("whole_b")), "b")
-    shared = both.select("a", "b", "n_a", "n_b", F.size(F.array_intersect("whole_a", "whole_b")).alias("both"))
-    return shared.where(f"100 * both >= {percent} * (n_a + n_b - both)").select("a", "b")
+            held = batch.column("sketch")
+            sizes = held.value_lengths().to_numpy()
+            values = held.flatten().to_numpy(zero_copy_only=False)
+            row = np.repeat(np.arange(len(sizes)), sizes)
+            order = np.lexsort((values, counts[values.view(np.uint64) % np.uint64(COUNTERS)], row))
+            place = np.arange(len(values)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+            wanted = np.array([listed(n, threshold, k) for n in batch.column("n").to_pylist()], dtype=np.int64)
+            kept = place < wanted[row]
+            ids = batch.column("id").to_numpy()[row[kept]]
+            yield pa.RecordBatch.from_arrays([pa.array(values[order[kept]]), pa.array(ids)], names=["token", "id"])
+
+    return reps.select("id", "n", "sketch").mapInArrow(rows, "token long, id long")
 
 
 def near_duplicates(
@@ -204,76 +130,18 @@ def near_duplicates(
     """
     threshold = percent / 100
     texts = id_and_text(df, id_col, text_col).withColumn("id", F.col("id").cast("long"))
-    all_rows = settle(sketches(texts, size, k))
-    named = all_rows.where("id is not null and n > 0")
-    classes = settle(named.groupBy("n", "f1", "f2").agg(F.min("id").alias("rep")))
-    reps = settle(
-        named.join(classes.select(F.col("rep").alias("id"), "n", "f1", "f2"), ["id", "n", "f1", "f2"], "left_semi")
-        .dropDuplicates(["id", "n", "f1", "f2"])
-        .select("id", "n", "sketch")
-    )
-    index = settle(_index(reps, threshold, k))
-    often = index.groupBy("value").count().where("count > 1").select("value")
-    often = settle(index.join(often, "value", "left_semi"))
-    of = None  # id, component: so far
-    lists = often.withColumn("component", F.col("id"))
-    for turn in range(ROUNDS + 1):
-        pairs = _leader_pairs(lists, turn) if turn < ROUNDS else _all_pairs(lists)
-        links = _verified(pairs, reps, texts, size, percent, k)
-        if of is not None:
-            for side in "ab":
-                known = of.select(F.col("node").alias(side), F.col("component").alias("c"))
-                links = links.join(known, side, "left").withColumn(side, F.coalesce("c", side)).drop("c")
-        merged = components(links)
-        of = merged if of is None else _chained(of, merged)
-        of = settle(of)
-        lists = settle(_open_lists(often, of))
-        if lists.isEmpty():
-            break
-    found = classes.join(of.withColumnRenamed("node", "rep"), "rep", "left")
-    found = found.select("n", "f1", "f2", F.coalesce("component", "rep").alias("component_id"))
-    result = all_rows.select("id", "n", "f1", "f2").join(found, ["n", "f1", "f2"], "left")
-    component = F.when(F.col("id").isNull(), None).otherwise(F.coalesce("component_id", "id"))
-    return result.select(
-        F.col("id").alias(id_col), F.col("n").alias("n_shingles"), component.alias("component_id"),
-        F.coalesce(component == F.col("id"), F.lit(True)).alias("kept"),
+    every = settle(sketches(texts, size, k))
+
+    def links(reps: DataFrame) -> tuple[DataFrame, bool]:
+        index = settle(_index(reps, threshold, k))
+        common = least_common(threshold, k)
+        # the share of common retained values that the trees have to leave open, also between sketches of k values
+        clusters = clustered(index, reps.select("id", "n", "sketch"), int(100 * common / (2 * k - common)), threshold - slack(threshold, k))
+        sets = settle(whole_sets(texts.join(clusters.select("id"), "id", "left_semi"), size))
+        return joined(clusters, sets, percent)
+
+    found = linked_classes(every, ["sketch"], links)
+    return found.select(
+        F.col("id").alias(id_col), F.col("n").alias("n_shingles"), "component_id",
+        F.coalesce(F.col("component_id") == F.col("id"), F.lit(True)).alias("kept"),
     )
-
-
-def _leader_pairs(lists: DataFrame, turn: int) -> DataFrame:
-    """Every member of a list with one leader of it; lists of one group share a few leaders.
-
-    Leaders are drawn among the documents that are in about the most lists: those in the
-    middle of a group, which most of its members are similar to.
-    """
-    of = lists.groupBy("id").agg(F.count("*").alias("in_lists"))
-    chance = F.pmod(F.xxhash64("id", F.pmod("value", F.lit(LEADERS)), F.lit(turn)), F.lit(1000)) / 1000
-    drawn = lists.join(of, "id").withColumn("draw", F.col("in_lists") + NEARLY * chance)
-    leaders = drawn.groupBy("value").agg(F.max(F.struct("draw", "id", "component")).alias("leader"))
-    met = lists.join(leaders, "value").where("component <> leader.component")
-    a, b = F.least("id", "leader.id"), F.greatest("id", "leader.id")
-    return met.select(a.alias("a"), b.alias("b")).distinct()
-
-
-def _all_pairs(lists: DataFrame) -> DataFrame:
-    """What is left: members of a list in different components."""
-    left = lists.select("value", F.col("id").alias("a"), F.col("component").alias("component_a"))
-    right = lists.select("value", F.col("id").alias("b"), F.col("component").alias("component_b"))
-    met = left.join(right, "value").where("a < b and component_a <> component_b")
-    return met.select("a", "b").distinct()
-
-
-def _open_lists(index: DataFrame, of: DataFrame) -> DataFrame:
-    """Lists whose members are in several components."""
-    known = index.join(of.withColumnRenamed("node", "id"), "id", "left")
-    known = known.withColumn("component", F.coalesce("component", "id"))
-    span = known.groupBy("value").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-    return known.join(span.where("low < high").select("value"), "value", "left_semi")
-
-
-def _chained(of: DataFrame, merged: DataFrame) -> DataFrame:
-    """Components after components have been linked with each other or with single documents."""
-    step = merged.select(F.col("node").alias("component"), F.col("component").alias("up"))
-    moved = of.join(step, "component", "left").select("node", F.coalesce("up", "component").alias("component"))
-    heads = merged.join(of, "node", "left_anti")
-    return moved.unionByName(heads.select("node", "component"))

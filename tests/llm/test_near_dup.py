@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 
 import __spark_entry__ as entry
-from ledgerline.llm import near_dup
+from ledgerline.llm import linking, near_dup
 from ledgerline.llm.components import components
 from ledgerline.llm.queries import documents
 from tests.conftest import SF
@@ -79,15 +79,34 @@ def test_many_documents_share_a_passage_without_links(spark):
     same(spark.createDataFrame(rows, "doc_id long, text string"), rows, 2)
 
 
-def test_similar_sets_share_more_runs_than_are_spared():
-    for n in range(4, 52):
-        spare = near_dup.spare_runs(n, 0.8, 64)
-        for u in range(n, int(n / 0.8 + 1e-9) + 1):
-            d = u - -(-8 * u // 10)  # values in one set only, dealt so that rows are as short as can be
-            rows = [len(part) for part in np.array_split(np.arange(u - d), d + 1)]
-            shared = sum(max(0, row - 2) for row in rows)
-            assert shared > spare or u == 5, (n, u)
-    assert near_dup.spare_runs(52, 0.8, 64) == near_dup.spare_runs(10**6, 0.8, 64) == near_dup.SPARE
+def test_similar_sets_share_a_listed_value():
+    """Sets retained whole always do; sketches of larger sets hardly ever lack one: least common values of drawn pairs at the limit."""
+    for n in range(1, 52):
+        for m in range(n, int(n / 0.8 + 1e-9) + 1):
+            both = -(-8 * (n + m) // 18)
+            # either set may miss all common values but one less than it lists
+            assert near_dup.listed(n, 0.8) + near_dup.listed(m, 0.8) > 0 and both + near_dup.listed(min(n, 51), 0.8) > n
+    draw = np.random.default_rng(1)
+    common = near_dup.least_common(0.8, 64)
+    for n in (52, 60, 64, 65, 70, 80, 100, 400, 3000):
+        fewest, lowest = 64, 1.0
+        for _ in range(400):
+            union = np.sort(draw.integers(-(2**62), 2**62, n))
+            own = draw.permutation(n)[: n // 5]
+            a, b = np.delete(union, own[::2])[:64], np.delete(union, own[1::2])[:64]
+            fewest = min(fewest, len(np.intersect1d(a, b)))
+            lowest = min(lowest, linking._estimate(a, b))
+        assert fewest >= common + 4 and lowest > 0.8 - near_dup.slack(0.8, 64) + 0.05
+    assert near_dup.listed(52, 0.8) + near_dup.least_common(0.8, 64) == 53
+
+
+def test_long_lists_are_dealt(spark, monkeypatch):
+    monkeypatch.setattr(linking, "CELL", 6)
+    monkeypatch.setattr(linking, "PIVOTS", 2)
+    base = [f"w{i}" for i in range(120)]
+    rows = [(i, " ".join(base[: 60 + i % 3] + [f"x{i}"] + base[61 + i % 3 :])) for i in range(40)]
+    rows += [(40 + i, " ".join(base[:80] + [f"y{i}"])) for i in range(10)]
+    same(spark.createDataFrame(rows, "doc_id long, text string"), rows)
 
 
 def test_components_of_a_path_and_a_star(spark):

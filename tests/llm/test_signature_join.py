@@ -7,7 +7,7 @@ import pyarrow as pa
 import pytest
 
 import __spark_entry__ as entry
-from ledgerline.llm import signature_join as sj
+from ledgerline.llm import linking, signature_join as sj
 from ledgerline.llm.queries import documents
 from tests.conftest import SF
 from tests.llm.cases import empty, table
@@ -55,8 +55,8 @@ def test_chains(spark, size):
 
 def test_lists_and_clusters_of_many_cells(spark, monkeypatch):
     """Cells of six, so that groups of copies are dealt to many and stray ones meet all of them."""
-    monkeypatch.setattr(sj, "CELL", 6)
-    monkeypatch.setattr(sj, "PIVOTS", 2)
+    monkeypatch.setattr(linking, "CELL", 6)
+    monkeypatch.setattr(linking, "PIVOTS", 2)
     base = [f"w{i}" for i in range(120)]
     rows = [(i, " ".join(base[: 60 + i % 3] + [f"x{i}"] + base[61 + i % 3 :])) for i in range(40)]
     # in the same lists, but too short, and only linked with each other
@@ -91,13 +91,13 @@ def test_trees_prune_nothing_similar(exact):
             sets.append(np.unique(np.concatenate([kept, draw.integers(-(2**62), 2**62, len(core) // 20), core[:1]])))
     sets.sort(key=len)
     n = np.array([len(s) for s in sets])
-    bits = [sj.bitmap(s, w).tobytes() for s, w in zip(sets, sj.width_class(n).tolist())]
+    bits = [linking.bitmap(s, w).tobytes() for s, w in zip(sets, linking.width_class(n).tolist())]
     columns = {"cell": np.zeros(len(n), np.int64), "id": np.arange(len(n)), "n": n, "component": np.arange(len(n))}
     columns |= {"whole": pa.array([s.tolist() for s in sets], pa.list_(pa.int64()))} if exact else {"bits": bits}
-    a, b = sj._links_in(pa.table(columns).combine_chunks(), 80)
-    labels = sj.Labels(np.arange(len(n)))
+    a, b = linking._links_in(pa.table(columns).combine_chunks(), 80)
+    labels = linking.Labels(np.arange(len(n)))
     labels.link(a, b)
-    true = sj.Labels(np.arange(len(n)))
+    true = linking.Labels(np.arange(len(n)))
     for i in range(len(sets)):
         for j in range(i):
             both = len(np.intersect1d(sets[i], sets[j]))
@@ -115,8 +115,8 @@ def test_a_group_of_copies_costs_few_comparisons():
     core = draw.integers(-(2**62), 2**62, 250)
     sets = [np.unique(np.append(core, i)) for i in range(3000)]
     asked = []
-    bits = np.stack([sj.bitmap(s, 0).view(np.uint64) for s in sets])
-    trees = sj.Trees(np.zeros(3000, np.int64), np.full(3000, 251), bits, np.arange(3000), 80, lambda x, y: asked.append((x, y)) or True)
+    bits = np.stack([linking.bitmap(s, 0).view(np.uint64) for s in sets])
+    trees = linking.Trees(np.zeros(3000, np.int64), np.full(3000, 251), bits, np.arange(3000), 80, lambda x, y: asked.append((x, y)) or True)
     a, _ = trees.links()
     assert len(a) == len(asked) == 2999 and len(np.unique(trees.labels.up)) == 1
 
