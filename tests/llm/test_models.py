@@ -3,18 +3,22 @@
 import hashlib
 import math
 import random
+import re
 from collections import Counter
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 import __spark_entry__ as entry
 import corpus_pipeline
-from ledgerline.llm import ann, bpe, decontaminate, near_dup, pii, repeats, toxicity
+from ledgerline.llm import ann, repeats, toxicity
 from ledgerline.llm.queries import BYTE_BPE, documents
 from tests.conftest import SF
-from tests.llm.cases import LONG, ODD, PASSAGE, empty, table
+from tests.llm.cases import LONG, ODD, PASSAGE, empty, lower, table
+from tests.llm.test_filters import base_spans, contaminated
+from tests.llm.test_near_dup import brute as near_pairs
 
 
 # toxicity
@@ -273,17 +277,42 @@ def test_stages_keep_columns_and_take_odd_rows(spark):
                 out.collect()
 
 
-def test_pipeline_is_its_operators(spark):
-    docs = documents(spark, SF)
+def spans_of(text):
+    """Base spans, and the two kinds that the method adds, with plain regular expressions."""
+    yield from ((a, b, kind) for kind, a, b in base_spans(text))
+    for m in re.finditer(r"[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?", text):
+        code = m[0].replace(" ", "")
+        if 15 <= len(code) <= 34 and int("".join(str(int(c, 36)) for c in code[4:] + code[:4])) % 97 == 1:
+            yield m.start(), m.end(), "iban"
+    for m in re.finditer(r"[0-9]{3}-[0-9]{2}-[0-9]{4}", text):
+        near = lower(text[max(0, m.start() - 40) : m.start()])
+        fine = m[0][:3] not in ("000", "666") and m[0][0] != "9" and m[0][4:6] != "00" and m[0][7:] != "0000"
+        if fine and re.search("(^|[^a-z])(ssn|social security|tax id|taxpayer)([^a-z]|$)", near):
+            yield m.start(), m.end(), "ssn"
+
+
+def hidden(text):
+    out, at = [], 0
+    for start, end, kind in sorted(spans_of(text), key=lambda s: (s[0], -s[1])):
+        if start >= at:
+            out += [text[at:start], f"<{kind.upper()}>"]
+            at = end
+    return "".join(out) + text[at:]
+
+
+def test_pipeline_against_plain_python(spark):
+    """All pairs of shingle sets, all windows of items, plain patterns, the library's ids; toxic documents are those of the operator."""
+    docs, library = documents(spark, SF), Tokenizer.from_file(BYTE_BPE)
     toxic = {r["doc_id"] for r in toxicity.score(docs, spark.read.parquet(f"{SF}/labels.parquet")).collect() if r["predicted"]}
-    docs = docs.where(~F.col("doc_id").isin([-1, *toxic]))
-    kept = [r["doc_id"] for r in near_dup.near_duplicates(docs, size=5).collect() if r["kept"]]
-    docs = docs.where(F.col("doc_id").isin(kept))
-    found = decontaminate.contamination(docs, spark.read.parquet(f"{SF}/benchmark.parquet"))
-    clean = [r["doc_id"] for r in found.where(~decontaminate.is_contaminated()).collect()]
-    docs = pii.masked(docs.where(F.col("doc_id").isin(clean)))
-    codec = bpe.codec(BYTE_BPE)
-    expected = {r["doc_id"]: codec.encode(r["text"] or "") for r in docs.collect()}
+    rows = [(r["doc_id"], r["text"]) for r in docs.collect() if r["doc_id"] not in toxic]
+    kept = {i for i, _, _, keep in near_pairs(rows, 5, 80) if keep}
+    rows = [r for r in rows if r[0] in kept]
+    items = [tuple(r) for r in spark.read.parquet(f"{SF}/benchmark.parquet").select("item_id", "text").collect()]
+    rows = [r for r, (words, hit, _) in zip(rows, contaminated(rows, items)) if not (hit and 20 * hit >= words)]
+    expected = {i: hidden(text or "") for i, text in rows}
+    assert 0 < len(expected) < 200 and sum(t != hidden(t) for t in (x or "" for _, x in rows)) > 5
     got = corpus_pipeline.run(spark, SF).collect()
-    assert {r["doc_id"]: r["ids"] for r in got} == expected and len(got) == len(expected) < 200
-    assert all(r["n_tokens"] == len(r["ids"]) for r in got)
+    assert {r["doc_id"]: r["text"] for r in got} == expected and len(got) == len(expected)
+    for r in got:
+        ids = library.encode(expected[r["doc_id"]], add_special_tokens=False).ids
+        assert (r["ids"], r["n_tokens"]) == (ids, len(ids))
