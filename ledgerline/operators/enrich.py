@@ -24,7 +24,7 @@ def convert_currency(
     total: str = "Total",
     rates: Mapping[str, str] = fixed.EXCHANGE_RATES,
 ) -> DataFrame:
-    """US dollar price and total."""
+    """US dollar price and total; amounts count to six decimals."""
     priced = df.withColumn("exchange_rate_to_usd", exchange_rate(F.col(currency), rates))
     rate = F.col("exchange_rate_to_usd")
     return priced.withColumns(

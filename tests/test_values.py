@@ -83,18 +83,15 @@ def test_one_bad_cell_does_not_stop_a_load(spark):
 
 
 def test_marts_keep_lines_without_a_month_and_survive_an_empty_batch(spark, tmp_path):
-    source, store, mart, state = (str(tmp_path / n) for n in ("in", "store", "mart", "state"))
+    source, states, mart, state = (str(tmp_path / n) for n in ("in", "states", "mart", "state"))
     names = "month date, amount double"
 
     def put(name, rows):
         spark.createDataFrame(rows, names).coalesce(1).write.parquet(f"{source}/{name}")
 
     def run():
-        stream = incremental.snapshot_stream(spark, f"{source}/*", spark.createDataFrame([], names).schema)
-        incremental.rebuild_months(
-            stream, store, mart, state, lambda df: df.filter("amount > 0"),
-            lambda df: df.groupBy("month").agg(F.sum("amount").alias("amount")),
-        )
+        stream = incremental.named_snapshots(incremental.snapshot_stream(spark, source, spark.createDataFrame([], names).schema))
+        incremental.maintain_months(stream, states, mart, state, lambda df: df.filter("amount > 0"), (), {"amount": F.sum("amount")})
 
     put("none", [(dt.date(2024, 1, 31), -1.0)])
     run()
@@ -102,7 +99,7 @@ def test_marts_keep_lines_without_a_month_and_survive_an_empty_batch(spark, tmp_
     run()
     put("more", [(None, 5.0)])
     run()
-    assert {(r.month, r.amount) for r in spark.read.parquet(mart).collect()} == {(None, 7.0), (dt.date(2024, 1, 31), 3.0)}
+    assert {(r.month, r.amount) for r in incremental.month_mart(spark, mart).collect()} == {(None, 7.0), (dt.date(2024, 1, 31), 3.0)}
 
 
 def test_cleaning_has_one_plan_for_few_and_many_names(spark):
