@@ -150,10 +150,11 @@ def target_list(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def missing_keys(spark: SparkSession, sf: str) -> DataFrame:
-    """Products asked for but not sold in the year."""
-    wanted = table(spark, sf, "part").filter(F.col("p_type") == "PROMO").select(F.col("p_partkey").alias("part_id"))
-    sold = sales(spark, sf, "part_id", "inv_date").filter(F.year("inv_date") == 1998)
-    return wanted.join(sold, "part_id", "left_anti")
+    """Products and the years in which they were not sold, over all products and years."""
+    sold = sales(spark, sf, "part_id", "inv_date").select("part_id", F.year("inv_date").alias("year")).distinct()
+    years = table(spark, sf, "orders").agg(F.sequence(F.min(F.year("o_orderdate")), F.max(F.year("o_orderdate"))).alias("years"))
+    wanted = table(spark, sf, "part").select(F.col("p_partkey").alias("part_id"), years.scalar().alias("years"))
+    return wanted.select("part_id", F.explode("years").alias("year")).join(sold, ["part_id", "year"], "left_anti")
 
 
 QUERIES = {
@@ -262,6 +263,7 @@ ORACLES = {
         """SELECT item_code AS sku, count(*) AS sales FROM sales WHERE inv_date BETWEEN DATE '1997-01-01' AND DATE '1997-06-30'
         AND type IN ('PROMO', 'ECONOMY') AND region IN ('ASIA', 'EUROPE') GROUP BY 1"""
     ),
-    "missing_keys": """SELECT p_partkey AS part_id FROM part WHERE p_type = 'PROMO' AND p_partkey NOT IN (
-        SELECT l_partkey FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE year(o_orderdate) = 1998)""",
+    "missing_keys": """SELECT p_partkey AS part_id, year FROM part,
+        (SELECT unnest(range(min(year(o_orderdate)), max(year(o_orderdate)) + 1)) AS year FROM orders)
+        WHERE (p_partkey, year) NOT IN (SELECT l_partkey, year(o_orderdate) FROM lineitem JOIN orders ON l_orderkey = o_orderkey)""",
 }
