@@ -317,7 +317,12 @@ def clustered(tokens: DataFrame, sets: DataFrame, percent: int, floor: float = 0
     lists = shared.groupBy("token").agg(F.count("*").alias("held"), F.min("id").alias("low"), F.max("id").alias("high"), *marks)
     lists = settle(lists.groupBy("held", "low", "high", "mark0", "mark1").agg(F.min("token").alias("token")).select("token"))
     members = settle(shared.join(lists, "token", "left_semi").select(F.col("token").alias("list"), "id"))
-    of = components(joined(members, sets, percent, floor)[0])
+    return clusters_of(joined(members, sets, percent, floor)[0])
+
+
+def clusters_of(links: DataFrame) -> DataFrame:
+    """list, id: what links (a, b) connect, a list for each component."""
+    of = components(links)
     heads = of.select(F.col("component").alias("list"), F.col("component").alias("id")).distinct()
     return settle(of.select(F.col("component").alias("list"), F.col("node").alias("id")).unionByName(heads))
 

@@ -14,8 +14,9 @@ How it stays small where many documents agree:
 * A list is one cell of a signature tree, or several with common pivots if it is long.
   Documents that are connected already are not compared again: the pairs of a group of
   copies are never made, and no link between different components is left out.
-* What the estimate leaves gives clusters. The full sets of a cluster are cells once
-  more; only they make a link.
+* The trees of the lists carry a bitmap of each sketch and leave clusters whose sketches could
+  overlap enough. The sketches of a cluster are cells once more, with the estimate, and so
+  are, of what that leaves, the full sets; only they make a link.
 """
 
 from __future__ import annotations
@@ -27,12 +28,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.llm.linking import clustered, joined, linked_classes
+from ledgerline.llm.linking import bitmap, clustered, clusters_of, joined, linked_classes
 from ledgerline.llm.shingles import fingerprints, lists, shingle_sets, whole_sets
 from ledgerline.llm.tables import id_and_text, slices
 from ledgerline.session import settle
 
-#: Retained values.
+#: Retained values; at most ``linking.TOKENS``, which a bitmap of the least width is made for.
 SKETCH = 64
 #: Standard deviations that an estimate may be off; further off in fewer than one of ten million cases.
 SIGMAS = 5.3
@@ -63,19 +64,20 @@ def listed(n: int, threshold: float, k: int = SKETCH) -> int:
 
 
 def sketches(texts: DataFrame, size: int, k: int = SKETCH) -> DataFrame:
-    """id, n (set size), f1 and f2 (fingerprint of the set), sketch (the k smallest values)."""
+    """id, n (set size), f1 and f2 (fingerprint of the set), sketch (the k smallest values), bits (bitmap of the sketch)."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch):
                 sets = list(shingle_sets(part.column("text"), size))
                 n = pa.array([len(s) for s in sets], pa.int64())
+                bits = pa.array([bitmap(s[:k], 0).tobytes() for s in sets], pa.binary())
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("id"), n, *fingerprints(sets), lists([s[:k] for s in sets])],
-                    names=["id", "n", "f1", "f2", "sketch"],
+                    [part.column("id"), n, *fingerprints(sets), lists([s[:k] for s in sets]), bits],
+                    names=["id", "n", "f1", "f2", "sketch", "bits"],
                 )
 
-    return texts.mapInArrow(rows, "id long, n long, f1 long, f2 long, sketch array<long>")
+    return texts.mapInArrow(rows, "id long, n long, f1 long, f2 long, sketch array<long>, bits binary")
 
 
 def _counted(reps: DataFrame) -> np.ndarray:
@@ -136,11 +138,15 @@ def near_duplicates(
         index = settle(_index(reps, threshold, k))
         common = least_common(threshold, k)
         # the share of common retained values that the trees have to leave open, also between sketches of k values
-        clusters = clustered(index, reps.select("id", "n", "sketch"), int(100 * common / (2 * k - common)), threshold - slack(threshold, k))
+        share = int(100 * common / (2 * k - common))
+        held = F.size("sketch").cast("long").alias("n")
+        clusters = clustered(index, reps.select("id", held, "bits"), share)
+        near = reps.join(clusters.select("id").distinct(), "id", "left_semi").select("id", held, "sketch")
+        clusters = clusters_of(joined(clusters, near, share, threshold - slack(threshold, k))[0])
         sets = settle(whole_sets(texts.join(clusters.select("id"), "id", "left_semi"), size))
         return joined(clusters, sets, percent)
 
-    found = linked_classes(every, ["sketch"], links)
+    found = linked_classes(every, ["sketch", "bits"], links)
     return found.select(
         F.col("id").alias(id_col), F.col("n").alias("n_shingles"), "component_id",
         F.coalesce(F.col("component_id") == F.col("id"), F.lit(True)).alias("kept"),
