@@ -31,7 +31,7 @@ SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\
 #: Transitions a worker keeps.
 TRANSITIONS = 400_000
 #: Distinct chunks and parts that a worker remembers.
-DISTINCT = 400_000
+DISTINCT = 200_000
 #: Ids that are decoded at a time.
 DECODED = 1 << 20
 
