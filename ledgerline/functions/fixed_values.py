@@ -199,6 +199,13 @@ ISO_DATE = r"^\d{4}-\d{2}-\d{2}$"
 ISO_START = r"^\d{4}-\d{1,2}-\d{1,2}([ T].*)?$"
 # Other dates of hand-kept files, in the order in which they are tried; months before days.
 DATE_FORMATS = ("yyyy/MM/dd", "MM/dd/yyyy", "dd-MMM-yyyy", "yyyyMMdd")
+# What every text that fits a format looks like. Texts of other shapes never reach its parser, which fails slowly.
+DATE_SHAPES = {
+    "yyyy/MM/dd": r"^[+-]?\d+/\d{2}/\d{2}$",
+    "MM/dd/yyyy": r"^\d{2}/\d{2}/[+-]?\d+$",
+    "dd-MMM-yyyy": r"^\d{2}-.+-[+-]?\d+$",
+    "yyyyMMdd": r"^[+-]?\d+$",
+}
 PLAIN_NUMBER = r"^-?\d+(?:\.\d+)?$"
 
 FORECAST_MART = (

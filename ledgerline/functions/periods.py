@@ -47,7 +47,12 @@ def any_date(c: Column) -> Column:
     """Date of a date or time column, or of text in the first of ``DATE_FORMATS`` that fits."""
     text = F.btrim(c.cast("string"))
     iso = F.when(text.rlike(fixed.ISO_START), text.try_cast("date"))
-    return F.coalesce(iso, *[F.try_to_timestamp(text, F.lit(f)).cast("date") for f in fixed.DATE_FORMATS])
+    return F.coalesce(iso, *[date_like(text, f) for f in fixed.DATE_FORMATS])
+
+
+def date_like(text: Column, form: str) -> Column:
+    """Date of text in one of ``DATE_FORMATS``, else null."""
+    return F.when(text.rlike(fixed.DATE_SHAPES[form]), F.try_to_timestamp(text, F.lit(form)).cast("date"))
 
 
 def iso_date(c: Column) -> Column:

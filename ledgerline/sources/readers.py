@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions import fixed_values as fixed
 from ..functions import text
-from ..functions.periods import any_date
+from ..functions.periods import any_date, date_like
 from ..functions.numbers import clip_negative, number_or_zero
 
 # --- sheets ------------------------------------------------------------------------
@@ -184,9 +184,7 @@ def history_rows(df: DataFrame, channel: Column) -> DataFrame | None:
     revenue = _first(df, fixed.HISTORY_REVENUE_NAMES)
     if date is None or sku is None or quantity is None:
         return None
-    day = F.coalesce(
-        any_date(date), F.try_to_date(F.concat(date.cast("string"), F.lit("/01")), "yyyy/MM/dd")
-    )
+    day = F.coalesce(any_date(date), date_like(F.concat(date.cast("string"), F.lit("/01")), "yyyy/MM/dd"))
     return df.select(
         day.alias("sale_date"),
         sku.cast("string").alias("sku"),
