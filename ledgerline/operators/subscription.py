@@ -101,8 +101,8 @@ def _label_by_cuts(revenue: DataFrame, value: Column, first: Column, second: Col
     return revenue.withColumn("customer_tier", label)
 
 
-def with_tier(lines: DataFrame) -> DataFrame:
-    """Lines with their customer's tier.
+def with_tier(lines: DataFrame, rows: int = 0) -> DataFrame:
+    """Lines with their customer's tier. ``rows``: how many lines, if known.
 
     Everyone outside the top ranks is in the long tail, so the lookup holds the
     few leading customers only. It is settled: Spark knows its size and
@@ -110,7 +110,7 @@ def with_tier(lines: DataFrame) -> DataFrame:
     skewed towards just these customers, are not grouped by customer.
     """
     leaders = customer_tiers(lines).filter(F.col("customer_tier") != fixed.TIER_3)
-    lookup = settle(leaders.select("customer", "customer_tier"))
+    lookup = settle(leaders.select("customer", "customer_tier"), rows)
     joined = lines.join(lookup, "customer", "left")
     return joined.withColumn("customer_tier", F.coalesce("customer_tier", F.lit(fixed.TIER_3)))
 
@@ -120,22 +120,30 @@ def with_tier(lines: DataFrame) -> DataFrame:
 SCORECARD_KEYS = ("snapshot_month", "service_family", "plan_variant", "region", "customer_tier")
 
 
-def order_grain(lines: DataFrame) -> DataFrame:
+def order_grain(lines: DataFrame, rows: int = 0) -> DataFrame:
     """Revenue and quantity by month, family, plan, region, customer and order, written once.
 
     The one reduction of the lines that tiers, scorecard and dashboards start from.
     """
     keys = ("month", "service_family", "plan_variant", "region", "customer", "order_id")
-    return settle(lines.groupBy(*keys).agg(F.sum("usd_total").alias("usd_total"), F.sum("quantity").alias("quantity")))
+    return settle(lines.groupBy(*keys).agg(F.sum("usd_total").alias("usd_total"), F.sum("quantity").alias("quantity")), rows)
 
 
-def adoption_scorecard(lines: DataFrame) -> DataFrame:
+def adoption_scorecard(lines: DataFrame, rows: int = 0, order: Column | None = None) -> DataFrame:
     """Customers, orders, revenue and seats by month, family, plan, region and tier.
 
     Lines are reduced to the order grain in one scan. Distinct customers and orders are two
     plain aggregates of the grain, put under each other and added up, so no row is expanded.
+    Orders may be as many as lines, so each step that shuffles them is written with partitions
+    for as many rows: ``rows`` lines, where the caller knows their number, then those of the grain.
+    ``order``: the order counted, from ``order_id``; put in behind the grain, so that lines which
+    were joined by their order number are grouped where they are.
     """
-    tiered = with_tier(order_grain(lines)).withColumnRenamed("month", "snapshot_month")
+    grain = order_grain(lines, rows)
+    held = grain.count()  # from the footers of its files
+    if order is not None:
+        grain = grain.withColumn("order_id", order)
+    tiered = with_tier(grain, held).withColumnRenamed("month", "snapshot_month")
     by_customer = tiered.groupBy(*SCORECARD_KEYS, "customer").agg(F.sum("usd_total").alias("usd"), F.sum("quantity").alias("quantity"))
     by_order = tiered.select(*SCORECARD_KEYS, "order_id").distinct()
     none = F.lit(0).cast("long")
@@ -144,7 +152,7 @@ def adoption_scorecard(lines: DataFrame) -> DataFrame:
     )
     # lines without an order number are one order
     orders = by_order.groupBy(*SCORECARD_KEYS).agg(none.alias("customers"), F.count("*").alias("orders"))
-    grouped = customers.unionByName(orders, allowMissingColumns=True).groupBy(*SCORECARD_KEYS).agg(
+    grouped = settle(customers.unionByName(orders, allowMissingColumns=True), held).groupBy(*SCORECARD_KEYS).agg(
         F.sum("customers").alias("active_subscriptions"),
         F.sum("orders").alias("new_subscriptions"),
         double(F.sum("usd")).alias("mrr_usd"),

@@ -104,12 +104,15 @@ def sales(
 ) -> DataFrame:
     """Sales lines with exactly ``columns``, joining only the tables they need.
 
-    ``products`` replaces the product dimension, for example by a filtered one.
+    ``products`` replaces the product dimension, for example by a filtered one. It meets the lines
+    first: what it drops is not shuffled, and the lines stay where the join with their orders puts them.
     """
     wanted = set(columns)
     if not wanted.isdisjoint(USD):
         wanted |= {"currency", "total", "price"}
     df = lines(spark, sf_dir)
+    if products is not None and not wanted.isdisjoint(PART):
+        df = df.join(products, "part_id")
     if not wanted.isdisjoint({*ORDER, *CUSTOMER, *NATION, *REGION}):
         orders = table(spark, sf_dir, "orders").select(
             F.col("o_orderkey").alias("order_id"),
@@ -122,8 +125,8 @@ def sales(
             orders = orders.join(buyer, orders.o_custkey == buyer.c_custkey)
         # Lines and orders both grow with the data: never broadcast either of them.
         df = df.hint("merge").join(orders, "order_id")
-    if not wanted.isdisjoint(PART):
-        df = df.join(parts(spark, sf_dir) if products is None else products, "part_id")
+    if products is None and not wanted.isdisjoint(PART):
+        df = df.join(parts(spark, sf_dir), "part_id")
     if not wanted.isdisjoint(USD):
         rate = exchange_rate(F.col("currency"))
         df = df.withColumns({"usd_total": F.col("total") * rate, "usd_price": F.col("price") * rate})

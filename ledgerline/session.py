@@ -5,6 +5,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
@@ -49,13 +51,47 @@ def _local_folder() -> str:
     return tempfile.mkdtemp(prefix="ledgerline-")
 
 
-def settle(df: DataFrame) -> DataFrame:
+#: Rows of a shuffle partition, bytes that small ones are joined to, and bytes of files that a task reads, where
+#: ``settle`` is told how many rows there are.
+TASK_ROWS, JOINED_BYTES, READ_BYTES = 500_000, "16m", "32m"
+
+
+@contextmanager
+def sized(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Shuffle partitions and scans for ``rows`` rows while something is written; adaptive execution joins small ones again.
+
+    A fixed number of partitions lets every sort and hash table grow with the data until it spills.
+    Settings that are already enough stay, and all come back afterwards.
+    """
+    ours = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    if spark.conf.get(ours, None) is None:
+        ours = "spark.sql.shuffle.partitions"
+    wanted = {
+        ours: str(-(-rows // TASK_ROWS)),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": JOINED_BYTES,
+        "spark.sql.files.maxPartitionBytes": READ_BYTES,
+    }
+    before = {key: spark.conf.get(key) for key in wanted}
+    if int(wanted[ours]) <= int(before[ours]):
+        yield
+        return
+    try:
+        for key, value in wanted.items():
+            spark.conf.set(key, value)
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+
+
+def settle(df: DataFrame, rows: int = 0) -> DataFrame:
     """Write an aggregate once and read it back.
 
-    For a small aggregate that several branches of a plan need: the tables below
+    For an aggregate that several branches of a plan need: the tables below
     it are scanned once instead of once per branch, and what follows survives the
-    loss of executors.
+    loss of executors. ``rows``: how many rows go through its largest shuffle, where that is known.
     """
     path = f"{work_dir(df.sparkSession)}/settled-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    with sized(df.sparkSession, rows):
+        df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
