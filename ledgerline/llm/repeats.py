@@ -38,6 +38,8 @@ HOT = 20_000
 HOT_BYTES = 8 << 20
 #: Bytes whose suffixes are sorted together.
 SORTED_BYTES = 1 << 20
+#: Bytes of text whose windows are hashed together, at over a hundred bytes of numbers each.
+HASHED_BYTES = 1 << 20
 #: Bytes of an anchor's gram.
 GRAM = 32
 #: Numbers of the bytes for the second hash of a window.
@@ -62,7 +64,7 @@ def _counted(texts: DataFrame, length: int) -> DataFrame:
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch):
+            for part in slices(batch, limit=HASHED_BYTES):
                 found, span = _spans(*text_bytes(part.column("text")), length)
                 pairs, n = np.unique(np.stack([found.gram, span], axis=1), axis=0, return_counts=True)
                 yield _rows({"gram": _long(pairs[:, 0].copy()), "span": _long(pairs[:, 1].copy()), "n": _long(n)})
@@ -88,7 +90,7 @@ def _placed(texts: DataFrame, length: int) -> DataFrame:
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch):
+            for part in slices(batch, limit=HASHED_BYTES):
                 found, span = _spans(*text_bytes(part.column("text")), length)
                 key = part.column("key").to_numpy(zero_copy_only=False)[found.text]
                 mark = part.column("mark").to_numpy(zero_copy_only=False)[found.text]

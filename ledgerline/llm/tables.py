@@ -21,13 +21,13 @@ def whole(text: Column | str) -> Column:
     return F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit(""))
 
 
-def slices(batch: pa.RecordBatch, column: str = "text") -> Iterator[pa.RecordBatch]:
+def slices(batch: pa.RecordBatch, column: str = "text", limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Consecutive parts of a batch with a few megabytes of text each: long texts do not add up in memory."""
     values = batch.column(column)
     start, filled = 0, 0
     for row, value in enumerate(values):
         filled += len(value.as_buffer()) if value.is_valid else 0
-        if filled >= SLICE_BYTES:
+        if filled >= limit:
             yield batch.slice(start, row + 1 - start)
             start, filled = row + 1, 0
     if start < batch.num_rows or batch.num_rows == 0:

@@ -316,3 +316,13 @@ def test_pipeline_against_plain_python(spark):
     for r in got:
         ids = library.encode(expected[r["doc_id"]], add_special_tokens=False).ids
         assert (r["ids"], r["n_tokens"]) == (ids, len(ids))
+
+
+def test_a_task_hashes_a_megabyte_at_a_time(spark):
+    """op9: windows take over a hundred bytes of numbers each while they are hashed, so few texts are taken together."""
+    rng = random.Random(5)
+    body = "".join(rng.choices("abcdefgh ", k=repeats.HASHED_BYTES // 2))
+    df = spark.createDataFrame([(body,)] * 6, "text string").coalesce(1)
+    counted = repeats._counted(df, 200).groupBy("gram", "span").agg(F.count("*").alias("parts"), F.sum("n").alias("n")).collect()
+    assert {row["n"] for row in counted if row["n"] % 6} == set()
+    assert min(row["parts"] for row in counted) >= 3
