@@ -272,6 +272,7 @@ def encode(df: DataFrame, path: str, text_col: str = "text", ids_col: str = "ids
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = codec(path)
+        words.words.alone()
         for batch in batches:
             for part in slices(batch, text_col):
                 lists = words.encode_lists(part.column(text_col))
@@ -314,6 +315,7 @@ def encode_and_decode(df: DataFrame, path: str, id_col: str = "doc_id", text_col
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = codec(path)
+        words.words.alone()
         for batch in batches:
             for part in slices(batch):
                 lists = words.encode_lists(part.column("text"))

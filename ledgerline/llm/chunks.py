@@ -10,6 +10,7 @@ and looks the others up, in a memory of bounded size.
 from __future__ import annotations
 
 import re
+import weakref
 from collections.abc import Callable, Sequence
 
 #: In front of a blank that follows something else than white space: a run of white space stays whole.
@@ -23,7 +24,11 @@ MEMORY = 300_000
 
 
 class ChunkMemory:
-    """``compute`` gets a list of chunks and returns one value for each."""
+    """``compute`` gets a list of chunks and returns one value for each. What ``compute`` itself keeps is forgotten by its
+    ``forget``, if it has one."""
+
+    #: All memories of this process.
+    living: weakref.WeakSet = weakref.WeakSet()
 
     def __init__(self, compute: Callable[[list[str]], Sequence], limit: int = MEMORY):
         self.compute = compute
@@ -33,6 +38,18 @@ class ChunkMemory:
         self.after: dict = {}
         self.old_plain: dict = {}
         self.old_after: dict = {}
+        self.living.add(self)
+
+    def forget(self) -> None:
+        self.plain, self.after, self.old_plain, self.old_after = {}, {}, {}, {}
+        getattr(self.compute, "forget", dict)()
+
+    def alone(self) -> ChunkMemory:
+        """This memory, when a task starts with it: what operators before it left in a worker that is used again goes."""
+        for other in list(self.living):
+            if other is not self:
+                other.forget()
+        return self
 
     def _fill(self, known: dict, old: dict, wanted: set, blank: str) -> None:
         missing = wanted.difference(known)
@@ -94,4 +111,5 @@ def by_parts(encode: Callable[[list[str]], list[bytes]], limit: int = MEMORY) ->
         known.update(zip(missing, encode(missing)))
         return [known[parts[0]] if len(parts) == 1 else b"".join([known[part] for part in parts]) for parts in cut]
 
+    compute.forget = known.clear
     return compute

@@ -139,7 +139,7 @@ def count_tokens(
     single = df.sparkSession.sparkContext.broadcast(proven_words(path))  # bounded by the vocabulary
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memory = _memory(path, single.value)
+        memory = _memory(path, single.value).alone()
         for batch in batches:
             for part in slices(batch):
                 counts = [sum(values) for values in memory.values(part.column("text").to_pylist())]

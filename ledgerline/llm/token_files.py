@@ -189,7 +189,7 @@ def write_ids(
     end = b"" if end_id is None else np.array([end_id], dtype="<u4").tobytes()
 
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memory = _encoder(tokenizer)
+        memory = _encoder(tokenizer).alone()
         shard = {"block": 0, "first": 0}
         docs: list = []
         ids: list[np.ndarray] = []

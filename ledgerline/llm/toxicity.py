@@ -234,7 +234,7 @@ def _counted(texts: DataFrame, lexicon: Lexicon) -> DataFrame:
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         find = spread.value.find
-        memory = ChunkMemory(lambda chunks: [find(chunk) for chunk in chunks])
+        memory = ChunkMemory(lambda chunks: [find(chunk) for chunk in chunks]).alone()
         for batch in batches:
             for part in slices(batch):
                 counts = counts_of(memory, [text or "" for text in part.column("text").to_pylist()])

@@ -13,7 +13,7 @@ from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 import __spark_entry__ as entry
-from ledgerline.llm import bpe, token_count, token_files
+from ledgerline.llm import bpe, chunks, token_count, token_files
 from ledgerline.llm.queries import BYTE_BPE, WORD_BPE, documents
 from tests.conftest import SF
 from tests.llm.cases import ODD, empty, table
@@ -164,3 +164,15 @@ def test_op6(spark):
 
 def test_path_is_a_parameter():
     assert BYTE_BPE == public_tokenizers.path("byte_bpe_50k.json")
+
+
+def test_a_worker_keeps_the_chunks_of_one_operator():
+    """pipeline: workers are used again by the next stage, which must not find the memory of the last one full."""
+    left = chunks.ChunkMemory(chunks.by_parts(lambda texts: [t.upper().encode() for t in texts]))
+    ours = chunks.ChunkMemory(lambda texts: [len(t) for t in texts])
+    texts = ["a bc, d", "  e\nf g"]
+    before = left.values(texts), ours.values(texts)
+    assert ours.alone() is ours
+    assert not left.plain and not left.after and not left.compute.forget.__self__
+    assert ours.plain and ours.after
+    assert (left.values(texts), ours.values(texts)) == before
