@@ -32,8 +32,10 @@ SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\
 TRANSITIONS = 400_000
 #: Distinct chunks and parts that a worker remembers.
 DISTINCT = 200_000
-#: Ids that are decoded at a time.
-DECODED = 1 << 20
+#: Ids that are decoded at a time, at dozens of bytes of numbers for each byte of text.
+DECODED = 1 << 18
+#: Bytes of text that are encoded and decoded together.
+CODED_BYTES = 1 << 20
 
 
 def byte_of_char() -> dict[str, int]:
@@ -317,7 +319,7 @@ def encode_and_decode(df: DataFrame, path: str, id_col: str = "doc_id", text_col
         words = codec(path)
         words.words.alone()
         for batch in batches:
-            for part in slices(batch):
+            for part in slices(batch, limit=CODED_BYTES):
                 lists = words.encode_lists(part.column("text"))
                 yield pa.RecordBatch.from_arrays([part.column("id"), lists, _decoded(words.labels, lists)], names=["id", "ids", "decoded"])
 
