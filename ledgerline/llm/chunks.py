@@ -5,6 +5,8 @@ else than white space; inside a run of mixed white space a piece may go on. A te
 can therefore be cut in front of the blanks that start such a run, and equal chunks
 give equal tokens wherever they stand. A task tokenises each distinct chunk once
 and looks the others up, in a memory of bounded size.
+
+Byte-level vocabularies are cut finer, by the bytes of many texts at once (``cuts``).
 """
 
 from __future__ import annotations
@@ -13,6 +15,11 @@ import re
 import weakref
 from collections.abc import Callable, Sequence
 
+import numpy as np
+import pyarrow as pa
+
+from ledgerline.llm.words import text_bytes
+
 #: In front of a blank that follows something else than white space: a run of white space stays whole.
 SPACED = re.compile(r"(?<=\S)(?= )")
 #: A blank behind other white space.
@@ -113,3 +120,99 @@ def by_parts(encode: Callable[[list[str]], list[bytes]], limit: int = MEMORY) ->
 
     compute.forget = known.clear
     return compute
+
+
+#: Parts of distinct chunks that are remembered while chunks are encoded.
+PARTS = 1 << 16
+#: Classes of bytes: what a piece of the byte-level split holds one of. Of other bytes the class is not known.
+LETTER, DIGIT, MARK, SPACE, OTHER = range(5)
+CLASS = np.full(256, OTHER, dtype=np.uint8)
+CLASS[:128] = MARK
+CLASS[[*range(65, 91), *range(97, 123)]] = LETTER
+CLASS[48:58] = DIGIT
+CLASS[[*range(9, 14), 32]] = SPACE
+CLASS[28:32] = OTHER  # separators are white space to some libraries only
+#: Last bytes of white space outside ASCII.
+WIDE_SPACE = np.isin(np.arange(256), [0x80, 0x81, 0x82, 0x83, 0x84, 0x85, 0x86, 0x87, 0x88, 0x89, 0x8A, 0x9F, 0xA0, 0xA8, 0xA9, 0xAF])
+
+
+def cuts(raw: np.ndarray, bounds: np.ndarray, marks: Sequence[bytes] = ()) -> np.ndarray:
+    """Where the chunks of UTF-8 texts start, that follow each other in ``raw`` and end at ``bounds``.
+
+    The byte-level split ends a piece wherever letters, digits or other marks end, but for an apostrophe in front
+    of letters, and looks ahead from white space only. So a text can be cut between bytes of different classes,
+    unless the first is white space (a single line break apart), an apostrophe or not known, or the second not
+    known. ``marks`` (added tokens) are not cut.
+    """
+    if not len(raw):
+        return np.zeros(0, dtype=np.int64)
+    kind = CLASS[raw]
+    # letters of Latin-1 have the first byte C3; two of its characters are none
+    latin = np.flatnonzero(raw[:-1] == 0xC3)
+    latin = latin[(raw[latin + 1] != 0x97) & (raw[latin + 1] != 0xB7)]
+    kind[latin] = kind[latin + 1] = LETTER
+    cut = np.empty(len(raw), dtype=bool)
+    cut[0] = True
+    before, after = kind[:-1], kind[1:]
+    np.not_equal(before, after, out=cut[1:])
+    cut[1:] &= (before < SPACE) & (after != OTHER)
+    cut[1:] &= (raw[:-1] != 0x27) | (after != LETTER)
+    # a blank behind other characters, unless they may be white space
+    wide = np.flatnonzero((before == OTHER) & (raw[1:] == 0x20)) + 1
+    cut[wide[~WIDE_SPACE[raw[wide - 1]]]] = True
+    edges = bounds[:-1][bounds[:-1] < len(raw)]
+    breaks = np.flatnonzero((before == SPACE) & (raw[:-1] == 0x0A) & (after < SPACE)) + 1
+    breaks = breaks[breaks > 1]
+    single = np.isin(breaks - 1, edges) | (kind[breaks - 2] != SPACE) & (kind[breaks - 2] != OTHER)
+    cut[breaks[single]] = True
+    if marks:
+        data = raw.tobytes()
+        for mark in marks:
+            at = data.find(mark)
+            while at >= 0:
+                cut[at + 1 : at + len(mark)] = False
+                at = data.find(mark, at + 1)
+    cut[edges] = True
+    return np.flatnonzero(cut)
+
+
+class ByteMemory(ChunkMemory):
+    """The ids of texts in a byte-level vocabulary, as little-endian 32-bit integers, without an object per chunk.
+
+    The distinct chunks of many texts are looked up; an Arrow dictionary tells where they stand.
+    """
+
+    def __init__(self, compute: Callable[[list[str]], Sequence[bytes]], limit: int = MEMORY, marks: Sequence[str] = ()):
+        super().__init__(by_parts(compute, PARTS), limit)
+        self.marks = [mark.encode() for mark in marks]
+
+    def ids(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of a column of texts, and the places in them where each text starts and ends; a null text has none."""
+        if len(self.plain) > self.limit:
+            self.old_plain, self.plain = self.plain, {}
+        raw, bounds = text_bytes(texts)
+        starts = cuts(raw, bounds, self.marks)
+        if not len(starts):
+            return np.zeros(0, dtype="<i4"), np.zeros(len(bounds), dtype=np.int64)
+        offsets = np.append(starts, len(raw)).astype(np.int64)
+        chunks = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(raw))])
+        coded = chunks.dictionary_encode()
+        _, places, held = coded.dictionary.buffers()
+        places, held = np.frombuffer(places, dtype=np.int64, count=len(coded.dictionary) + 1).tolist(), held.to_pybytes()
+        distinct = [held[a:b] for a, b in zip(places, places[1:])]
+        known, old = self.plain, self.old_plain
+        missing = [chunk for chunk in distinct if chunk not in known]
+        if old:
+            known.update((chunk, old[chunk]) for chunk in missing if chunk in old)
+            missing = [chunk for chunk in missing if chunk not in known]
+        if missing:
+            known.update(zip(missing, self.compute([chunk.decode() for chunk in missing])))
+        values = pa.array([known[chunk] for chunk in distinct], pa.large_binary()).take(coded.indices)
+        _, upto, data = values.buffers()
+        upto = np.frombuffer(upto, dtype=np.int64, count=len(values) + 1) // 4
+        return np.frombuffer(data, dtype="<i4", count=int(upto[-1])), upto[np.searchsorted(starts, bounds)]
+
+    def values(self, texts: list[str]) -> list[list]:
+        """For each text its ids, as one value."""
+        ids, ends = self.ids(pa.array(texts, pa.large_string()))
+        return [[ids[a:b].tobytes()] for a, b in zip(ends, ends[1:])]

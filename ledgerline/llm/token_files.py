@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgerline.llm.bpe import Labels
-from ledgerline.llm.chunks import ChunkMemory, by_parts
+from ledgerline.llm.chunks import ByteMemory
 from ledgerline.llm.tables import id_and_text, slices
 
 #: Ids that close a block; documents are whole, so a block may be longer.
@@ -118,7 +118,7 @@ class LibraryEncoder:
         self.sizes = np.zeros(max(labels, default=-1) + 1, dtype=np.int64)
         for token, label in labels.items():
             self.sizes[token] = len(label)
-        self.memory = ChunkMemory(by_parts(self.encoded, DISTINCT), DISTINCT)
+        self.memory = ByteMemory(self.encoded, DISTINCT, self.marks)
 
     def encoded(self, texts: list[str]) -> list[bytes]:
         joined = [t[:1] == " " and not t[1:2].isspace() and not t[-1:].isspace() and not any(m in t for m in self.marks) for t in texts]
@@ -156,7 +156,7 @@ def _calls(texts: list[str], rows: list[int]) -> Iterator[list[int]]:
 
 
 @lru_cache(maxsize=2)
-def _encoder(path: str) -> ChunkMemory:
+def _encoder(path: str) -> ByteMemory:
     """One per worker process."""
     return LibraryEncoder(path).memory
 
@@ -186,7 +186,7 @@ def write_ids(
     A table without rows gives a table without blocks. Other columns are not read.
     """
     bits = width_of(max(vocabulary_size(tokenizer), (end_id or 0) + 1))
-    end = b"" if end_id is None else np.array([end_id], dtype="<u4").tobytes()
+    end = np.array([] if end_id is None else [end_id], dtype="<u4")
 
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memory = _encoder(tokenizer).alone()
@@ -205,10 +205,10 @@ def write_ids(
         filled = 0
         for batch in batches:
             for part in slices(batch):
-                texts = [text or "" for text in part.column("text").to_pylist()]
-                for doc, values in zip(part.column("id").to_pylist(), memory.values(texts)):
+                found, ends = memory.ids(part.column("text"))
+                for doc, low, high in zip(part.column("id").to_pylist(), ends[:-1].tolist(), ends[1:].tolist()):
                     docs.append(doc)
-                    ids.append(np.frombuffer(b"".join(values) + end, dtype="<u4"))
+                    ids.append(np.append(found[low:high].view("<u4"), end))
                     filled += len(ids[-1])
                     if filled >= BLOCK_IDS:
                         yield close()

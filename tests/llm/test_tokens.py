@@ -7,6 +7,7 @@ from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -176,3 +177,29 @@ def test_a_worker_keeps_the_chunks_of_one_operator():
     assert not left.plain and not left.after and not left.compute.forget.__self__
     assert ours.plain and ours.after
     assert (left.values(texts), ours.values(texts)) == before
+
+
+GLUED = ["it's", "'s", "!'s x", "a'LL'll", "d'été×3÷4", "Ñandú,\nÉl.\n\nÀ\n", "x\n y", "\nx\n", "1st,2nd;3'4'x", "…. ….a", "a\u0301b.", "λόγος,\nκαι",
+         "!\x1c?\x1d a", "x\u3000 y\u2003 z\u00a0 \u00a0w", "p<|endoftext|>q'<|endoftext|>", "<|endo ftext|>", "\u180e x\u200b y", "½x ²y", "a_b-c"]
+
+
+def test_chunks_cut_by_bytes_are_the_library():
+    """op1: cuts between letters, digits and marks change no id, wherever they fall."""
+    random_ = random.Random(5)
+    alphabet = [*"aZ09.,'!-_\n\n  \t\r\x00\x0b\x1c\x7f", "'s", "'ll", *"éß×÷ªµñλ中😀…½²\u0301\u00a0\u0085\u2003\u3000\u1680\u200b", "<|endoftext|>", "<|"]
+    texts = [*GLUED, *ODD, *("".join(random_.choice(alphabet) for _ in range(random_.randrange(14))) for _ in range(6000))]
+    expected = [ids_of(BYTE, text) for text in texts]
+    for memory in (token_files.LibraryEncoder(BYTE_BPE).memory,):
+        for low in range(0, len(texts), 500):
+            ids, ends = memory.ids(pa.array(texts[low : low + 500], pa.string()))
+            assert [ids[a:b].tolist() for a, b in zip(ends, ends[1:])] == expected[low : low + 500]
+
+
+@pytest.mark.parametrize("memory_of", [lambda: token_files.LibraryEncoder(BYTE_BPE).memory])
+def test_words_are_encoded_once_whatever_follows_them(memory_of):
+    """op1: most of the time went to words that are known with another ending or line in front."""
+    memory, seen, words = memory_of(), [], [f"{a}re{b}n" for a in "bcdfg" for b in "aeiou"]
+    compute = memory.compute
+    memory.compute = lambda chunks: seen.extend(chunks) or compute(chunks)
+    memory.values([f"the {w}{end}{w.title()} {w}" for w in words for end in ("!\n", "...", ":\n", "###", ");", "?\n")])
+    assert len(seen) <= 3 * len(words) + 10
