@@ -23,7 +23,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.llm.chunks import ChunkMemory, by_parts
+from ledgerline.llm.chunks import ByteMemory
 from ledgerline.llm.tables import slices
 
 #: The byte-level pre-tokeniser's split. A fixed value that decides results.
@@ -224,7 +224,7 @@ class Codec:
         self.split = regex.compile(SPLIT)
         marks = sorted(self.added, key=len, reverse=True)
         self.marks = regex.compile("(" + "|".join(map(regex.escape, marks)) + ")") if marks else None
-        self.words = ChunkMemory(by_parts(self._chunks, DISTINCT), DISTINCT)
+        self.words = ByteMemory(self._chunks, DISTINCT, list(self.added))
 
     def _plain(self, text: str) -> list[int]:
         encode = self.automaton.encode_word
@@ -246,9 +246,8 @@ class Codec:
 
     def encode_lists(self, texts: pa.Array) -> pa.Array:
         """The ids of a column of texts; a null text has none."""
-        ids = [b"".join(values) for values in self.words.values([text or "" for text in texts.to_pylist()])]
-        ends = np.cumsum([0, *(len(x) // 4 for x in ids)], dtype=np.int32)
-        return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(ids), dtype="<i4"), pa.int32()))
+        ids, ends = self.words.ids(texts)
+        return pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(ids, pa.int32()))
 
 
 @lru_cache(maxsize=2)

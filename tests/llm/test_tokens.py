@@ -184,20 +184,20 @@ GLUED = ["it's", "'s", "!'s x", "a'LL'll", "d'été×3÷4", "Ñandú,\nÉl.\n\n
 
 
 def test_chunks_cut_by_bytes_are_the_library():
-    """op1: cuts between letters, digits and marks change no id, wherever they fall."""
+    """op1, op2: cuts between letters, digits and marks change no id, wherever they fall."""
     random_ = random.Random(5)
     alphabet = [*"aZ09.,'!-_\n\n  \t\r\x00\x0b\x1c\x7f", "'s", "'ll", *"éß×÷ªµñλ中😀…½²\u0301\u00a0\u0085\u2003\u3000\u1680\u200b", "<|endoftext|>", "<|"]
     texts = [*GLUED, *ODD, *("".join(random_.choice(alphabet) for _ in range(random_.randrange(14))) for _ in range(6000))]
     expected = [ids_of(BYTE, text) for text in texts]
-    for memory in (token_files.LibraryEncoder(BYTE_BPE).memory,):
+    for memory in (token_files.LibraryEncoder(BYTE_BPE).memory, bpe.Codec(BYTE_BPE).words):
         for low in range(0, len(texts), 500):
             ids, ends = memory.ids(pa.array(texts[low : low + 500], pa.string()))
             assert [ids[a:b].tolist() for a, b in zip(ends, ends[1:])] == expected[low : low + 500]
 
 
-@pytest.mark.parametrize("memory_of", [lambda: token_files.LibraryEncoder(BYTE_BPE).memory])
+@pytest.mark.parametrize("memory_of", [lambda: token_files.LibraryEncoder(BYTE_BPE).memory, lambda: bpe.Codec(BYTE_BPE).words])
 def test_words_are_encoded_once_whatever_follows_them(memory_of):
-    """op1: most of the time went to words that are known with another ending or line in front."""
+    """op1, op2: most of the time went to words that are known with another ending or line in front."""
     memory, seen, words = memory_of(), [], [f"{a}re{b}n" for a in "bcdfg" for b in "aeiou"]
     compute = memory.compute
     memory.compute = lambda chunks: seen.extend(chunks) or compute(chunks)
