@@ -49,6 +49,31 @@ def bitmap(tokens: np.ndarray, width: int) -> np.ndarray:
     return np.packbits(bits, bitorder="little")
 
 
+def codes(values: np.ndarray) -> np.ndarray:
+    """16 bits for each 64-bit value, in the same order: four of its size, twelve of its first digits.
+
+    What is equal stays equal. Values below 2**-15 of the range, hence of sets of millions of tokens, have no size
+    bits and are told apart by the digits alone.
+    """
+    y = (values.view(np.uint64) ^ np.uint64(1 << 63)) >> np.uint64(36)
+    size = np.maximum(np.frexp(y.astype(np.float64))[1] - 13, 0)
+    digits = (y >> np.maximum(size, 1).astype(np.uint64)) & np.uint64(0xFFF)
+    return (size.astype(np.uint64) << np.uint64(12) | digits).astype("<u2")
+
+
+def ranked(codes: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Codes of consecutive ascending sketches, different within a sketch: equal ones are numbered.
+
+    Two sketches have at least as many in common as before, and their union is no larger.
+    """
+    row = np.repeat(np.arange(len(sizes)), sizes)
+    new = np.ones(len(codes), dtype=bool)
+    new[1:] = (codes[1:] != codes[:-1]) | (row[1:] != row[:-1])
+    starts = np.flatnonzero(new)
+    place = np.arange(len(codes)) - np.repeat(starts, np.diff(np.append(starts, len(codes))))
+    return codes.astype(np.int64) << 32 | place
+
+
 class Labels:
     """Components of the rows of a task; a component is named by its first row."""
 
@@ -201,15 +226,19 @@ def _estimate(a: np.ndarray, b: np.ndarray) -> float:
 def _links_in(cells: pa.Table, percent: int, floor: float = 0.0) -> tuple[np.ndarray, np.ndarray]:
     """(a, b) for the rows of whole cells: the least id of a component, and each other one.
 
-    Rows have cell, id, n, component, and ``bits`` (possible overlaps link), ``sketch`` (estimates of at
-    least ``floor`` link) or ``whole`` (similar sets link).
+    Rows have cell, id, n, component, and ``bits`` (possible overlaps link), ``codes`` (of a sketch: estimates of
+    at least ``floor`` link) or ``whole`` (similar sets link).
     """
     cell, ids, n, known = (cells.column(c).to_numpy() for c in ("cell", "id", "n", "component"))
-    values = next((cells.column(c) for c in ("whole", "sketch") if c in cells.column_names), None)
-    if values is None:
-        widths, bits = width_class(n), cells.column("bits").to_pylist()
+    if "bits" in cells.column_names:
+        held, widths, bits = None, width_class(n), cells.column("bits").to_pylist()
     else:
-        held = [v.values.to_numpy() for v in values]
+        if "whole" in cells.column_names:
+            held = [v.values.to_numpy() for v in cells.column("whole")]
+        else:
+            coded = cells.column("codes").to_pylist()
+            sizes = np.array([len(v) // 2 for v in coded], dtype=np.int64)
+            held = np.split(ranked(np.frombuffer(b"".join(coded), dtype="<u2"), sizes), np.cumsum(sizes)[:-1])
         n = np.array([len(v) for v in held], dtype=np.int64)
         widths = width_class(n)
         bits = [bitmap(v, w).tobytes() for v, w in zip(held, widths.tolist())]
@@ -228,7 +257,7 @@ def _links_in(cells: pa.Table, percent: int, floor: float = 0.0) -> tuple[np.nda
             return 100 * both >= percent * (len(a) + len(b) - both)
 
         signatures = np.frombuffer(wide, dtype=np.uint64).reshape(len(rows), -1)
-        trees = Trees(cell[rows], n[rows], signatures, labels.up[rows], percent, None if values is None else same)
+        trees = Trees(cell[rows], n[rows], signatures, labels.up[rows], percent, None if held is None else same)
         a, b = trees.links()
         labels.link(rows[a], rows[b])
     least = np.full(len(ids), np.iinfo(np.int64).max)
@@ -241,7 +270,7 @@ def _links_in(cells: pa.Table, percent: int, floor: float = 0.0) -> tuple[np.nda
 def _compared(members: DataFrame, sets: DataFrame, percent: int, floor: float) -> DataFrame:
     """a, b: every member (cell, id, component) of a cell that is linked, with the least id of what it is linked with.
 
-    ``sets`` has their id, n and bits, sketch or whole.
+    ``sets`` has their id, n and bits, codes or whole.
     """
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -264,7 +293,7 @@ def _compared(members: DataFrame, sets: DataFrame, percent: int, floor: float) -
         yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
 
     dealt = members.join(sets, "id").repartition("cell").sortWithinPartitions("cell", "n", "id")
-    kept = [c for c in ("cell", "id", "n", "component", "bits", "sketch", "whole") if c in dealt.columns]
+    kept = [c for c in ("cell", "id", "n", "component", "bits", "codes", "whole") if c in dealt.columns]
     return dealt.select(*kept).mapInArrow(rows, "a long, b long")
 
 

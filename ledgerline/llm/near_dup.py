@@ -10,7 +10,7 @@ How it stays small where many documents agree:
 * Equal sets are one class; only the class's smallest document goes on.
 * Similar sets share most of their retained values, so that only a document's rarest
   ones need lists, in one order of all values (``listed``). Values that the same
-  documents hold are one list.
+  documents hold are one list. Lists carry two bytes of a value, which keep its order (``codes``).
 * A list is one cell of a signature tree, or several with common pivots if it is long.
   Documents that are connected already are not compared again: the pairs of a group of
   copies are never made, and no link between different components is left out.
@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.llm.linking import clustered, joined, linked_classes
+from ledgerline.llm.linking import clustered, codes, joined, linked_classes
 from ledgerline.llm.shingles import fingerprints, lists, shingle_sets, whole_sets
 from ledgerline.llm.tables import id_and_text, slices
 from ledgerline.session import settle
@@ -116,6 +116,20 @@ def _index(reps: DataFrame, threshold: float, k: int) -> DataFrame:
     return reps.select("id", "n", "sketch").mapInArrow(rows, "token long, id long")
 
 
+def _coded(reps: DataFrame) -> DataFrame:
+    """id, n, codes: what the lists carry of a sketch, two bytes a value."""
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            held = batch.column("sketch")
+            data = codes(held.flatten().to_numpy(zero_copy_only=False)).tobytes()
+            ends = (2 * np.cumsum(held.value_lengths().to_numpy())).tolist()
+            coded = pa.array([data[a:b] for a, b in zip([0, *ends], ends)], pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("n"), coded], names=["id", "n", "codes"])
+
+    return reps.select("id", "n", "sketch").mapInArrow(rows, "id long, n long, codes binary")
+
+
 def near_duplicates(
     df: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5, percent: int = 80, k: int = SKETCH
 ) -> DataFrame:
@@ -136,7 +150,7 @@ def near_duplicates(
         index = settle(_index(reps, threshold, k))
         common = least_common(threshold, k)
         # the share of common retained values that the trees have to leave open, also between sketches of k values
-        clusters = clustered(index, reps.select("id", "n", "sketch"), int(100 * common / (2 * k - common)), threshold - slack(threshold, k))
+        clusters = clustered(index, _coded(reps), int(100 * common / (2 * k - common)), threshold - slack(threshold, k))
         sets = settle(whole_sets(texts.join(clusters.select("id"), "id", "left_semi"), size))
         return joined(clusters, sets, percent)
 

@@ -121,3 +121,27 @@ def test_op4(spark):
     rows = [(r["doc_id"], r["text"]) for r in documents(spark, SF).collect()]
     got = entry.queries()["op4_near_duplicates"](spark, SF).collect()
     assert sorted(map(tuple, got)) == brute(rows, 2, 80)
+
+
+def test_codes_keep_order_and_overlaps():
+    """op4: lists carry two bytes of a value, equal ones numbered, and lose nothing in common."""
+    draw = np.random.default_rng(2)
+    sample = draw.integers(-(2**63), 2**63 - 1, 50_000)
+    shift = np.concatenate([sample, (sample.view(np.uint64) >> draw.integers(0, 64, 50_000).astype(np.uint64)).view(np.int64) ^ np.int64(-(2**63))])
+    values = np.unique(np.concatenate([shift, [-(2**63), 2**63 - 1, -(2**63) + (1 << 49), -(2**63) + (1 << 49) - 1]]))
+    coded = linking.codes(values)
+    assert coded.dtype.itemsize == 2 and (np.diff(coded.astype(int)) >= 0).all() and coded[0] == 0 and coded[-1] == 2**16 - 1
+    for n in (3, 40, 64, 300, 100_000, 20_000_000):
+        for _ in range(60):
+            union = np.sort(draw.integers(-(2**63), -(2**63) + 2**64 // n * 80 if n > 80 else 2**63 - 1, min(n, 80)))
+            a, b = union[draw.random(len(union)) < 0.9][:64], union[draw.random(len(union)) < 0.9][:64]
+            x, y = np.split(linking.ranked(np.concatenate([linking.codes(a), linking.codes(b)]), np.array([len(a), len(b)])), [len(a)])
+            assert len(np.unique(x)) == len(a) and (np.diff(x) > 0).all()
+            assert len(np.intersect1d(x, y)) >= len(np.intersect1d(a, b))
+            assert len(a) == 0 or len(b) == 0 or linking._estimate(x, y) > linking._estimate(a, b) - 0.05
+
+
+def test_lists_carry_two_bytes_a_value(spark):
+    """op4: rows of lists held sketches of 512 bytes, several for each document."""
+    carried = near_dup._coded(near_dup.sketches(table(spark).selectExpr("doc_id id", "text"), 2))
+    assert all(len(r["codes"]) == 2 * min(r["n"], near_dup.SKETCH) for r in carried.collect())
