@@ -18,12 +18,12 @@ from pyspark.sql import functions as F
 
 from ledgerline.llm import bpe, decontaminate, near_dup, pii, toxicity
 from ledgerline.llm.queries import BYTE_BPE, documents
-from ledgerline.session import work_dir
+from ledgerline.session import settle, work_dir
 
 
 def _kept(docs: DataFrame, decided: DataFrame) -> DataFrame:
     """Rows of ``docs`` whose (doc_id, text) ``decided`` keeps; rows without doc_id stay."""
-    gone = decided.where("not keep and doc_id is not null").select("doc_id").distinct()
+    gone = settle(decided.where("not keep and doc_id is not null").select("doc_id").distinct())
     return docs.join(gone, "doc_id", "left_anti").select(*(F.col(f"`{c}`") for c in docs.columns))
 
 

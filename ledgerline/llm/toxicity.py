@@ -42,6 +42,9 @@ DEALT = 2
 SUPPORT, ERRORS, SHARE = 4, 2.0, 0.5
 #: Accuracy of given marks.
 GOLD = 0.98
+#: Entries that a task counts before it hands them on; distinct chunks that a worker remembers; bytes of text that it
+#: turns into words together.
+COUNTED, DISTINCT, READ_BYTES = 100_000, 100_000, 1 << 20
 WORD = re.compile(r"[^\W\d_]+")
 LEXICONS = DEALT * (1 + len(STEMS))
 #: The lexicon voters, then shouting and piled-up marks.
@@ -122,19 +125,18 @@ def _lexicon(marked: DataFrame) -> Lexicon:
         counts: dict[bool, Counter] = {True: Counter(), False: Counter()}
 
         def out() -> pa.RecordBatch:
-            pairs = [(entry, toxic, n) for toxic, counter in counts.items() for entry, n in counter.items()]
+            entry = pa.array((entry for counter in counts.values() for entry in counter), pa.string())
+            toxic = pa.array((toxic for toxic, counter in counts.items() for _ in counter), pa.bool_())
+            n = pa.array((n for counter in counts.values() for n in counter.values()), pa.int64())
             for counter in counts.values():
                 counter.clear()
-            entry, toxic, n = zip(*pairs) if pairs else ((), (), ())
-            return pa.RecordBatch.from_arrays(
-                [pa.array(entry, pa.string()), pa.array(toxic, pa.bool_()), pa.array(n, pa.int64())], names=["entry", "toxic", "n"]
-            )
+            return pa.RecordBatch.from_arrays([entry, toxic, n], names=["entry", "toxic", "n"])
 
         for batch in batches:
-            for part in slices(batch):
+            for part in slices(batch, limit=READ_BYTES):
                 for text, toxic in zip(part.column("text").to_pylist(), part.column("toxic").to_pylist()):
                     counts[toxic].update({entry for word in set(_words_in(text or "")) for entry in entries_of(word)})
-                if sum(map(len, counts.values())) > 500_000:
+                if sum(map(len, counts.values())) > COUNTED:
                     yield out()
         yield out()
 
@@ -144,9 +146,10 @@ def _lexicon(marked: DataFrame) -> Lexicon:
         return Lexicon({})
     pos, neg = (F.sum(F.when(F.col("toxic") == toxic, F.col("n")).otherwise(0)) for toxic in (True, False))
     told = marked.mapInArrow(rows, "entry string, toxic boolean, n long").groupBy("entry").agg(pos.alias("pos"), neg.alias("neg"))
+    told = settle(told.where(f"pos >= {SUPPORT}"))
     ratio = F.log((F.col("pos") + 0.5) / (yes + 1)) - F.log((F.col("neg") + 0.5) / (no + 1))
     error = F.sqrt(1 / (F.col("pos") + 0.5) + 1 / (F.col("neg") + 0.5))
-    told = told.where(f"pos >= {SUPPORT}").withColumn("tells", ratio - ERRORS * error).where("tells > 0")
+    told = told.withColumn("tells", ratio - ERRORS * error).where("tells > 0")
     best = told.orderBy(F.desc("tells"), "entry").limit(ENTRIES).collect()  # bounded
     best = [row for row in best if row["tells"] >= SHARE * best[0]["tells"]]
     return Lexicon({row["entry"]: float(row["tells"]) for row in best})
@@ -234,9 +237,9 @@ def _counted(texts: DataFrame, lexicon: Lexicon) -> DataFrame:
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         find = spread.value.find
-        memory = ChunkMemory(lambda chunks: [find(chunk) for chunk in chunks]).alone()
+        memory = ChunkMemory(lambda chunks: [find(chunk) for chunk in chunks], DISTINCT).alone()
         for batch in batches:
-            for part in slices(batch):
+            for part in slices(batch, limit=READ_BYTES):
                 counts = counts_of(memory, [text or "" for text in part.column("text").to_pylist()])
                 flat = pa.array(counts.reshape(-1))
                 ends = pa.array(np.arange(len(counts) + 1, dtype=np.int32) * counts.shape[1])

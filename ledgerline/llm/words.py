@@ -12,6 +12,8 @@ import numpy as np
 import pyarrow as pa
 
 _U = np.uint64
+#: Bytes whose words are hashed together, at dozens of bytes of numbers each; the powers that a worker keeps follow them.
+HASHED_BYTES = 1 << 18
 
 
 def mixed(x: np.ndarray | int) -> np.ndarray:
@@ -94,7 +96,14 @@ def hashed_words(texts: pa.Array, inside: np.ndarray) -> tuple[np.ndarray, np.nd
     first[edges] = member[edges]
     last[edges - 1] = member[edges - 1]
     starts, ends = np.flatnonzero(first), np.flatnonzero(last) + 1
-    words = span_hashes(prefix_hashes(BYTE_CODES[raw]), starts, ends)
+    words = np.zeros(len(starts), dtype=np.uint64)
+    i = 0
+    while i < len(starts):  # a hash does not depend on the place, so it is the same in any part
+        low = starts[i]
+        j = max(i + 1, int(np.searchsorted(ends, low + HASHED_BYTES, side="right")))
+        sums = prefix_hashes(BYTE_CODES[raw[low : ends[j - 1]]])
+        words[i:j] = span_hashes(sums, starts[i:j] - low, ends[i:j] - low)
+        i = j
     return words, np.searchsorted(starts, bounds)
 
 

@@ -84,6 +84,24 @@ def sized(spark: SparkSession, rows: int) -> Iterator[None]:
             spark.conf.set(key, value)
 
 
+#: Bytes of an Arrow batch that a Python worker gets, where the session has no setting of its own.
+BATCH_BYTES = "4m"
+
+
+@contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """Arrow batches of a few megabytes while something is written: both sides of a Python operator hold a batch or two."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(key, None) is not None:
+        yield
+        return
+    try:
+        spark.conf.set(key, BATCH_BYTES)
+        yield
+    finally:
+        spark.conf.unset(key)
+
+
 def settle(df: DataFrame, rows: int = 0) -> DataFrame:
     """Write an aggregate once and read it back.
 
@@ -92,6 +110,6 @@ def settle(df: DataFrame, rows: int = 0) -> DataFrame:
     loss of executors. ``rows``: how many rows go through its largest shuffle, where that is known.
     """
     path = f"{work_dir(df.sparkSession)}/settled-{uuid.uuid4().hex}"
-    with sized(df.sparkSession, rows):
+    with sized(df.sparkSession, rows), small_batches(df.sparkSession):
         df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
