@@ -11,7 +11,7 @@ from dataclasses import dataclass
 
 import numpy as np
 
-from ledgerline.llm.words import BYTE_CODES, prefix_hashes, span_hashes
+from ledgerline.llm.words import BYTE_CODES, prefix_hashes, rolling_hashes
 
 GRAM = 64
 
@@ -29,14 +29,12 @@ class Anchors:
 
 
 def _sliding_minimum(keys: np.ndarray, width: int) -> np.ndarray:
-    """The least key of each run of ``width`` keys."""
-    size = len(keys)
-    padded = np.full(-(-size // width) * width, np.iinfo(np.uint64).max, dtype=np.uint64)
-    padded[:size] = keys
-    blocks = padded.reshape(-1, width)
-    ahead = np.minimum.accumulate(blocks, axis=1).reshape(-1)
-    behind = np.minimum.accumulate(blocks[:, ::-1], axis=1)[:, ::-1].reshape(-1)
-    return np.minimum(behind[: size - width + 1], ahead[width - 1 : size])
+    """The least key of each run of ``width`` keys: runs of doubled widths, the last two overlap."""
+    count, size = len(keys) - width + 1, 1
+    while 2 * size <= width:
+        keys = np.minimum(keys[:-size], keys[size:])
+        size *= 2
+    return np.minimum(keys[:count], keys[width - size : width - size + count])
 
 
 def find_anchors(raw: np.ndarray, bounds: np.ndarray, length: int, gram: int = GRAM) -> Anchors:
@@ -45,18 +43,17 @@ def find_anchors(raw: np.ndarray, bounds: np.ndarray, length: int, gram: int = G
     none = np.zeros(0, dtype=np.int64)
     if len(raw) < length:
         return Anchors(none, none, none, none, none.view(np.uint64), sums)
-    places = np.arange(len(raw) - gram + 1)
-    hashes = span_hashes(sums, places, places + gram)
-    keys = (hashes & np.uint64(0xFFFFFFFF00000000)) | places.astype(np.uint64)
+    hashes = rolling_hashes(sums, gram)
+    keys = (hashes & np.uint64(0xFFFFFFFF00000000)) | np.arange(len(hashes), dtype=np.uint64)
     owner = (_sliding_minimum(keys, length - gram + 1) & np.uint64(0xFFFFFFFF)).astype(np.int64)
-    # windows that lie in one text
-    sizes = np.maximum(np.diff(bounds) - length + 1, 0)
-    starts = np.arange(sizes.sum()) + np.repeat(bounds[:-1] - (np.cumsum(sizes) - sizes), sizes)
-    text = np.repeat(np.arange(len(sizes)), sizes)
-    owner = owner[starts]
-    new = np.ones(len(starts), dtype=bool)
-    new[1:] = (owner[1:] != owner[:-1]) | (text[1:] != text[:-1])
-    first = np.flatnonzero(new)
-    last = np.append(first[1:], len(starts)) - 1 if len(first) else first
+    # runs of windows with one anchor; they also end where a text begins or its last window has passed
+    new = np.ones(len(owner) + 1, dtype=bool)
+    np.not_equal(owner[1:], owner[:-1], out=new[1:-1])
+    edges = np.concatenate([bounds, np.maximum(bounds[1:] - length + 1, bounds[:-1])])
+    new[edges[edges < len(owner)]] = True
+    ends = np.flatnonzero(new)
+    text = np.searchsorted(bounds, ends[:-1], side="right") - 1
+    inside = ends[:-1] + length <= bounds[text + 1]  # windows that lie in one text
+    first, last = ends[:-1][inside], ends[1:][inside] - 1
     at = owner[first]
-    return Anchors(at, starts[first], starts[last], text[first], hashes[at], sums)
+    return Anchors(at, first, last, text[inside], hashes[at], sums)

@@ -15,6 +15,7 @@ A byte goes if a string of ``length`` bytes that covers it also starts elsewhere
    Their windows are counted by hash instead, which any number of tasks share.
 
 Texts are cut again in each pass instead of being kept in pieces, and travel packed.
+Numpy works on parts of texts and groups of spans that stay in a core's cache.
 """
 
 from __future__ import annotations
@@ -23,6 +24,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -36,10 +38,12 @@ from ledgerline.session import settle
 HOT = 20_000
 #: Bytes of them; a span has less than twice the bytes of a window.
 HOT_BYTES = 8 << 20
-#: Bytes whose suffixes are sorted together.
-SORTED_BYTES = 1 << 20
-#: Bytes of text whose windows are hashed together, at over a hundred bytes of numbers each.
+#: Bytes whose suffixes are sorted together; their ranks stay in a core's cache.
+SORTED_BYTES = 1 << 16
+#: Bytes of text whose spans are counted or placed together.
 HASHED_BYTES = 1 << 20
+#: Bytes of text whose windows are hashed together, at over a hundred bytes of numbers each; they stay in a core's cache.
+CACHED_BYTES = 3 << 14
 #: Bytes of an anchor's gram.
 GRAM = 32
 #: Numbers of the bytes for the second hash of a window.
@@ -51,6 +55,18 @@ def _spans(raw: np.ndarray, bounds: np.ndarray, length: int):
     return found, span_hashes(found.sums, found.low, found.high + length) if len(found.at) else found.gram
 
 
+def _text_spans(texts: pa.RecordBatch, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """gram, span and row of the text for all spans of the column ``text``."""
+    grams, spans, rows, start = [], [], [], 0
+    for part in slices(texts, limit=CACHED_BYTES):
+        found, span = _spans(*text_bytes(part.column("text")), length)
+        grams.append(found.gram)
+        spans.append(span)
+        rows.append(found.text + start)
+        start += part.num_rows
+    return np.concatenate(grams), np.concatenate(spans), np.concatenate(rows)
+
+
 def _long(x: np.ndarray) -> pa.Array:
     return pa.array(np.ascontiguousarray(x).view(np.int64))
 
@@ -65,9 +81,13 @@ def _counted(texts: DataFrame, length: int) -> DataFrame:
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, limit=HASHED_BYTES):
-                found, span = _spans(*text_bytes(part.column("text")), length)
-                pairs, n = np.unique(np.stack([found.gram, span], axis=1), axis=0, return_counts=True)
-                yield _rows({"gram": _long(pairs[:, 0].copy()), "span": _long(pairs[:, 1].copy()), "n": _long(n)})
+                gram, span, _ = _text_spans(part, length)
+                order = np.lexsort((span, gram))
+                gram, span = gram[order], span[order]
+                new = np.ones(len(span), dtype=bool)
+                new[1:] = (gram[1:] != gram[:-1]) | (span[1:] != span[:-1])
+                n = np.diff(np.append(np.flatnonzero(new), len(span)))
+                yield _rows({"gram": _long(gram[new]), "span": _long(span[new]), "n": _long(n)})
 
     return texts.select("text").mapInArrow(rows, "gram long, span long, n long")
 
@@ -91,10 +111,10 @@ def _placed(texts: DataFrame, length: int) -> DataFrame:
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, limit=HASHED_BYTES):
-                found, span = _spans(*text_bytes(part.column("text")), length)
-                key = part.column("key").to_numpy(zero_copy_only=False)[found.text]
-                mark = part.column("mark").to_numpy(zero_copy_only=False)[found.text]
-                yield _rows({"gram": _long(found.gram), "span": _long(span), "key": _long(key), "mark": pa.array(mark, pa.int32())})
+                gram, span, text = _text_spans(part, length)
+                key = part.column("key").to_numpy(zero_copy_only=False)[text]
+                mark = part.column("mark").to_numpy(zero_copy_only=False)[text]
+                yield _rows({"gram": _long(gram), "span": _long(span), "key": _long(key), "mark": pa.array(mark, pa.int32())})
 
     return texts.select("key", "mark", "text").mapInArrow(rows, "gram long, span long, key long, mark int")
 
@@ -119,6 +139,19 @@ def _unpacked(packed: pa.Array) -> Iterator[bytes]:
         yield press.decompress(value.as_py())
 
 
+def _cached(packed: pa.Array) -> Iterator[tuple[list[bytes], np.ndarray, np.ndarray]]:
+    """The texts, a few at a time: each by itself, all their bytes, and where each starts and ends."""
+    texts, filled = [], 0
+    for data in _unpacked(packed):
+        if texts and filled + len(data) > CACHED_BYTES:
+            yield texts, np.frombuffer(b"".join(texts), dtype=np.uint8), np.cumsum([0, *map(len, texts)])
+            texts, filled = [], 0
+        texts.append(data)
+        filled += len(data)
+    if texts:
+        yield texts, np.frombuffer(b"".join(texts), dtype=np.uint8), np.cumsum([0, *map(len, texts)])
+
+
 def _members(values: np.ndarray, sorted_set: np.ndarray) -> np.ndarray:
     if not len(sorted_set):
         return np.zeros(len(values), dtype=bool)
@@ -135,29 +168,31 @@ def _contexts(docs: DataFrame, length: int) -> DataFrame:
     """The bytes of the border spans of each text. A span that repeats in its text is wanted as one copy of many, so
     its first place is enough; other border spans have one place."""
 
-    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def found_in(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out: dict[str, list] = {name: [] for name in schema.names}
             filled = 0
-            lists = zip(batch.column("sorted").to_pylist(), batch.column("hot").to_pylist())
+            hot = [set(names) for names in batch.column("hot").to_pylist()]
+            wanted = [{*names, *more} for names, more in zip(batch.column("sorted").to_pylist(), hot)]
             keys, marks = batch.column("key").to_pylist(), batch.column("mark").to_pylist()
-            for row, (data, (wanted, hot)) in enumerate(zip(_unpacked(batch.column("packed")), lists)):
-                raw = np.frombuffer(data, dtype=np.uint8)
-                found, span = _spans(raw, np.array([0, len(raw)]), length)
-                hot, wanted = set(hot), {*hot, *wanted}
-                for i, name in enumerate(span.view(np.int64).tolist()):
-                    if name not in wanted:
+            first = 0
+            for texts, raw, bounds in _cached(batch.column("packed")):
+                found, span = _spans(raw, bounds, length)
+                lows, highs = ((x - bounds[found.text]).tolist() for x in (found.low, found.high))
+                rows = zip(found.text.tolist(), span.view(np.int64).tolist(), found.gram.view(np.int64).tolist(), lows, highs)
+                for text, name, gram, low, high in rows:
+                    row = first + text
+                    if name not in wanted[row]:
                         continue
-                    wanted.remove(name)
-                    low, high = int(found.low[i]), int(found.high[i])
-                    gram = int(found.gram.view(np.int64)[i])
-                    values = (name in hot, gram, keys[row], marks[row], low, high, data[low : high + length])
+                    wanted[row].remove(name)
+                    values = (name in hot[row], gram, keys[row], marks[row], low, high, texts[text][low : high + length])
                     for column, value in zip(out.values(), values):
                         column.append(value)
                     filled += high + length - low
                     if filled >= HELD_BYTES:
                         yield pa.RecordBatch.from_pydict(out, schema=schema)
                         out, filled = {name: [] for name in schema.names}, 0
+                first += len(texts)
             yield pa.RecordBatch.from_pydict(out, schema=schema)
 
     schema = pa.schema(
@@ -166,22 +201,26 @@ def _contexts(docs: DataFrame, length: int) -> DataFrame:
             ("low", pa.int32()), ("high", pa.int32()), ("body", pa.binary()),
         ]
     )
-    return docs.mapInArrow(rows, CONTEXTS)
+    return docs.mapInArrow(found_in, CONTEXTS)
 
 
 def suffix_ranks(data: np.ndarray, depth: int) -> list[np.ndarray]:
     """Ranks of all suffixes by their first 8, 16, 32, ... bytes, up to ``depth`` at most; a suffix goes on behind a gap."""
-    padded = np.concatenate([data, np.zeros(8, dtype=np.uint8)]).astype(np.uint64)
-    word = np.zeros(len(data), dtype=np.uint64)
-    for i in range(8):
-        word = (word << np.uint64(8)) | padded[i : i + len(data)]
-    ranks, size = [_dense(word)], 8
+    ranks, size = [_dense(first_words(data))], 8
     while 2 * size <= depth:
         ranks.append(_dense(_joined(ranks[-1], ranks[-1], size)))
         size *= 2
     return ranks
 
 
+def first_words(data: np.ndarray) -> np.ndarray:
+    """The first 8 bytes of all suffixes, as one number each; zeros follow the end."""
+    word = np.concatenate([data, np.zeros(7, dtype=np.uint8)]).astype(np.uint64)
+    for size in (1, 2, 4):
+        word = (word[:-size] << np.uint64(8 * size)) | word[size:]
+    return word
+
+
 def _dense(values: np.ndarray) -> np.ndarray:
     """Ranks from 1 on; equal values have one rank."""
     order = np.argsort(values)
@@ -219,10 +258,10 @@ def previous_factors(data: np.ndarray, starts: np.ndarray, length: int) -> tuple
     smaller position. Ranks of growing powers of two give the suffix order to the depth of
     ``length`` and the common prefixes.
     """
-    ranks = suffix_ranks(data, length)
+    words, ranks = first_words(data), suffix_ranks(data, length)
     last = 8 << (len(ranks) - 1)
     deep = _joined(ranks[-1], ranks[-1], length - last)[starts]
-    order = np.argsort(deep, kind="stable")
+    order = np.argsort(deep)
     position = starts[order]
     best, source = np.zeros(len(order), dtype=np.int64), np.full(len(order), -1)
     for turned in (False, True):
@@ -230,7 +269,7 @@ def previous_factors(data: np.ndarray, starts: np.ndarray, length: int) -> tuple
         if turned:
             near = np.where(near[::-1] >= 0, len(order) - 1 - near[::-1], -1)
         has = np.flatnonzero(near >= 0)
-        common = common_prefixes(data, ranks, position[has], position[near[has]], length)
+        common = common_prefixes(words, ranks, position[has], position[near[has]], length)
         more = common > best[has]
         best[has[more]], source[has[more]] = common[more], position[near[has[more]]]
     back = np.empty(len(order), dtype=np.int64)
@@ -238,24 +277,20 @@ def previous_factors(data: np.ndarray, starts: np.ndarray, length: int) -> tuple
     return best[back], source[back]
 
 
-def common_prefixes(data: np.ndarray, ranks: list[np.ndarray], a: np.ndarray, b: np.ndarray, length: int) -> np.ndarray:
-    """Bytes that the suffixes at ``a`` and ``b`` share, up to ``length``, which both have."""
+def common_prefixes(words: np.ndarray, ranks: list[np.ndarray], a: np.ndarray, b: np.ndarray, length: int) -> np.ndarray:
+    """Bytes that the suffixes at ``a`` and ``b`` share, up to ``length``, which both have; ``words`` are their first bytes."""
     total = np.zeros(len(a), dtype=np.int64)
-    last = len(data) - 1
+    last = len(words) - 1
     for level in range(len(ranks) - 1, -1, -1):
         size = 8 << level
         for _ in range(2 if level + 1 == len(ranks) else 1):
             at, to = np.minimum(a + total, last), np.minimum(b + total, last)
             total += size * ((ranks[level][at] == ranks[level][to]) & (total + size <= length))
-    for _ in range(7):
-        at, to = np.minimum(a + total, last), np.minimum(b + total, last)
-        total += (data[at] == data[to]) & (total < length)
-    return total
-
-
-def _runs(flags: np.ndarray, start: int) -> list[dict]:
-    edge = np.diff(np.concatenate([[0], flags.astype(np.int8), [0]]))
-    return [{"low": start + int(a), "high": start + int(b) - 1} for a, b in zip(np.flatnonzero(edge > 0), np.flatnonzero(edge < 0))]
+    at, to = np.minimum(a + total, last), np.minimum(b + total, last)
+    differ = words[at] ^ words[to]
+    for rest in range(1, 8):  # bytes from the last one on that the words may differ in
+        total += differ < np.uint64(1 << 8 * rest)
+    return np.minimum(total, length)
 
 
 FOUND = "key long, mark int, found array<struct<low: int, high: int>>"
@@ -264,39 +299,45 @@ FOUND = "key long, mark int, found array<struct<low: int, high: int>>"
 def _sorted_matches(contexts: DataFrame, length: int) -> DataFrame:
     """Window starts that repeat, as ranges, from the suffix arrays of whole groups of spans with one anchor."""
 
-    def solve(group: list[dict]) -> pa.RecordBatch:
-        group.sort(key=lambda row: (row["key"], row["mark"], row["low"]))
-        data = np.frombuffer(b"\0".join(row["body"] for row in group), dtype=np.uint8)
-        sizes = np.array([len(row["body"]) for row in group])
+    def solve(group: pa.Table) -> pa.RecordBatch:
+        key, mark, low = (group.column(name).to_numpy() for name in ("key", "mark", "low"))
+        raw, bounds = text_bytes(pa.concat_arrays(group.column("body").chunks))
+        sizes = np.diff(bounds)
         ends = np.cumsum(sizes + 1) - 1
+        data = np.zeros(len(raw) + len(sizes), dtype=np.uint8)
+        data[np.arange(len(raw)) + np.repeat(np.arange(len(sizes)), sizes)] = raw
         windows = sizes - length + 1
         starts = np.repeat(ends - sizes, windows) + np.arange(windows.sum()) - np.repeat(np.cumsum(windows) - windows, windows)
         before, source = previous_factors(data, starts, length)
         later = before >= length
-        repeats = np.zeros(len(data), dtype=bool)
-        repeats[starts[later]] = True
-        repeats[source[later]] = True  # the first copies: the second ones match nothing else before them
-        found = [_runs(repeats[end - size : end - length + 1], row["low"]) for row, size, end in zip(group, sizes, ends)]
-        rows = [{"key": r["key"], "mark": r["mark"], "found": f} for r, f in zip(group, found) if f]
-        return pa.RecordBatch.from_pylist(rows, schema=schema)
+        repeats = np.zeros(len(data) + 1, dtype=np.int8)
+        repeats[starts[later]] = 1
+        repeats[source[later]] = 1  # the first copies: the second ones match nothing else before them
+        edge = np.diff(repeats, prepend=np.int8(0))
+        first, last = np.flatnonzero(edge > 0), np.flatnonzero(edge < 0) - 1
+        row = np.searchsorted(ends, first)  # a window starts before the end of its span, so no run goes over it
+        base = low[row] - (ends - sizes)[row]
+        places = [pa.array((x + base).astype(np.int32)) for x in (first, last)]
+        owner, n = np.unique(row, return_counts=True)
+        found = pa.ListArray.from_arrays(np.cumsum([0, *n], dtype=np.int32), pa.StructArray.from_arrays(places, names=["low", "high"]))
+        return _rows({"key": pa.array(key[owner]), "mark": pa.array(mark[owner]), "found": found})
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        group: list[dict] = []
-        filled, last = 0, None
+        held = None
         for batch in batches:
-            for row in batch.to_pylist():
-                if row["gram"] != last and filled >= SORTED_BYTES:
-                    yield solve(group)
-                    group, filled = [], 0
-                group.append(row)
-                filled += len(row["body"])
-                last = row["gram"]
-        if group:
-            yield solve(group)
+            more = pa.Table.from_batches([batch])
+            held = more if held is None else pa.concat_tables([held, more])
+            gram = held.column("gram").to_numpy()
+            filled = np.cumsum(pc.binary_length(held.column("body")).to_numpy())
+            start, done = 0, 0
+            for end in (np.flatnonzero(gram[1:] != gram[:-1]) + 1).tolist():  # the last anchor may go on in the next batch
+                if filled[end - 1] - done >= SORTED_BYTES:
+                    yield solve(held.slice(start, end - start))
+                    start, done = end, filled[end - 1]
+            held = held.slice(start)
+        if held is not None and held.num_rows:
+            yield solve(held)
 
-    schema = pa.schema(
-        [("key", pa.int64()), ("mark", pa.int32()), ("found", pa.list_(pa.struct([("low", pa.int32()), ("high", pa.int32())])))]
-    )
     return contexts.drop("hot").repartition("gram").sortWithinPartitions("gram").mapInArrow(rows, FOUND)
 
 
@@ -334,35 +375,51 @@ def _removed(size: int, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     return np.cumsum(edges[:-1]) > 0
 
 
+def _totals(flags: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """How many flags are set in each text."""
+    return np.diff(np.concatenate([[0], np.cumsum(flags)])[bounds])
+
+
 def _without(docs: DataFrame, length: int) -> DataFrame:
+    def gone_of(texts: list[bytes], bounds: np.ndarray, whole: list, found: list) -> np.ndarray:
+        ranges = [(at + r["low"], at + r["high"]) for at, lists in zip(bounds.tolist(), found) for f in lists or [] for r in f]
+        starts, ends = np.array(ranges, dtype=np.int64).reshape(-1, 2).T
+        own = np.array([i for i, names in enumerate(whole) if names], dtype=np.int64)
+        if len(own):  # a span that repeats as a whole does so in all texts
+            data = [texts[i] for i in own.tolist()]
+            edges = np.cumsum([0, *map(len, data)])
+            at, span = _spans(np.frombuffer(b"".join(data), dtype=np.uint8), edges, length)
+            ours = _members(span.view(np.int64), np.unique(np.concatenate([whole[i] for i in own.tolist()])))
+            ahead = (bounds[own] - edges[:-1])[at.text[ours]]
+            starts, ends = np.append(starts, at.low[ours] + ahead), np.append(ends, at.high[ours] + ahead)
+        return _removed(int(bounds[-1]), starts, ends + length)
+
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for start in range(0, batch.num_rows, 256):
-                part = batch.slice(start, 256)
-                sizes, removed, spans, kept = [], [], [], []
-                lists = zip(part.column("whole").to_pylist(), part.column("found").to_pylist())
-                for data, (whole_spans, found) in zip(_unpacked(part.column("packed")), lists):
-                    raw = np.frombuffer(data, dtype=np.uint8)
-                    gone = np.zeros(len(raw), dtype=bool)
-                    if whole_spans or found:
-                        starts = np.array([r["low"] for f in found or [] for r in f], dtype=np.int64)
-                        ends = np.array([r["high"] for f in found or [] for r in f], dtype=np.int64) + length
-                        if whole_spans:
-                            at, span = _spans(raw, np.array([0, len(raw)]), length)
-                            ours = _members(span.view(np.int64), np.sort(np.array(whole_spans, dtype=np.int64)))
-                            starts, ends = np.append(starts, at.low[ours]), np.append(ends, at.high[ours] + length)
-                        gone = _removed(len(raw), starts, ends)
-                    sizes.append(len(raw))
-                    removed.append(int(gone.sum()))
-                    spans.append(int((np.diff(gone.astype(np.int8), prepend=0) > 0).sum()))
-                    kept.append(raw[~gone].tobytes())
-                yield _rows(
-                    {
-                        "id": part.column("id"), "n_bytes": pa.array(sizes, pa.int64()),
-                        "n_removed": pa.array(removed, pa.int64()), "n_spans": pa.array(spans, pa.int64()),
-                        "kept": pa.array(kept, pa.binary()),
-                    }
-                )
+            whole, found = (batch.column(name).to_pylist() for name in ("whole", "found"))
+            out: list[list[np.ndarray]] = [[], [], [], []]
+            start, row, filled = 0, 0, 0
+            for texts, raw, bounds in _cached(batch.column("packed")):
+                upto = row + len(texts)
+                gone = gone_of(texts, bounds, whole[row:upto], found[row:upto])
+                rises = gone.copy()
+                rises[1:] &= ~gone[:-1]
+                edges = bounds[:-1][np.diff(bounds) > 0]
+                rises[edges] = gone[edges]
+                for column, values in zip(out, (np.diff(bounds), _totals(gone, bounds), _totals(rises, bounds), raw[~gone])):
+                    column.append(values)
+                row, filled = upto, filled + len(raw)
+                if filled >= HASHED_BYTES or row == batch.num_rows:
+                    sizes, removed, spans, kept = map(np.concatenate, out)
+                    ends = pa.array(np.cumsum([0, *(sizes - removed)], dtype=np.int32))
+                    bodies = pa.Array.from_buffers(pa.binary(), len(sizes), [None, ends.buffers()[1], pa.py_buffer(kept)])
+                    yield _rows(
+                        {
+                            "id": batch.column("id").slice(start, row - start), "n_bytes": pa.array(sizes, pa.int64()),
+                            "n_removed": pa.array(removed, pa.int64()), "n_spans": pa.array(spans, pa.int64()), "kept": bodies,
+                        }
+                    )
+                    out, start, filled = [[], [], [], []], row, 0
 
     kind = docs.schema["id"].dataType.simpleString()
     return docs.select("id", "packed", "whole", "found").mapInArrow(rows, f"id {kind}, {RESULT}")

@@ -55,8 +55,9 @@ def byte_class(*ranges: tuple[int, int]) -> np.ndarray:
 
 
 def text_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """All bytes of a string column and the places where its texts start and end; null texts are empty."""
-    texts = texts.cast(pa.large_string()) if texts.type != pa.large_string() else texts
+    """All bytes of a string or binary column and the places where its texts start and end; null texts are empty."""
+    large = pa.large_string() if pa.types.is_string(texts.type) or pa.types.is_large_string(texts.type) else pa.large_binary()
+    texts = texts.cast(large) if texts.type != large else texts
     if texts.null_count:
         texts = texts.fill_null("")
     _, offsets, data = texts.buffers()
@@ -80,6 +81,14 @@ def span_hashes(sums: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
         return mixed((sums[ends] - sums[starts]) * down[starts])
 
 
+def rolling_hashes(sums: np.ndarray, width: int) -> np.ndarray:
+    """``span_hashes`` of all spans of ``width``, one from each place."""
+    count = max(0, len(sums) - width)
+    _, down = powers(len(sums) - 1)
+    with np.errstate(over="ignore"):
+        return mixed((sums[width:] - sums[:count]) * down[:count])
+
+
 def hashed_words(texts: pa.Array, inside: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The words of all texts, one after the other, and the places in them where each text starts and ends."""
     raw, bounds = text_bytes(texts)
