@@ -7,6 +7,7 @@ import numpy as np
 import pytest
 
 import __spark_entry__ as entry
+from ledgerline.llm import components as component_rounds
 from ledgerline.llm import linking, near_dup
 from ledgerline.llm.components import components
 from ledgerline.llm.queries import documents
@@ -117,6 +118,18 @@ def test_components_of_a_path_and_a_star(spark):
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+def test_components_of_stars_end_after_one_round(spark, monkeypatch):
+    """op4: a round is many small stages; links that are stars, or cells of one group with common pivots, need no second one."""
+    seen, real = [], component_rounds._large
+    monkeypatch.setattr(component_rounds, "_large", lambda links: seen.append(1) or real(links))
+    stars = [(100 * i, 100 * i + j) for i in range(5) for j in range(1, 30)]
+    cells = [(1000 + i, 2000 + 10 * j + i) for i in range(6) for j in range(20)] + [(1000 + i, 3000 + p) for i in range(6) for p in range(4)]
+    found = components(spark.createDataFrame([*stars, *cells, *cells], "a long, b long")).collect()
+    expected = {b: a for a, b in stars} | {n: 1000 for link in cells for n in link if n != 1000}
+    assert {r["node"]: r["component"] for r in found} == expected and len(found) == len(expected)
+    assert len(seen) == 1
+
+
 def test_op4(spark):
     rows = [(r["doc_id"], r["text"]) for r in documents(spark, SF).collect()]
     got = entry.queries()["op4_near_duplicates"](spark, SF).collect()
